@@ -1,0 +1,24 @@
+"""Run every registered query once and print rows/columns/time (a developer aid)."""
+
+import sys
+import time
+import traceback
+
+sys.path.insert(0, ".")
+from sluice.plans.catalog import queries  # noqa: E402
+from sluice.session import build_session  # noqa: E402
+
+sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.001"
+only = sys.argv[2].split(",") if len(sys.argv) > 2 else None
+spark = build_session("local[8]", **{"spark.sql.shuffle.partitions": "8"})
+for name, fn in queries().items():
+    if only and name not in only:
+        continue
+    t = time.time()
+    try:
+        df = fn(spark, sf_dir)
+        n = df.count()
+        print(f"OK   {name:24s} rows={n:7d} {time.time() - t:6.2f}s {df.columns}", flush=True)
+    except Exception as exc:  # noqa: BLE001
+        print(f"FAIL {name:24s} {type(exc).__name__}: {str(exc)[:400]}", flush=True)
+        traceback.print_exc(limit=3)
