@@ -114,6 +114,11 @@ def label_prompt(labels: Mapping[str, str], filename: Column, snippet: Column) -
     )
 
 
+def _member_of(words: Sequence[str]) -> Callable[[Column], Column]:
+    wanted = sorted({w.lower() for w in words})
+    return lambda w: w.isin(wanted)
+
+
 def keyword_predict(keywords: Mapping[str, Sequence[str]]) -> Callable[[Column], Column]:
     """Default deterministic model: per label, count snippet words in its keyword list;
     highest count wins, ties go to the earlier label, no hit at all gives null."""
@@ -121,10 +126,7 @@ def keyword_predict(keywords: Mapping[str, Sequence[str]]) -> Callable[[Column],
 
     def predict(request: Column) -> Column:
         words = words_of(request["snippet"])
-        scores = F.array(*[
-            F.size(F.filter(words, lambda w, kws=sorted({k.lower() for k in keywords[label]}): w.isin(kws)))
-            for label in labels
-        ])
+        scores = F.array(*[F.size(F.filter(words, _member_of(keywords[label]))) for label in labels])
         best = F.array_max(scores)
         pick = F.element_at(F.array(*[F.lit(x) for x in labels]), F.array_position(scores, best).cast("int"))
         return F.when(best > 0, pick)
