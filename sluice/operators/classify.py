@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
+import re
 from functools import reduce
 from typing import Any
 
@@ -19,7 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluice.functions.text import byte_prefix_text, extension_of, filename_of, words_of
+from sluice.functions.text import byte_prefix_text, extension_of, filename_of
 
 Classifier = Callable[[DataFrame, Column], Column]
 
@@ -114,22 +115,27 @@ def label_prompt(labels: Mapping[str, str], filename: Column, snippet: Column) -
     )
 
 
-def _member_of(words: Sequence[str]) -> Callable[[Column], Column]:
-    wanted = sorted({w.lower() for w in words})
-    return lambda w: w.isin(wanted)
+def keyword_pattern(words: Sequence[str]) -> str:
+    """Regex matching any of ``words`` as a whole token (no letter or digit on either side)."""
+    alternatives = "|".join(re.escape(w.lower()) for w in sorted(set(words), key=lambda w: (-len(w), w)))
+    return rf"(?<![\p{{L}}\p{{N}}])(?:{alternatives})(?![\p{{L}}\p{{N}}])"
 
 
 def keyword_predict(keywords: Mapping[str, Sequence[str]]) -> Callable[[Column], Column]:
-    """Default deterministic model: per label, count snippet words in its keyword list;
-    highest count wins, ties go to the earlier label, no hit at all gives null."""
+    """Default deterministic model: per label, count snippet tokens in its keyword list;
+    highest count wins, ties go to the earlier label, no hit at all gives null.
+
+    One ``regexp_count`` per label keeps the scorer inside generated code;
+    a leading sentinel score of 0 maps "no hit" to null without a branch.
+    """
     labels = list(keywords)
 
     def predict(request: Column) -> Column:
-        words = words_of(request["snippet"])
-        scores = F.array(*[F.size(F.filter(words, _member_of(keywords[label]))) for label in labels])
-        best = F.array_max(scores)
-        pick = F.element_at(F.array(*[F.lit(x) for x in labels]), F.array_position(scores, best).cast("int"))
-        return F.when(best > 0, pick)
+        text = F.lower(request["snippet"])
+        scores = F.array(F.lit(0), *[F.regexp_count(text, F.lit(keyword_pattern(keywords[label])))
+                                     for label in labels])
+        names = F.array(F.lit(None).cast("string"), *[F.lit(x) for x in labels])
+        return F.element_at(names, F.array_position(scores, F.array_max(scores)).cast("int"))
 
     return predict
 
@@ -168,8 +174,8 @@ class ModelLabels:
             filename.alias("filename"),
             snippet.alias("snippet"),
         ))
-        answer = F.trim(self.predict(request))
-        return F.when(ask & answer.isin(list(self.labels)), answer).cast("string")
+        known = F.create_map(*[F.lit(x) for label in self.labels for x in (label, label)])
+        return F.when(ask, F.try_element_at(known, F.trim(self.predict(request)))).cast("string")
 
 
 def model_classifier(labels, predict=None, keywords=None, max_content_chars=4000, skip_empty=False) -> ModelLabels:

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.functions.text import text_bytes
+from sluice.session import spread
 from sluice.sources.documents import string_map, to_documents
 
 # File stems by ``doc_id % 6`` and extensions by ``(doc_id div 6) % 5``.
@@ -22,13 +23,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def text_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table whose rows carry whole texts: spread over all cores when it comes in few files."""
+    return spread(table(spark, sf_dir, name))
+
+
 def _pick(values: list[str], index) -> F.Column:
     return F.element_at(F.array(*[F.lit(v) for v in values]), (index + 1).cast("int"))
 
 
 def landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as landed files: ``/landing/<source>/<lang>/<stem>_<id><ext>``."""
-    docs = table(spark, sf_dir, "documents")
+    docs = text_table(spark, sf_dir, "documents")
     stem = _pick(STEMS, F.col("doc_id") % 6)
     ext = _pick(EXTENSIONS, F.expr("(doc_id div 6) % 5"))
     uri = F.concat(F.lit("/landing/"), F.col("source"), F.lit("/"), F.col("lang"), F.lit("/"),
@@ -45,7 +51,7 @@ def landing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def web(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = table(spark, sf_dir, "pages")
+    pages = text_table(spark, sf_dir, "pages")
     staged = pages.select(F.col("url").alias("uri"), text_bytes(F.col("html")).alias("content"), "page_id")
     return to_documents(staged, source="web", keep=["page_id"])
 

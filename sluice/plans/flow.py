@@ -13,14 +13,14 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.operators.classify import Classifier, classify_chain
 from sluice.operators.errors import apply_policy
 from sluice.operators.parse import Parser
 from sluice.operators.route import RouteTable, fan_out, route, split_unrouted
-from sluice.operators.stats import stats_frame
+from sluice.operators.stats import observe_outcomes, stats_frame
 from sluice.sinks.writers import Sink
 
 
@@ -60,6 +60,8 @@ class FlowResult:
     processed: dict[str, DataFrame] = field(default_factory=dict)
     outputs: dict[str, DataFrame] = field(default_factory=dict)
     dead_letter: dict[str, DataFrame] = field(default_factory=dict)
+    routing: Observation | None = None
+    outcomes_seen: dict[str, Observation] = field(default_factory=dict)
 
     @property
     def unrouted(self) -> DataFrame:
@@ -74,6 +76,10 @@ class FlowResult:
     def stats(self, run_id: str = "") -> DataFrame:
         return stats_frame(self.outcomes(), run_id)
 
+    def close(self) -> None:
+        """Release the shared routed frame (when it was persisted)."""
+        self.routed.unpersist()
+
 
 def process(docs: DataFrame, spec: PipelineSpec) -> DataFrame:
     """One pipeline's stage: its own chain (last answer wins), then its parser."""
@@ -98,23 +104,40 @@ def materialize(df: DataFrame, how: str | None) -> DataFrame:
     return df
 
 
-def run_router(source: DataFrame, spec: RouterSpec, share: str | None = None) -> FlowResult:
-    """chain (first answer wins) → route → per-pipeline process → policy."""
+def run_router(source: DataFrame, spec: RouterSpec, share: str | None = "auto") -> FlowResult:
+    """chain (first answer wins) → route → per-pipeline process → policy.
+
+    Every pipeline is a filter of the same routed frame; Catalyst does not
+    reuse it across branches, so with more than one pipeline it is
+    materialised once (``share="auto"`` → ``persist``) and the source is
+    read, decoded and classified a single time. ``share=None`` leaves the
+    plan as is; ``"checkpoint"`` writes it to the shared folder.
+    """
     classified = classify_chain(source, spec.classifiers, mode="first")
+    if share == "auto":
+        share = "persist" if len(spec.routes.pipelines()) > 1 else None
     routed = materialize(route(classified, spec.routes, strict=spec.strict), share)
-    result = FlowResult(routed=routed)
-    good_rows, _ = split_unrouted(routed)
+    routing = Observation("routing")
+    seen = routed.observe(routing, F.count(F.lit(1)).alias("received"),
+                          F.count_if(F.col("pipeline").isNull()).alias("unrouted"))
+    result = FlowResult(routed=routed, routing=routing)
+    good_rows, _ = split_unrouted(seen)
     for name, docs in fan_out(good_rows, spec.routes.pipelines()).items():
-        pipe = spec.pipelines[name]
-        done = process(docs, pipe)
-        good, bad = apply_policy(done, pipe.on_error, pipe.dead_letter is not None)
-        result.processed[name] = done
-        result.outputs[name] = good
-        if bad is not None:
-            result.dead_letter[name] = bad
+        _attach(result, name, process(docs, spec.pipelines[name]), spec.pipelines[name])
     return result
 
 
+def _attach(result: FlowResult, name: str, done: DataFrame, pipe: PipelineSpec) -> None:
+    """Record a pipeline's processed frame, its counters and its policy split."""
+    observed, obs = observe_outcomes(done, name)
+    good, bad = apply_policy(observed, pipe.on_error, pipe.dead_letter is not None)
+    result.processed[name] = observed
+    result.outcomes_seen[name] = obs
+    result.outputs[name] = good
+    if bad is not None:
+        result.dead_letter[name] = bad
+
+
 def run_pipeline(spark: SparkSession, spec: PipelineSpec, source: DataFrame | None = None) -> FlowResult:
     """A dedicated pipeline with its own source, no routing filter."""
     if source is None:
@@ -122,11 +145,8 @@ def run_pipeline(spark: SparkSession, spec: PipelineSpec, source: DataFrame | No
             raise RuntimeError(f"pipeline {spec.name!r} has no source")
         source = spec.source(spark)
     docs = source.withColumn("pipeline", F.lit(spec.name))
-    done = process(docs, spec)
-    good, bad = apply_policy(done, spec.on_error, spec.dead_letter is not None)
-    result = FlowResult(routed=docs, processed={spec.name: done}, outputs={spec.name: good})
-    if bad is not None:
-        result.dead_letter[spec.name] = bad
+    result = FlowResult(routed=docs)
+    _attach(result, spec.name, process(docs, spec), spec)
     return result
 
 
@@ -134,27 +154,43 @@ def write_flow(result: FlowResult, pipelines: Mapping[str, PipelineSpec], batch_
                run_id: str = "") -> dict:
     """Run every sink; returns the run statistics as a dict.
 
-    Each pipeline's processed frame is cached while its main sinks and its
-    dead-letter sink both read it, so a parser runs once per document.
+    Counts come from observations attached to the written frames, so no
+    extra pass runs the classifiers or parsers again. A pipeline whose
+    output feeds more than one sink is cached while they write, so a parser
+    (or a model call) runs once per document.
     """
     cached = []
     try:
         for name, done in result.processed.items():
             pipe = pipelines[name]
-            if len(pipe.sinks) + (1 if pipe.dead_letter else 0) > 1:
-                done.persist()
-                cached.append(done)
-            for sink in pipe.sinks:
-                sink(result.outputs[name], batch_id)
+            writers = [(sink, result.outputs[name]) for sink in pipe.sinks]
             if pipe.dead_letter is not None and name in result.dead_letter:
-                pipe.dead_letter(result.dead_letter[name], batch_id)
-        row = result.stats(run_id).first()
-        return row.asDict() if row else {}
+                writers.append((pipe.dead_letter, result.dead_letter[name]))
+            if len(writers) > 1:
+                cached.append(done.persist())
+            if not writers:
+                done.write.format("noop").mode("overwrite").save()
+            for sink, frame in writers:
+                sink(frame, batch_id)
+        return _collect_stats(result, run_id)
     finally:
         for df in cached:
             df.unpersist()
 
 
+def _collect_stats(result: FlowResult, run_id: str) -> dict:
+    outcomes = [obs.get for obs in result.outcomes_seen.values()]
+    processed = sum(int(o.get("rows", 0)) - int(o.get("failed", 0)) for o in outcomes)
+    failed = sum(int(o.get("failed", 0)) for o in outcomes)
+    if result.routing is not None and outcomes:
+        routing = result.routing.get
+        received, unrouted = int(routing["received"]), int(routing["unrouted"])
+    else:
+        received, unrouted = processed + failed, 0
+    return {"received": received, "unrouted": unrouted, "processed": processed, "failed": failed,
+            "run_id": run_id}
+
+
 def build_tables(source: DataFrame, spec: RouterSpec) -> dict[str, DataFrame]:
     """``bronze`` (the source), ``classified`` (bronze + ``doc_type``) and
     one gold frame per routed pipeline: its documents, parsed, with the

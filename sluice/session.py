@@ -72,3 +72,20 @@ def local_path(path: str) -> str:
 def ensure_dir(path: str) -> str:
     os.makedirs(local_path(path), exist_ok=True)
     return path
+
+
+def spread(df, parallelism: int | None = None):
+    """Round-robin a frame read from only a few files across all cores.
+
+    A scan gets one task per file split, and a parquet file with a single
+    row group is one split however large it is. When the input has fewer
+    files than the cluster has cores, the per-document work that follows
+    (regex, decoding, model calls) would run on a few tasks only, so the
+    rows are redistributed first. Inputs of many files, the normal case on
+    a cluster, are returned unchanged: no shuffle is added.
+    """
+    spark = df.sparkSession
+    parallelism = parallelism or spark.sparkContext.defaultParallelism
+    if len(df.inputFiles()) >= parallelism:
+        return df
+    return df.repartition(parallelism)

@@ -80,7 +80,7 @@ def run_router_stream(stream: DataFrame, spec: RouterSpec, checkpoint: str, trig
         try:
             stats = write_flow(result, spec.pipelines, batch_id=batch_id, run_id=run_id)
         finally:
-            result.routed.unpersist()
+            result.close()
         if on_stats is not None:
             on_stats(batch_id, stats)
 
