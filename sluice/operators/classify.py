@@ -99,6 +99,8 @@ def rules_classifier(rules: Sequence[Mapping[str, Any]]) -> Classifier:
 
 # ---------------------------------------------------------------- model labels
 
+SNIPPET_COL = "_snippet"
+
 # Characters stripped from a model reply (as Python's ``str.strip``, ASCII part).
 WHITESPACE = " \t\n\r\x0b\x0c"
 
@@ -128,17 +130,22 @@ def keyword_predict(keywords: Mapping[str, Sequence[str]]) -> Callable[[Column],
     """Default deterministic model: per label, count snippet tokens in its keyword list;
     highest count wins, ties go to the earlier label, no hit at all gives null.
 
-    One ``regexp_count`` per label keeps the scorer inside generated code;
-    a leading sentinel score of 0 maps "no hit" to null without a branch.
+    Each label's count is one ``regexp_count`` (generated code). The
+    arg-max is a single ``greatest`` over ``count * (n + 1) + (n - k)``:
+    the largest value has the highest count and, on ties, the earliest
+    label; the constant ``n`` (label 0, "none") wins when nothing matched.
     """
     labels = list(keywords)
+    n = len(labels)
 
     def predict(request: Column) -> Column:
         text = F.lower(request["snippet"])
-        scores = F.array(F.lit(0), *[F.regexp_count(text, F.lit(keyword_pattern(keywords[label])))
-                                     for label in labels])
+        coded = F.greatest(F.lit(n), *[
+            F.regexp_count(text, F.lit(keyword_pattern(keywords[label]))) * (n + 1) + (n - k)
+            for k, label in enumerate(labels, start=1)
+        ])
         names = F.array(F.lit(None).cast("string"), *[F.lit(x) for x in labels])
-        return F.element_at(names, F.array_position(scores, F.array_max(scores)).cast("int"))
+        return F.element_at(names, (F.lit(n + 1) - coded % (n + 1)).cast("int"))
 
     return predict
 
@@ -165,13 +172,22 @@ class ModelLabels:
         if not isinstance(self.labels, Mapping):
             self.labels = {label: "" for label in self.labels}
 
+    def _ask(self, needed: Column) -> Column:
+        if not self.skip_empty:
+            return needed
+        return needed & F.coalesce(F.octet_length(F.col("content")) > 0, F.lit(False))
+
+    def prepare(self, df: DataFrame, needed: Column) -> DataFrame:
+        """Decode the snippet once, in its own column, for the rows that ask."""
+        snippet = byte_prefix_text(F.col("content"), self.max_content_chars)
+        return df.withColumn(SNIPPET_COL, F.when(self._ask(needed), snippet))
+
     def __call__(self, df: DataFrame, needed: Column) -> Column:
-        content = F.col("content")
+        if SNIPPET_COL not in df.columns:
+            df = self.prepare(df, needed)
+        ask = self._ask(needed)
         filename = filename_of(F.col("uri"))
-        snippet = byte_prefix_text(content, self.max_content_chars)
-        ask = needed
-        if self.skip_empty:
-            ask = ask & F.coalesce(F.octet_length(content) > 0, F.lit(False))
+        snippet = F.col(SNIPPET_COL)
         request = F.when(ask, F.struct(
             label_prompt(self.labels, filename, snippet).alias("prompt"),
             filename.alias("filename"),
@@ -179,7 +195,11 @@ class ModelLabels:
         ))
         known = F.create_map(*[F.lit(x) for label in self.labels for x in (label, label)])
         answer = F.btrim(self.predict(request), F.lit(WHITESPACE))
-        return F.when(ask, F.try_element_at(known, answer)).cast("string")
+        # Rows not asked get no label even if ``predict`` answers a null
+        # request; ``ask`` is folded in without a branch so the predictor
+        # stays outside CASE WHEN, where Spark does not share common parts.
+        gated = F.concat(answer, F.when(ask, F.lit("")))
+        return F.try_element_at(known, gated).cast("string")
 
 
 def model_classifier(labels, predict=None, keywords=None, max_content_chars=4000, skip_empty=False) -> ModelLabels:
@@ -248,7 +268,11 @@ def classify_chain(df: DataFrame, classifiers: Sequence[Classifier], mode: str =
     for i, clf in enumerate(classifiers):
         needed = F.col("doc_type").isNull() if mode == "first" else F.lit(True)
         answer = f"_label_{i}"
+        before = set(df.columns)
+        if hasattr(clf, "prepare"):
+            df = clf.prepare(df, needed)
         df = df.withColumn(answer, clf(df, needed))
         pick = [F.col("doc_type"), F.col(answer)] if mode == "first" else [F.col(answer), F.col("doc_type")]
-        df = df.withColumn("doc_type", F.coalesce(*pick)).drop(answer)
+        df = df.withColumn("doc_type", F.coalesce(*pick))
+        df = df.drop(*[c for c in df.columns if c not in before and c != "doc_type"])
     return df

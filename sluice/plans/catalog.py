@@ -24,7 +24,7 @@ from sluice.operators.parse import document_parser, parse_document, text_parser
 from sluice.operators.route import RouteTable, fan_out, route, split_unrouted
 from sluice.plans import fixtures as fx
 from sluice.plans import specs
-from sluice.plans.flow import PipelineSpec, RouterSpec, build_tables, run_pipeline, run_router, write_flow, write_tables
+from sluice.plans.flow import PipelineSpec, RouterSpec, run_pipeline, run_router, write_flow, write_tables
 from sluice.session import fresh_path
 from sluice.sinks.writers import content_names, json_sink, table_rows, table_sink, write_all, write_content, write_table
 from sluice.functions.text import decode_utf8
@@ -409,8 +409,7 @@ def _write_landing(spark, sf_dir, path, files: int = 4) -> None:
 
 
 def gold_tables(spark, sf_dir):
-    tables = build_tables(fx.landing(spark, sf_dir), flagship_spec())
-    paths = write_tables(tables, fresh_path(spark, "gold"))
+    paths = write_tables(fx.landing(spark, sf_dir), flagship_spec(), fresh_path(spark, "gold"))
     parts = [spark.read.parquet(paths[name]).select(F.lit(name).alias("table_name"), "uri", "doc_type",
                                                     _long(F.col("length")).alias("text_chars"))
              for name in specs.PIPELINES]

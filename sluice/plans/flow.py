@@ -191,29 +191,36 @@ def _collect_stats(result: FlowResult, run_id: str) -> dict:
             "run_id": run_id}
 
 
+def gold_frame(classified: DataFrame, spec: RouterSpec, name: str) -> DataFrame:
+    """One gold table: the pipeline's documents, parsed, ``extracted`` fields expanded to columns."""
+    routed = route(classified, spec.routes)
+    gold = process(routed.where(F.col("pipeline") == F.lit(name)), spec.pipelines[name])
+    kind = gold.schema["extracted"].dataType
+    if hasattr(kind, "fieldNames"):
+        gold = gold.select("*", *[F.col("extracted")[f].alias(f) for f in kind.fieldNames() if f not in gold.columns])
+    return gold
+
+
 def build_tables(source: DataFrame, spec: RouterSpec) -> dict[str, DataFrame]:
-    """``bronze`` (the source), ``classified`` (bronze + ``doc_type``) and
-    one gold frame per routed pipeline: its documents, parsed, with the
-    fields of ``extracted`` expanded into columns."""
+    """F3 (lazy form): ``bronze`` (the source), ``classified`` (bronze +
+    ``doc_type``) and one gold frame per routed pipeline."""
     classified = classify_chain(source, spec.classifiers, mode="first")
     tables: dict[str, DataFrame] = {"bronze": source, "classified": classified}
-    routed = route(classified, spec.routes)
-    for name, docs in fan_out(routed, spec.routes.pipelines()).items():
-        gold = process(docs, spec.pipelines[name])
-        kind = gold.schema["extracted"].dataType
-        if hasattr(kind, "fieldNames"):
-            gold = gold.select("*", *[F.col("extracted")[f].alias(f) for f in kind.fieldNames()
-                                       if f not in gold.columns])
-        tables[name] = gold
+    for name in spec.routes.pipelines():
+        tables[name] = gold_frame(classified, spec, name)
     return tables
 
 
-def write_tables(tables: Mapping[str, DataFrame], root: str, fmt: str = "parquet") -> dict[str, str]:
-    """Materialise each stage as its own table (binary content left out of gold)."""
-    paths = {}
-    for name, df in tables.items():
-        out = df if name in ("bronze", "classified") else df.drop("content")
-        path = f"{root.rstrip('/')}/{name}"
-        out.write.format(fmt).mode("overwrite").save(path)
-        paths[name] = path
+def write_tables(source: DataFrame, spec: RouterSpec, root: str, fmt: str = "parquet") -> dict[str, str]:
+    """F3 materialised: each stage is written, and the next stage reads the
+    table just written (bronze → classified → gold), so the source is read
+    once and classification runs once; binary content is left out of gold."""
+    spark = source.sparkSession
+    paths = {name: f"{root.rstrip('/')}/{name}" for name in ["bronze", "classified", *spec.routes.pipelines()]}
+    source.write.format(fmt).mode("overwrite").save(paths["bronze"])
+    bronze = spark.read.format(fmt).load(paths["bronze"])
+    classify_chain(bronze, spec.classifiers, mode="first").write.format(fmt).mode("overwrite").save(paths["classified"])
+    classified = spark.read.format(fmt).load(paths["classified"])
+    for name in spec.routes.pipelines():
+        gold_frame(classified, spec, name).drop("content").write.format(fmt).mode("overwrite").save(paths[name])
     return paths
