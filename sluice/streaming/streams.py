@@ -70,10 +70,10 @@ def stream_to(stream: DataFrame, path: str, checkpoint: str, fmt: str = "parquet
     return writer.trigger(**(trigger or {"availableNow": True})).start()
 
 
-def run_router_stream(stream: DataFrame, spec: RouterSpec, checkpoint: str, trigger: dict | None = None,
-                      run_id: str = "", on_stats: Callable[[int, dict], None] | None = None) -> StreamingQuery:
-    """F2: the router flow per micro-batch; one checkpoint for the whole flow,
-    so a second run over the same input processes nothing new."""
+def router_batch_writer(spec: RouterSpec, run_id: str = "",
+                        on_stats: Callable[[int, dict], None] | None = None) -> Callable[[DataFrame, int], None]:
+    """The ``foreachBatch`` function of F2: the batch router flow on one
+    micro-batch, sinks keyed by ``batch_id`` so a replay overwrites itself."""
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         result = run_router(batch, spec, share="persist")
@@ -84,4 +84,11 @@ def run_router_stream(stream: DataFrame, spec: RouterSpec, checkpoint: str, trig
         if on_stats is not None:
             on_stats(batch_id, stats)
 
-    return run_stream(stream, on_batch, checkpoint, trigger)
+    return on_batch
+
+
+def run_router_stream(stream: DataFrame, spec: RouterSpec, checkpoint: str, trigger: dict | None = None,
+                      run_id: str = "", on_stats: Callable[[int, dict], None] | None = None) -> StreamingQuery:
+    """F2: the router flow per micro-batch; one checkpoint for the whole flow,
+    so a second run over the same input processes nothing new."""
+    return run_stream(stream, router_batch_writer(spec, run_id, on_stats), checkpoint, trigger)
