@@ -59,8 +59,3 @@ def byte_prefix_text(content: Column, max_bytes: int) -> Column:
 
 def text_bytes(text: Column) -> Column:
     return F.encode(text, "UTF-8")
-
-
-def words_of(text: Column) -> Column:
-    """Lower-cased letter/digit runs; the separator class is the same in Java and RE2."""
-    return F.split(F.lower(text), r"[^\p{L}\p{N}]+")

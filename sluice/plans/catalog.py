@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.functions.text import extension_of, filename_of
+from sluice.functions.text import decode_utf8, extension_of, filename_of
 from sluice.operators.classify import (
     classify_chain, extension_condition, rules_classifier, filename_condition, first_match, mime_condition, mime_of,
     path_condition, rule_condition,
@@ -26,8 +26,7 @@ from sluice.plans import fixtures as fx
 from sluice.plans import specs
 from sluice.plans.flow import PipelineSpec, RouterSpec, run_pipeline, run_router, write_flow, write_tables
 from sluice.session import fresh_path
-from sluice.sinks.writers import content_names, json_sink, table_rows, table_sink, write_all, write_content, write_table
-from sluice.functions.text import decode_utf8
+from sluice.sinks.writers import json_sink, table_rows, table_sink, write_all, write_content, write_table
 from sluice.sources.documents import to_documents
 from sluice.sources.files import new_files, scan_files
 from sluice.sources.landing import append_landing, next_watermark, read_increment

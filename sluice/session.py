@@ -8,7 +8,6 @@ session with no such setting gets a fresh temporary folder of its own.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -60,20 +59,6 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{work_root(spark)}/sluice/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme so the path can be opened by plain Python."""
-    if path.startswith("file://"):
-        return path[len("file://"):]
-    if path.startswith("file:"):
-        return path[len("file:"):]
-    return path
-
-
-def ensure_dir(path: str) -> str:
-    os.makedirs(local_path(path), exist_ok=True)
-    return path
-
-
 SPREAD_MAX_BYTES = 1 << 30
 
 
