@@ -2,8 +2,8 @@
 
 A failing document carries its messages in ``errors`` (empty = ok) and
 keeps flowing; the policy then decides where it goes. Nothing here stops
-the job except ``on_error="fail"``, which raises from inside the written
-projection so no partial output for the batch is committed.
+the job except ``on_error="fail"``, which raises from a filter inside the
+written plan so no partial output for the batch is committed.
 """
 
 from __future__ import annotations
@@ -76,9 +76,9 @@ def apply_policy(df: DataFrame, policy: str, dead_letter: bool = False) -> tuple
     if policy == "dead_letter" and not dead_letter:
         raise ValueError("on_error=dead_letter needs a dead-letter sink")
     if policy == "fail":
-        guard = F.when(failed(), F.raise_error(F.element_at(F.col("errors"), 1)))
-        checked = df.withColumn("errors", F.coalesce(guard.cast("array<string>"), F.col("errors")))
-        return checked, None
+        # A filter, not a projected column: whatever a sink selects, the check runs.
+        stop = F.raise_error(F.element_at(F.col("errors"), 1)).cast("boolean")
+        return df.where(F.when(failed(), stop).otherwise(F.lit(True))), None
     good = df.where(~failed())
     bad = df.where(failed()) if policy == "dead_letter" else None
     return good, bad

@@ -89,6 +89,8 @@ def route(df: DataFrame, table: RouteTable, strict: bool = False, column: str =
             F.lit("); add a route or a default_pipeline"),
         )
         target = F.when(target.isNull(), F.raise_error(message).cast("string")).otherwise(target)
+        # As a filter the check runs even if a later projection drops the column.
+        return df.withColumn(column, target).where(F.col(column).isNotNull())
     return df.withColumn(column, target)
 
 

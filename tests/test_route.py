@@ -67,3 +67,9 @@ def test_route_table_as_data_matches_literal_routes(docs, spark):
     by_table = labels_of(route_by_table(d, routes, default="default"), "pipeline")
     literal = labels_of(route(d, RouteTable([(t, p) for t, p, _ in rows], "default")), "pipeline")
     assert by_table == literal == {"/1": "a", "/2": "c", "/3": "wild", "/4": "wild"}
+
+
+def test_strict_routing_checks_even_when_pipeline_is_not_selected(docs):
+    d = _typed(docs, [("/x", "other")])
+    with pytest.raises(PySparkException):
+        route(d, RouteTable(ROUTES), strict=True).select("uri").collect()

@@ -115,6 +115,11 @@ def test_error_policies(spark):
     fail = _spec(tempfile.mkdtemp(), parser, on_error="fail")
     with pytest.raises(PySparkException, match="too short"):
         write_flow(run_router(scan_files(spark, root), fail), fail.pipelines)
+    # A table sink does not project ``errors``; the failure must still stop the write.
+    table_base = tempfile.mkdtemp()
+    fail.pipelines["unclassified_pipeline"].sinks = [table_sink(f"{table_base}/t")]
+    with pytest.raises(PySparkException, match="too short"):
+        write_flow(run_router(scan_files(spark, root), fail), fail.pipelines)
 
 
 def test_dead_letter_needs_a_sink_and_routes_need_pipelines():
