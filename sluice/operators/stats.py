@@ -12,23 +12,26 @@ import json
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-STAT_KEYS = ("received", "unrouted", "processed", "failed")
+STAT_KEYS = ("discovered", "received", "unrouted", "processed", "failed")
 
 
-def stat_columns(routed: Column, failed: Column) -> list[Column]:
+def stat_columns(routed: Column, failed: Column, via_router: bool = True) -> list[Column]:
+    """``discovered``: documents the source emitted; ``received``: documents the
+    router took in (the same rows in a router flow, none in a dedicated pipeline)."""
     return [
-        F.count(F.lit(1)).alias("received"),
+        F.count(F.lit(1)).alias("discovered"),
+        (F.count(F.lit(1)) if via_router else F.lit(0).cast("long")).alias("received"),
         F.count_if(~routed).alias("unrouted"),
         F.count_if(routed & ~failed).alias("processed"),
         F.count_if(routed & failed).alias("failed"),
     ]
 
 
-def stats_frame(outcomes: DataFrame, run_id: str = "") -> DataFrame:
-    """One row of counts over ``pipeline`` / ``errors`` of every received document."""
+def stats_frame(outcomes: DataFrame, run_id: str = "", via_router: bool = True) -> DataFrame:
+    """One row of counts over ``pipeline`` / ``errors`` of every discovered document."""
     routed = F.col("pipeline").isNotNull()
     failed = F.coalesce(F.size(F.col("errors")) > 0, F.lit(False))
-    return outcomes.agg(*stat_columns(routed, failed)).withColumn("run_id", F.lit(run_id))
+    return outcomes.agg(*stat_columns(routed, failed, via_router)).withColumn("run_id", F.lit(run_id))
 
 
 def observe_outcomes(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:

@@ -62,6 +62,7 @@ class FlowResult:
     dead_letter: dict[str, DataFrame] = field(default_factory=dict)
     routing: Observation | None = None
     outcomes_seen: dict[str, Observation] = field(default_factory=dict)
+    via_router: bool = True
 
     @property
     def unrouted(self) -> DataFrame:
@@ -74,7 +75,7 @@ class FlowResult:
         return reduce(DataFrame.unionByName, parts)
 
     def stats(self, run_id: str = "") -> DataFrame:
-        return stats_frame(self.outcomes(), run_id)
+        return stats_frame(self.outcomes(), run_id, self.via_router)
 
     def close(self) -> None:
         """Release the shared routed frame (when it was persisted)."""
@@ -145,7 +146,7 @@ def run_pipeline(spark: SparkSession, spec: PipelineSpec, source: DataFrame | No
             raise RuntimeError(f"pipeline {spec.name!r} has no source")
         source = spec.source(spark)
     docs = source.withColumn("pipeline", F.lit(spec.name))
-    result = FlowResult(routed=docs)
+    result = FlowResult(routed=docs, via_router=False)
     _attach(result, spec.name, process(docs, spec), spec)
     return result
 
@@ -184,11 +185,12 @@ def _collect_stats(result: FlowResult, run_id: str) -> dict:
     failed = sum(int(o.get("failed", 0)) for o in outcomes)
     if result.routing is not None and outcomes:
         routing = result.routing.get
-        received, unrouted = int(routing["received"]), int(routing["unrouted"])
+        discovered, unrouted = int(routing["received"]), int(routing["unrouted"])
     else:
-        received, unrouted = processed + failed, 0
-    return {"received": received, "unrouted": unrouted, "processed": processed, "failed": failed,
-            "run_id": run_id}
+        discovered, unrouted = processed + failed, 0
+    received = discovered if result.via_router else 0
+    return {"discovered": discovered, "received": received, "unrouted": unrouted, "processed": processed,
+            "failed": failed, "run_id": run_id}
 
 
 def gold_frame(classified: DataFrame, spec: RouterSpec, name: str) -> DataFrame:

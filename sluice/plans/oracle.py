@@ -258,7 +258,7 @@ FROM landing""",
         "on_error_dead_letter": _flow("uri, pipeline_name, 'too short' AS error", f"WHERE {short}"),
         "run_stats": f"""WITH {LANDING}, flow AS (SELECT *, {RULES_CASE} AS doc_type FROM landing),
 routed AS (SELECT *, coalesce(doc_type IN ('invoice', 'contract'), false) AS is_routed FROM flow)
-SELECT count(*) AS received, count(*) FILTER (WHERE NOT is_routed) AS unrouted,
+SELECT count(*) AS discovered, count(*) AS received, count(*) FILTER (WHERE NOT is_routed) AS unrouted,
        count(*) FILTER (WHERE is_routed AND NOT {short}) AS processed,
        count(*) FILTER (WHERE is_routed AND {short}) AS failed, 'run-0' AS run_id FROM routed""",
         "router_batch": _flow("pipeline_name, doc_type, count(*) AS n_docs, CAST(sum(length(text)) AS BIGINT) AS text_chars",

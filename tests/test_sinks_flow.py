@@ -75,7 +75,7 @@ def test_router_run_writes_each_pipeline_and_stats(spark):
     base = tempfile.mkdtemp()
     spec = _spec(base)
     stats = write_flow(run_router(scan_files(spark, _landing_dir()), spec), spec.pipelines, run_id="r")
-    assert stats == {"received": 3, "unrouted": 0, "processed": 3, "failed": 0, "run_id": "r"}
+    assert stats == {"discovered": 3, "received": 3, "unrouted": 0, "processed": 3, "failed": 0, "run_id": "r"}
     for name in ("invoice_pipeline", "contract_pipeline", "unclassified_pipeline"):
         assert spark.read.json(f"{base}/{name}").count() == 1
 
@@ -139,7 +139,10 @@ def test_dedicated_pipeline_uses_its_own_source_and_chain(spark):
     root = _landing_dir()
     spec = PipelineSpec("only", parser=text_parser(), classifiers=[rules_classifier(RULES)],
                         source=lambda s: scan_files(s, root))
-    out = run_pipeline(spark, spec).outputs["only"]
+    result = run_pipeline(spark, spec)
+    out = result.outputs["only"]
+    counts = result.stats().first()
+    assert (counts["discovered"], counts["received"], counts["processed"]) == (3, 0, 3)
     got = {r["uri"].rsplit("/", 1)[-1]: r["doc_type"] for r in out.collect()}
     assert got == {"Invoice_001.txt": "invoice", "Service_Agreement.txt": "contract", "random_notes.txt": None}
     with pytest.raises(RuntimeError):
