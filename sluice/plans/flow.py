@@ -21,6 +21,7 @@ from sluice.operators.errors import apply_policy
 from sluice.operators.parse import Parser
 from sluice.operators.route import RouteTable, fan_out, route, split_unrouted
 from sluice.operators.stats import observe_outcomes, stats_frame
+from sluice.session import fresh_path
 from sluice.sinks.writers import Sink
 
 
@@ -95,13 +96,25 @@ def process(docs: DataFrame, spec: PipelineSpec) -> DataFrame:
 
 
 def materialize(df: DataFrame, how: str | None) -> DataFrame:
-    """``persist`` (recomputed from lineage if an executor is lost) or
-    ``checkpoint`` (written to ``spark.checkpoint.dir``; use it when the
-    stage calls an expensive model that must not run twice)."""
+    """Share a frame between several consumers.
+
+    ``persist``: cached on the executors (memory, spilling to local disk),
+    recomputed from lineage if an executor is lost. ``checkpoint``: written
+    to ``spark.checkpoint.dir``; use it when the stage calls an expensive
+    model that must not run twice. ``table``: written once to the shared
+    folder partitioned by ``pipeline``, so each pipeline reads only its own
+    partition (pruned at the scan) and nothing is recomputed.
+    """
     if how == "persist":
         return df.persist()
     if how == "checkpoint":
         return df.checkpoint(eager=True)
+    if how == "table":
+        path = fresh_path(df.sparkSession, "routed")
+        df.write.partitionBy("pipeline").parquet(path)
+        return df.sparkSession.read.parquet(path)
+    if how is not None:
+        raise ValueError(f"unknown share mode {how!r}")
     return df
 
 
@@ -112,17 +125,20 @@ def run_router(source: DataFrame, spec: RouterSpec, share: str | None = "auto")
     reuse it across branches, so with more than one pipeline it is
     materialised once (``share="auto"`` → ``persist``) and the source is
     read, decoded and classified a single time. ``share=None`` leaves the
-    plan as is; ``"checkpoint"`` writes it to the shared folder.
+    plan as is; ``"checkpoint"`` / ``"table"`` write it to the shared
+    folder (see ``materialize``).
     """
     classified = classify_chain(source, spec.classifiers, mode="first")
     if share == "auto":
         share = "persist" if len(spec.routes.pipelines()) > 1 else None
-    routed = materialize(route(classified, spec.routes, strict=spec.strict), share)
     routing = Observation("routing")
-    seen = routed.observe(routing, F.count(F.lit(1)).alias("received"),
-                          F.count_if(F.col("pipeline").isNull()).alias("unrouted"))
+    # Counted below the shared copy: the counts come with building it, and
+    # pipeline filters on a written copy still reach its partitions.
+    counted = route(classified, spec.routes, strict=spec.strict).observe(
+        routing, F.count(F.lit(1)).alias("received"), F.count_if(F.col("pipeline").isNull()).alias("unrouted"))
+    routed = materialize(counted, share)
     result = FlowResult(routed=routed, routing=routing)
-    good_rows, _ = split_unrouted(seen)
+    good_rows, _ = split_unrouted(routed)
     for name, docs in fan_out(good_rows, spec.routes.pipelines()).items():
         _attach(result, name, process(docs, spec.pipelines[name]), spec.pipelines[name])
     return result

@@ -214,3 +214,16 @@ def test_router_flow_adds_no_shuffle(spark):
     for name, out in result.outputs.items():
         plan = out._jdf.queryExecution().executedPlan().toString()
         assert "Exchange" not in plan, name
+
+
+@pytest.mark.parametrize("share", [None, "persist", "checkpoint", "table"])
+def test_share_modes_give_the_same_outputs(spark, share):
+    spec = _spec(tempfile.mkdtemp())
+    result = run_router(scan_files(spark, _landing_dir()), spec, share=share)
+    got = {n: sorted(r.uri.rsplit("/", 1)[-1] for r in df.collect()) for n, df in result.outputs.items()}
+    assert got == {"invoice_pipeline": ["Invoice_001.txt"], "contract_pipeline": ["Service_Agreement.txt"],
+                   "unclassified_pipeline": ["random_notes.txt"]}
+    if share == "table":
+        plan = result.outputs["invoice_pipeline"]._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [isnotnull(pipeline" in plan
+    result.close()
