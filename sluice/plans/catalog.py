@@ -333,6 +333,14 @@ def sink_table(spark, sf_dir):
                        "pipeline_name", "run_id")
 
 
+def _run_and_write(spark, sf_dir, spec: RouterSpec) -> dict:
+    result = run_router(fx.landing(spark, sf_dir), spec)
+    try:
+        return write_flow(result, spec.pipelines, run_id=RUN_ID)
+    finally:
+        result.close()
+
+
 def _read_records(spark, path):
     schema = ("doc_id string, uri string, doc_type string, ingested_at double, metadata map<string,string>, "
               "extracted struct<text:string,length:int>, errors array<string>, pipeline_name string, run_id string")
@@ -342,7 +350,7 @@ def _read_records(spark, path):
 def sink_json(spark, sf_dir):
     path = fresh_path(spark, "sink_json")
     spec = flagship_spec(sinks_for=lambda name: [json_sink(f"{path}/{name}", RUN_ID, name)])
-    write_flow(run_router(fx.landing(spark, sf_dir), spec), spec.pipelines, run_id=RUN_ID)
+    _run_and_write(spark, sf_dir, spec)
     back = _read_records(spark, f"{path}/*")
     return back.select("uri", "doc_type", "pipeline_name", _long(F.size("errors")).alias("n_errors"),
                        _long(F.col("extracted.length")).alias("text_chars"))
@@ -375,7 +383,7 @@ def on_error_skip(spark, sf_dir):
 def on_error_dead_letter(spark, sf_dir):
     path = fresh_path(spark, "dead_letter")
     spec = flagship_spec(specs.checked_text_parser, on_error="dead_letter", dead_letter=json_sink(path, RUN_ID))
-    write_flow(run_router(fx.landing(spark, sf_dir), spec), spec.pipelines, run_id=RUN_ID)
+    _run_and_write(spark, sf_dir, spec)
     back = spark.read.schema("uri string, pipeline_name string, errors array<string>").json(path)
     return back.select("uri", "pipeline_name", F.element_at("errors", 1).alias("error"))
 
