@@ -41,25 +41,47 @@ def parse_text(df: DataFrame, encoding: str = "utf-8") -> DataFrame:
     return text_parser(encoding)(df)
 
 
-def parsed_document_column(content):
-    """P2 value: ``struct<document: struct<text, title, elements>>``; empty content → null."""
+DOCUMENT_TYPE = "struct<text:string,title:string,elements:array<struct<type:string,content:string>>>"
+
+BinaryParser = Callable[[bytes], dict[str, Any]]
+
+
+def _binary_documents(fn: BinaryParser):
+    """A Python parser for binary formats (PDF, images) as a vectorised UDF
+    returning the document struct; a failure gives null for that row."""
+    call = attempt(lambda raw: fn(bytes(raw)), DOCUMENT_TYPE)
+    return lambda content: call(content)["result"]
+
+
+def parsed_document_column(content, binary_parser: BinaryParser | None = None):
+    """P2 value: ``struct<document: struct<text, title, elements>>``; empty content → null.
+
+    Text and HTML are parsed natively. With ``binary_parser``, content that
+    is not valid UTF-8 goes to it instead (other rows reach it as null).
+    """
+    raw_text = content.cast("string")
     text = decode_bytes(content)
     has = F.coalesce(F.octet_length(content) > 0, F.lit(False))
-    return F.when(has, F.struct(document_struct(text).alias("document")))
+    document = document_struct(text)
+    if binary_parser is not None:
+        binary = has & ~F.is_valid_utf8(raw_text)
+        parsed = _binary_documents(binary_parser)(F.when(binary, content))
+        document = F.when(binary, parsed).otherwise(document)
+    return F.when(has, F.struct(document.alias("document")))
 
 
-def document_parser() -> Parser:
+def document_parser(binary_parser: BinaryParser | None = None) -> Parser:
     """``extracted = {parsed_document}``; null for empty content (the reference returns ``{}``)."""
 
     def parse(df: DataFrame) -> DataFrame:
-        parsed = parsed_document_column(F.col("content"))
+        parsed = parsed_document_column(F.col("content"), binary_parser)
         return df.withColumn("extracted", F.when(parsed.isNotNull(), F.struct(parsed.alias("parsed_document"))))
 
     return parse
 
 
-def parse_document(df: DataFrame) -> DataFrame:
-    return df.withColumn("parsed_document", parsed_document_column(F.col("content")))
+def parse_document(df: DataFrame, binary_parser: BinaryParser | None = None) -> DataFrame:
+    return df.withColumn("parsed_document", parsed_document_column(F.col("content"), binary_parser))
 
 
 def udf_parser(fn: Callable[[bytes], dict[str, Any]], schema: T.StructType | str,

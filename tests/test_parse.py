@@ -147,9 +147,26 @@ def test_udf_parser_records_errors_and_runs_once(docs):
     d = docs([("/a", b"abcd", None), ("/b", b"ab", None), ("/c", None, None)])
     out = udf_parser(fn, "n int")(d)
     got = {r["uri"]: (r["extracted"], r["errors"]) for r in out.collect()}
-    assert got["/a"] == ({"n": 4} if isinstance(got["/a"][0], dict) else got["/a"][0], [])
-    assert got["/a"][0]["n"] == 4
+    assert got["/a"][0]["n"] == 4 and got["/a"][1] == []
     assert got["/b"] == (None, ["too short"])
     assert got["/c"] == (None, [])
     plan = out.where(F.size("errors") == 0)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("ArrowEvalPython") == 1
+
+
+def test_binary_formats_go_to_a_python_parser(docs, spark):
+    calls = spark.sparkContext.accumulator(0)
+
+    def fake_pdf(raw):
+        calls.add(1)
+        if raw.startswith(b"%PDF-broken"):
+            raise ValueError("cannot parse")
+        return {"text": "pdf text", "title": "Doc", "elements": [{"type": "paragraph", "content": "pdf text"}]}
+
+    d = docs([("/a.pdf", b"%PDF-1.7\xff\xfe", None), ("/b.pdf", b"%PDF-broken\xff", None),
+              ("/c.txt", b"plain", None)])
+    got = {r["uri"]: r["parsed_document"] for r in parse_document(d, fake_pdf).collect()}
+    assert got["/a.pdf"]["document"]["text"] == "pdf text" and got["/a.pdf"]["document"]["title"] == "Doc"
+    assert got["/b.pdf"]["document"] is None
+    assert got["/c.txt"]["document"]["text"] == "plain"
+    assert calls.value == 2
