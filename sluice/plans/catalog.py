@@ -24,7 +24,9 @@ from sluice.operators.parse import document_parser, parse_document, text_parser
 from sluice.operators.route import RouteTable, fan_out, route, split_unrouted
 from sluice.plans import fixtures as fx
 from sluice.plans import specs
-from sluice.plans.flow import PipelineSpec, RouterSpec, run_pipeline, run_router, write_flow, write_tables
+from sluice.plans.flow import (
+    PipelineSpec, RouterSpec, materialize, run_pipeline, run_router, write_flow, write_tables,
+)
 from sluice.session import fresh_path
 from sluice.sinks.writers import json_sink, table_rows, table_sink, write_all, write_content, write_table
 from sluice.sources.documents import to_documents
@@ -229,7 +231,7 @@ def route_unrouted(spark, sf_dir):
 
 
 def route_fanout(spark, sf_dir):
-    routed = route(_classified(spark, sf_dir), specs.flagship_routes())
+    routed = materialize(route(_classified(spark, sf_dir), specs.flagship_routes()), "persist")
     parts = fan_out(routed, specs.PIPELINES)
     return reduce(DataFrame.unionByName,
                   [df.select("uri", F.lit(name).alias("pipeline_name")) for name, df in parts.items()])
