@@ -11,6 +11,7 @@ from __future__ import annotations
 import fnmatch
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -90,7 +91,9 @@ def load_seen(spark: SparkSession, path: str) -> DataFrame:
     """The stored seen set (empty when nothing was stored yet)."""
     try:
         return spark.read.parquet(path).select("uri")
-    except Exception:  # noqa: BLE001 - first run: no state yet
+    except AnalysisException as exc:
+        if exc.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], "uri string")
 
 

@@ -8,6 +8,7 @@ one row to the driver). Both stay correct at any table size.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,10 +50,12 @@ def next_watermark(df: DataFrame, ts_col: str = "ts", old=None) -> DataFrame:
 def load_watermark(spark: SparkSession, path: str):
     """The stored mark, or None before the first pass."""
     try:
-        row = spark.read.parquet(path).orderBy(F.col("new_mark").desc()).first()
-    except Exception:  # noqa: BLE001 - no state yet
+        row = spark.read.parquet(path).agg(F.max("new_mark").alias("mark")).first()
+    except AnalysisException as exc:
+        if exc.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
-    return None if row is None else row["new_mark"]
+    return None if row is None else row["mark"]
 
 
 def save_watermark(marks: DataFrame, path: str) -> None:

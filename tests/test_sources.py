@@ -120,3 +120,24 @@ def test_submissions_decode_and_callers_keys_win(spark):
     assert bytes(got["uri://a"]["content"]) == b"hello" and got["uri://a"]["metadata"] == {"source": "api", "k": "v"}
     assert got["uri://b"]["content"] is None and got["uri://b"]["metadata"] == {"source": "api"}
     assert got["uri://c"]["content"] is None and got["uri://c"]["metadata"] == {"source": "mine"}
+
+
+def test_watermark_state_round_trip(spark):
+    from sluice.sources.landing import load_watermark, save_watermark
+
+    path = tempfile.mkdtemp() + "/mark"
+    assert load_watermark(spark, path) is None
+    save_watermark(next_watermark(_landing(spark), "ts", "2024-01-01 12:00:00"), path)
+    assert str(load_watermark(spark, path)) == "2024-01-03 00:00:00"
+
+
+def test_spread_leaves_many_file_inputs_alone(spark):
+    from sluice.session import spread
+
+    root = tempfile.mkdtemp() + "/many"
+    spark.range(64).repartition(16).write.parquet(root)
+    many = spark.read.parquet(root)
+    assert spread(many, parallelism=8) is many
+    few = spark.read.parquet(root + "/" + next(f for f in os.listdir(root) if f.endswith(".parquet")))
+    assert spread(few, parallelism=8) is not few
+    assert spread(few, parallelism=8, max_bytes=10) is few
