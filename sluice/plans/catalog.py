@@ -262,8 +262,13 @@ def parse_document_query(spark, sf_dir):
     kinds = doc["elements"]["type"]
     return d.select("uri", doc["title"].alias("title"), _long(F.length(doc["text"])).alias("text_chars"),
                     F.md5(doc["text"]).alias("text_md5"),
-                    _long(F.size(F.filter(kinds, lambda k: k == "heading"))).alias("n_headings"),
-                    _long(F.size(F.filter(kinds, lambda k: k == "paragraph"))).alias("n_paragraphs"))
+                    _long(_count_of(kinds, "heading")).alias("n_headings"),
+                    _long(_count_of(kinds, "paragraph")).alias("n_paragraphs"))
+
+
+def _count_of(kinds, kind: str):
+    """Elements of one kind; null when there is no parsed document (whatever ANSI mode says of size(null))."""
+    return F.when(kinds.isNotNull(), F.size(F.filter(kinds, lambda k: k == kind)))
 
 
 def extract_fields_query(spark, sf_dir):
