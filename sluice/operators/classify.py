@@ -183,11 +183,10 @@ class ModelLabels:
         return df.withColumn(SNIPPET_COL, F.when(self._ask(needed), snippet))
 
     def __call__(self, df: DataFrame, needed: Column) -> Column:
-        if SNIPPET_COL not in df.columns:
-            df = self.prepare(df, needed)
         ask = self._ask(needed)
         filename = filename_of(F.col("uri"))
-        snippet = F.col(SNIPPET_COL)
+        snippet = (F.col(SNIPPET_COL) if SNIPPET_COL in df.columns
+                   else byte_prefix_text(F.col("content"), self.max_content_chars))
         request = F.when(ask, F.struct(
             label_prompt(self.labels, filename, snippet).alias("prompt"),
             filename.alias("filename"),

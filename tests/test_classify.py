@@ -189,3 +189,9 @@ def test_empty_chain_leaves_doc_type(docs):
     out = classify_chain(d, [])
     assert out.schema["doc_type"].dataType.simpleString() == "string"
     assert labels_of(out) == {"/x/a": None}
+
+
+def test_model_classifier_works_outside_a_chain(docs):
+    d = docs([("/x/1", b"the cat and the dog", None)])
+    clf = model_classifier(["en"], keywords={"en": ["the"]})
+    assert labels_of(d.withColumn("doc_type", clf(d, F.lit(True)))) == {"/x/1": "en"}
