@@ -195,3 +195,44 @@ def test_model_classifier_works_outside_a_chain(docs):
     d = docs([("/x/1", b"the cat and the dog", None)])
     clf = model_classifier(["en"], keywords={"en": ["the"]})
     assert labels_of(d.withColumn("doc_type", clf(d, F.lit(True)))) == {"/x/1": "en"}
+
+
+def test_python_client_predict_labels_and_skips_unasked_rows(docs, spark):
+    from sluice.operators.models import python_predict
+
+    made, calls = spark.sparkContext.accumulator(0), spark.sparkContext.accumulator(0)
+
+    def make_client():
+        made.add(1)
+
+        def ask(prompt):
+            calls.add(1)
+            if "boom" in prompt:
+                raise TimeoutError("model timed out")
+            return " contract\n" if "agreement" in prompt else "invoice"
+
+        return ask
+
+    d = docs([("/x/Invoice.pdf", b"rule hits", None), ("/x/a.pdf", b"an agreement", None),
+              ("/x/b.pdf", b"a bill", None), ("/x/c.pdf", b"boom", None)]).coalesce(1)
+    chain = [rules_classifier([{"doc_type": "ruled", "filename_regex": "(?i)invoice"}]),
+             model_classifier(["invoice", "contract"], predict=python_predict(make_client))]
+    got = labels_of(classify_chain(d, chain))
+    assert got == {"/x/Invoice.pdf": "ruled", "/x/a.pdf": "contract", "/x/b.pdf": "invoice", "/x/c.pdf": None}
+    assert calls.value == 3 and made.value == 1
+
+
+def test_python_client_extraction_reply(docs):
+    import json as _json
+
+    from sluice.operators.extract import extract_fields
+    from sluice.operators.models import python_predict
+
+    def make_client():
+        return lambda prompt: None if "empty" in prompt else _json.dumps({"vendor_name": "Acme"})
+
+    d = docs([("/a.pdf", b"invoice from Acme", None), ("/b.pdf", b"empty", None)])
+    out = {r["uri"]: r for r in extract_fields(d, [{"name": "vendor_name"}], predict=python_predict(make_client),
+                                                prompt="direct").collect()}
+    assert out["/a.pdf"]["extracted"]["vendor_name"] == "Acme" and out["/a.pdf"]["errors"] == []
+    assert out["/b.pdf"]["extracted"] is None and len(out["/b.pdf"]["errors"]) == 1
