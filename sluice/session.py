@@ -21,8 +21,10 @@ RECOMMENDED_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # Documents are large rows; keep Arrow batches to a bounded size.
+    # Documents are large rows: bound Arrow batches sent to Python UDFs by
+    # rows and by bytes, whichever is hit first.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2048",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "64m",
     "spark.ui.enabled": "false",
 }
 
