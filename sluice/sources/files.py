@@ -102,9 +102,46 @@ def record_seen(emitted: DataFrame, path: str) -> None:
     emitted.select("uri").write.mode("append").parquet(path)
 
 
+def read_paths(spark: SparkSession, paths: Sequence[str], include_content: bool = True,
+               ingested_at: float = 0.0) -> DataFrame:
+    """Documents for an explicit list of files (the bytes of only these files are read)."""
+    if not paths:
+        return files_to_documents(spark.createDataFrame([], BINARY_FILE_SCHEMA), include_content,
+                                  ingested_at=ingested_at)
+    return files_to_documents(spark.read.format("binaryFile").load(list(paths)), include_content,
+                              ingested_at=ingested_at)
+
+
+def incremental_paths(spark: SparkSession, path: str, state_path: str, patterns=None,
+                      max_files: int | None = None) -> list[str]:
+    """The files not in the seen set, found from a listing that reads no
+    bytes. Like Spark's own file stream source, the increment's file list is
+    planned on the driver (paths only); ``max_files`` takes the oldest files
+    first and leaves the rest for the next pass."""
+    listing = scan_files(spark, path, patterns, include_content=False, exclude=[state_path.split(":")[-1]])
+    fresh = new_files(listing, load_seen(spark, state_path)).select("uri", "modificationTime")
+    if max_files is not None:
+        fresh = fresh.orderBy("modificationTime", "uri").limit(max_files)
+    return [r["uri"] for r in fresh.collect()]
+
+
 def incremental_scan(spark: SparkSession, path: str, state_path: str, patterns=None,
-                     include_content: bool = True) -> DataFrame:
-    """S5 as one call: scan, drop what the seen set holds. Call
-    ``record_seen`` with the result once its sinks have committed."""
-    found = scan_files(spark, path, patterns, include_content, exclude=[state_path.split(":")[-1]])
-    return new_files(found, load_seen(spark, state_path))
+                     include_content: bool = True, max_files: int | None = None) -> DataFrame:
+    """S5 as one call: documents for the files not seen yet. Call
+    ``record_seen`` with the result once its sinks have committed (or use
+    ``files_pass``, which does both)."""
+    return read_paths(spark, incremental_paths(spark, path, state_path, patterns, max_files), include_content)
+
+
+def files_pass(spark: SparkSession, path: str, state_path: str, write, patterns=None,
+               include_content: bool = True, max_files: int | None = None) -> int:
+    """S5 as one pass: the new files go to ``write`` (which must run them to
+    their sinks); exactly those paths are added to the seen set after it
+    returns, so a file landing during the write waits for the next pass.
+    Returns how many files were new."""
+    paths = incremental_paths(spark, path, state_path, patterns, max_files)
+    if not paths:
+        return 0
+    write(read_paths(spark, paths, include_content))
+    record_seen(spark.createDataFrame([(p,) for p in paths], "uri string"), state_path)
+    return len(paths)

@@ -9,7 +9,7 @@ one row to the driver). Both stay correct at any table size.
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.sources.documents import string_map, to_documents
@@ -63,6 +63,24 @@ def save_watermark(marks: DataFrame, path: str) -> None:
     marks.write.mode("overwrite").parquet(path)
 
 
+def landing_pass(spark: SparkSession, table: DataFrame, state_path: str, write, ts_col: str = "ts",
+                 **read_options) -> dict:
+    """S7 + S8 as one pass: read what is new since the stored mark, hand it
+    to ``write`` (any function that runs the documents to their sinks), and
+    only then store the new mark. The mark is observed during the write, so
+    finding it costs no extra scan; nothing new leaves the mark unchanged."""
+    old = load_watermark(spark, state_path)
+    docs = read_increment(table, ts_col, old, **read_options)
+    seen = Observation("landing_pass")
+    write(docs.observe(seen, F.max(ts_col).alias("new_mark"), F.count(F.lit(1)).alias("n_new")))
+    result = seen.get
+    if result["n_new"]:
+        ts_type = table.schema[ts_col].dataType.simpleString()
+        marks = spark.createDataFrame([(result["new_mark"], result["n_new"])], f"new_mark {ts_type}, n_new bigint")
+        save_watermark(marks.withColumn("old_mark", _mark(old, ts_type)), state_path)
+    return {"old_mark": old, "new_mark": result["new_mark"] or old, "n_new": int(result["n_new"])}
+
+
 def append_landing(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "append",
                    ts_col: str | None = "ts") -> None:
     """The producer side: append ``uri, content`` plus any extra columns

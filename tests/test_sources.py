@@ -141,3 +141,63 @@ def test_spread_leaves_many_file_inputs_alone(spark):
     few = spark.read.parquet(root + "/" + next(f for f in os.listdir(root) if f.endswith(".parquet")))
     assert spread(few, parallelism=8) is not few
     assert spread(few, parallelism=8, max_bytes=10) is few
+
+
+def test_landing_pass_saves_mark_only_after_the_write(spark):
+    from sluice.sources.landing import landing_pass
+
+    state = tempfile.mkdtemp() + "/mark"
+    out = tempfile.mkdtemp() + "/out"
+    write = lambda docs: docs.select("uri").write.mode("append").parquet(out)
+    first = landing_pass(spark, _landing(spark), state, write)
+    assert first["n_new"] == 3 and str(first["new_mark"]) == "2024-01-03 00:00:00"
+    again = landing_pass(spark, _landing(spark), state, write)
+    assert again["n_new"] == 0 and str(again["new_mark"]) == "2024-01-03 00:00:00"
+    assert spark.read.parquet(out).count() == 3
+
+    def broken(docs):
+        raise RuntimeError("sink down")
+
+    more = _landing(spark).union(spark.createDataFrame([("u4", None, "2024-01-04 00:00:00", "w")],
+                                                       "uri string, content binary, ts string, kind string")
+                                 .withColumn("ts", F.col("ts").cast("timestamp_ntz")))
+    try:
+        landing_pass(spark, more, state, broken)
+    except RuntimeError:
+        pass
+    assert landing_pass(spark, more, state, write)["n_new"] == 1
+
+
+def test_files_pass_records_exactly_what_it_wrote(spark):
+    from sluice.sources.files import files_pass
+
+    root = _tree({"a.pdf": b"A", "b.pdf": b"B"})
+    state = tempfile.mkdtemp() + "/seen"
+    got = []
+
+    def write(docs):
+        got.extend((r["uri"].rsplit("/", 1)[-1], bytes(r["content"])) for r in docs.collect())
+        with open(os.path.join(root, "late.pdf"), "wb") as f:  # lands while the pass is writing
+            f.write(b"L")
+
+    assert files_pass(spark, root, state, write) == 2
+    assert sorted(got) == [("a.pdf", b"A"), ("b.pdf", b"B")]
+    assert files_pass(spark, root, state, lambda docs: got.extend(_names(docs))) == 1
+    assert got[-1] == "late.pdf"
+    assert files_pass(spark, root, state, lambda docs: docs.count()) == 0
+
+
+def test_incremental_scan_reads_only_new_bytes_and_caps_oldest_first(spark):
+    from sluice.sources.files import incremental_scan
+
+    root = _tree({"a.pdf": b"A", "b.pdf": b"B", "c.pdf": b"C"})
+    for i, name in enumerate(["b.pdf", "a.pdf", "c.pdf"]):
+        os.utime(os.path.join(root, name), (1_000_000 + i, 1_000_000 + i))
+    state = tempfile.mkdtemp() + "/seen"
+    first = incremental_scan(spark, root, state, max_files=2)
+    assert _names(first) == ["a.pdf", "b.pdf"]
+    record_seen(first, state)
+    rest = incremental_scan(spark, root, state)
+    assert _names(rest) == ["c.pdf"] and bytes(rest.first()["content"]) == b"C"
+    plan = rest._jdf.queryExecution().executedPlan().toString()
+    assert "c.pdf" in plan and "a.pdf" not in plan
