@@ -189,6 +189,8 @@ def write_flow(result: FlowResult, pipelines: Mapping[str, PipelineSpec], batch_
                 done.write.format("noop").mode("overwrite").save()
             for sink, frame in writers:
                 sink(frame, batch_id)
+        if not result.processed and result.routing is not None:
+            result.routed.write.format("noop").mode("overwrite").save()  # nothing routed: still count
         return _collect_stats(result, run_id)
     finally:
         for df in cached:
@@ -199,7 +201,7 @@ def _collect_stats(result: FlowResult, run_id: str) -> dict:
     outcomes = [obs.get for obs in result.outcomes_seen.values()]
     processed = sum(int(o.get("rows", 0)) - int(o.get("failed", 0)) for o in outcomes)
     failed = sum(int(o.get("failed", 0)) for o in outcomes)
-    if result.routing is not None and outcomes:
+    if result.routing is not None:
         routing = result.routing.get
         discovered, unrouted = int(routing["received"]), int(routing["unrouted"])
     else:

@@ -227,3 +227,9 @@ def test_share_modes_give_the_same_outputs(spark, share):
         plan = result.outputs["invoice_pipeline"]._jdf.queryExecution().executedPlan().toString()
         assert "PartitionFilters: [isnotnull(pipeline" in plan
     result.close()
+
+
+def test_flow_with_no_pipelines_counts_everything_unrouted(spark):
+    spec = RouterSpec(RouteTable([]), {}, classifiers=[rules_classifier(RULES)])
+    stats = write_flow(run_router(scan_files(spark, _landing_dir()), spec), spec.pipelines)
+    assert (stats["received"], stats["unrouted"], stats["processed"]) == (3, 3, 0)
