@@ -132,10 +132,19 @@ def table_sink(table: str, mode: str = "append", fmt: str = "parquet", run_id: s
     return lambda df, batch_id=None: write_table(table_rows(df, pipeline_name, run_id), table, mode, fmt, batch_id)
 
 
-def json_sink(path: str, run_id: str = "", pipeline_name: str | None = None, write_raw: bool = False) -> Sink:
+def json_sink(path: str, run_id: str = "", pipeline_name: str | None = None, raw_path: str | None = None) -> Sink:
+    """K2 (+ K3 when ``raw_path`` is given: raw bytes copied to their own folder,
+    so the JSON folder holds only records)."""
+
     def sink(df: DataFrame, batch_id: int | None = None) -> None:
-        write_json(json_records(df, pipeline_name, run_id), path, batch_id=batch_id)
-        if write_raw:
-            write_content(df, path if batch_id is None else f"{path.rstrip('/')}/batch_id={batch_id}")
+        if raw_path is not None:
+            df = df.persist()
+        try:
+            write_json(json_records(df, pipeline_name, run_id), path, batch_id=batch_id)
+            if raw_path is not None:
+                write_content(df, _target(raw_path, batch_id))
+        finally:
+            if raw_path is not None:
+                df.unpersist()
 
     return sink

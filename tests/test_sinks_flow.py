@@ -233,3 +233,11 @@ def test_flow_with_no_pipelines_counts_everything_unrouted(spark):
     spec = RouterSpec(RouteTable([]), {}, classifiers=[rules_classifier(RULES)])
     stats = write_flow(run_router(scan_files(spark, _landing_dir()), spec), spec.pipelines)
     assert (stats["received"], stats["unrouted"], stats["processed"]) == (3, 3, 0)
+
+
+def test_json_sink_with_raw_copies(docs, spark):
+    base = tempfile.mkdtemp()
+    d = docs([("/x/a.txt", b"A", None)]).withColumn("pipeline", F.lit("p"))
+    json_sink(base + "/json", raw_path=base + "/raw")(d)
+    assert spark.read.json(base + "/json").count() == 1
+    assert [f.endswith(".txt") for f in os.listdir(base + "/raw")] == [True]
