@@ -71,6 +71,9 @@ def write_table(df: DataFrame, table: str, mode: str = "append", fmt: str = "par
     ``partition_by=["pipeline_name"]`` writes one folder per pipeline with no
     shuffle: each task writes the pipelines it holds, so a pipeline that
     receives a third of all documents does not land in one task.
+    With ``batch_id`` a path table overwrites its ``batch_id=N`` folder (a
+    replayed micro-batch replaces itself); a catalog table is appended to,
+    so streams should write path tables.
     """
     if batch_id is not None:
         mode = "overwrite"
