@@ -21,7 +21,7 @@ from sluice.operators.errors import apply_policy
 from sluice.operators.parse import Parser
 from sluice.operators.route import RouteTable, fan_out, route, split_unrouted
 from sluice.operators.stats import observe_outcomes, stats_frame
-from sluice.session import fresh_path
+from sluice.session import fresh_path, work_root
 from sluice.sinks.writers import Sink
 
 
@@ -108,6 +108,7 @@ def materialize(df: DataFrame, how: str | None) -> DataFrame:
     if how == "persist":
         return df.persist()
     if how == "checkpoint":
+        work_root(df.sparkSession)
         return df.checkpoint(eager=True)
     if how == "table":
         path = fresh_path(df.sparkSession, "routed")

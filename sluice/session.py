@@ -46,6 +46,8 @@ def work_root(spark: SparkSession) -> str:
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if root:
+        if not spark.sparkContext.getCheckpointDir():
+            spark.sparkContext.setCheckpointDir(root)  # so DataFrame.checkpoint() writes there too
         return root.rstrip("/")
     master = spark.sparkContext.master
     if not master.startswith("local"):
