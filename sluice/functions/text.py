@@ -52,9 +52,16 @@ def decode_bytes(content: Column, encoding: str = "utf-8") -> Column:
     return _decode_other(encoding)(content)
 
 
-def byte_prefix_text(content: Column, max_bytes: int) -> Column:
-    """First ``max_bytes`` bytes decoded leniently (a cut character is dropped); null → ``''``."""
-    return F.coalesce(decode_utf8(F.substring(content, 1, max_bytes)), F.lit(""))
+def byte_prefix_text(content: Column, max_bytes: int | None) -> Column:
+    """First ``max_bytes`` bytes decoded leniently (a cut character is dropped);
+    ``None`` decodes the whole content; null → ``''``."""
+    part = content if max_bytes is None else F.substring(content, 1, max_bytes)
+    return F.coalesce(decode_utf8(part), F.lit(""))
+
+
+def char_prefix(text: Column, max_chars: int | None) -> Column:
+    """First ``max_chars`` characters; ``None`` keeps the whole text."""
+    return text if max_chars is None else F.substring(text, 1, max_chars)
 
 
 def text_bytes(text: Column) -> Column:

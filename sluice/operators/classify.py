@@ -163,7 +163,7 @@ class ModelLabels:
 
     labels: Mapping[str, str] | Sequence[str]
     predict: Callable[[Column], Column]
-    max_content_chars: int = 4000
+    max_content_chars: int | None = 4000
     skip_empty: bool = False
 
     def __post_init__(self) -> None:

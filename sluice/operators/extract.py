@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sluice.functions.text import decode_utf8, filename_of
+from sluice.functions.text import char_prefix, decode_utf8, filename_of
 from sluice.sources.documents import add_errors
 
 DEFAULT_INSTRUCTIONS = "Extract the requested fields from the document. Leave a field null if absent."
@@ -74,16 +74,16 @@ def schema_from_fields(fields=None, json_schema=None) -> tuple[T.StructType, str
     return struct, json.dumps(spec)
 
 
-def hosted_prompt(schema_json: str, text: Column, max_chars: int = 20_000) -> Column:
-    """P4, hosted form: schema then the (cut) parsed text; null text → ``''``."""
+def hosted_prompt(schema_json: str, text: Column, max_chars: int | None = 20_000) -> Column:
+    """P4, hosted form: schema then the parsed text (cut to ``max_chars``; ``None`` = whole); null → ``''``."""
     return F.concat(F.lit(HOSTED_PREFIX.format(schema=schema_json)),
-                    F.coalesce(F.substring(text, 1, max_chars), F.lit("")))
+                    F.coalesce(char_prefix(text, max_chars), F.lit("")))
 
 
-def direct_prompt(filename: Column, text: Column, max_chars: int = 20_000) -> Column:
-    """P4, direct form: ``Filename: f`` then the (cut) text."""
+def direct_prompt(filename: Column, text: Column, max_chars: int | None = 20_000) -> Column:
+    """P4, direct form: ``Filename: f`` then the text (cut to ``max_chars``; ``None`` = whole)."""
     return F.concat(F.lit("Filename: "), filename, F.lit("\n\n"),
-                    F.coalesce(F.substring(text, 1, max_chars), F.lit("")))
+                    F.coalesce(char_prefix(text, max_chars), F.lit("")))
 
 
 def regex_predict(fields: Sequence[Mapping[str, Any]]) -> Callable[[Column], Column]:
@@ -117,7 +117,7 @@ def parse_reply(reply: Column, schema: T.StructType) -> Column:
 
 def extract_fields(df: DataFrame, fields=None, json_schema=None,
                    predict: Callable[[Column], Column] | None = None,
-                   max_content_chars: int = 20_000, prompt: str = "hosted",
+                   max_content_chars: int | None = 20_000, prompt: str = "hosted",
                    text: Column | None = None, expand: bool = False) -> DataFrame:
     """Typed ``extracted`` struct from a model reply.
 
@@ -135,7 +135,7 @@ def extract_fields(df: DataFrame, fields=None, json_schema=None,
     filename = filename_of(F.col("uri"))
     prompt_col = (hosted_prompt(schema_json, text, max_content_chars) if prompt == "hosted"
                   else direct_prompt(filename, text, max_content_chars))
-    request = F.struct(prompt_col.alias("prompt"), F.substring(text, 1, max_content_chars).alias("text"),
+    request = F.struct(prompt_col.alias("prompt"), char_prefix(text, max_content_chars).alias("text"),
                        filename.alias("filename"))
     out = df.withColumn("_reply", predict(request))
     parsed = parse_reply(F.col("_reply"), schema)

@@ -36,6 +36,8 @@ from sluice.sources.submissions import read_submissions, submit
 from sluice.streaming.streams import run_router_stream, stream_files, stream_table, stream_to
 
 RUN_ID = "run-0"
+# Registered queries read whole texts: no snippet or prompt cut (the operators' defaults keep theirs).
+WHOLE = None
 WATERMARK = "2024-01-15 00:00:00"
 
 
@@ -187,7 +189,7 @@ def rule_first_match(spark, sf_dir):
 
 
 def model_classify(spark, sf_dir):
-    d = classify_chain(fx.landing(spark, sf_dir), [specs.language_model()])
+    d = classify_chain(fx.landing(spark, sf_dir), [specs.language_model(WHOLE)])
     return d.select("uri", F.col("doc_type").alias("label"))
 
 
@@ -198,13 +200,13 @@ def udf_classifier(spark, sf_dir):
 
 def chain_first(spark, sf_dir):
     d = fx.labelled(spark, sf_dir, fx.landing(spark, sf_dir))
-    d = classify_chain(d, [specs.flagship_classifier(), specs.language_model()], mode="first")
+    d = classify_chain(d, [specs.flagship_classifier(), specs.language_model(WHOLE)], mode="first")
     return d.select("uri", "doc_type")
 
 
 def chain_last(spark, sf_dir):
     d = classify_chain(fx.landing(spark, sf_dir), [specs.flagship_classifier()], mode="first")
-    d = classify_chain(d, [specs.language_model(), specs.oversized_classifier()], mode="last")
+    d = classify_chain(d, [specs.language_model(WHOLE), specs.oversized_classifier()], mode="last")
     return d.select("uri", "doc_type")
 
 
@@ -272,7 +274,7 @@ def _count_of(kinds, kind: str):
 
 
 def extract_fields_query(spark, sf_dir):
-    d = extract_fields(fx.landing(spark, sf_dir), specs.PII_FIELDS, expand=True)
+    d = extract_fields(fx.landing(spark, sf_dir), specs.PII_FIELDS, max_content_chars=WHOLE, expand=True)
     return d.select("uri", "email", "ip", "card", F.array_join("phones", "|").alias("phones"),
                     (F.size("errors") > 0).alias("failed"))
 
@@ -280,7 +282,7 @@ def extract_fields_query(spark, sf_dir):
 def extract_prompt(spark, sf_dir):
     _, schema_json = schema_from_fields(specs.PII_FIELDS)
     d = fx.landing(spark, sf_dir)
-    prompt = hosted_prompt(schema_json, decode_utf8(F.col("content")))
+    prompt = hosted_prompt(schema_json, decode_utf8(F.col("content")), max_chars=WHOLE)
     return d.select("uri", _long(F.length(prompt)).alias("prompt_chars"), F.md5(prompt).alias("prompt_md5"))
 
 

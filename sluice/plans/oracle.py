@@ -62,13 +62,8 @@ RULES_CASE = """(CASE
 ROUTE_CASE = """(CASE {dt} WHEN 'invoice' THEN 'invoice_pipeline' WHEN 'contract' THEN 'contract_pipeline'
   ELSE 'unclassified_pipeline' END)"""
 
-# First 4000 bytes of the UTF-8 text, a cut character dropped.
-SNIPPET = r"""decode(unhex(regexp_replace(left(hex(encode(text)), 8000),
-  '(?:[CD][0-9A-F]|E[0-9A-F](?:[89AB][0-9A-F])?|F[0-7](?:[89AB][0-9A-F]){0,2})$', '')))"""
-
-
 def _lang_label() -> str:
-    words = rf"regexp_split_to_array(lower({SNIPPET}), '[^\p{{L}}\p{{N}}]+')"
+    words = r"regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+')"
     scores = []
     for label, kws in specs.LANGUAGE_KEYWORDS.items():
         inlist = ", ".join(_q(k) for k in kws)
@@ -163,7 +158,7 @@ def oracle_sql() -> dict[str, str]:
       THEN lower(regexp_extract(regexp_extract(url, '[^/]*$'), '[^.]*$')) ELSE '' END IN ('html') THEN 'html_page'
     WHEN regexp_matches(url, '(spam-farm|cheap-pills)') THEN 'spam' END)"""
     email, ip, card, phone = (f["pattern"] for f in specs.PII_FIELDS)
-    cut = "substring(text, 1, 20000)"
+    cut = "text"
     schema_json = json.dumps(json_schema_of(specs.PII_FIELDS))
     prompt = f"({_q(HOSTED_PREFIX.format(schema=schema_json))} || {cut})"
     short = f"length(text) < {specs.MIN_CHARS}"
