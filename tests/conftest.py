@@ -32,6 +32,15 @@ def spark():
     yield spark
 
 
+@pytest.fixture(autouse=True)
+def _ship_test_functions_by_value(request):
+    """Functions defined in a test module run inside UDFs; ship them by value."""
+    from pyspark import cloudpickle
+
+    cloudpickle.register_pickle_by_value(request.module)
+    yield
+
+
 @pytest.fixture
 def docs(spark):
     """Build a document frame from ``(uri, content bytes|None, metadata dict|None)`` tuples."""
