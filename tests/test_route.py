@@ -65,8 +65,9 @@ def test_route_table_as_data_matches_literal_routes(docs, spark):
     routes = spark.createDataFrame(rows, "doc_type string, pipeline string, ordinal int")
     d = _typed(docs, [("/1", "invoice"), ("/2", "contract"), ("/3", "memo"), ("/4", None)])
     by_table = labels_of(route_by_table(d, routes, default="default"), "pipeline")
+    salted = labels_of(route_by_table(d, routes, default="default", broadcast_limit=0, salt_buckets=4), "pipeline")
     literal = labels_of(route(d, RouteTable([(t, p) for t, p, _ in rows], "default")), "pipeline")
-    assert by_table == literal == {"/1": "a", "/2": "c", "/3": "wild", "/4": "wild"}
+    assert by_table == salted == literal == {"/1": "a", "/2": "c", "/3": "wild", "/4": "wild"}
 
 
 def test_strict_routing_checks_even_when_pipeline_is_not_selected(docs):
