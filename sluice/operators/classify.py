@@ -16,11 +16,13 @@ import re
 from functools import reduce
 from typing import Any
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sluice.functions.text import byte_prefix_text, extension_of, filename_of
+from sluice.operators.errors import attempt
+from sluice.sources.documents import add_errors
 
 Classifier = Callable[[DataFrame, Column], Column]
 
@@ -216,23 +218,17 @@ def udf_classifier(fn: Callable[[bytes], str | None], max_content_bytes: int | N
     """A per-document Python function as a vectorised classifier.
 
     The function sees the content bytes (optionally only the first
-    ``max_content_bytes``, cut before the data leaves the JVM); an
-    exception gives null for that row only. Rows that do not need an answer
-    reach the UDF as null and are never passed to ``fn``.
+    ``max_content_bytes``, cut before the data leaves the JVM). An exception
+    gives no label for that row and its message is added to the row's
+    ``errors``, so the pipeline's error policy sees it. Rows that do not
+    need an answer reach the UDF as null and are never passed to ``fn``.
     """
 
     def run(raw):
-        if raw is None:
-            return None
-        try:
-            out = fn(bytes(raw))
-        except Exception:  # noqa: BLE001 - a failing row gets no label
-            return None
+        out = fn(bytes(raw))
         return None if out is None else str(out)
 
-    @F.pandas_udf("string")
-    def call(content: pd.Series) -> pd.Series:
-        return content.map(run)
+    call = attempt(run, "string")
 
     def classify(df: DataFrame, needed: Column) -> Column:
         content = F.col("content")
@@ -271,7 +267,12 @@ def classify_chain(df: DataFrame, classifiers: Sequence[Classifier], mode: str =
         if hasattr(clf, "prepare"):
             df = clf.prepare(df, needed)
         df = df.withColumn(answer, clf(df, needed))
-        pick = [F.col("doc_type"), F.col(answer)] if mode == "first" else [F.col(answer), F.col("doc_type")]
+        label = F.col(answer)
+        if isinstance(df.schema[answer].dataType, T.StructType):  # <result, error> from a Python classifier
+            label = F.col(f"{answer}.result")
+            errors = F.col("errors") if "errors" in df.columns else F.array().cast("array<string>")
+            df = df.withColumn("errors", add_errors(errors, F.col(f"{answer}.error")))
+        pick = [F.col("doc_type"), label] if mode == "first" else [label, F.col("doc_type")]
         df = df.withColumn("doc_type", F.coalesce(*pick))
         df = df.drop(*[c for c in df.columns if c not in before and c != "doc_type"])
     return df

@@ -118,12 +118,13 @@ def parse_reply(reply: Column, schema: T.StructType) -> Column:
 def extract_fields(df: DataFrame, fields=None, json_schema=None,
                    predict: Callable[[Column], Column] | None = None,
                    max_content_chars: int | None = 20_000, prompt: str = "hosted",
-                   text: Column | None = None, expand: bool = False) -> DataFrame:
+                   text: Column | None = None, expand: bool = False, ask: Column | None = None) -> DataFrame:
     """Typed ``extracted`` struct from a model reply.
 
     Text comes from ``parsed_document.document.text`` when the frame has it,
     else from the decoded content. A null or corrupt reply leaves
-    ``extracted`` null and records an error on the row.
+    ``extracted`` null and records an error on the row. Rows where ``ask``
+    is false are not sent to the model and get neither fields nor an error.
     """
     schema, schema_json = schema_from_fields(fields, json_schema)
     if predict is None:
@@ -135,16 +136,17 @@ def extract_fields(df: DataFrame, fields=None, json_schema=None,
     filename = filename_of(F.col("uri"))
     prompt_col = (hosted_prompt(schema_json, text, max_content_chars) if prompt == "hosted"
                   else direct_prompt(filename, text, max_content_chars))
-    request = F.struct(prompt_col.alias("prompt"), char_prefix(text, max_content_chars).alias("text"),
-                       filename.alias("filename"))
-    out = df.withColumn("_reply", predict(request))
+    ask = F.lit(True) if ask is None else F.coalesce(ask, F.lit(False))
+    request = F.when(ask, F.struct(prompt_col.alias("prompt"), char_prefix(text, max_content_chars).alias("text"),
+                                   filename.alias("filename")))
+    out = df.withColumn("_ask", ask).withColumn("_reply", predict(request))
     parsed = parse_reply(F.col("_reply"), schema)
-    bad = F.col("_reply").isNull() | parsed[CORRUPT].isNotNull()
+    bad = F.col("_ask") & (F.col("_reply").isNull() | parsed[CORRUPT].isNotNull())
     out = (out.withColumn("_parsed", parsed)
               .withColumn("errors", add_errors(F.col("errors"), F.when(bad, F.lit(NO_REPLY))))
-              .withColumn("extracted", F.when(~bad, F.struct(*[F.col("_parsed")[f.name].alias(f.name)
-                                                                for f in schema.fields])))
-              .drop("_reply", "_parsed"))
+              .withColumn("extracted", F.when(F.col("_ask") & ~bad, F.struct(*[F.col("_parsed")[f.name].alias(f.name)
+                                                                              for f in schema.fields])))
+              .drop("_ask", "_reply", "_parsed"))
     if expand:
         out = out.select("*", *[F.col("extracted")[f.name].alias(f.name) for f in schema.fields])
     return out
@@ -167,3 +169,27 @@ def extract_map(fn: Callable[[bytes], Mapping[str, Any]]):
         return content.map(run)
 
     return call
+
+
+def document_fields_parser(fields=None, json_schema=None, predict: Callable[[Column], Column] | None = None,
+                           max_content_chars: int | None = 20_000, binary_parser=None):
+    """P2 + P5 as one parser: ``extracted = {parsed_document, <fields>...}``.
+
+    Without fields or a schema only the parsed document is kept. Empty
+    content gives null ``extracted`` and is not sent to the model.
+    """
+    from sluice.operators.parse import parse_document
+
+    def parse(df: DataFrame) -> DataFrame:
+        df = parse_document(df, binary_parser)
+        parsed = F.col("parsed_document")
+        if not fields and not json_schema:
+            return df.withColumn("extracted", F.when(parsed.isNotNull(), F.struct(parsed.alias("parsed_document")))) \
+                     .drop("parsed_document")
+        schema, _ = schema_from_fields(fields, json_schema)
+        df = extract_fields(df, fields, json_schema, predict, max_content_chars, ask=parsed.isNotNull())
+        merged = F.struct(parsed.alias("parsed_document"), *[F.col("extracted")[f.name].alias(f.name)
+                                                             for f in schema.fields])
+        return df.withColumn("extracted", F.when(parsed.isNotNull(), merged)).drop("parsed_document")
+
+    return parse

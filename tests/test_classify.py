@@ -151,7 +151,9 @@ def test_udf_classifier_exception_gives_null(docs):
         return "ok"
 
     d = docs([("/x/a", b"boom", None), ("/x/b", b"fine", None), ("/x/c", None, None)])
-    assert labels_of(classify_chain(d, [udf_classifier(fn)])) == {"/x/a": None, "/x/b": "ok", "/x/c": None}
+    out = classify_chain(d, [udf_classifier(fn)])
+    assert labels_of(out) == {"/x/a": None, "/x/b": "ok", "/x/c": None}
+    assert labels_of(out, "errors") == {"/x/a": ["model down"], "/x/b": [], "/x/c": []}
 
 
 def test_udf_only_sees_rows_rules_left_unlabelled(docs, spark):

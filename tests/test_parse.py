@@ -170,3 +170,21 @@ def test_binary_formats_go_to_a_python_parser(docs, spark):
     assert got["/b.pdf"]["document"] is None
     assert got["/c.txt"]["document"]["text"] == "plain"
     assert calls.value == 2
+
+
+def test_document_fields_parser_merges_parse_and_fields(docs):
+    from sluice.operators.extract import document_fields_parser
+
+    @F.pandas_udf("string")
+    def model(req):
+        import pandas as pd
+
+        return pd.Series([None if p is None else json.dumps({"vendor_name": "Acme"}) for p in req["prompt"]])
+
+    d = docs([("/a.html", b"<html><title>Bill</title><p>pay</p></html>", None), ("/b", b"", None)])
+    out = {r["uri"]: r for r in document_fields_parser([{"name": "vendor_name"}], predict=model)(d).collect()}
+    a = out["/a.html"]["extracted"]
+    assert a["vendor_name"] == "Acme" and a["parsed_document"]["document"]["title"] == "Bill"
+    assert out["/b"]["extracted"] is None and out["/b"]["errors"] == []
+    only = document_fields_parser()(d).first()["extracted"]
+    assert only["parsed_document"]["document"]["text"] == "Bill pay"
