@@ -29,7 +29,7 @@ from sluice.plans.flow import (
 )
 from sluice.session import fresh_path
 from sluice.sinks.writers import json_sink, table_rows, table_sink, write_all, write_content, write_table
-from sluice.sources.documents import to_documents
+from sluice.sources.documents import to_documents, with_name_columns
 from sluice.sources.files import new_files, scan_files
 from sluice.sources.landing import append_landing, next_watermark, read_increment
 from sluice.sources.submissions import read_submissions, submit
@@ -49,9 +49,8 @@ def _long(c) -> F.Column:
 
 
 def doc_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = fx.landing(spark, sf_dir)
-    return d.select("doc_id", "uri", filename_of(F.col("uri")).alias("filename"),
-                    extension_of(F.col("uri")).alias("extension"),
+    d = with_name_columns(fx.landing(spark, sf_dir))
+    return d.select("doc_id", "uri", "filename", "extension",
                     _long(F.octet_length("content")).alias("content_bytes"),
                     F.md5("content").alias("content_md5"),
                     F.to_json("metadata").alias("metadata_json"))

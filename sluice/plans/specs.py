@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sluice.operators.classify import column_classifier, model_classifier, rules_classifier, udf_classifier
-from sluice.operators.parse import text_parser, udf_parser
+from sluice.operators.parse import udf_parser
 from sluice.operators.route import RouteTable
 
 # The flagship rule list, in order.
@@ -103,7 +103,3 @@ def line_stats(raw: bytes) -> dict:
 
 def line_stats_parser():
     return udf_parser(line_stats, "n_lines int, first_word string")
-
-
-def text_pipeline_parser():
-    return text_parser()

@@ -241,3 +241,11 @@ def test_json_sink_with_raw_copies(docs, spark):
     json_sink(base + "/json", raw_path=base + "/raw")(d)
     assert spark.read.json(base + "/json").count() == 1
     assert [f.endswith(".txt") for f in os.listdir(base + "/raw")] == [True]
+
+
+def test_stats_as_json_line():
+    from sluice.operators.stats import stats_json
+
+    line = stats_json({"discovered": 3, "received": 3, "unrouted": 1, "processed": 1, "failed": 1}, "r9")
+    assert json.loads(line) == {"run_id": "r9", "discovered": 3, "received": 3, "unrouted": 1, "processed": 1,
+                                "failed": 1}
