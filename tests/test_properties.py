@@ -106,3 +106,56 @@ def test_rules_match_plain_python_semantics(spark, rows):
     got = {r["i"]: r["t"] for r in df.select("i", first_match(RULES).alias("t")).collect()}
     for i, (uri, meta) in enumerate(rows):
         assert got[i] == _python_label(uri, meta), (uri, meta)
+
+
+ROUTE_LIST = [("a", "p1"), ("b", "p2"), ("a", "p3"), ("*", "pw"), ("c", "p4")]
+
+
+def _python_route(label, routes, default):
+    if label is not None:
+        for doc_type, pipeline in routes:
+            if doc_type == label:
+                return pipeline
+    for doc_type, pipeline in routes:
+        if doc_type == "*":
+            return pipeline
+    return default
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.sampled_from(["a", "b", "c", "d", None]), min_size=1, max_size=30),
+       st.lists(st.sampled_from(ROUTE_LIST), max_size=5), st.sampled_from([None, "dflt"]))
+def test_route_resolution_matches_plain_python(spark, labels, routes, default):
+    from sluice.operators.route import RouteTable, route
+
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(labels)], "i int, doc_type string")
+    got = {r["i"]: r["pipeline"] for r in route(df, RouteTable(routes, default)).collect()}
+    for i, label in enumerate(labels):
+        assert got[i] == _python_route(label, routes, default), (label, routes, default)
+
+
+KEYWORDS = {"en": ["the", "and"], "fr": ["le", "et", "la"], "xx": ["é1"]}
+
+
+def _python_keyword_label(text):
+    import regex
+
+    tokens = [t for t in regex.split(r"[^\p{L}\p{N}]+", text.lower()) if t]
+    scores = [sum(tokens.count(k) for k in kws) for kws in KEYWORDS.values()]
+    best = max(scores)
+    return None if best == 0 else list(KEYWORDS)[scores.index(best)]
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.lists(st.sampled_from(["the", "The", "and", "le", "Et", "la", "é1", "thé", "lea", "x",
+                                          " ", ", ", "-", "é", "1"]), max_size=12).map("".join),
+                min_size=1, max_size=30))
+def test_keyword_model_matches_token_counting(spark, texts):
+    from sluice.operators.classify import classify_chain, model_classifier
+
+    df = spark.createDataFrame([(i, bytearray(t.encode())) for i, t in enumerate(texts)], "i int, content binary")
+    df = df.withColumn("uri", F.lit("/x")).withColumn("errors", F.array().cast("array<string>"))
+    clf = model_classifier(list(KEYWORDS), keywords=KEYWORDS, max_content_chars=None)
+    got = {r["i"]: r["doc_type"] for r in classify_chain(df, [clf]).collect()}
+    for i, t in enumerate(texts):
+        assert got[i] == _python_keyword_label(t), t
