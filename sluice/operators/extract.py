@@ -1,7 +1,7 @@
 """Field specs, extraction prompts, typed field extraction.
 
 The "model" is pluggable: ``predict`` maps a request struct
-``<prompt, text, filename>`` to a JSON object string. The default is a
+``<prompt, text, filename, schema, instructions>`` to a JSON object string. The default is a
 native per-field regex extractor, so extraction stays in the JVM and
 can be checked against SQL; a real model is a pandas UDF with the same
 shape. The reply is parsed with ``from_json`` against the schema built
@@ -22,6 +22,7 @@ from pyspark.sql import types as T
 from sluice.functions.text import char_prefix, decode_utf8, filename_of
 from sluice.sources.documents import add_errors
 
+# The tool instruction of the direct form and the prompt head of the hosted form.
 DEFAULT_INSTRUCTIONS = "Extract the requested fields from the document. Leave a field null if absent."
 HOSTED_PREFIX = "Extract fields per this JSON schema:\n{schema}\n\nDocument:\n"
 CORRUPT = "_corrupt_record"
@@ -118,7 +119,8 @@ def parse_reply(reply: Column, schema: T.StructType) -> Column:
 def extract_fields(df: DataFrame, fields=None, json_schema=None,
                    predict: Callable[[Column], Column] | None = None,
                    max_content_chars: int | None = 20_000, prompt: str = "hosted",
-                   text: Column | None = None, expand: bool = False, ask: Column | None = None) -> DataFrame:
+                   text: Column | None = None, expand: bool = False, ask: Column | None = None,
+                   instructions: str = DEFAULT_INSTRUCTIONS) -> DataFrame:
     """Typed ``extracted`` struct from a model reply.
 
     Text comes from ``parsed_document.document.text`` when the frame has it,
@@ -138,7 +140,8 @@ def extract_fields(df: DataFrame, fields=None, json_schema=None,
                   else direct_prompt(filename, text, max_content_chars))
     ask = F.lit(True) if ask is None else F.coalesce(ask, F.lit(False))
     request = F.when(ask, F.struct(prompt_col.alias("prompt"), char_prefix(text, max_content_chars).alias("text"),
-                                   filename.alias("filename")))
+                                   filename.alias("filename"), F.lit(schema_json).alias("schema"),
+                                   F.lit(instructions).alias("instructions")))
     out = df.withColumn("_ask", ask).withColumn("_reply", predict(request))
     parsed = parse_reply(F.col("_reply"), schema)
     bad = F.col("_ask") & (F.col("_reply").isNull() | parsed[CORRUPT].isNotNull())
