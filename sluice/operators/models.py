@@ -23,17 +23,28 @@ def _missing(value: Any) -> bool:
     return value is None or (isinstance(value, float) and value != value)
 
 
-def python_predict(make_client: Callable[[], Client], field: str = "prompt",
+def python_predict(make_client: Callable[[], Client], field: str | None = "prompt",
                    return_type: str = "string") -> Callable[[Column], Column]:
     """``predict`` for ``model_classifier`` (reply = label text) or for
-    ``extract_fields`` (reply = JSON object text) backed by a Python client."""
+    ``extract_fields`` (reply = JSON object text) backed by a Python client.
+
+    The client receives the request's ``field`` (the prompt by default), or
+    with ``field=None`` the whole request as a dict (prompt plus the system
+    instruction, schema, filename... of the calling operator).
+    """
+
+    def values(requests: pd.DataFrame):
+        if field is not None:
+            return list(requests[field])
+        first = requests.columns[0]
+        return [None if _missing(row[first]) else row for row in requests.to_dict("records")]
 
     @F.pandas_udf(return_type)
     def call(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
         client = make_client()
         for requests in batches:
             replies = []
-            for value in requests[field]:
+            for value in values(requests):
                 if _missing(value):
                     replies.append(None)
                     continue

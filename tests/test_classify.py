@@ -238,3 +238,19 @@ def test_python_client_extraction_reply(docs):
                                                 prompt="direct").collect()}
     assert out["/a.pdf"]["extracted"]["vendor_name"] == "Acme" and out["/a.pdf"]["errors"] == []
     assert out["/b.pdf"]["extracted"] is None and len(out["/b.pdf"]["errors"]) == 1
+
+
+def test_python_client_can_receive_the_whole_request(docs):
+    from sluice.operators.classify import LABEL_SYSTEM_PROMPT
+    from sluice.operators.models import python_predict
+
+    def make_client():
+        def ask(request):
+            assert request["system"] == LABEL_SYSTEM_PROMPT and request["filename"] == "a.pdf"
+            return "invoice" if "bill" in request["snippet"] else "contract"
+
+        return ask
+
+    d = docs([("/x/a.pdf", b"a bill", None)])
+    clf = model_classifier(["invoice", "contract"], predict=python_predict(make_client, field=None))
+    assert labels_of(classify_chain(d, [clf])) == {"/x/a.pdf": "invoice"}
