@@ -10,6 +10,7 @@ did not ask about arrive as null requests and are never sent.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from typing import Any
 
 import pandas as pd
@@ -24,13 +25,15 @@ def _missing(value: Any) -> bool:
 
 
 def python_predict(make_client: Callable[[], Client], field: str | None = "prompt",
-                   return_type: str = "string") -> Callable[[Column], Column]:
+                   return_type: str = "string", concurrency: int = 1) -> Callable[[Column], Column]:
     """``predict`` for ``model_classifier`` (reply = label text) or for
     ``extract_fields`` (reply = JSON object text) backed by a Python client.
 
     The client receives the request's ``field`` (the prompt by default), or
     with ``field=None`` the whole request as a dict (prompt plus the system
-    instruction, schema, filename... of the calling operator).
+    instruction, schema, filename... of the calling operator). Calls are
+    network-bound, so ``concurrency > 1`` keeps that many requests of a task
+    in flight at once (threads sharing the task's client); reply order is kept.
     """
 
     def values(requests: pd.DataFrame):
@@ -39,20 +42,27 @@ def python_predict(make_client: Callable[[], Client], field: str | None = "promp
         first = requests.columns[0]
         return [None if _missing(row[first]) else row for row in requests.to_dict("records")]
 
+    def ask(client: Client, value: Any) -> str | None:
+        if _missing(value):
+            return None
+        try:
+            reply = client(value)
+        except Exception:  # noqa: BLE001 - a failed call gives no answer for this row
+            return None
+        return None if reply is None else str(reply)
+
     @F.pandas_udf(return_type)
     def call(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
         client = make_client()
-        for requests in batches:
-            replies = []
-            for value in values(requests):
-                if _missing(value):
-                    replies.append(None)
-                    continue
-                try:
-                    reply = client(value)
-                except Exception:  # noqa: BLE001 - a failed call gives no answer for this row
-                    reply = None
-                replies.append(None if reply is None else str(reply))
-            yield pd.Series(replies, dtype=object)
+        pool = ThreadPoolExecutor(concurrency) if concurrency > 1 else None
+        try:
+            for requests in batches:
+                todo = values(requests)
+                replies = (list(pool.map(lambda v: ask(client, v), todo)) if pool
+                           else [ask(client, v) for v in todo])
+                yield pd.Series(replies, dtype=object)
+        finally:
+            if pool:
+                pool.shutdown()
 
     return call

@@ -254,3 +254,22 @@ def test_python_client_can_receive_the_whole_request(docs):
     d = docs([("/x/a.pdf", b"a bill", None)])
     clf = model_classifier(["invoice", "contract"], predict=python_predict(make_client, field=None))
     assert labels_of(classify_chain(d, [clf])) == {"/x/a.pdf": "invoice"}
+
+
+def test_python_client_concurrent_calls_keep_order(docs):
+    import time
+
+    from sluice.operators.models import python_predict
+
+    def make_client():
+        def ask(prompt):
+            time.sleep(0.01)
+            return "invoice" if "bill" in prompt else "contract"
+
+        return ask
+
+    rows = [(f"/x/{i}.pdf", b"a bill" if i % 3 else b"a deal", None) for i in range(40)]
+    d = docs(rows).coalesce(1)
+    clf = model_classifier(["invoice", "contract"], predict=python_predict(make_client, concurrency=8))
+    got = labels_of(classify_chain(d, [clf]))
+    assert got == {f"/x/{i}.pdf": ("invoice" if i % 3 else "contract") for i in range(40)}
