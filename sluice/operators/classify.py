@@ -114,13 +114,17 @@ LABEL_SYSTEM_PROMPT = (
 )
 
 
+# The layout of a label request (label lines, filename, snippet, question).
+LABEL_LINE, LABEL_LINE_DESCRIBED = "- {label}", "- {label}: {description}"
+LABEL_HEAD, FILENAME_HEAD, SNIPPET_HEAD = "Labels:\n", "\n\nFilename: ", "\nContent snippet:\n"
+LABEL_QUESTION = "\n\nWhich label best matches this document?"
+
+
 def label_prompt(labels: Mapping[str, str], filename: Column, snippet: Column) -> Column:
-    lines = "\n".join(f"- {k}: {v}" if v else f"- {k}" for k, v in labels.items())
-    return F.concat(
-        F.lit(f"Labels:\n{lines}\n\nFilename: "), filename,
-        F.lit("\nContent snippet:\n"), snippet,
-        F.lit("\n\nWhich label best matches this document?"),
-    )
+    lines = "\n".join(LABEL_LINE_DESCRIBED.format(label=k, description=v) if v else LABEL_LINE.format(label=k)
+                      for k, v in labels.items())
+    return F.concat(F.lit(LABEL_HEAD + lines + FILENAME_HEAD), filename, F.lit(SNIPPET_HEAD), snippet,
+                    F.lit(LABEL_QUESTION))
 
 
 def keyword_pattern(words: Sequence[str]) -> str:

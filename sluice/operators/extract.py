@@ -22,8 +22,9 @@ from pyspark.sql import types as T
 from sluice.functions.text import char_prefix, decode_utf8, filename_of
 from sluice.sources.documents import add_errors
 
-# The tool instruction of the direct form and the prompt head of the hosted form.
+# The tool instruction and prompt head of the direct form, the prompt head of the hosted form.
 DEFAULT_INSTRUCTIONS = "Extract the requested fields from the document. Leave a field null if absent."
+DIRECT_PREFIX = "Filename: {filename}\n\n"
 HOSTED_PREFIX = "Extract fields per this JSON schema:\n{schema}\n\nDocument:\n"
 CORRUPT = "_corrupt_record"
 NO_REPLY = "extraction: model response did not include the expected structured output"
@@ -83,8 +84,8 @@ def hosted_prompt(schema_json: str, text: Column, max_chars: int | None = 20_000
 
 def direct_prompt(filename: Column, text: Column, max_chars: int | None = 20_000) -> Column:
     """P4, direct form: ``Filename: f`` then the text (cut to ``max_chars``; ``None`` = whole)."""
-    return F.concat(F.lit("Filename: "), filename, F.lit("\n\n"),
-                    F.coalesce(char_prefix(text, max_chars), F.lit("")))
+    head, tail = DIRECT_PREFIX.split("{filename}")
+    return F.concat(F.lit(head), filename, F.lit(tail), F.coalesce(char_prefix(text, max_chars), F.lit("")))
 
 
 def regex_predict(fields: Sequence[Mapping[str, Any]]) -> Callable[[Column], Column]:

@@ -17,6 +17,9 @@ from pyspark.sql.window import Window
 
 WILDCARD = "*"
 
+# The message of a strict routing failure, around the document's uri and label.
+UNROUTABLE = ("No pipeline could be resolved for document ", " (doc_type=", "); add a route or a default_pipeline")
+
 
 @dataclass(frozen=True)
 class Route:
@@ -83,11 +86,8 @@ def route(df: DataFrame, table: RouteTable, strict: bool = False, column: str =
     first document no route can take, naming its uri and doc_type."""
     target = table.resolve(F.col("doc_type"))
     if strict:
-        message = F.concat(
-            F.lit("No pipeline could be resolved for document "), F.col("uri"),
-            F.lit(" (doc_type="), F.coalesce(F.col("doc_type"), F.lit("None")),
-            F.lit("); add a route or a default_pipeline"),
-        )
+        message = F.concat(F.lit(UNROUTABLE[0]), F.col("uri"), F.lit(UNROUTABLE[1]),
+                           F.coalesce(F.col("doc_type"), F.lit("None")), F.lit(UNROUTABLE[2]))
         target = F.when(target.isNull(), F.raise_error(message).cast("string")).otherwise(target)
         # As a filter the check runs even if a later projection drops the column.
         return df.withColumn(column, target).where(F.col(column).isNotNull())
