@@ -90,7 +90,7 @@ def files_incremental(spark, sf_dir):
 
 
 def files_stream(spark, sf_dir):
-    docs = stream_files(spark, sf_dir, max_files_per_trigger=3)
+    docs = stream_files(spark, sf_dir, max_files_per_trigger=5)
     rows = docs.select("uri", "length", F.md5("content").alias("content_md5"))
     out, ckpt = fresh_path(spark, "files_stream"), fresh_path(spark, "files_stream_ckpt")
     stream_to(rows, out, ckpt).awaitTermination()
@@ -407,7 +407,7 @@ def router_stream(spark, sf_dir):
     _write_landing(spark, sf_dir, landing_path)
     out = fresh_path(spark, "router_stream_out")
     spec = flagship_spec(sinks_for=lambda name: [json_sink(f"{out}/{name}", RUN_ID, name)])
-    stream = stream_table(spark, landing_path, max_files_per_trigger=2)
+    stream = stream_table(spark, landing_path, max_files_per_trigger=3)
     docs = to_documents(stream, metadata=F.col("metadata"), keep=["src_id", "n_chars"])
     run_router_stream(docs, spec, fresh_path(spark, "router_stream_ckpt"), run_id=RUN_ID).awaitTermination()
     back = _read_records(spark, f"{out}/*/*")

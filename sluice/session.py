@@ -93,3 +93,14 @@ def spread(df, parallelism: int | None = None, max_bytes: int = SPREAD_MAX_BYTES
     if not files or len(files) >= parallelism or _total_bytes(files) > max_bytes:
         return df
     return df.repartition(parallelism)
+
+
+def spread_batch(df, parallelism: int | None = None):
+    """``spread`` for a streaming micro-batch, whose size the trigger already
+    bounds (``maxFilesPerTrigger``): a batch of fewer partitions than the
+    cluster has cores is round-robined across all of them."""
+    spark = df.sparkSession
+    parallelism = parallelism or spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= parallelism:
+        return df
+    return df.repartition(parallelism)
