@@ -66,15 +66,17 @@ def files_to_documents(raw: DataFrame, include_content: bool = True, source: str
 
 def scan_files(spark: SparkSession, path: str, patterns: Sequence[str] | None = None,
                include_content: bool = True, recursive: bool = True, exclude: Sequence[str] = (),
-               ingested_at: float = 0.0) -> DataFrame:
+               ingested_at: float = 0.0, ordered: bool = False) -> DataFrame:
     """Every regular file under ``path`` matching any pattern (union,
     de-duplicated), as documents. ``include_content=False`` keeps the rows
     with null content and never reads the bytes. ``exclude`` drops paths
-    under the given prefixes (a state folder kept inside the tree)."""
+    under the given prefixes (a state folder kept inside the tree).
+    ``ordered`` sorts by path (a range shuffle; only for presentation)."""
     raw = read_files(spark, path, patterns, recursive)
     for prefix in exclude:
         raw = raw.where(~F.col("path").contains(prefix))
-    return files_to_documents(raw, include_content, ingested_at=ingested_at)
+    docs = files_to_documents(raw, include_content, ingested_at=ingested_at)
+    return docs.orderBy("uri") if ordered else docs
 
 
 def new_files(files: DataFrame, seen: DataFrame, key: str = "uri") -> DataFrame:

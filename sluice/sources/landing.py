@@ -21,18 +21,20 @@ def _mark(value, ts_type: str) -> Column:
 
 def read_increment(df: DataFrame, ts_col: str = "ts", watermark=None, uri_col: str = "uri",
                    content_col: str = "content", include_content: bool = True,
-                   source: str = "landing", ingested_at: float = 0.0) -> DataFrame:
+                   source: str = "landing", ingested_at: float = 0.0, ordered: bool = False) -> DataFrame:
     """Rows with ``ts > watermark`` (strict; all rows without a mark), as
     documents. Every non-content column goes into ``metadata`` as text; the
-    timestamp column is kept typed as ``ts``."""
+    timestamp column is kept typed as ``ts``. ``ordered`` sorts by it (a
+    range shuffle; only for presentation)."""
     ts_type = df.schema[ts_col].dataType.simpleString()
     if watermark is not None:
         df = df.where(F.col(ts_col) > _mark(watermark, ts_type))
     meta = string_map({c: F.col(c) for c in df.columns if c not in (content_col, "source")})
     meta = F.map_concat(meta, F.create_map(F.lit("source"), F.lit(source)))
     content = content_col if (include_content and content_col in df.columns) else None
-    return to_documents(df, uri=F.col(uri_col), content=content, metadata=meta,
+    docs = to_documents(df, uri=F.col(uri_col), content=content, metadata=meta,
                         ingested_at=ingested_at, keep=[ts_col])
+    return docs.orderBy(ts_col) if ordered else docs
 
 
 def next_watermark(df: DataFrame, ts_col: str = "ts", old=None) -> DataFrame:

@@ -201,3 +201,11 @@ def test_incremental_scan_reads_only_new_bytes_and_caps_oldest_first(spark):
     assert _names(rest) == ["c.pdf"] and bytes(rest.first()["content"]) == b"C"
     plan = rest._jdf.queryExecution().executedPlan().toString()
     assert "c.pdf" in plan and "a.pdf" not in plan
+
+
+def test_presentation_orderings(spark):
+    root = _tree({"c.pdf": b"C", "a.pdf": b"A", "sub/b.pdf": b"B"})
+    names = [r["uri"].split(root)[-1] for r in scan_files(spark, root, ordered=True).select("uri").collect()]
+    assert names == sorted(names)
+    ts = [r["ts"] for r in read_increment(_landing(spark), "ts", ordered=True).collect()]
+    assert ts == sorted(ts)
