@@ -18,7 +18,6 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from sluice.functions.text import byte_prefix_text, extension_of, filename_of
 from sluice.operators.errors import attempt
@@ -242,6 +241,7 @@ def udf_classifier(fn: Callable[[bytes], str | None], max_content_bytes: int | N
             content = F.substring(content, 1, max_content_bytes)
         return call(F.when(needed, content))
 
+    classify.returns_outcome = True  # answers are <result, error> structs
     return classify
 
 
@@ -274,7 +274,7 @@ def classify_chain(df: DataFrame, classifiers: Sequence[Classifier], mode: str =
             df = clf.prepare(df, needed)
         df = df.withColumn(answer, clf(df, needed))
         label = F.col(answer)
-        if isinstance(df.schema[answer].dataType, T.StructType):  # <result, error> from a Python classifier
+        if getattr(clf, "returns_outcome", False):  # <result, error> from a Python classifier
             label = F.col(f"{answer}.result")
             errors = F.col("errors") if "errors" in df.columns else F.array().cast("array<string>")
             df = df.withColumn("errors", add_errors(errors, F.col(f"{answer}.error")))
