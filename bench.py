@@ -39,11 +39,16 @@ def main() -> None:
         "spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g"),
     })
     registry = {k: v for k, v in queries().items() if not only or k in only}
-    for fn in registry.values():
-        run_once(spark, fn, sf_dir)
+    failed = {}
+    for name, fn in registry.items():
+        try:
+            run_once(spark, fn, sf_dir)
+        except Exception as exc:  # noqa: BLE001 - report the failure, keep timing the others
+            failed[name] = f"{type(exc).__name__}: {str(exc)[:200]}"
     timings = {}
     for name, fn in registry.items():
-        timings[name] = round(statistics.median(run_once(spark, fn, sf_dir) for _ in range(runs)), 3)
+        if name not in failed:
+            timings[name] = round(statistics.median(run_once(spark, fn, sf_dir) for _ in range(runs)), 3)
     n_docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet").count()
     headline = [q for q in HEADLINE if q in timings] or list(timings)
     total = round(sum(timings[q] for q in headline), 3)
@@ -59,6 +64,7 @@ def main() -> None:
         "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf"),
         "cpus": int(cpus),
         "runs": runs,
+        "failed": failed,
     }))
     spark.stop()
 
