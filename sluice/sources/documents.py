@@ -22,21 +22,31 @@ def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _empty_map() -> Column:
+    return F.create_map().cast(METADATA_TYPE)
+
+
 def string_map(pairs: dict[str, Column | str | None]) -> Column:
-    """A ``map<string,string>`` from named columns; null values are left out."""
+    """A ``map<string,string>`` from named columns; null values are left out.
+
+    Built as ``map_concat`` of one-entry maps chosen with CASE WHEN, so it
+    stays in generated code (no per-row lambda)."""
     if not pairs:
-        return F.create_map().cast(METADATA_TYPE)
-    args: list[Column] = []
+        return _empty_map()
+    parts: list[Column] = []
     for key, value in pairs.items():
-        value_col = F.lit(None) if value is None else (value if isinstance(value, Column) else F.lit(value))
-        args += [F.lit(key), value_col.cast("string")]
-    return F.map_filter(F.create_map(*args), lambda k, v: v.isNotNull())
+        if value is None:
+            continue
+        value_col = (value if isinstance(value, Column) else F.lit(value)).cast("string")
+        parts.append(F.when(value_col.isNotNull(), F.create_map(F.lit(key), value_col)).otherwise(_empty_map()))
+    return F.map_concat(*parts) if parts else _empty_map()
 
 
-def with_defaults(base: Column, given: Column) -> Column:
-    """``given`` map with ``base`` keys added where ``given`` lacks them (the caller's keys win)."""
-    kept = F.map_filter(base, lambda k, v: ~F.array_contains(F.map_keys(given), k))
-    return F.map_concat(kept, given)
+def with_defaults(defaults: dict[str, str], given: Column) -> Column:
+    """``given`` map with the ``defaults`` keys added where it lacks them (the caller's keys win)."""
+    parts = [F.when(F.array_contains(F.map_keys(given), F.lit(k)), _empty_map())
+             .otherwise(F.create_map(F.lit(k), F.lit(v)).cast(METADATA_TYPE)) for k, v in defaults.items()]
+    return F.map_concat(*parts, given)
 
 
 def to_documents(
@@ -59,7 +69,7 @@ def to_documents(
     content_col = F.lit(None).cast("binary") if content is None else _col(content).cast("binary")
     meta = metadata if metadata is not None else F.create_map().cast(METADATA_TYPE)
     if source is not None:
-        meta = with_defaults(F.create_map(F.lit("source"), F.lit(source)), meta)
+        meta = with_defaults({"source": source}, meta)
     ingested = ingested_at if isinstance(ingested_at, Column) else F.lit(float(ingested_at))
     cols = [
         (doc_id if doc_id is not None else F.sha2(uri_col, 256)).alias("doc_id"),
@@ -79,5 +89,6 @@ def with_name_columns(df: DataFrame) -> DataFrame:
 
 
 def add_errors(errors: Column, message: Column) -> Column:
-    """Append ``message`` to the errors array when it is not null."""
-    return F.concat(errors, F.array_compact(F.array(message.cast("string"))))
+    """Append ``message`` to the errors array when it is not null (no per-row lambda)."""
+    text = message.cast("string")
+    return F.concat(errors, F.when(text.isNotNull(), F.array(text)).otherwise(F.array().cast("array<string>")))
