@@ -29,17 +29,15 @@ def _empty_map() -> Column:
 def string_map(pairs: dict[str, Column | str | None]) -> Column:
     """A ``map<string,string>`` from named columns; null values are left out.
 
-    Built as ``map_concat`` of one-entry maps chosen with CASE WHEN, so it
-    stays in generated code (no per-row lambda)."""
+    One ``create_map`` then a null filter: measured faster than assembling
+    one-entry maps with ``map_concat``, although the filter is a lambda."""
     if not pairs:
         return _empty_map()
-    parts: list[Column] = []
+    args: list[Column] = []
     for key, value in pairs.items():
-        if value is None:
-            continue
-        value_col = (value if isinstance(value, Column) else F.lit(value)).cast("string")
-        parts.append(F.when(value_col.isNotNull(), F.create_map(F.lit(key), value_col)).otherwise(_empty_map()))
-    return F.map_concat(*parts) if parts else _empty_map()
+        value_col = F.lit(None) if value is None else (value if isinstance(value, Column) else F.lit(value))
+        args += [F.lit(key), value_col.cast("string")]
+    return F.map_filter(F.create_map(*args), lambda k, v: v.isNotNull())
 
 
 def with_defaults(defaults: dict[str, str], given: Column) -> Column:
