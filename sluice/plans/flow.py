@@ -22,7 +22,7 @@ from sluice.operators.parse import Parser
 from sluice.operators.route import RouteTable, fan_out, route, split_unrouted
 from sluice.operators.stats import observe_outcomes, stats_frame
 from sluice.session import fresh_path, work_root
-from sluice.sinks.writers import Sink
+from sluice.sinks.writers import Sink, table_rows, write_table
 
 
 @dataclass
@@ -212,6 +212,18 @@ def _collect_stats(result: FlowResult, run_id: str) -> dict:
             "failed": failed, "run_id": run_id}
 
 
+def write_routed_table(result: FlowResult, path: str, run_id: str = "", mode: str = "append",
+                       batch_id: int | None = None) -> None:
+    """R4's physical form: every pipeline's output as table rows in one job,
+    partitioned by ``pipeline_name``. The union reads the shared routed copy;
+    each task writes its own files per pipeline, so nothing is shuffled and a
+    large pipeline is spread over all tasks."""
+    rows = [table_rows(df, name, run_id) for name, df in result.outputs.items()]
+    if rows:
+        write_table(reduce(DataFrame.unionByName, rows), path, mode=mode, batch_id=batch_id,
+                    partition_by=["pipeline_name"])
+
+
 def gold_frame(classified: DataFrame, spec: RouterSpec, name: str) -> DataFrame:
     """One gold table: the pipeline's documents, parsed, ``extracted`` fields expanded to columns."""
     routed = route(classified, spec.routes)

@@ -249,3 +249,16 @@ def test_stats_as_json_line():
     line = stats_json({"discovered": 3, "received": 3, "unrouted": 1, "processed": 1, "failed": 1}, "r9")
     assert json.loads(line) == {"run_id": "r9", "discovered": 3, "received": 3, "unrouted": 1, "processed": 1,
                                 "failed": 1}
+
+
+def test_routed_table_one_write_partitioned_by_pipeline(spark):
+    from sluice.plans.flow import write_routed_table
+
+    path = tempfile.mkdtemp() + "/routed"
+    result = run_router(scan_files(spark, _landing_dir()), _spec(tempfile.mkdtemp()))
+    write_routed_table(result, path, run_id="r")
+    result.close()
+    assert sorted(d for d in os.listdir(path) if d.startswith("pipeline_name=")) == [
+        "pipeline_name=contract_pipeline", "pipeline_name=invoice_pipeline", "pipeline_name=unclassified_pipeline"]
+    back = spark.read.parquet(path)
+    assert back.count() == 3 and back.where("pipeline_name = 'invoice_pipeline'").first()["doc_type"] == "invoice"
