@@ -9,6 +9,7 @@ batch replaces its earlier attempt instead of duplicating it.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -105,11 +106,12 @@ def write_content(df: DataFrame, path: str) -> None:
     """K3: copy raw bytes to ``path/<doc_id>.<ext>``, one file per document,
     written by the executors (any filesystem pyarrow can open)."""
     root = path.rstrip("/")
+    uri = root if ":" in root else "file://" + os.path.abspath(root)
 
     def write_partition(rows):
         from pyarrow import fs as pafs
 
-        filesystem, base = pafs.FileSystem.from_uri(root if ":" in root else "file://" + root)
+        filesystem, base = pafs.FileSystem.from_uri(uri)
         filesystem.create_dir(base, recursive=True)
         for row in rows:
             with filesystem.open_output_stream(f"{base}/{row['name']}") as out:

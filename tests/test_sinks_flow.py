@@ -262,3 +262,10 @@ def test_routed_table_one_write_partitioned_by_pipeline(spark):
         "pipeline_name=contract_pipeline", "pipeline_name=invoice_pipeline", "pipeline_name=unclassified_pipeline"]
     back = spark.read.parquet(path)
     assert back.count() == 3 and back.where("pipeline_name = 'invoice_pipeline'").first()["doc_type"] == "invoice"
+
+
+def test_raw_copies_to_a_relative_path(docs, spark, monkeypatch):
+    cwd = tempfile.mkdtemp()
+    monkeypatch.chdir(cwd)
+    write_content(docs([("/x/a.txt", b"A", None)]), "rel/raw")
+    assert [f.endswith(".txt") for f in os.listdir(os.path.join(cwd, "rel/raw"))] == [True]
