@@ -2,9 +2,11 @@
 
 Writers are plain DataFrame writes: every task writes its own files, so
 nothing is buffered on the driver. A *sink* is a callable
-``(df, batch_id) -> None``; in a stream ``batch_id`` is the micro-batch
-id and a sink overwrites its own ``batch_id=N`` folder, so a replayed
-batch replaces its earlier attempt instead of duplicating it.
+``(df, batch_id) -> None`` that must run the frame it is given to the end
+(a write or any other action): run counters are observed on that action.
+In a stream ``batch_id`` is the micro-batch id and a sink overwrites its
+own ``batch_id=N`` folder, so a replayed batch replaces its earlier attempt
+instead of duplicating it.
 """
 
 from __future__ import annotations

@@ -68,8 +68,9 @@ def save_watermark(marks: DataFrame, path: str) -> None:
 def landing_pass(spark: SparkSession, table: DataFrame, state_path: str, write, ts_col: str = "ts",
                  **read_options) -> dict:
     """S7 + S8 as one pass: read what is new since the stored mark, hand it
-    to ``write`` (any function that runs the documents to their sinks), and
-    only then store the new mark. The mark is observed during the write, so
+    to ``write`` (any function that runs the documents to their sinks; it
+    must run an action over the frame it is given), and only then store the
+    new mark. The mark is observed during the write, so
     finding it costs no extra scan; nothing new leaves the mark unchanged."""
     old = load_watermark(spark, state_path)
     docs = read_increment(table, ts_col, old, **read_options)
