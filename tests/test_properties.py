@@ -159,3 +159,20 @@ def test_keyword_model_matches_token_counting(spark, texts):
     got = {r["i"]: r["doc_type"] for r in classify_chain(df, [clf]).collect()}
     for i, t in enumerate(texts):
         assert got[i] == _python_keyword_label(t), t
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.sampled_from(["a", "b", "c", "d", None]), min_size=1, max_size=30),
+       st.lists(st.sampled_from(ROUTE_LIST), max_size=5), st.sampled_from([None, "dflt"]),
+       st.booleans())
+def test_route_table_join_matches_plain_python(spark, labels, routes, default, salted):
+    from sluice.operators.route import route_by_table
+
+    df = spark.createDataFrame([(i, f"/u/{i}", x) for i, x in enumerate(labels)], "i int, uri string, doc_type string")
+    table = spark.createDataFrame([(t, p, k) for k, (t, p) in enumerate(routes)],
+                                  "doc_type string, pipeline string, ordinal int")
+    out = route_by_table(df, table, default=default, broadcast_limit=-1 if salted else 10_000, salt_buckets=3)
+    got = {r["i"]: r["pipeline"] for r in out.collect()}
+    assert len(got) == len(labels)
+    for i, label in enumerate(labels):
+        assert got[i] == _python_route(label, routes, default), (label, routes, default, salted)
