@@ -6,7 +6,7 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from sluice.sources.documents import string_map, to_documents  # noqa: E402
+from sluice.sources.documents import to_documents  # noqa: E402
 
 SF001 = "/root/testdata/sf0.001"
 SF01 = "/root/testdata/sf0.01"
@@ -61,4 +61,4 @@ def labels_of(df, col="doc_type"):
     return {r["uri"]: r[col] for r in df.select("uri", col).collect()}
 
 
-__all__ = ["string_map", "labels_of", "SF001", "SF01"]
+__all__ = ["labels_of", "SF001", "SF01"]
