@@ -26,3 +26,17 @@ def test_flagship_reads_its_source_once_and_aggregates_partially(spark):
 def test_keyword_model_stays_in_the_jvm(spark):
     plan = _plan(catalog.model_classify(spark, SF001))
     assert "ArrowEvalPython" not in plan and "BatchEvalPython" not in plan
+
+
+def test_spread_batch_and_share_mode_validation(spark):
+    import pytest
+
+    from sluice.plans.flow import materialize
+    from sluice.session import spread_batch
+
+    few = spark.range(100).coalesce(2)
+    assert spread_batch(few, parallelism=8).rdd.getNumPartitions() == 8
+    many = spark.range(100).repartition(8)
+    assert spread_batch(many, parallelism=8) is many
+    with pytest.raises(ValueError):
+        materialize(few, "sometimes")
