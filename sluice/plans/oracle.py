@@ -62,15 +62,20 @@ RULES_CASE = """(CASE
 ROUTE_CASE = """(CASE {dt} WHEN 'invoice' THEN 'invoice_pipeline' WHEN 'contract' THEN 'contract_pipeline'
   ELSE 'unclassified_pipeline' END)"""
 
-def _lang_label() -> str:
-    words = r"regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+')"
-    scores = []
-    for label, kws in specs.LANGUAGE_KEYWORDS.items():
+def _lang_ctes() -> str:
+    """CTEs ending in ``lang(uri, lang_label)``: keyword counts per document from
+    its tokens via ``unnest`` and ``GROUP BY`` (no list lambdas, so any DuckDB
+    version runs it); highest count wins, ties to the earlier label, none → NULL."""
+    counts, names = [], []
+    for i, (label, kws) in enumerate(specs.LANGUAGE_KEYWORDS.items()):
         inlist = ", ".join(_q(k) for k in kws)
-        scores.append((label, f"len(list_filter({words}, lambda w: w IN ({inlist})))"))
-    best = "greatest(" + ", ".join(s for _, s in scores) + ")"
-    whens = " ".join(f"WHEN {s} = {best} THEN {_q(label)}" for label, s in scores)
-    return f"(CASE WHEN {best} = 0 THEN NULL {whens} END)"
+        counts.append(f"count(t.w) FILTER (WHERE t.w IN ({inlist})) AS s{i}")
+        names.append(label)
+    best = "greatest(" + ", ".join(f"s{i}" for i in range(len(names))) + ")"
+    whens = " ".join(f"WHEN s{i} = {best} THEN {_q(label)}" for i, label in enumerate(names))
+    return f"""toks AS (SELECT uri, unnest(regexp_split_to_array(lower(text), '[^\\p{{L}}\\p{{N}}]+')) AS w FROM landing),
+counts AS (SELECT l.uri, {", ".join(counts)} FROM landing l LEFT JOIN toks t ON t.uri = l.uri GROUP BY l.uri),
+lang AS (SELECT uri, CASE WHEN {best} = 0 THEN NULL {whens} END AS lang_label FROM counts)"""
 
 
 SCRIPT_STYLE = r"(?is)<(script|style)[^>]*>.*?</(script|style)>"
@@ -152,7 +157,7 @@ SELECT {select} FROM routed {where} {tail}"""
 
 
 def oracle_sql() -> dict[str, str]:
-    lang = _lang_label()
+    lang = _lang_ctes()
     page = _page_columns()
     web_rules = """(CASE WHEN CASE WHEN contains(regexp_extract(url, '[^/]*$'), '.')
       THEN lower(regexp_extract(regexp_extract(url, '[^/]*$'), '[^.]*$')) ELSE '' END IN ('html') THEN 'html_page'
@@ -200,17 +205,19 @@ SELECT uri, (extension IN ('pdf') AND coalesce(mime IN ('application/pdf'), fals
              AND regexp_matches(filename, '(?i)^(invoice|msa)') AND regexp_matches(uri, '/(en|fr)/')) AS m_all,
        true AS m_none FROM landing""",
         "rule_first_match": f"WITH {LANDING}\nSELECT uri, {RULES_CASE} AS doc_type FROM landing",
-        "model_classify": f"WITH {LANDING}\nSELECT uri, {lang} AS label FROM landing",
+        "model_classify": f"WITH {LANDING},\n{lang}\nSELECT uri, lang_label AS label FROM lang",
         "udf_classifier": f"""WITH {LANDING}
 SELECT uri, CASE WHEN strlen(text) < 100 THEN NULL WHEN contains(text, 'token = "') THEN 'secret'
                  WHEN strlen(text) - strlen(replace(text, chr(10), '')) > 20 THEN 'long_form' END AS doc_type
 FROM landing""",
-        "chain_first": f"""WITH {LANDING}
-SELECT l.uri, coalesce(CASE WHEN b.toxic = 1 THEN 'quarantine' END, {RULES_CASE}, {lang}) AS doc_type
-FROM landing l LEFT JOIN labels b ON b.doc_id = l.src_id""",
-        "chain_last": f"""WITH {LANDING}
-SELECT uri, coalesce(CASE WHEN n_chars > 20000 THEN 'oversized' END, {lang}, {RULES_CASE}) AS doc_type
-FROM landing""",
+        "chain_first": f"""WITH {LANDING},
+{lang}
+SELECT l.uri, coalesce(CASE WHEN b.toxic = 1 THEN 'quarantine' END, {RULES_CASE}, g.lang_label) AS doc_type
+FROM landing l JOIN lang g ON g.uri = l.uri LEFT JOIN labels b ON b.doc_id = l.src_id""",
+        "chain_last": f"""WITH {LANDING},
+{lang}
+SELECT l.uri, coalesce(CASE WHEN l.n_chars > 20000 THEN 'oversized' END, g.lang_label, {RULES_CASE}) AS doc_type
+FROM landing l JOIN lang g ON g.uri = l.uri""",
         "route_resolve": f"""WITH {LANDING}, flow AS (SELECT *, {RULES_CASE} AS doc_type FROM landing)
 SELECT uri, doc_type, CASE doc_type WHEN 'invoice' THEN 'invoice_pipeline' WHEN 'contract' THEN 'contract_pipeline'
                       ELSE 'catchall_pipeline' END AS pipeline FROM flow""",
