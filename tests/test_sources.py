@@ -209,3 +209,16 @@ def test_presentation_orderings(spark):
     assert names == sorted(names)
     ts = [r["ts"] for r in read_increment(_landing(spark), "ts", ordered=True).collect()]
     assert ts == sorted(ts)
+
+
+def test_empty_increment_keeps_the_document_schema(spark):
+    from sluice.sources.files import incremental_scan, read_paths
+
+    empty = read_paths(spark, [])
+    assert empty.count() == 0
+    full = scan_files(spark, _tree({"a.pdf": b"A"}))
+    assert empty.schema == full.schema
+    root = _tree({"a.pdf": b"A"})
+    state = tempfile.mkdtemp() + "/seen"
+    record_seen(incremental_scan(spark, root, state), state)
+    assert incremental_scan(spark, root, state).count() == 0
