@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from sluice.llm import line_dedup, mixing, preference
+from sluice.llm import line_dedup, mixing, preference, token_counts, token_files
 
 QUERIES = {
     "op1_preference": preference.op1_preference,
+    "op4_token_counts": token_counts.op4_token_counts,
+    "op7_token_files": token_files.op7_token_files,
     "op9_line_dedup": line_dedup.op9_line_dedup,
     "op10_mixing": mixing.op10_mixing,
 }
