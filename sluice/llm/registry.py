@@ -2,12 +2,26 @@
 
 from __future__ import annotations
 
-from sluice.llm import line_dedup, mixing, preference, token_counts, token_files
+from sluice.llm import (
+    decontaminate,
+    language_id,
+    line_dedup,
+    merkle,
+    mixing,
+    preference,
+    token_counts,
+    token_files,
+    toxicity,
+)
 
 QUERIES = {
     "op1_preference": preference.op1_preference,
+    "op2_fingerprints": merkle.op2_fingerprints,
+    "op3_language_id": language_id.op3_language_id,
     "op4_token_counts": token_counts.op4_token_counts,
+    "op6_toxicity": toxicity.op6_toxicity,
     "op7_token_files": token_files.op7_token_files,
+    "op8_decontaminate": decontaminate.op8_decontaminate,
     "op9_line_dedup": line_dedup.op9_line_dedup,
     "op10_mixing": mixing.op10_mixing,
 }
