@@ -41,12 +41,13 @@ def unit_hash(*cols: Column, seed: str) -> Column:
 def bitmap(values: DataFrame, bits: int) -> np.ndarray:
     """The first column of ``values`` (long; nulls ignored) as a bitmap of ``2**bits`` bits.
 
-    Bit ``(v * odd) >> (64 - bits)`` is set for every v. The words are or-ed in Spark, so what reaches the
+    The bit of a value is its low bits, folded with higher ones. The words are or-ed in Spark, so what reaches the
     driver is bounded by ``2**bits / 8`` bytes whatever the number of values. A set bit may be shared: users
     of the map must stay right when a value is taken for a member that is none.
     """
     col = F.col(values.columns[0])
-    pos = F.shiftrightunsigned(col.cast("long") * F.lit(_ODD), 64 - bits)
+    v = col.cast("long")
+    pos = (v.bitwiseXOR(F.shiftrightunsigned(v, 17)).bitwiseXOR(F.shiftrightunsigned(v, 31))).bitwiseAND(F.lit((1 << bits) - 1))
     words = (values.where(col.isNotNull()).select(pos.alias("p"))
              .groupBy(F.shiftright("p", 6).alias("w"))
              .agg(F.bit_or(F.expr("shiftleft(1L, cast(p & 63 as int))")).alias("b")))
@@ -56,13 +57,10 @@ def bitmap(values: DataFrame, bits: int) -> np.ndarray:
     return out
 
 
-_ODD = 0x1E3779B97F4A7C15  # odd multiplier below 2**63
-
-
 def in_bitmap(bits: int, words: np.ndarray, values: np.ndarray) -> np.ndarray:
     """Which of the int64 ``values`` may be members (numpy twin of ``bitmap``)."""
-    with np.errstate(over="ignore"):
-        p = (values.astype(np.int64).view(np.uint64) * np.uint64(_ODD)) >> np.uint64(64 - bits)
+    v = values.astype(np.int64).view(np.uint64)
+    p = (v ^ v >> np.uint64(17) ^ v >> np.uint64(31)) & np.uint64((1 << bits) - 1)
     return (words[(p >> np.uint64(6)).astype(np.int64)] >> (p & np.uint64(63))) & np.uint64(1) != 0
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from sluice.llm import (
     decontaminate,
+    jaccard,
     language_id,
     line_dedup,
     merkle,
@@ -19,6 +20,7 @@ QUERIES = {
     "op2_fingerprints": merkle.op2_fingerprints,
     "op3_language_id": language_id.op3_language_id,
     "op4_token_counts": token_counts.op4_token_counts,
+    "op5_jaccard": jaccard.op5_jaccard,
     "op6_toxicity": toxicity.op6_toxicity,
     "op7_token_files": token_files.op7_token_files,
     "op8_decontaminate": decontaminate.op8_decontaminate,
