@@ -34,10 +34,12 @@ REST_BITS = 32
 #: A token is frequent if it is in more documents than this; doubled while the frequent ones exceed FREQUENT_MOST.
 FREQUENT_LEAST, FREQUENT_MOST = 32, 1 << 21
 #: Tokens after which a task passes on what it has gathered.
-FLUSH_TOKENS = 2_000_000
+FLUSH_TOKENS = 1_000_000
 #: Words a worker remembers the hash of.
-CACHE_WORDS = 500_000
+CACHE_WORDS = 150_000
 BITMAP_BITS = (16, 27)
+#: An entry of more sets than this is compared by blocks of BLOCK sets.
+HOT, BLOCK = 64, 512
 
 
 class _WordHash(dict):
@@ -298,60 +300,99 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-class _Candidates:
-    """Compares candidate pairs, each once, and keeps the components of the links found so far."""
-
-    def __init__(self, sets: DataFrame, percent: int) -> None:
-        self.sets, self.percent = sets, percent
-        self.checked: DataFrame | None = None
-        self.comp: DataFrame | None = None
-
-    def compare(self, pairs: DataFrame) -> None:
-        pairs = pairs.distinct()
-        if self.checked is not None:
-            pairs = pairs.join(self.checked.select("a", "b"), ["a", "b"], "left_anti")
-        x = self.sets.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("tokens").alias("x"))
-        y = self.sets.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("tokens").alias("y"))
-        near = (100 * F.least("na", "nb") >= self.percent * F.greatest("na", "nb"))
-        sized = pairs.join(x.select("a", "na"), "a").join(y.select("b", "nb"), "b").where(near).select("a", "b").distinct()
-        got = saved(sized.join(x.select("a", "x"), "a").join(y.select("b", "y"), "b")
-                    .mapInPandas(partial(_compare, percent=self.percent), "a long, b long, ok boolean"), "jaccard-pairs")
-        self.checked = got if self.checked is None else self.checked.union(got)
-        links = self.checked.where("ok")
-        if not links.isEmpty():
-            self.comp = components(links)
-
-    def labelled(self, index: DataFrame) -> DataFrame:
-        if self.comp is None:
-            return index.withColumn("comp", F.col("id"))
-        return index.join(self.comp, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
-
-
-def _link(index: DataFrame, sets: DataFrame, percent: int) -> DataFrame | None:
-    """Components of all links among sets that share an index entry.
-
-    First every set is compared with one set of each entry, which joins the copies of a group without listing
-    its pairs; entries whose sets are all in one component are done. That is repeated while the pairs left
-    would outnumber the entries; then all pairs left, across components, are compared.
-    """
-    found = _Candidates(sets, percent)
-    for turn in range(12):
-        index = saved(found.labelled(index).select("sig", "id", "comp"), "jaccard-index")
-        lead = F.min(F.struct(F.xxhash64("id", F.lit(turn)).alias("h"), F.col("id").alias("lead"), F.col("comp").alias("lead_comp")))
-        entries = saved(index.groupBy("sig").agg(lead.alias("l"), F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("k"))
-                        .where("lo < hi").select("sig", "l.lead", "l.lead_comp", "k"), "jaccard-entries")
-        sums = entries.agg(F.sum("k").alias("rows"), F.sum(F.col("k") * (F.col("k") - 1.0) / 2).alias("pairs")).first()
-        if not sums["rows"]:
-            return found.comp
-        index = saved(index.drop("comp").join(entries.select("sig"), "sig", "left_semi"), "jaccard-index")
-        if turn and sums["pairs"] <= 4 * sums["rows"]:
+def _compare_all(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """``a, b`` of the pairs that link."""
+    x = sets.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("tokens").alias("x"))
+    y = sets.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("tokens").alias("y"))
+    near = 100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")
+    sized = pairs.distinct().join(x.select("a", "na"), "a").join(y.select("b", "nb"), "b").where(near).select("a", "b").distinct()
+    got = sized.join(x.select("a", "x"), "a").join(y.select("b", "y"), "b").mapInPandas(
+        partial(_compare, percent=percent), "a long, b long, ok boolean")
+    return saved(got, "jaccard-pairs").where("ok").select("a", "b")
+
+
+def _block_links(group: pd.DataFrame, percent: int) -> pd.DataFrame:
+    """A spanning forest of the links across two blocks (within one where they are the same), from a product of incidence matrices."""
+    sets = [_unpack_set(t) for t in group["tokens"]]
+    sizes = np.array([len(t) for t in sets])
+    flat = np.concatenate(sets) if sets else np.empty(0, np.uint64)
+    names, column, holders = np.unique(flat, return_inverse=True, return_counts=True)
+    row = np.repeat(np.arange(len(sets)), sizes)
+    left, right = np.flatnonzero(group["side"] == 0), np.flatnonzero(group["side"] == group["side"].max())
+    common = np.zeros((len(left), len(right)), np.float32)
+    place = np.cumsum(holders > 1) - 1  # tokens of one set alone add nothing
+    keep = holders[column] > 1
+    column, row = place[column[keep]], row[keep]
+    order = np.argsort(column, kind="stable")
+    column, row = column[order], row[order]
+    width = 4096
+    for start in range(0, int(place[-1]) + 1 if len(place) else 0, width):
+        lo, hi = np.searchsorted(column, (start, start + width))
+        grid = np.zeros((len(sets), width), np.float32)
+        grid[row[lo:hi], column[lo:hi] - start] = 1
+        common += grid[left] @ grid[right].T
+    union = sizes[left][:, None] + sizes[right][None, :] - common
+    i, j = np.nonzero((100 * common >= percent * union) & (union > 0))
+    ids = group["id"].to_numpy(np.int64)
+    root = np.arange(len(sets))  # smallest position reachable, by passing labels along the links
+    u, v = left[i], right[j]
+    while True:
+        low = np.minimum(root[u], root[v])
+        new = root.copy()
+        np.minimum.at(new, u, low)
+        np.minimum.at(new, v, low)
+        new = new[new]
+        if (new == root).all():
             break
-        ends = found.labelled(index).join(entries, "sig").where("comp <> lead_comp")
-        found.compare(ends.select(F.least("id", "lead").alias("a"), F.greatest("id", "lead").alias("b")))
-    rows = found.labelled(index)
-    other = rows.select("sig", F.col("id").alias("id2"), F.col("comp").alias("comp2"))
-    found.compare(rows.join(other, "sig").where("id < id2 AND comp <> comp2").select(F.col("id").alias("a"), F.col("id2").alias("b")))
-    return found.comp
+        root = new
+    a, b = ids, ids[root]
+    return pd.DataFrame({"a": np.minimum(a, b)[a != b], "b": np.maximum(a, b)[a != b]})
+
+
+def _hot_links(hot: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """All links among sets that share an entry of very many sets.
+
+    Such entries come in crowds (every pair of tokens of a passage), so their sets are gathered into groups that
+    share any, each group is dealt into blocks by hash, and each two blocks are compared by a matrix product:
+    pairs are neither listed nor compared twice, and what a task holds is two blocks.
+    """
+    lead = hot.groupBy("sig").agg(F.min("id").alias("lead"))
+    edges = hot.join(lead, "sig").where("id <> lead").select(F.col("id").alias("a"), F.col("lead").alias("b")).distinct()
+    group = components(edges)
+    sized = group.groupBy("comp").agg(F.count("*").alias("k"))
+    parts = F.ceil(F.col("k") / BLOCK).cast("int")
+    dealt = group.join(sized, "comp").select("id", "comp", F.pmod(F.xxhash64("id"), parts).cast("int").alias("block"), parts.alias("parts"))
+    other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other")
+    dealt = saved(dealt.select("id", "comp", "block", other).select(
+        "id", "comp", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"),
+        (F.col("block") > F.col("other")).cast("int").alias("side")), "jaccard-blocks")
+    held = dealt.join(sets.select("id", "tokens"), "id")
+    return saved(held.groupBy("comp", "lo", "hi").applyInPandas(partial(_block_links, percent=percent), "a long, b long"), "jaccard-links")
+
+
+def _link(index: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """``id, comp`` of all sets that link with another, from the index entries they share.
+
+    First every set is compared with one set of each of its entries, which joins most copies of a group without
+    listing its pairs; entries whose sets are then in one component are done. Of the others, all pairs across
+    components are compared: pair by pair for entries of up to HOT sets, by blocks for larger ones.
+    """
+    lead = F.min(F.struct(F.xxhash64("id").alias("h"), F.col("id").alias("lead")))
+    leads = index.groupBy("sig").agg(lead.alias("l"), F.count("*").alias("k")).where("k > 1").select("sig", "l.lead")
+    ends = index.join(leads, "sig").where("id <> lead")
+    links = _compare_all(ends.select(F.least("id", "lead").alias("a"), F.greatest("id", "lead").alias("b")), sets, percent)
+    comp = components(links)
+    labelled = index.join(comp, "id", "left").select("sig", "id", F.coalesce("comp", "id").alias("comp"))
+    open_ = labelled.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("k")).where("lo < hi")
+    rows = saved(labelled.join(open_.select("sig", "k"), "sig"), "jaccard-index")
+    cold = rows.where(F.col("k") <= HOT)
+    other = cold.select("sig", F.col("id").alias("id2"), F.col("comp").alias("comp2"))
+    pairs = cold.join(other, "sig").where("id < id2 AND comp <> comp2").select(F.col("id").alias("a"), F.col("id2").alias("b"))
+    links = links.union(_compare_all(pairs, sets, percent))
+    hot = rows.where(F.col("k") > HOT)
+    if not hot.isEmpty():
+        links = links.union(_hot_links(hot, sets, percent))
+    return components(links)
 
 
 def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 75) -> DataFrame:
@@ -365,7 +406,7 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     rows = docs.select(F.col(key).cast("long").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     texts = rows.where("id IS NOT NULL")
     hashed = rows.select("id", F.md5(F.col("text").cast("binary")).alias("h"))
-    classes = saved(hashed.groupBy("h").agg(F.min("id").alias("rep"), F.countDistinct("id").alias("copies")), "jaccard-classes")
+    classes = saved(hashed.groupBy("h").agg(F.min("id").alias("rep"), F.count("*").alias("copies")), "jaccard-classes")
     members = classes.where("rep IS NOT NULL")
     wanted = _Map(members.select("rep"), members.count())
     bucket_bits = max(10, math.ceil(math.log2(8 * int(spark.conf.get("spark.sql.shuffle.partitions")))))
@@ -390,10 +431,7 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     comp = _link(shared, sets, percent)
 
     of = classes.join(sizes, F.col("rep") == F.col("id"), "left").select("h", "rep", "n")
-    if comp is not None:
-        of = of.join(comp, F.col("rep") == F.col("id"), "left").select("h", "n", F.coalesce("comp", "rep").alias("comp"))
-    else:
-        of = of.select("h", "n", F.col("rep").alias("comp"))
+    of = of.join(comp, F.col("rep") == F.col("id"), "left").select("h", "n", F.coalesce("comp", "rep").alias("comp"))
     out = hashed.join(of, "h")
     n = F.coalesce("n", F.lit(0)).cast("long")
     return out.select(F.col("id").alias(key), n.alias("n_shingles"),
