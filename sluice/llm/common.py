@@ -22,7 +22,7 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     Cuts the lineage and survives lost executors; used where a frame is read more than once.
     """
     path = fresh_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
