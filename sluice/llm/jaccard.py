@@ -263,15 +263,40 @@ def _unpack_set(data: bytes) -> np.ndarray:
     return np.frombuffer(data, "<u4", n).astype(np.uint64) << np.uint64(8) | np.frombuffer(data, np.uint8, n, 4 * n).astype(np.uint64)
 
 
+def _cells(tokens: np.ndarray) -> bytes:
+    """How many tokens fall into each of a power of two of cells, one to two of them for two tokens."""
+    cells = 1 << max(6, (len(tokens) - 1).bit_length() - 1)
+    counts = np.bincount((tokens >> np.uint64(40)).astype(np.int64) & (cells - 1), minlength=cells)
+    return np.minimum(counts, 255).astype(np.uint8).tobytes()
+
+
+def may_link(a: bytes, b: bytes, n: int, m: int, percent: int) -> bool:
+    """Whether sets of these sizes and cell counts can link: no cell holds more common tokens than either set."""
+    if 100 * min(n, m) < percent * max(n, m):
+        return False
+    x, y = np.frombuffer(a, np.uint8).astype(np.int64), np.frombuffer(b, np.uint8).astype(np.int64)
+    if max(x.max(), y.max()) == 255:  # a full cell bounds nothing
+        return True
+    cells = min(len(x), len(y))
+    common = int(np.minimum(x.reshape(-1, cells).sum(0), y.reshape(-1, cells).sum(0)).sum())
+    return 100 * common >= percent * (n + m - common)
+
+
+def _possible(batches, percent: int):
+    for batch in batches:
+        ok = [may_link(x, y, n, m, percent) for x, y, n, m in zip(batch["x"], batch["y"], batch["na"], batch["nb"])]
+        yield batch.loc[np.array(ok, bool), ["a", "b"]]
+
+
 def _set_rows(batches, wanted: _Map):
-    rows = []
+    rows, names = [], ["id", "n", "cells", "tokens"]
     for i, tokens in _sets(batches, wanted):
-        rows.append((i, len(tokens), _pack_set(tokens)))
+        rows.append((i, len(tokens), _cells(tokens), _pack_set(tokens)))
         if len(rows) >= 1000:
-            yield pd.DataFrame(rows, columns=["id", "n", "tokens"])
+            yield pd.DataFrame(rows, columns=names)
             rows = []
     if rows:
-        yield pd.DataFrame(rows, columns=["id", "n", "tokens"])
+        yield pd.DataFrame(rows, columns=names)
 
 
 def _compare(batches, percent: int):
@@ -301,13 +326,13 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def _compare_all(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """``a, b`` of the pairs that link."""
-    x = sets.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("tokens").alias("x"))
-    y = sets.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("tokens").alias("y"))
-    near = 100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")
-    sized = pairs.distinct().join(x.select("a", "na"), "a").join(y.select("b", "nb"), "b").where(near).select("a", "b").distinct()
-    got = sized.join(x.select("a", "x"), "a").join(y.select("b", "y"), "b").mapInPandas(
-        partial(_compare, percent=percent), "a long, b long, ok boolean")
+    """``a, b`` of the pairs that link: first by sizes and cell counts, which rule most out, then by the sets."""
+    x = sets.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("cells").alias("x"))
+    y = sets.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("cells").alias("y"))
+    possible = saved(pairs.distinct().join(x, "a").join(y, "b").mapInPandas(
+        partial(_possible, percent=percent), "a long, b long").distinct(), "jaccard-possible")
+    x, y = sets.select(F.col("id").alias("a"), F.col("tokens").alias("x")), sets.select(F.col("id").alias("b"), F.col("tokens").alias("y"))
+    got = possible.join(x, "a").join(y, "b").mapInPandas(partial(_compare, percent=percent), "a long, b long, ok boolean")
     return saved(got, "jaccard-pairs").where("ok").select("a", "b")
 
 
@@ -427,7 +452,7 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     shared = index.where("kind < 2").select("sig", "id").distinct()
     ids = saved(shared.select("id").distinct(), "jaccard-ids")
     holds = _Map(ids, ids.count())
-    sets = saved(texts.mapInPandas(partial(_set_rows, wanted=holds), "id long, n int, tokens binary"), "jaccard-sets")
+    sets = saved(texts.mapInPandas(partial(_set_rows, wanted=holds), "id long, n int, cells binary, tokens binary"), "jaccard-sets")
     comp = _link(shared, sets, percent)
 
     of = classes.join(sizes, F.col("rep") == F.col("id"), "left").select("h", "rep", "n")
