@@ -250,8 +250,8 @@ class IdEncoder:
     """Token ids of texts from the library, which sees each distinct chunk once while it is remembered.
 
     New chunks go to the library in one string, set apart by a NUL; the ids are cut there. That is exact where
-    no token but its own holds the NUL byte and the chunk has none and does not end in two white-space
-    characters; anything else is encoded by itself.
+    no token but its own holds the NUL byte and the chunk has none, does not begin with a quote and does not
+    end in two white-space characters; anything else is encoded by itself.
     """
 
     def __init__(self, path: str) -> None:
@@ -273,7 +273,7 @@ class IdEncoder:
         joined = []
         for p in new:
             chunk = p[1:] if p[:1] == "\0" else " " + p
-            if self.mark is None or chunk[-2:].isspace() and len(chunk) > 1:
+            if self.mark is None or chunk[:1] == "'" or chunk[-2:].isspace() and len(chunk) > 1:
                 known[p] = self._whole(chunk)
             else:
                 joined.append((p, chunk))

@@ -22,6 +22,7 @@ from functools import partial
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,6 +41,8 @@ CACHE_WORDS = 150_000
 BITMAP_BITS = (16, 27)
 #: An entry of more sets than this is compared by blocks of BLOCK sets.
 HOT, BLOCK = 64, 512
+#: Ids that may be broadcast (8 MB); more are joined by shuffle.
+BROADCAST_IDS = 1_000_000
 
 
 class _WordHash(dict):
@@ -136,6 +139,8 @@ def _sets(batches: Iterator[pd.DataFrame], wanted: _Map) -> Iterator[tuple[int,
         ids = batch["id"].to_numpy(np.int64)
         for k in np.flatnonzero(wanted.has(ids)).tolist():
             yield int(ids[k]), shingles(batch["text"].iat[k])
+    del batches
+    pa.default_memory_pool().release_unused()  # workers are used again for other stages
 
 
 def _by_bucket(tokens: np.ndarray, bucket_bits: int) -> Iterator[tuple[int, slice]]:
@@ -331,6 +336,9 @@ def _compare_all(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     y = sets.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("cells").alias("y"))
     possible = saved(pairs.distinct().join(x, "a").join(y, "b").mapInPandas(
         partial(_possible, percent=percent), "a long, b long").distinct(), "jaccard-possible")
+    ids = saved(possible.select(F.col("a").alias("id")).union(possible.select("b")).distinct(), "jaccard-possible")
+    # few sets are left: no need to shuffle all of them
+    sets = sets.select("id", "tokens").join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "id", "left_semi")
     x, y = sets.select(F.col("id").alias("a"), F.col("tokens").alias("x")), sets.select(F.col("id").alias("b"), F.col("tokens").alias("y"))
     got = possible.join(x, "a").join(y, "b").mapInPandas(partial(_compare, percent=percent), "a long, b long, ok boolean")
     return saved(got, "jaccard-pairs").where("ok").select("a", "b")
