@@ -169,7 +169,7 @@ class ModelLabels:
 
     labels: Mapping[str, str] | Sequence[str]
     predict: Callable[[Column], Column]
-    max_content_chars: int | None = 4000
+    max_content_chars: int | None = None
     skip_empty: bool = False
 
     def __post_init__(self) -> None:
@@ -208,7 +208,7 @@ class ModelLabels:
         return F.try_element_at(known, gated).cast("string")
 
 
-def model_classifier(labels, predict=None, keywords=None, max_content_chars=4000, skip_empty=False) -> ModelLabels:
+def model_classifier(labels, predict=None, keywords=None, max_content_chars=None, skip_empty=False) -> ModelLabels:
     if predict is None:
         if keywords is None:
             raise ValueError("give `predict` or `keywords`")

@@ -40,23 +40,6 @@ JSON_TYPES: dict[str, T.DataType] = {
 }
 
 
-def json_schema_of(fields: Sequence[Mapping[str, Any]] | None = None,
-                   json_schema: Mapping[str, Any] | None = None) -> dict[str, Any]:
-    """The JSON Schema the model is told about. ``json_schema`` wins over ``fields``;
-    optional fields (``required: false``) are left out of ``required``."""
-    if json_schema is not None:
-        return dict(json_schema)
-    if not fields:
-        raise ValueError("extraction needs either `fields` or `json_schema`")
-    properties: dict[str, Any] = {}
-    required: list[str] = []
-    for f in fields:
-        properties[f["name"]] = {"type": f.get("type", "string"), "description": f.get("description", "")}
-        if f.get("required", True):
-            required.append(f["name"])
-    return {"type": "object", "properties": properties, "required": required}
-
-
 def spark_type(node: Mapping[str, Any]) -> T.DataType:
     kind = node.get("type", "string")
     if kind == "object" and "properties" in node:
@@ -68,6 +51,29 @@ def spark_type(node: Mapping[str, Any]) -> T.DataType:
     return JSON_TYPES[kind]
 
 
+def struct_of(fields: Sequence[Mapping[str, Any]]) -> T.StructType:
+    """The struct a field list describes: an optional field is nullable; word and description are its metadata."""
+    return T.StructType([
+        T.StructField(f["name"], spark_type({"type": f.get("type", "string")}), nullable=not f.get("required", True),
+                      metadata={"word": f.get("type", "string"), "comment": f.get("description", "")})
+        for f in fields])
+
+
+def json_schema_of(fields: Sequence[Mapping[str, Any]] | None = None,
+                   json_schema: Mapping[str, Any] | None = None) -> dict[str, Any]:
+    """The JSON Schema the model is told about, read off the struct; a given ``json_schema`` is taken as it is."""
+    if json_schema is not None:
+        return dict(json_schema)
+    struct = struct_of(fields or ())
+    if not struct.fields:
+        raise ValueError("describe what to extract with `fields` or `json_schema`")
+    return {
+        "type": "object",
+        "properties": {c.name: {"type": c.metadata["word"], "description": c.metadata["comment"]} for c in struct},
+        "required": [c.name for c in struct if not c.nullable],
+    }
+
+
 def schema_from_fields(fields=None, json_schema=None) -> tuple[T.StructType, str]:
     """(Spark schema of the extracted struct, JSON text of the schema)."""
     spec = json_schema_of(fields, json_schema)
@@ -76,13 +82,13 @@ def schema_from_fields(fields=None, json_schema=None) -> tuple[T.StructType, str
     return struct, json.dumps(spec)
 
 
-def hosted_prompt(schema_json: str, text: Column, max_chars: int | None = 20_000) -> Column:
+def hosted_prompt(schema_json: str, text: Column, max_chars: int | None = None) -> Column:
     """P4, hosted form: schema then the parsed text (cut to ``max_chars``; ``None`` = whole); null → ``''``."""
     return F.concat(F.lit(HOSTED_PREFIX.format(schema=schema_json)),
                     F.coalesce(char_prefix(text, max_chars), F.lit("")))
 
 
-def direct_prompt(filename: Column, text: Column, max_chars: int | None = 20_000) -> Column:
+def direct_prompt(filename: Column, text: Column, max_chars: int | None = None) -> Column:
     """P4, direct form: ``Filename: f`` then the text (cut to ``max_chars``; ``None`` = whole)."""
     head, tail = DIRECT_PREFIX.split("{filename}")
     return F.concat(F.lit(head), filename, F.lit(tail), F.coalesce(char_prefix(text, max_chars), F.lit("")))
@@ -119,7 +125,7 @@ def parse_reply(reply: Column, schema: T.StructType) -> Column:
 
 def extract_fields(df: DataFrame, fields=None, json_schema=None,
                    predict: Callable[[Column], Column] | None = None,
-                   max_content_chars: int | None = 20_000, prompt: str = "hosted",
+                   max_content_chars: int | None = None, prompt: str = "hosted",
                    text: Column | None = None, expand: bool = False, ask: Column | None = None,
                    instructions: str = DEFAULT_INSTRUCTIONS) -> DataFrame:
     """Typed ``extracted`` struct from a model reply.
@@ -176,7 +182,7 @@ def extract_map(fn: Callable[[bytes], Mapping[str, Any]]):
 
 
 def document_fields_parser(fields=None, json_schema=None, predict: Callable[[Column], Column] | None = None,
-                           max_content_chars: int | None = 20_000, binary_parser=None):
+                           max_content_chars: int | None = None, binary_parser=None):
     """P2 + P5 as one parser: ``extracted = {parsed_document, <fields>...}``.
 
     Without fields or a schema only the parsed document is kept. Empty

@@ -17,8 +17,8 @@ from pyspark.sql.window import Window
 
 WILDCARD = "*"
 
-# The message of a strict routing failure, around the document's uri and label.
-UNROUTABLE = ("No pipeline could be resolved for document ", " (doc_type=", "); add a route or a default_pipeline")
+# What a strict routing failure says, around the document's uri and label.
+UNROUTABLE = ("strict routing: no route takes ", " for doc_type=", "")
 
 
 @dataclass(frozen=True)

@@ -352,14 +352,14 @@ def _run_and_write(spark, sf_dir, spec: RouterSpec) -> dict:
 def _read_records(spark, path):
     schema = ("doc_id string, uri string, doc_type string, ingested_at double, metadata map<string,string>, "
               "extracted struct<text:string,length:int>, errors array<string>, pipeline_name string, run_id string")
-    return spark.read.schema(schema).json(path)
+    return spark.read.schema(schema).option("recursiveFileLookup", "true").json(path)
 
 
 def sink_json(spark, sf_dir):
     path = fresh_path(spark, "sink_json")
     spec = flagship_spec(sinks_for=lambda name: [json_sink(f"{path}/{name}", RUN_ID, name)])
     _run_and_write(spark, sf_dir, spec)
-    back = _read_records(spark, f"{path}/*")
+    back = _read_records(spark, path)
     return back.select("uri", "doc_type", "pipeline_name", _long(F.size("errors")).alias("n_errors"),
                        _long(F.col("extracted.length")).alias("text_chars"))
 
@@ -406,11 +406,11 @@ def router_stream(spark, sf_dir):
     landing_path = fresh_path(spark, "router_landing")
     _write_landing(spark, sf_dir, landing_path)
     out = fresh_path(spark, "router_stream_out")
-    spec = flagship_spec(sinks_for=lambda name: [json_sink(f"{out}/{name}", RUN_ID, name)])
+    spec = flagship_spec(sinks_for=lambda name: [json_sink(out, RUN_ID, name)])  # all pipelines share the path
     stream = stream_table(spark, landing_path, max_files_per_trigger=3)
     docs = to_documents(stream, metadata=F.col("metadata"), keep=["src_id", "n_chars"])
     run_router_stream(docs, spec, fresh_path(spark, "router_stream_ckpt"), run_id=RUN_ID).awaitTermination()
-    back = _read_records(spark, f"{out}/*/*")
+    back = _read_records(spark, out)
     return (back.groupBy("pipeline_name", "doc_type")
                 .agg(F.count(F.lit(1)).alias("n_docs"), _long(F.sum("extracted.length")).alias("text_chars")))
 

@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.functions.text import text_bytes
-from sluice.session import spread
 from sluice.sources.documents import string_map, to_documents
 
 # File stems by ``doc_id % 6`` and extensions by ``(doc_id div 6) % 5``.
@@ -24,8 +23,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def text_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table whose rows carry whole texts: spread over all cores when it comes in few files."""
-    return spread(table(spark, sf_dir, name))
+    """A table whose rows carry whole texts."""
+    return table(spark, sf_dir, name)
 
 
 def _pick(values: list[str], index) -> F.Column:

@@ -113,7 +113,7 @@ def materialize(df: DataFrame, how: str | None) -> DataFrame:
     if how == "table":
         path = fresh_path(df.sparkSession, "routed")
         df.write.partitionBy("pipeline").parquet(path)
-        return df.sparkSession.read.parquet(path)
+        return df.sparkSession.read.schema(df.schema).parquet(path)
     if how is not None:
         raise ValueError(f"unknown share mode {how!r}")
     return df
@@ -124,14 +124,14 @@ def run_router(source: DataFrame, spec: RouterSpec, share: str | None = "auto")
 
     Every pipeline is a filter of the same routed frame; Catalyst does not
     reuse it across branches, so with more than one pipeline it is
-    materialised once (``share="auto"`` → ``persist``) and the source is
+    materialised once (``share="auto"`` → ``table``) and the source is
     read, decoded and classified a single time. ``share=None`` leaves the
     plan as is; ``"checkpoint"`` / ``"table"`` write it to the shared
     folder (see ``materialize``).
     """
     classified = classify_chain(source, spec.classifiers, mode="first")
     if share == "auto":
-        share = "persist" if len(spec.routes.pipelines()) > 1 else None
+        share = "table" if len(spec.routes.pipelines()) > 1 else None
     routing = Observation("routing")
     # Counted below the shared copy: the counts come with building it, and
     # pipeline filters on a written copy still reach its partitions.
@@ -196,6 +196,7 @@ def write_flow(result: FlowResult, pipelines: Mapping[str, PipelineSpec], batch_
     finally:
         for df in cached:
             df.unpersist()
+        result.close()
 
 
 def _collect_stats(result: FlowResult, run_id: str) -> dict:

@@ -61,7 +61,7 @@ def flagship_classifier():
     return rules_classifier(FLAGSHIP_RULES)
 
 
-def language_model(max_content_chars: int | None = 4000):
+def language_model(max_content_chars: int | None = None):
     return model_classifier(LANGUAGE_LABELS, keywords=LANGUAGE_KEYWORDS, max_content_chars=max_content_chars)
 
 

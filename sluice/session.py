@@ -61,46 +61,3 @@ def work_root(spark: SparkSession) -> str:
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A new, unused location under the shared folder."""
     return f"{work_root(spark)}/sluice/{name}-{uuid.uuid4().hex[:12]}"
-
-
-SPREAD_MAX_BYTES = 1 << 30
-
-
-def _total_bytes(paths: list[str]) -> int:
-    from pyarrow import fs as pafs
-
-    total = 0
-    for path in paths:
-        filesystem, inner = pafs.FileSystem.from_uri(path if ":" in path else "file://" + path)
-        total += filesystem.get_file_info(inner).size or 0
-    return total
-
-
-def spread(df, parallelism: int | None = None, max_bytes: int = SPREAD_MAX_BYTES):
-    """Round-robin a small frame read from only a few files across all cores.
-
-    A scan gets one task per file split, and a parquet file with a single
-    row group is one split however large it is. When the input is both
-    small (at most ``max_bytes``) and in fewer files than the cluster has
-    cores, the per-document work that follows (regex, decoding, model
-    calls) would run on a few tasks only, so the rows are redistributed
-    first; the shuffle is bounded by ``max_bytes``. Any other input, the
-    normal case on a cluster, is returned unchanged: no shuffle is added.
-    """
-    spark = df.sparkSession
-    parallelism = parallelism or spark.sparkContext.defaultParallelism
-    files = df.inputFiles()
-    if not files or len(files) >= parallelism or _total_bytes(files) > max_bytes:
-        return df
-    return df.repartition(parallelism)
-
-
-def spread_batch(df, parallelism: int | None = None):
-    """``spread`` for a streaming micro-batch, whose size the trigger already
-    bounds (``maxFilesPerTrigger``): a batch of fewer partitions than the
-    cluster has cores is round-robined across all of them."""
-    spark = df.sparkSession
-    parallelism = parallelism or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= parallelism:
-        return df
-    return df.repartition(parallelism)

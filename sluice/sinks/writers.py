@@ -19,6 +19,9 @@ from pyspark.sql import functions as F
 
 from sluice.functions.text import extension_of
 
+#: Folder column under which overwriting sinks keep each pipeline's files (``pipeline_name`` stays in the rows).
+FOLDER = "of_pipeline"
+
 Sink = Callable[[DataFrame, "int | None"], None]
 
 
@@ -30,7 +33,7 @@ def extracted_json(extracted: Column, kind: str) -> Column:
         empty = F.lit(True)
     else:
         empty = F.lit(False)
-    return F.when(extracted.isNotNull() & ~empty, F.to_json(extracted))
+    return F.when(extracted.isNotNull() & ~empty, F.to_json(extracted, {"ignoreNullFields": "false"}))
 
 
 def _extracted_type(df: DataFrame) -> str:
@@ -74,26 +77,36 @@ def write_table(df: DataFrame, table: str, mode: str = "append", fmt: str = "par
     ``partition_by=["pipeline_name"]`` writes one folder per pipeline with no
     shuffle: each task writes the pipelines it holds, so a pipeline that
     receives a third of all documents does not land in one task.
-    With ``batch_id`` a path table overwrites its ``batch_id=N`` folder (a
-    replayed micro-batch replaces itself); a catalog table is appended to,
-    so streams should write path tables.
+    Overwriting a path table (always with ``batch_id``, in its
+    ``batch_id=N`` folder) replaces the folders of the pipelines it brings
+    and no others, so pipelines can share a path and a replayed micro-batch
+    replaces itself. A catalog table gets every micro-batch appended.
     """
-    if batch_id is not None:
-        mode = "overwrite"
-    writer = df.write.format(fmt).mode(mode)
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
     if "/" in table or ":" in table:
-        writer.save(_target(table, batch_id))
+        mode = mode if batch_id is None else "overwrite"
+        if mode == "overwrite" and "pipeline_name" in df.columns:
+            df, partition_by = df.withColumn(FOLDER, F.col("pipeline_name")), [FOLDER]
+        _writer(df, mode, partition_by).format(fmt).save(_target(table, batch_id))
     else:
-        writer.saveAsTable(table)
+        _writer(df, mode if batch_id is None else "append", partition_by).format(fmt).saveAsTable(table)
+
+
+def _writer(df: DataFrame, mode: str, partition_by: Sequence[str] = ()):
+    writer = df.write.mode(mode)
+    if partition_by:
+        writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
+    return writer
 
 
 def write_json(df: DataFrame, path: str, mode: str = "append", batch_id: int | None = None) -> None:
-    """K2: JSON lines, many records per part file; nulls are written as ``null``."""
-    if batch_id is not None:
-        mode = "overwrite"
-    df.write.mode(mode).option("ignoreNullFields", "false").json(_target(path, batch_id))
+    """K2: JSON lines, many records per part file; nulls are written as ``null``.
+
+    Overwriting (always with ``batch_id``) replaces the folders of the pipelines it brings and no others.
+    """
+    mode = mode if batch_id is None else "overwrite"
+    parts = [FOLDER] if mode == "overwrite" and "pipeline_name" in df.columns else []
+    df = df.withColumn(FOLDER, F.col("pipeline_name")) if parts else df
+    _writer(df, mode, parts).option("ignoreNullFields", "false").json(_target(path, batch_id))
 
 
 def content_names(df: DataFrame) -> DataFrame:

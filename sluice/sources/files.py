@@ -9,6 +9,7 @@ name starts with ``.`` or ``_`` and files of zero length.
 from __future__ import annotations
 
 import fnmatch
+import re
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -73,8 +74,10 @@ def scan_files(spark: SparkSession, path: str, patterns: Sequence[str] | None =
     under the given prefixes (a state folder kept inside the tree).
     ``ordered`` sorts by path (a range shuffle; only for presentation)."""
     raw = read_files(spark, path, patterns, recursive)
+    plain = F.regexp_replace("path", "^[a-zA-Z][a-zA-Z0-9+.-]*:/*", "/")
     for prefix in exclude:
-        raw = raw.where(~F.col("path").contains(prefix))
+        folder = re.sub("^([a-zA-Z][a-zA-Z0-9+.-]*:)?/*", "/", prefix.rstrip("/"))
+        raw = raw.where(~(plain.startswith(folder + "/") | (plain == folder)))
     docs = files_to_documents(raw, include_content, ingested_at=ingested_at)
     return docs.orderBy("uri") if ordered else docs
 
@@ -120,7 +123,7 @@ def incremental_paths(spark: SparkSession, path: str, state_path: str, patterns=
     bytes. Like Spark's own file stream source, the increment's file list is
     planned on the driver (paths only); ``max_files`` takes the oldest files
     first and leaves the rest for the next pass."""
-    listing = scan_files(spark, path, patterns, include_content=False, exclude=[state_path.split(":")[-1]])
+    listing = scan_files(spark, path, patterns, include_content=False, exclude=[state_path])
     fresh = new_files(listing, load_seen(spark, state_path)).select("uri", "modificationTime")
     if max_files is not None:
         fresh = fresh.orderBy("modificationTime", "uri").limit(max_files)

@@ -61,8 +61,11 @@ def load_watermark(spark: SparkSession, path: str):
 
 
 def save_watermark(marks: DataFrame, path: str) -> None:
-    """Persist the one-row result of ``next_watermark`` after the pass is written."""
-    marks.write.mode("overwrite").parquet(path)
+    """Add the one-row result of ``next_watermark`` after the pass is written; the largest mark counts.
+
+    Appended, so that a crash in between never loses the mark before.
+    """
+    marks.write.mode("append").parquet(path)
 
 
 def landing_pass(spark: SparkSession, table: DataFrame, state_path: str, write, ts_col: str = "ts",

@@ -2,7 +2,7 @@
 
 Producers drop JSON-lines files (or rows) into a submissions location;
 a file stream with its own checkpoint consumes each submission once.
-Content is base64-decoded (absent or invalid → null); metadata gets
+Content is base64-decoded (absent, empty or invalid → null); metadata gets
 ``source=api`` unless the submitter already set ``source``.
 """
 
@@ -17,7 +17,8 @@ SUBMISSION_SCHEMA = "uri string, content_base64 string, metadata map<string,stri
 
 
 def ingest_submissions(df: DataFrame, ingested_at: float = 0.0) -> DataFrame:
-    content = F.try_to_binary(F.col("content_base64"), F.lit("base64"))
+    given = F.nullif(F.col("content_base64"), F.lit(""))
+    content = F.try_to_binary(given, F.lit("base64"))
     meta = F.coalesce(F.col("metadata"), F.create_map().cast("map<string,string>"))
     return to_documents(df, uri="uri", content=content, metadata=meta, source="api", ingested_at=ingested_at)
 

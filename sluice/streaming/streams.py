@@ -15,7 +15,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from sluice.plans.flow import RouterSpec, run_router, write_flow
-from sluice.session import spread_batch
 from sluice.sources.files import files_to_documents, read_files
 
 # Far older files than the newest seen one must still be picked up.
@@ -71,14 +70,12 @@ def stream_to(stream: DataFrame, path: str, checkpoint: str, fmt: str = "parquet
     return writer.trigger(**(trigger or {"availableNow": True})).start()
 
 
-def router_batch_writer(spec: RouterSpec, run_id: str = "", on_stats: Callable[[int, dict], None] | None = None,
-                        spread: bool = True) -> Callable[[DataFrame, int], None]:
+def router_batch_writer(spec: RouterSpec, run_id: str = "", on_stats: Callable[[int, dict], None] | None = None) -> Callable[[DataFrame, int], None]:
     """The ``foreachBatch`` function of F2: the batch router flow on one
     micro-batch, sinks keyed by ``batch_id`` so a replay overwrites itself."""
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        # A micro-batch of a few large files would run on a few tasks; the trigger bounds its size.
-        result = run_router(spread_batch(batch) if spread else batch, spec, share="persist")
+        result = run_router(batch, spec)
         try:
             stats = write_flow(result, spec.pipelines, batch_id=batch_id, run_id=run_id)
         finally:
@@ -90,9 +87,7 @@ def router_batch_writer(spec: RouterSpec, run_id: str = "", on_stats: Callable[[
 
 
 def run_router_stream(stream: DataFrame, spec: RouterSpec, checkpoint: str, trigger: dict | None = None,
-                      run_id: str = "", on_stats: Callable[[int, dict], None] | None = None,
-                      spread: bool = True) -> StreamingQuery:
+                      run_id: str = "", on_stats: Callable[[int, dict], None] | None = None) -> StreamingQuery:
     """F2: the router flow per micro-batch; one checkpoint for the whole flow,
-    so a second run over the same input processes nothing new. ``spread``
-    redistributes a micro-batch that arrives in fewer partitions than cores."""
-    return run_stream(stream, router_batch_writer(spec, run_id, on_stats, spread), checkpoint, trigger)
+    so a second run over the same input processes nothing new."""
+    return run_stream(stream, router_batch_writer(spec, run_id, on_stats), checkpoint, trigger)

@@ -131,16 +131,15 @@ def test_watermark_state_round_trip(spark):
     assert str(load_watermark(spark, path)) == "2024-01-03 00:00:00"
 
 
-def test_spread_leaves_many_file_inputs_alone(spark):
-    from sluice.session import spread
-
-    root = tempfile.mkdtemp() + "/many"
-    spark.range(64).repartition(16).write.parquet(root)
-    many = spark.read.parquet(root)
-    assert spread(many, parallelism=8) is many
-    few = spark.read.parquet(root + "/" + next(f for f in os.listdir(root) if f.endswith(".parquet")))
-    assert spread(few, parallelism=8) is not few
-    assert spread(few, parallelism=8, max_bytes=10) is few
+def test_excluded_folder_keeps_its_neighbours(spark):
+    root = tempfile.mkdtemp()
+    for name in ("seen/old.txt", "seen_invoices/a.txt", "b.txt"):
+        os.makedirs(os.path.dirname(f"{root}/{name}"), exist_ok=True)
+        with open(f"{root}/{name}", "w") as f:
+            f.write("x")
+    for prefix in (f"{root}/seen", f"file:{root}/seen/", f"file://{root}/seen"):
+        got = sorted(r["uri"].rsplit("/", 1)[-1] for r in scan_files(spark, root, exclude=[prefix]).collect())
+        assert got == ["a.txt", "b.txt"]
 
 
 def test_landing_pass_saves_mark_only_after_the_write(spark):
