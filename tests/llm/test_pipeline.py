@@ -1,0 +1,71 @@
+"""The corpus pipeline against a brute-force version of its stages."""
+
+import zlib
+
+import duckdb
+import numpy as np
+
+import corpus_pipeline
+from sluice.llm import bpe, decontaminate, toxicity
+from sluice.llm.common import table
+
+SF = "/root/testdata/sf0.001"
+
+
+def _components(rows):
+    def tokens(t):
+        w = t.encode().lower().split()
+        return frozenset(tuple(w[k:k + 5]) for k in range(len(w) - 4)) if len(w) >= 5 else frozenset([tuple(w)] if w else [])
+
+    sets = {i: tokens(t or "") for i, t in rows}
+    top = dict.fromkeys(sets)
+    for i in sorted(sets):
+        if top[i] is None:
+            top[i], todo = i, [i]
+            while todo:
+                a = sets[todo.pop()]
+                for j, b in sets.items():
+                    if top[j] is None and a and b and 100 * len(a & b) >= 75 * len(a | b):
+                        top[j] = i
+                        todo.append(j)
+    return top
+
+
+def test_pipeline_equals_brute_force(spark):
+    docs = table(spark, SF, "documents")
+    model = toxicity.fitted(spark, docs, SF)
+    rows = {r.doc_id: r for r in docs.collect()}
+    kept = [i for i, r in rows.items() if model.probability(r.text or "") < 0.3]
+    top = _components([(i, rows[i].text) for i in kept])
+    kept = [i for i in kept if top[i] == i]
+    items = [decontaminate.normal(t) for (t,) in duckdb.sql(f"SELECT text FROM '{SF}/benchmark.parquet'").fetchall()]
+
+    def leaks(text):
+        text = decontaminate.normal(text or "")
+        return any(decontaminate.best_match(t, text)[0] <= int(0.08 * len(t)) for t in items if len(t) >= 20)
+
+    kept = [i for i in kept if not leaks(rows[i].text)]
+    words = {i: len((rows[i].text or "").encode().split()) for i in kept}
+    names = sorted({rows[i].source for i in kept}, key=lambda s: (s is None, s))
+    size = {s: sum(words[i] for i in kept if rows[i].source == s) for s in names}
+    weight = {s: (3, 1, 2)[k % 3] for k, s in enumerate(names)}
+    target, total, free = {}, 1.5 * sum(size.values()), set(names)
+    while free:
+        level = total / sum(weight[s] for s in free)
+        over = {s for s in free if weight[s] * level > 2 * size[s]}
+        target |= {s: 2 * size[s] if s in over else weight[s] * level for s in over or free}
+        total -= sum(2 * size[s] for s in over)
+        free = free - over if over else set()
+    import hashlib
+
+    want, at, tok = [], 0, bpe.load(bpe.default_path())
+    for i in sorted(kept):
+        s = rows[i].source
+        rate = target[s] / size[s] if size[s] else 0.0
+        u = int(hashlib.md5(f"mix|={i}".encode()).hexdigest()[:12], 16) / 2**48
+        ids = tok.encode(rows[i].text or "", add_special_tokens=False).ids + [2]
+        for _ in range(int(rate) + (u < rate - int(rate))):
+            want.append((i, at, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+            at += len(ids)
+    got = corpus_pipeline.run(spark, SF).select("doc_id", "start", "n_tokens", "ids_crc32").collect()
+    assert sorted(map(tuple, got)) == want and 0 < len(kept) < len(rows)
