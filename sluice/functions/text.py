@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import codecs
+
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 REPLACEMENT_CHAR = "�"
+# Genuine replacement characters while invalid bytes are removed: escape character first.
+ESCAPES = [("\x01", "\x01\x02"), (REPLACEMENT_CHAR, "\x01\x03")]
 
 
 def filename_of(uri: Column) -> Column:
@@ -26,14 +30,19 @@ def extension_of(uri: Column) -> Column:
 def decode_utf8(content: Column) -> Column:
     """UTF-8 decode that drops invalid bytes (like ``bytes.decode(errors="ignore")``).
 
-    Valid input is a plain cast, so a genuine U+FFFD in valid text is kept;
-    only invalid input is repaired and stripped of replacement characters.
-    Null stays null.
+    Valid input is a plain cast. Invalid input is repaired, which puts U+FFFD
+    where bytes were bad, and those are removed; a genuine U+FFFD is written
+    as two control characters meanwhile (and that escape is itself escaped),
+    so it stays. Null stays null.
     """
     text = content.cast("string")
-    return F.when(F.is_valid_utf8(text), text).otherwise(
-        F.regexp_replace(F.make_valid_utf8(text), REPLACEMENT_CHAR, "")
-    )
+    kept = text
+    for plain, coded in ESCAPES:
+        kept = F.replace(kept, F.lit(plain), F.lit(coded))
+    kept = F.replace(F.make_valid_utf8(kept), F.lit(REPLACEMENT_CHAR), F.lit(""))
+    for plain, coded in reversed(ESCAPES):
+        kept = F.replace(kept, F.lit(coded), F.lit(plain))
+    return F.when(F.is_valid_utf8(text), text).otherwise(kept)
 
 
 def _decode_other(encoding: str):
@@ -45,10 +54,15 @@ def _decode_other(encoding: str):
 
 
 def decode_bytes(content: Column, encoding: str = "utf-8") -> Column:
-    """Decode with ``encoding``, ignoring bad bytes. UTF-8 stays in the JVM;
-    other encodings use a vectorised Python decoder."""
-    if encoding.lower().replace("_", "-") in ("utf-8", "utf8"):
+    """Decode with ``encoding``, ignoring bad bytes. UTF-8, Latin-1 and ASCII
+    stay in the JVM; other encodings use a vectorised Python decoder."""
+    name = codecs.lookup(encoding).name
+    if name == "utf-8":
         return decode_utf8(content)
+    if name == "iso8859-1":
+        return F.decode(content, "ISO-8859-1")
+    if name == "ascii":
+        return F.regexp_replace(F.decode(content, "ISO-8859-1"), r"[\x80-\xff]", "")
     return _decode_other(encoding)(content)
 
 

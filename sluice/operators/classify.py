@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from sluice.functions.text import byte_prefix_text, extension_of, filename_of
 from sluice.operators.errors import attempt
+from sluice.operators.models import returns_outcome
 from sluice.sources.documents import add_errors
 
 Classifier = Callable[[DataFrame, Column], Column]
@@ -162,7 +163,8 @@ class ModelLabels:
 
     ``predict`` maps a request struct ``<prompt, system, filename, snippet>`` to a
     string column; it is either a native expression (the keyword default)
-    or a pandas UDF wrapping a real model. The answer is trimmed and kept
+    or a pandas UDF wrapping a real model (``python_predict``, whose failed
+    calls end in the row's ``errors``). The answer is trimmed and kept
     only when it is one of the labels. ``skip_empty`` gives null without a
     call for rows with no content (the hosted variant).
     """
@@ -178,6 +180,10 @@ class ModelLabels:
         if not isinstance(self.labels, Mapping):
             self.labels = {label: "" for label in self.labels}
 
+    @property
+    def returns_outcome(self) -> bool:
+        return returns_outcome(self.predict)
+
     def _ask(self, needed: Column) -> Column:
         if not self.skip_empty:
             return needed
@@ -199,13 +205,17 @@ class ModelLabels:
             filename.alias("filename"),
             snippet.alias("snippet"),
         ))
-        known = F.create_map(*[F.lit(x) for label in self.labels for x in (label, label)])
-        answer = F.btrim(self.predict(request), F.lit(WHITESPACE))
+        if self.returns_outcome:  # <result, error>: the chain reads the label off the planned column
+            return self.predict(request)
         # Rows not asked get no label even if ``predict`` answers a null
         # request; ``ask`` is folded in without a branch so the predictor
         # stays outside CASE WHEN, where Spark does not share common parts.
-        gated = F.concat(answer, F.when(ask, F.lit("")))
-        return F.try_element_at(known, gated).cast("string")
+        return self.label_of(F.concat(self.predict(request), F.when(ask, F.lit(""))))
+
+    def label_of(self, reply: Column) -> Column:
+        """The trimmed reply when it is one of the labels, else null."""
+        known = F.create_map(*[F.lit(x) for label in self.labels for x in (label, label)])
+        return F.try_element_at(known, F.btrim(reply, F.lit(WHITESPACE))).cast("string")
 
 
 def model_classifier(labels, predict=None, keywords=None, max_content_chars=None, skip_empty=False) -> ModelLabels:
@@ -274,8 +284,10 @@ def classify_chain(df: DataFrame, classifiers: Sequence[Classifier], mode: str =
             df = clf.prepare(df, needed)
         df = df.withColumn(answer, clf(df, needed))
         label = F.col(answer)
-        if getattr(clf, "returns_outcome", False):  # <result, error> from a Python classifier
+        if returns_outcome(clf):  # <result, error> from a Python classifier or model client
             label = F.col(f"{answer}.result")
+            if hasattr(clf, "label_of"):
+                label = clf.label_of(label)
             errors = F.col("errors") if "errors" in df.columns else F.array().cast("array<string>")
             df = df.withColumn("errors", add_errors(errors, F.col(f"{answer}.error")))
         pick = [F.col("doc_type"), label] if mode == "first" else [label, F.col("doc_type")]

@@ -40,7 +40,7 @@ def attempt(fn: Callable[..., Any], result_type: T.DataType | str, n_args: int =
     out_type = T.StructType([T.StructField("result", result_type), T.StructField("error", T.StringType())])
 
     def run_one(*args):
-        if args[0] is None:
+        if args[0] is None or (pd.api.types.is_scalar(args[0]) and pd.isna(args[0])):  # a null number arrives as NaN
             return None
         try:
             return {"result": fn(*args), "error": None}

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sluice.functions.text import char_prefix, decode_utf8, filename_of
+from sluice.operators.models import returns_outcome
 from sluice.sources.documents import add_errors
 
 # The tool instruction and prompt head of the direct form, the prompt head of the hosted form.
@@ -132,8 +133,9 @@ def extract_fields(df: DataFrame, fields=None, json_schema=None,
 
     Text comes from ``parsed_document.document.text`` when the frame has it,
     else from the decoded content. A null or corrupt reply leaves
-    ``extracted`` null and records an error on the row. Rows where ``ask``
-    is false are not sent to the model and get neither fields nor an error.
+    ``extracted`` null and records an error on the row (the client's own
+    message when the call failed). Rows where ``ask`` is false are not sent
+    to the model and get neither fields nor an error.
     """
     schema, schema_json = schema_from_fields(fields, json_schema)
     if predict is None:
@@ -149,14 +151,19 @@ def extract_fields(df: DataFrame, fields=None, json_schema=None,
     request = F.when(ask, F.struct(prompt_col.alias("prompt"), char_prefix(text, max_content_chars).alias("text"),
                                    filename.alias("filename"), F.lit(schema_json).alias("schema"),
                                    F.lit(instructions).alias("instructions")))
-    out = df.withColumn("_ask", ask).withColumn("_reply", predict(request))
+    out, failure = df.withColumn("_ask", ask), F.lit(None).cast("string")
+    if returns_outcome(predict):
+        out = out.withColumn("_outcome", predict(request)).withColumn("_reply", F.col("_outcome.result"))
+        failure = F.col("_outcome.error")
+    else:
+        out = out.withColumn("_reply", predict(request))
     parsed = parse_reply(F.col("_reply"), schema)
     bad = F.col("_ask") & (F.col("_reply").isNull() | parsed[CORRUPT].isNotNull())
     out = (out.withColumn("_parsed", parsed)
-              .withColumn("errors", add_errors(F.col("errors"), F.when(bad, F.lit(NO_REPLY))))
+              .withColumn("errors", add_errors(F.col("errors"), F.when(bad, F.coalesce(failure, F.lit(NO_REPLY)))))
               .withColumn("extracted", F.when(F.col("_ask") & ~bad, F.struct(*[F.col("_parsed")[f.name].alias(f.name)
                                                                               for f in schema.fields])))
-              .drop("_ask", "_reply", "_parsed"))
+              .drop("_ask", "_outcome", "_reply", "_parsed"))
     if expand:
         out = out.select("*", *[F.col("extracted")[f.name].alias(f.name) for f in schema.fields])
     return out

@@ -3,8 +3,9 @@
 A model client is expensive to create and may fail per call. ``python_predict``
 wraps a client factory as an iterator pandas UDF: the factory runs once per
 task (not per row, not on the driver), each request field is sent as one
-call, and a failing call gives null for that row only. Rows the classifier
-did not ask about arrive as null requests and are never sent.
+call, and a failing call gives that row an error text instead of a reply.
+Rows the classifier did not ask about arrive as null requests and are never
+sent.
 """
 
 from __future__ import annotations
@@ -19,13 +20,20 @@ from pyspark.sql import functions as F
 
 Client = Callable[[str], Any]
 
+OUTCOME = "result string, error string"
+
 
 def _missing(value: Any) -> bool:
     return value is None or (isinstance(value, float) and value != value)
 
 
+def returns_outcome(predict: Any) -> bool:
+    """Whether a ``predict`` answers ``<result, error>`` structs (else plain replies)."""
+    return bool(getattr(predict, "returns_outcome", False))
+
+
 def python_predict(make_client: Callable[[], Client], field: str | None = "prompt",
-                   return_type: str = "string", concurrency: int = 1) -> Callable[[Column], Column]:
+                   concurrency: int = 1) -> Callable[[Column], Column]:
     """``predict`` for ``model_classifier`` (reply = label text) or for
     ``extract_fields`` (reply = JSON object text) backed by a Python client.
 
@@ -34,6 +42,10 @@ def python_predict(make_client: Callable[[], Client], field: str | None = "promp
     instruction, schema, filename... of the calling operator). Calls are
     network-bound, so ``concurrency > 1`` keeps that many requests of a task
     in flight at once (threads sharing the task's client); reply order is kept.
+
+    The answer is ``struct<result, error>``: an exception becomes the error
+    text of its row, which the operators add to ``errors``. The UDF is
+    non-deterministic, so a filter behind it never makes Spark ask twice.
     """
 
     def values(requests: pd.DataFrame):
@@ -42,17 +54,17 @@ def python_predict(make_client: Callable[[], Client], field: str | None = "promp
         first = requests.columns[0]
         return [None if _missing(row[first]) else row for row in requests.to_dict("records")]
 
-    def ask(client: Client, value: Any) -> str | None:
+    def ask(client: Client, value: Any) -> tuple[str | None, str | None]:
         if _missing(value):
-            return None
+            return None, None
         try:
             reply = client(value)
-        except Exception:  # noqa: BLE001 - a failed call gives no answer for this row
-            return None
-        return None if reply is None else str(reply)
+        except Exception as exc:  # noqa: BLE001 - a failed call is an error of this row
+            return None, str(exc) or type(exc).__name__
+        return (None if reply is None else str(reply)), None
 
-    @F.pandas_udf(return_type)
-    def call(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
+    @F.pandas_udf(OUTCOME)
+    def call(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         client = make_client()
         pool = ThreadPoolExecutor(concurrency) if concurrency > 1 else None
         try:
@@ -60,9 +72,15 @@ def python_predict(make_client: Callable[[], Client], field: str | None = "promp
                 todo = values(requests)
                 replies = (list(pool.map(lambda v: ask(client, v), todo)) if pool
                            else [ask(client, v) for v in todo])
-                yield pd.Series(replies, dtype=object)
+                yield pd.DataFrame(replies, columns=["result", "error"], dtype=object)
         finally:
             if pool:
                 pool.shutdown()
 
-    return call
+    once = call.asNondeterministic()
+
+    def predict(request: Column) -> Column:
+        return once(request)
+
+    predict.returns_outcome = True
+    return predict

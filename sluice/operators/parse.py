@@ -11,13 +11,14 @@ from __future__ import annotations
 from collections.abc import Callable
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sluice.functions.html import document_struct
 from sluice.functions.text import decode_bytes
 from sluice.operators.errors import attempt, capture
+from sluice.sources.documents import add_errors
 
 Parser = Callable[[DataFrame], DataFrame]
 
@@ -46,42 +47,53 @@ DOCUMENT_TYPE = "struct<text:string,title:string,elements:array<struct<type:stri
 BinaryParser = Callable[[bytes], dict[str, Any]]
 
 
-def _binary_documents(fn: BinaryParser):
-    """A Python parser for binary formats (PDF, images) as a vectorised UDF
-    returning the document struct; a failure gives null for that row."""
-    call = attempt(lambda raw: fn(bytes(raw)), DOCUMENT_TYPE)
-    return lambda content: call(content)["result"]
+def _has_content(content):
+    return F.coalesce(F.octet_length(content) > 0, F.lit(False))
 
 
-def parsed_document_column(content, binary_parser: BinaryParser | None = None):
-    """P2 value: ``struct<document: struct<text, title, elements>>``; empty content → null.
-
-    Text and HTML are parsed natively. With ``binary_parser``, content that
-    is not valid UTF-8 goes to it instead (other rows reach it as null).
-    """
-    raw_text = content.cast("string")
-    text = decode_bytes(content)
-    has = F.coalesce(F.octet_length(content) > 0, F.lit(False))
-    document = document_struct(text)
-    if binary_parser is not None:
-        binary = has & ~F.is_valid_utf8(raw_text)
-        parsed = _binary_documents(binary_parser)(F.when(binary, content))
-        document = F.when(binary, parsed).otherwise(document)
-    return F.when(has, F.struct(document.alias("document")))
+def _is_binary(content):
+    return _has_content(content) & ~F.is_valid_utf8(content.cast("string"))
 
 
 def document_parser(binary_parser: BinaryParser | None = None) -> Parser:
     """``extracted = {parsed_document}``; null for empty content (the reference returns ``{}``)."""
 
     def parse(df: DataFrame) -> DataFrame:
-        parsed = parsed_document_column(F.col("content"), binary_parser)
-        return df.withColumn("extracted", F.when(parsed.isNotNull(), F.struct(parsed.alias("parsed_document"))))
+        parsed = F.col("parsed_document")
+        return (parse_document(df, binary_parser)
+                .withColumn("extracted", F.when(parsed.isNotNull(), F.struct(parsed))).drop("parsed_document"))
 
     return parse
 
 
 def parse_document(df: DataFrame, binary_parser: BinaryParser | None = None) -> DataFrame:
-    return df.withColumn("parsed_document", parsed_document_column(F.col("content"), binary_parser))
+    """``parsed_document = struct<document: struct<text, title, elements>>``; empty content → null.
+
+    Text and HTML are parsed natively. With ``binary_parser`` (a Python
+    function for PDF, images...), content that is not valid UTF-8 goes to it
+    instead, other rows reach it as null; a failure leaves ``document`` null
+    and its message in ``errors``.
+    """
+    content = F.col("content")
+    document = document_struct(decode_bytes(content))
+    if binary_parser is not None:
+        call = attempt(lambda raw: binary_parser(bytes(raw)), DOCUMENT_TYPE)
+        df = df.withColumn("_binary", call(F.when(_is_binary(content), content)))
+        df = df.withColumn("errors", add_errors(F.col("errors"), F.col("_binary.error")))
+        document = F.when(_is_binary(content), F.col("_binary.result")).otherwise(document)
+    return df.withColumn("parsed_document",
+                         F.when(_has_content(content), F.struct(document.alias("document")))).drop("_binary")
+
+
+def checked_parser(parser: Parser, refuse: Callable[[], Column], message: str) -> Parser:
+    """``parser`` with a native check on its result: rows that ``refuse`` marks get ``message`` and no ``extracted``."""
+
+    def parse(df: DataFrame) -> DataFrame:
+        df = parser(df).withColumn("_refused", F.coalesce(refuse(), F.lit(False)))
+        return (df.withColumn("errors", add_errors(F.col("errors"), F.when(F.col("_refused"), F.lit(message))))
+                  .withColumn("extracted", F.when(~F.col("_refused"), F.col("extracted"))).drop("_refused"))
+
+    return parse
 
 
 def udf_parser(fn: Callable[[bytes], dict[str, Any]], schema: T.StructType | str,

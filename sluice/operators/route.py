@@ -13,7 +13,6 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 WILDCARD = "*"
 
@@ -94,31 +93,24 @@ def route(df: DataFrame, table: RouteTable, strict: bool = False, column: str =
     return df.withColumn(column, target)
 
 
-def route_by_table(df: DataFrame, routes: DataFrame, default: str | None = None,
-                   broadcast_limit: int = 10_000, salt_buckets: int = 32, column: str = "pipeline") -> DataFrame:
+def route_by_table(df: DataFrame, routes: DataFrame, default: str | None = None, column: str = "pipeline") -> DataFrame:
     """R1 for a route table that is data. First route per label wins
     (``routes`` carries an ``ordinal``).
 
-    The deduplicated table is broadcast only after counting that it is
-    small. Otherwise the join is salted: a label can hold a third of all
-    documents, so each route row is repeated for ``salt_buckets`` salts and
-    each document takes a salt from a hash of its URI (stable on retry);
-    a hot label then spreads over that many tasks.
+    A plain left join on the label: adaptive execution broadcasts the routes
+    when they measure small, and otherwise splits the partition of a label
+    that holds a third of all documents. Documents without a label get keys
+    of their own (no label starts with the control character), so they
+    spread too.
     """
     ordered = routes.select("doc_type", "pipeline", "ordinal")
-    exact = (ordered.where(F.col("doc_type") != WILDCARD)
-             .withColumn("_rn", F.row_number().over(Window.partitionBy("doc_type").orderBy("ordinal")))
-             .where("_rn = 1").select(F.col("doc_type").alias("_label"), F.col("pipeline").alias("_exact")))
+    exact = (ordered.where(F.col("doc_type") != WILDCARD).groupBy(F.col("doc_type").alias("_label"))
+             .agg(F.min_by("pipeline", "ordinal").alias("_exact")))
     wild = ordered.where(F.col("doc_type") == WILDCARD).orderBy("ordinal").select("pipeline").limit(1).collect()
     fallback = F.lit(wild[0][0] if wild else default).cast("string")
-    if exact.count() <= broadcast_limit:
-        joined = df.join(F.broadcast(exact), df["doc_type"] == F.col("_label"), "left")
-    else:
-        salted = exact.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))))
-        keyed = df.withColumn("_salt", F.pmod(F.xxhash64("uri"), F.lit(salt_buckets)).cast("int"))
-        joined = keyed.join(salted, (keyed["doc_type"] == salted["_label"]) & (keyed["_salt"] == salted["_salt"]),
-                            "left").drop(keyed["_salt"]).drop(salted["_salt"])
-    return joined.withColumn(column, F.coalesce(F.col("_exact"), fallback)).drop("_label", "_exact")
+    keyed = df.withColumn("_key", F.coalesce(F.col("doc_type"), F.concat(F.lit("\x00"), F.col("uri"))))
+    joined = keyed.join(exact, F.col("_key") == F.col("_label"), "left")
+    return joined.withColumn(column, F.coalesce(F.col("_exact"), fallback)).drop("_key", "_label", "_exact")
 
 
 def split_unrouted(df: DataFrame, column: str = "pipeline") -> tuple[DataFrame, DataFrame]:

@@ -9,6 +9,8 @@ read their output back.
 
 from __future__ import annotations
 
+import json
+import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,11 +19,12 @@ from pyspark.sql import functions as F
 from sluice.functions.text import decode_utf8, extension_of, filename_of
 from sluice.operators.classify import (
     classify_chain, extension_condition, rules_classifier, filename_condition, first_match, mime_condition, mime_of,
-    path_condition, rule_condition,
+    model_classifier, path_condition, rule_condition,
 )
 from sluice.operators.extract import extract_fields, extract_map, hosted_prompt, schema_from_fields
+from sluice.operators.models import python_predict
 from sluice.operators.parse import document_parser, parse_document, text_parser
-from sluice.operators.route import RouteTable, fan_out, route, split_unrouted
+from sluice.operators.route import RouteTable, fan_out, route, route_by_table, split_unrouted
 from sluice.plans import fixtures as fx
 from sluice.plans import specs
 from sluice.plans.flow import (
@@ -126,7 +129,7 @@ def landing_stream(spark, sf_dir):
 def landing_append(spark, sf_dir):
     path = fresh_path(spark, "landing_table")
     append_landing(fx.landing_events_table(spark, sf_dir), path)
-    return _event_rows(read_increment(spark.read.parquet(path), "ts", WATERMARK))
+    return _event_rows(read_increment(spark.read.parquet(path), "ts"))
 
 
 def submissions_ingest(spark, sf_dir):
@@ -238,6 +241,81 @@ def route_fanout(spark, sf_dir):
                   [df.select("uri", F.lit(name).alias("pipeline_name")) for name, df in parts.items()])
 
 
+def route_strict(spark, sf_dir):
+    """R3 on documents that all have a route (the raising side is pytest's)."""
+    return route(_classified(spark, sf_dir), specs.flagship_routes(), strict=True).select("uri", "pipeline")
+
+
+def route_table(spark, sf_dir):
+    """R1 with routes that are data: two languages have a pipeline, the others take the default."""
+    docs = fx.table(spark, sf_dir, "documents").where(F.col("lang").isin("en", "de"))
+    routes = docs.groupBy(F.col("lang").alias("doc_type")).agg(F.min("doc_id").alias("ordinal")) \
+                 .withColumn("pipeline", F.concat("doc_type", F.lit("_pipeline")))
+    typed = fx.landing(spark, sf_dir).withColumn("doc_type", F.try_element_at("metadata", F.lit("lang")))
+    return route_by_table(typed, routes, default="other_pipeline").select("uri", "pipeline")
+
+
+def user_source(spark, sf_dir):
+    """A pipeline whose source is the user's own function."""
+    spec = PipelineSpec("event_pipeline", parser=text_parser(),
+                        source=lambda s: read_increment(fx.landing_events_table(s, sf_dir), "ts"))
+    out = run_pipeline(spark, spec).outputs["event_pipeline"]
+    return out.select("uri", _long(F.col("extracted.length")).alias("text_chars"), F.md5("extracted.text").alias("text_md5"))
+
+
+def user_sink(spark, sf_dir):
+    """U4: every pipeline writes through the user's own sink function."""
+    path = fresh_path(spark, "user_sink")
+
+    def orc_sink(df, batch_id=None):
+        df.select("uri", "pipeline", "extracted.length").write.mode("append").orc(path)
+
+    _run_and_write(spark, sf_dir, flagship_spec(sinks_for=lambda name: [orc_sink]))
+    return spark.read.orc(path).select("uri", F.col("pipeline").alias("pipeline_name"), _long(F.col("length")).alias("text_chars"))
+
+
+# A scripted model: what it answers, or how it fails, follows from the file name.
+
+
+def _label_client():
+    def ask(request):
+        name = request["filename"]
+        if name.startswith("scan"):
+            raise TimeoutError("model timed out")
+        return "no such label" if name.startswith("memo") else " invoice\n" if name.startswith("Invoice") else "contract"
+
+    return ask
+
+
+def _fields_client():
+    def ask(request):
+        name = request["filename"]
+        if name.startswith("scan"):
+            raise TimeoutError("model timed out")
+        if name.startswith("notes"):
+            return None
+        return "not json" if name.startswith("memo") else json.dumps({"vendor_name": name, "total_amount": 1.5})
+
+    return ask
+
+
+def _first_error() -> F.Column:
+    return F.try_element_at("errors", F.lit(1)).alias("error")
+
+
+def model_errors(spark, sf_dir):
+    """C7 + E4: a failed model call is an error of its row; unknown labels are none."""
+    model = model_classifier(["invoice", "contract"], predict=python_predict(_label_client, field=None))
+    return classify_chain(fx.landing(spark, sf_dir), [model]).select("uri", "doc_type", _first_error())
+
+
+def extract_bad_reply(spark, sf_dir):
+    """P5 + P7: failed calls, missing replies and replies that are no JSON."""
+    fields = [{"name": "vendor_name"}, {"name": "total_amount", "type": "number"}]
+    d = extract_fields(fx.landing(spark, sf_dir), fields, predict=python_predict(_fields_client, field=None), expand=True)
+    return d.select("uri", "vendor_name", "total_amount", _first_error())
+
+
 def dedicated_pipeline(spark, sf_dir):
     spec = PipelineSpec("web_pipeline", parser=document_parser(),
                         classifiers=[rules_classifier(specs.WEB_RULES)],
@@ -396,6 +474,59 @@ def on_error_dead_letter(spark, sf_dir):
     return back.select("uri", "pipeline_name", F.element_at("errors", 1).alias("error"))
 
 
+def on_error_fail(spark, sf_dir):
+    """E3 on documents that all pass (the raising side is pytest's)."""
+    result = run_router(fx.landing(spark, sf_dir), flagship_spec(on_error="fail"))
+    return reduce(DataFrame.unionByName, [df.select("uri", F.lit(n).alias("pipeline_name")) for n, df in result.outputs.items()])
+
+
+def _record_rows(back: DataFrame) -> DataFrame:
+    return back.select("uri", "doc_type", "pipeline_name", F.md5("extracted.text").alias("text_md5"),
+                       F.to_json("metadata").alias("metadata_json"), "run_id")
+
+
+def router_rerun(spark, sf_dir):
+    """F1 twice in one session, the landing table grown in between: the second run sees every document."""
+    landing_path, out = fresh_path(spark, "rerun_landing"), fresh_path(spark, "rerun_out")
+    docs = fx.landing(spark, sf_dir).select("uri", "content", "metadata", "src_id")
+    for i in range(2):
+        docs.where(F.col("src_id") % 2 == i).write.mode("append").parquet(landing_path)
+        spec = flagship_spec(sinks_for=lambda name: [json_sink(f"{out}/{i}", RUN_ID, name)])
+        landed = to_documents(spark.read.parquet(landing_path), metadata=F.col("metadata"))
+        write_flow(run_router(landed, spec), spec.pipelines, run_id=RUN_ID)
+    return _record_rows(_read_records(spark, f"{out}/1"))
+
+
+def _stream_router(spark, sf_dir, spec: RouterSpec, name: str) -> None:
+    """The flow over the landed documents, one file per micro-batch."""
+    landing_path = fresh_path(spark, f"{name}_landing")
+    _write_landing(spark, sf_dir, landing_path)
+    stream = stream_table(spark, landing_path, max_files_per_trigger=1)
+    docs = to_documents(stream, metadata=F.col("metadata"))
+    run_router_stream(docs, spec, fresh_path(spark, f"{name}_ckpt"), run_id=RUN_ID).awaitTermination()
+
+
+def router_stream_dead_letter(spark, sf_dir):
+    """F2 + E2: all pipelines share one dead-letter path over several micro-batches."""
+    path = fresh_path(spark, "stream_dead")
+    _stream_router(spark, sf_dir, flagship_spec(specs.checked_text_parser, on_error="dead_letter",
+                                                dead_letter=json_sink(path, RUN_ID)), "stream_dead")
+    schema = "uri string, pipeline_name string, errors array<string>, metadata map<string,string>, run_id string"
+    back = spark.read.schema(schema).option("recursiveFileLookup", "true").json(path)
+    return back.select("uri", "pipeline_name", _first_error(), F.to_json("metadata").alias("metadata_json"), "run_id")
+
+
+def router_stream_table(spark, sf_dir):
+    """F2 + K1: all pipelines append to one catalog table over several micro-batches."""
+    database = f"sluice_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{fresh_path(spark, 'stream_catalog')}'")
+    rows = f"{database}.gold_rows"
+    _stream_router(spark, sf_dir, flagship_spec(sinks_for=lambda name: [table_sink(rows, run_id=RUN_ID, pipeline_name=name)]),
+                   "stream_catalog")
+    return spark.table(rows).select("doc_id", "uri", "doc_type", "metadata_json", F.md5("extracted_json").alias("extracted_md5"),
+                                    "pipeline_name", "run_id")
+
+
 def run_stats(spark, sf_dir):
     result = run_router(fx.landing(spark, sf_dir), flagship_spec(specs.checked_text_parser, default=None))
     return result.stats(RUN_ID)
@@ -426,7 +557,7 @@ def _write_landing(spark, sf_dir, path, files: int = 4) -> None:
 def gold_tables(spark, sf_dir):
     paths = write_tables(fx.landing(spark, sf_dir), flagship_spec(), fresh_path(spark, "gold"))
     parts = [spark.read.parquet(paths[name]).select(F.lit(name).alias("table_name"), "uri", "doc_type",
-                                                    _long(F.col("length")).alias("text_chars"))
+                                                    _long(F.col("length")).alias("text_chars"), F.md5("text").alias("text_md5"))
              for name in specs.PIPELINES]
     return reduce(DataFrame.unionByName, parts)
 
@@ -457,6 +588,12 @@ def queries():
         "route_resolve": route_resolve,
         "route_unrouted": route_unrouted,
         "route_fanout": route_fanout,
+        "route_strict": route_strict,
+        "route_by_table": route_table,
+        "user_source": user_source,
+        "user_sink": user_sink,
+        "model_errors": model_errors,
+        "extract_bad_reply": extract_bad_reply,
         "dedicated_pipeline": dedicated_pipeline,
         "parse_text": parse_text_query,
         "parse_document": parse_document_query,
@@ -470,7 +607,11 @@ def queries():
         "multi_sink": multi_sink,
         "on_error_skip": on_error_skip,
         "on_error_dead_letter": on_error_dead_letter,
+        "on_error_fail": on_error_fail,
         "run_stats": run_stats,
+        "router_rerun": router_rerun,
+        "router_stream_dead_letter": router_stream_dead_letter,
+        "router_stream_table": router_stream_table,
         "router_batch": router_batch,
         "router_stream": router_stream,
         "gold_tables": gold_tables,

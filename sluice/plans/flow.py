@@ -226,12 +226,14 @@ def write_routed_table(result: FlowResult, path: str, run_id: str = "", mode: st
 
 
 def gold_frame(classified: DataFrame, spec: RouterSpec, name: str) -> DataFrame:
-    """One gold table: the pipeline's documents, parsed, ``extracted`` fields expanded to columns."""
-    routed = route(classified, spec.routes)
+    """One gold table: the pipeline's documents, parsed, ``extracted`` fields expanded to columns
+    (named ``extracted_<field>`` where the document has a column of that name)."""
+    routed = classified if "pipeline" in classified.columns else route(classified, spec.routes)
     gold = process(routed.where(F.col("pipeline") == F.lit(name)), spec.pipelines[name])
     kind = gold.schema["extracted"].dataType
     if hasattr(kind, "fieldNames"):
-        gold = gold.select("*", *[F.col("extracted")[f].alias(f) for f in kind.fieldNames() if f not in gold.columns])
+        gold = gold.select("*", *[F.col("extracted")[f].alias(f"extracted_{f}" if f in gold.columns else f)
+                                  for f in kind.fieldNames()])
     return gold
 
 
@@ -248,13 +250,16 @@ def build_tables(source: DataFrame, spec: RouterSpec) -> dict[str, DataFrame]:
 def write_tables(source: DataFrame, spec: RouterSpec, root: str, fmt: str = "parquet") -> dict[str, str]:
     """F3 materialised: each stage is written, and the next stage reads the
     table just written (bronze → classified → gold), so the source is read
-    once and classification runs once; binary content is left out of gold."""
+    once and classification runs once. The classified table is partitioned by
+    ``pipeline``: each gold table scans its own partition only; binary content
+    is left out of gold."""
     spark = source.sparkSession
     paths = {name: f"{root.rstrip('/')}/{name}" for name in ["bronze", "classified", *spec.routes.pipelines()]}
     source.write.format(fmt).mode("overwrite").save(paths["bronze"])
     bronze = spark.read.format(fmt).load(paths["bronze"])
-    classify_chain(bronze, spec.classifiers, mode="first").write.format(fmt).mode("overwrite").save(paths["classified"])
-    classified = spark.read.format(fmt).load(paths["classified"])
+    routed = route(classify_chain(bronze, spec.classifiers, mode="first"), spec.routes)
+    routed.write.format(fmt).mode("overwrite").partitionBy("pipeline").save(paths["classified"])
+    classified = spark.read.format(fmt).schema(routed.schema).load(paths["classified"])
     for name in spec.routes.pipelines():
         gold_frame(classified, spec, name).drop("content").write.format(fmt).mode("overwrite").save(paths[name])
     return paths

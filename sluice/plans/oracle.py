@@ -182,7 +182,7 @@ WHERE uri NOT IN (SELECT l.uri FROM landing l JOIN labels b ON l.src_id = b.doc_
         "landing_watermark": f"""SELECT {MARK} AS old_mark, coalesce(max(ts), {MARK}) AS new_mark, count(*) AS n_new
 FROM events WHERE ts > {MARK}""",
         "landing_stream": _events(),
-        "landing_append": _events(f"WHERE ts > {MARK}"),
+        "landing_append": _events(),
         "submissions_ingest": """SELECT 'conv://' || CAST(conv_id AS VARCHAR) || '/' || CAST(turn AS VARCHAR) AS uri,
   role, 'api' AS source,
   CASE WHEN role <> 'system' THEN CAST(strlen(text) AS BIGINT) END AS content_bytes,
@@ -224,6 +224,20 @@ SELECT uri, doc_type, CASE doc_type WHEN 'invoice' THEN 'invoice_pipeline' WHEN
         "route_unrouted": f"""WITH {LANDING}, flow AS (SELECT *, {RULES_CASE} AS doc_type FROM landing)
 SELECT uri, doc_type FROM flow WHERE doc_type IS NULL OR doc_type NOT IN ('invoice', 'contract')""",
         "route_fanout": _flow("uri, pipeline_name"),
+        "route_strict": _flow("uri, pipeline_name AS pipeline"),
+        "route_by_table": f"""WITH {LANDING}
+SELECT uri, CASE WHEN lang IN ('en', 'de') THEN lang || '_pipeline' ELSE 'other_pipeline' END AS pipeline FROM landing""",
+        "user_source": """SELECT 'event://' || CAST(event_id AS VARCHAR) AS uri, CAST(length(props) AS BIGINT) AS text_chars,
+  md5(props) AS text_md5 FROM events""",
+        "user_sink": _flow("uri, pipeline_name, CAST(length(text) AS BIGINT) AS text_chars"),
+        "model_errors": f"""WITH {LANDING}
+SELECT uri, CASE WHEN stem = 'Invoice' THEN 'invoice' WHEN stem NOT IN ('scan', 'memo') THEN 'contract' END AS doc_type,
+       CASE WHEN stem = 'scan' THEN 'model timed out' END AS error FROM landing""",
+        "extract_bad_reply": f"""WITH {LANDING}
+SELECT uri, CASE WHEN stem NOT IN ('scan', 'memo', 'notes') THEN filename END AS vendor_name,
+       CASE WHEN stem NOT IN ('scan', 'memo', 'notes') THEN CAST(1.5 AS DOUBLE) END AS total_amount,
+       CASE WHEN stem = 'scan' THEN 'model timed out' WHEN stem IN ('memo', 'notes')
+            THEN 'extraction: model response did not include the expected structured output' END AS error FROM landing""",
         "dedicated_pipeline": f"""SELECT url AS uri, {web_rules} AS doc_type, {page['title']} AS title,
   CAST(length({page['text']}) AS BIGINT) AS text_chars FROM pages""",
         "parse_text": f"""WITH {LANDING}
@@ -258,6 +272,12 @@ FROM landing""",
                       "SELECT 'json' AS sink, uri, pipeline_name FROM routed",
         "on_error_skip": _flow("uri, pipeline_name, CAST(length(text) AS BIGINT) AS text_chars", f"WHERE NOT {short}"),
         "on_error_dead_letter": _flow("uri, pipeline_name, 'too short' AS error", f"WHERE {short}"),
+        "on_error_fail": _flow("uri, pipeline_name"),
+        "router_rerun": _flow(f"uri, doc_type, pipeline_name, md5(text) AS text_md5, {META_JSON} AS metadata_json, 'run-0' AS run_id"),
+        "router_stream_dead_letter": _flow(f"uri, pipeline_name, 'too short' AS error, {META_JSON} AS metadata_json, "
+                                           "'run-0' AS run_id", f"WHERE {short}"),
+        "router_stream_table": _flow(f"doc_id, uri, doc_type, {META_JSON} AS metadata_json, md5({_text_json()}) AS extracted_md5, "
+                                     "pipeline_name, 'run-0' AS run_id"),
         "run_stats": f"""WITH {LANDING}, flow AS (SELECT *, {RULES_CASE} AS doc_type FROM landing),
 routed AS (SELECT *, coalesce(doc_type IN ('invoice', 'contract'), false) AS is_routed FROM flow)
 SELECT count(*) AS discovered, count(*) AS received, count(*) FILTER (WHERE NOT is_routed) AS unrouted,
@@ -267,5 +287,6 @@ SELECT count(*) AS discovered, count(*) AS received, count(*) FILTER (WHERE NOT
                               tail="GROUP BY pipeline_name, doc_type"),
         "router_stream": _flow("pipeline_name, doc_type, count(*) AS n_docs, CAST(sum(length(text)) AS BIGINT) AS text_chars",
                                tail="GROUP BY pipeline_name, doc_type"),
-        "gold_tables": _flow("pipeline_name AS table_name, uri, doc_type, CAST(length(text) AS BIGINT) AS text_chars"),
+        "gold_tables": _flow("pipeline_name AS table_name, uri, doc_type, CAST(length(text) AS BIGINT) AS text_chars, "
+                             "md5(text) AS text_md5"),
     }

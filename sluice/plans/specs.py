@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sluice.operators.classify import column_classifier, model_classifier, rules_classifier, udf_classifier
-from sluice.operators.parse import udf_parser
+from sluice.operators.parse import checked_parser, text_parser, udf_parser
 from sluice.operators.route import RouteTable
 
 # The flagship rule list, in order.
@@ -84,16 +84,9 @@ def secret_classifier():
     return udf_classifier(secret_or_long)
 
 
-def checked_text(raw: bytes) -> dict:
-    """A parser that refuses short documents (the ``failing`` fixture)."""
-    text = raw.decode("utf-8", errors="ignore")
-    if len(text) < MIN_CHARS:
-        raise ValueError("too short")
-    return {"text": text, "length": len(text)}
-
-
 def checked_text_parser():
-    return udf_parser(checked_text, "text string, length int")
+    """A parser that refuses short documents (the ``failing`` fixture)."""
+    return checked_parser(text_parser(), lambda: F.col("extracted.length") < MIN_CHARS, "too short")
 
 
 def line_stats(raw: bytes) -> dict:

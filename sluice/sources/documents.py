@@ -54,20 +54,23 @@ def to_documents(
     metadata: Column | None = None,
     source: str | None = None,
     doc_id: Column | None = None,
-    ingested_at: float | Column = 0.0,
+    ingested_at: float | Column | None = None,
     keep: list[str] | None = None,
 ) -> DataFrame:
     """Normalise any frame to the canonical document schema.
 
     ``metadata`` is a map column; ``source`` (if given) is added under key
     ``source`` unless the row already carries one. ``content`` may be
-    ``None`` for URI-only rows.
+    ``None`` for URI-only rows. ``ingested_at`` is the time of the run (epoch
+    seconds) unless given.
     """
     uri_col = _col(uri).cast("string")
     content_col = F.lit(None).cast("binary") if content is None else _col(content).cast("binary")
     meta = metadata if metadata is not None else F.create_map().cast(METADATA_TYPE)
     if source is not None:
         meta = with_defaults({"source": source}, meta)
+    if ingested_at is None:
+        ingested_at = F.unix_micros(F.current_timestamp()) / F.lit(1_000_000.0)
     ingested = ingested_at if isinstance(ingested_at, Column) else F.lit(float(ingested_at))
     cols = [
         (doc_id if doc_id is not None else F.sha2(uri_col, 256)).alias("doc_id"),

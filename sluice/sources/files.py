@@ -55,7 +55,7 @@ def read_files(spark: SparkSession, path: str, patterns: Sequence[str] | None =
 
 
 def files_to_documents(raw: DataFrame, include_content: bool = True, source: str = "files",
-                       ingested_at: float = 0.0) -> DataFrame:
+                       ingested_at: float | None = None) -> DataFrame:
     meta = string_map({
         "source": F.lit(source),
         "size_bytes": F.col("length"),
@@ -67,7 +67,7 @@ def files_to_documents(raw: DataFrame, include_content: bool = True, source: str
 
 def scan_files(spark: SparkSession, path: str, patterns: Sequence[str] | None = None,
                include_content: bool = True, recursive: bool = True, exclude: Sequence[str] = (),
-               ingested_at: float = 0.0, ordered: bool = False) -> DataFrame:
+               ingested_at: float | None = None, ordered: bool = False) -> DataFrame:
     """Every regular file under ``path`` matching any pattern (union,
     de-duplicated), as documents. ``include_content=False`` keeps the rows
     with null content and never reads the bytes. ``exclude`` drops paths
@@ -108,7 +108,7 @@ def record_seen(emitted: DataFrame, path: str) -> None:
 
 
 def read_paths(spark: SparkSession, paths: Sequence[str], include_content: bool = True,
-               ingested_at: float = 0.0) -> DataFrame:
+               ingested_at: float | None = None) -> DataFrame:
     """Documents for an explicit list of files (the bytes of only these files are read)."""
     if not paths:
         return files_to_documents(spark.createDataFrame([], BINARY_FILE_SCHEMA), include_content,

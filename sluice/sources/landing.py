@@ -21,7 +21,7 @@ def _mark(value, ts_type: str) -> Column:
 
 def read_increment(df: DataFrame, ts_col: str = "ts", watermark=None, uri_col: str = "uri",
                    content_col: str = "content", include_content: bool = True,
-                   source: str = "landing", ingested_at: float = 0.0, ordered: bool = False) -> DataFrame:
+                   source: str = "landing", ingested_at: float | None = None, ordered: bool = False) -> DataFrame:
     """Rows with ``ts > watermark`` (strict; all rows without a mark), as
     documents. Every non-content column goes into ``metadata`` as text; the
     timestamp column is kept typed as ``ts``. ``ordered`` sorts by it (a

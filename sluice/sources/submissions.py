@@ -2,7 +2,8 @@
 
 Producers drop JSON-lines files (or rows) into a submissions location;
 a file stream with its own checkpoint consumes each submission once.
-Content is base64-decoded (absent, empty or invalid → null); metadata gets
+Content is base64-decoded (absent or empty → null; invalid → null and an error
+on the row); metadata gets
 ``source=api`` unless the submitter already set ``source``.
 """
 
@@ -11,16 +12,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.sources.documents import to_documents
+from sluice.sources.documents import add_errors, to_documents
 
+BAD_BASE64 = "submission: content_base64 is not base64"
 SUBMISSION_SCHEMA = "uri string, content_base64 string, metadata map<string,string>"
 
 
-def ingest_submissions(df: DataFrame, ingested_at: float = 0.0) -> DataFrame:
+def ingest_submissions(df: DataFrame, ingested_at: float | None = None) -> DataFrame:
     given = F.nullif(F.col("content_base64"), F.lit(""))
     content = F.try_to_binary(given, F.lit("base64"))
     meta = F.coalesce(F.col("metadata"), F.create_map().cast("map<string,string>"))
-    return to_documents(df, uri="uri", content=content, metadata=meta, source="api", ingested_at=ingested_at)
+    staged = df.withColumn("_bad", given.isNotNull() & content.isNull())
+    docs = to_documents(staged, uri="uri", content=content, metadata=meta, source="api", ingested_at=ingested_at,
+                        keep=["_bad"])
+    return docs.withColumn("errors", add_errors(F.col("errors"), F.when(F.col("_bad"), F.lit(BAD_BASE64)))).drop("_bad")
 
 
 def read_submissions(spark: SparkSession, path: str, stream: bool = False,

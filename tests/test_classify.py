@@ -219,8 +219,10 @@ def test_python_client_predict_labels_and_skips_unasked_rows(docs, spark):
               ("/x/b.pdf", b"a bill", None), ("/x/c.pdf", b"boom", None)]).coalesce(1)
     chain = [rules_classifier([{"doc_type": "ruled", "filename_regex": "(?i)invoice"}]),
              model_classifier(["invoice", "contract"], predict=python_predict(make_client))]
-    got = labels_of(classify_chain(d, chain))
+    out = classify_chain(d, chain).collect()
+    got = {r["uri"]: r["doc_type"] for r in out}
     assert got == {"/x/Invoice.pdf": "ruled", "/x/a.pdf": "contract", "/x/b.pdf": "invoice", "/x/c.pdf": None}
+    assert {r["uri"]: r["errors"] for r in out if r["errors"]} == {"/x/c.pdf": ["model timed out"]}
     assert calls.value == 3 and made.value == 1
 
 

@@ -114,6 +114,29 @@ def test_extract_fields_with_a_model_reply(docs):
     assert out["/b.pdf"]["extracted"] is None and out["/b.pdf"]["errors"] == [NO_REPLY]
 
 
+def test_model_client_is_planned_once_behind_filters(docs):
+    from sluice.operators.classify import classify_chain, model_classifier
+    from sluice.operators.models import python_predict
+    from sluice.operators.route import RouteTable, fan_out, route
+
+    ask = python_predict(lambda: lambda prompt: "x")
+    d = docs([("/a.pdf", b"text", None)])
+    kept = extract_fields(d, FIELDS, predict=ask).where(F.size("errors") == 0)
+    routed = fan_out(route(classify_chain(d, [model_classifier(["x"], predict=ask)]), RouteTable([("x", "p")])), ["p"])["p"]
+    for df in (kept, routed):
+        assert df._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+    assert routed.count() == 1 and kept.count() == 0
+
+
+def test_a_null_number_never_reaches_an_attempted_function(spark):
+    from sluice.operators.errors import attempt
+
+    call = attempt(lambda n: int(n) + 1, "int")
+    rows = spark.createDataFrame([(1,), (None,)], "n int").select("n", call(F.col("n")).alias("o")).collect()
+    got = {r["n"]: (r["o"]["result"], r["o"]["error"]) if r["o"] else None for r in rows}
+    assert got[1] == (2, None) and got[None] in (None, (None, None))
+
+
 def test_extract_fields_prompt_uses_parsed_text_and_cut(docs):
     @F.pandas_udf("string")
     def echo(req):
@@ -165,7 +188,9 @@ def test_binary_formats_go_to_a_python_parser(docs, spark):
 
     d = docs([("/a.pdf", b"%PDF-1.7\xff\xfe", None), ("/b.pdf", b"%PDF-broken\xff", None),
               ("/c.txt", b"plain", None)])
-    got = {r["uri"]: r["parsed_document"] for r in parse_document(d, fake_pdf).collect()}
+    rows = parse_document(d, fake_pdf).collect()
+    assert {r["uri"]: r["errors"] for r in rows} == {"/a.pdf": [], "/b.pdf": ["cannot parse"], "/c.txt": []}
+    got = {r["uri"]: r["parsed_document"] for r in rows}
     assert got["/a.pdf"]["document"]["text"] == "pdf text" and got["/a.pdf"]["document"]["title"] == "Doc"
     assert got["/b.pdf"]["document"] is None
     assert got["/c.txt"]["document"]["text"] == "plain"

@@ -6,12 +6,11 @@ from pyspark.sql import functions as F
 
 from sluice.functions.text import byte_prefix_text, decode_utf8, extension_of, filename_of
 
-FFFD = "�".encode()
-
 # Bytes biased towards UTF-8 structure: ASCII, lead and continuation bytes, whole characters.
 chunks = st.one_of(
     st.binary(max_size=4),
-    st.sampled_from([b"\xc3", b"\xa9", b"\xe2\x82", b"\xac", b"\xf0\x9f", b"\x98\x80", b"\xed\xa0\x80", b"\xff"]),
+    st.sampled_from([b"\xc3", b"\xa9", b"\xe2\x82", b"\xac", b"\xf0\x9f", b"\x98\x80", b"\xed\xa0\x80", b"\xff",
+                     "�".encode(), b"\x01", b"\x01\x02", b"\x01\x03"]),
     st.text(max_size=4).map(lambda t: t.encode("utf-8", "surrogatepass")),
 )
 blobs = st.lists(chunks, max_size=12).map(b"".join)
@@ -22,9 +21,6 @@ def _check_decode(spark, values):
     got = {r["i"]: r["t"] for r in df.select("i", decode_utf8(F.col("c")).alias("t")).collect()}
     for i, raw in enumerate(values):
         want = raw.decode("utf-8", errors="ignore")
-        if FFFD in raw and want != raw.decode("utf-8", errors="replace"):
-            # Known gap: a genuine U+FFFD inside otherwise invalid input is dropped too.
-            want = want.replace("�", "")
         assert got[i] == want, (raw, got[i], want)
 
 
@@ -146,14 +142,13 @@ def test_keyword_model_matches_token_counting(spark, texts):
 
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.sampled_from(["a", "b", "c", "d", None]), min_size=1, max_size=30),
-       st.lists(st.sampled_from(ROUTE_LIST), max_size=5), st.sampled_from([None, "dflt"]),
-       st.booleans())
-def test_route_table_join_equals_the_literal_map(spark, labels, routes, default, salted):
+       st.lists(st.sampled_from(ROUTE_LIST), max_size=5), st.sampled_from([None, "dflt"]))
+def test_route_table_join_equals_the_literal_map(spark, labels, routes, default):
     from sluice.operators.route import RouteTable, route, route_by_table
 
     df = spark.createDataFrame([(i, f"/u/{i}", x) for i, x in enumerate(labels)], "i int, uri string, doc_type string")
     table = spark.createDataFrame([(t, p, k) for k, (t, p) in enumerate(routes)],
                                   "doc_type string, pipeline string, ordinal int")
-    out = route_by_table(df, table, default=default, broadcast_limit=-1 if salted else 10_000, salt_buckets=3)
+    out = route_by_table(df, table, default=default)
     want = route(df, RouteTable(routes, default))
     assert sorted((r["i"], r["pipeline"] or "") for r in out.collect()) == sorted((r["i"], r["pipeline"] or "") for r in want.collect())
