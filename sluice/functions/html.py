@@ -1,40 +1,47 @@
-"""P2 helpers: structure of an HTML or plain-text document with native regex.
-
-Patterns avoid ``\\s``, look-around and back-references so they mean the
-same in Java regex and RE2 (the DuckDB oracle).
-"""
+"""P2 helpers: structure of an HTML or plain-text document with native regex."""
 
 from __future__ import annotations
 
+import json
+from html.entities import name2codepoint
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-SCRIPT_STYLE = r"(?is)<(script|style)[^>]*>.*?</(script|style)>"
+# What may follow a tag's name, so that ``<p`` is not found in ``<pre>`` or ``<param>``.
+REST = r"(?:[ \t\r\n/][^>]*)?>"
+SCRIPT_STYLE = rf"(?is)<(?:script|style){REST}.*?</(?:script|style)[^>]*>"
 COMMENT = r"(?s)<!--.*?-->"
 TAG = r"<[^>]*>"
 SPACE_RUN = r"[ \t\r\n]+"
-TITLE = r"(?is)<title[^>]*>(.*?)</title>"
-HEADING = r"(?is)<h[1-6][^>]*>(.*?)</h[1-6]>"
-PARAGRAPH = r"(?is)<p[^>]*>(.*?)</p>"
-LOOKS_HTML = r"(?i)^[ \t\r\n]*<(!doctype|html|head|body)"
-
-# The named entities decoded, in the order applied (``&amp;`` last).
-ENTITIES = [
-    ("&lt;", "<"),
-    ("&gt;", ">"),
-    ("&quot;", '"'),
-    ("&#39;", "'"),
-    ("&nbsp;", " "),
-    ("&copy;", "©"),
-    ("&middot;", "·"),
-    ("&amp;", "&"),
-]
+TITLE = rf"(?is)<title{REST}(.*?)</title[^>]*>"
+# Tags that stand for a block: each ends a paragraph or heading before it, closed or not.
+BLOCKS = ("p|h[1-6]|address|article|aside|blockquote|body|dd|div|dl|dt|fieldset|figure|footer|form|header|hr|html|li|main|nav|"
+          "ol|pre|section|table|tbody|td|th|thead|tr|ul")
+ELEMENT = rf"(?is)<(?:h[1-6]|p){REST}.*?(?=</?(?:{BLOCKS}){REST}|\z)"
+INLINE = ("a|abbr|b|br|button|caption|center|code|em|font|head|i|iframe|img|input|label|link|meta|option|script|select|small|"
+          "span|strong|style|sub|sup|title|u")
+LOOKS_HTML = rf"(?i)<(?:!doctype|/?(?:{BLOCKS}|{INLINE})){REST}"
+
+ENTITY = r"&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"
+NAMED = json.dumps({**{name: chr(code) for name, code in name2codepoint.items()}, "apos": "'"})
+
+
+def _character(entity: Column) -> Column:
+    """The character of one entity; an unknown name or code stays as it is."""
+    body = F.translate(entity, "&;", "")
+    digits = F.when(body.rlike("^#[xX]"), F.conv(F.substring(body, 3, 6), 16, 10)).when(body.startswith("#"), F.substring(body, 2, 7))
+    code = digits.cast("int")
+    usable = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+    numeric = F.when(usable, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
+    return F.coalesce(F.try_element_at(F.from_json(F.lit(NAMED), "map<string,string>"), body), numeric, entity)
 
 
 def decode_entities(text: Column) -> Column:
-    for entity, char in ENTITIES:
-        text = F.replace(text, F.lit(entity), F.lit(char))
-    return text
+    """Named (HTML 4) and numeric entities as characters, in one pass."""
+    found = F.transform(F.regexp_extract_all(text, F.lit(ENTITY), 0), _character)
+    woven = F.zip_with(F.split(text, ENTITY, -1), found, lambda part, char: F.concat(part, F.coalesce(char, F.lit(""))))
+    return F.when(F.contains(text, F.lit("&")), F.array_join(woven, "")).otherwise(text)
 
 
 def squash(text: Column) -> Column:
@@ -42,11 +49,14 @@ def squash(text: Column) -> Column:
     return F.trim(F.regexp_replace(text, SPACE_RUN, " "))
 
 
+def without_code(html: Column) -> Column:
+    """Script and style bodies first (they may contain ``</p>``), then comments."""
+    return F.regexp_replace(F.regexp_replace(html, SCRIPT_STYLE, " "), COMMENT, " ")
+
+
 def strip_markup(html: Column) -> Column:
-    """Visible text: script/style bodies first (they may contain ``</p>``), then comments, then tags."""
-    no_code = F.regexp_replace(html, SCRIPT_STYLE, " ")
-    no_comments = F.regexp_replace(no_code, COMMENT, " ")
-    return squash(decode_entities(F.regexp_replace(no_comments, TAG, " ")))
+    """Visible text."""
+    return inner_text(without_code(html))
 
 
 def inner_text(fragment: Column) -> Column:
@@ -58,12 +68,10 @@ def is_html(text: Column) -> Column:
 
 
 def elements(html: Column) -> Column:
-    """``array<struct<type, content>>``: headings, then paragraphs, in document order per kind."""
-    heads = F.transform(F.regexp_extract_all(html, F.lit(HEADING), 1),
-                        lambda h: F.struct(F.lit("heading").alias("type"), inner_text(h).alias("content")))
-    paras = F.transform(F.regexp_extract_all(html, F.lit(PARAGRAPH), 1),
-                        lambda p: F.struct(F.lit("paragraph").alias("type"), inner_text(p).alias("content")))
-    return F.concat(heads, paras)
+    """``array<struct<type, content>>``: headings and paragraphs in document order."""
+    return F.transform(F.regexp_extract_all(without_code(html), F.lit(ELEMENT), 0), lambda block: F.struct(
+        F.when(block.rlike("^<[hH]"), F.lit("heading")).otherwise(F.lit("paragraph")).alias("type"),
+        inner_text(block).alias("content")))
 
 
 def document_struct(text: Column) -> Column:

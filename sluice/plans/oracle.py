@@ -83,8 +83,9 @@ COMMENT = r"(?s)<!--.*?-->"
 TAG = r"<[^>]*>"
 SPACE_RUN = r"[ \t\r\n]+"
 TITLE = r"(?is)<title[^>]*>(.*?)</title>"
-HEADING = r"(?is)<h[1-6][^>]*>(.*?)</h[1-6]>"
-PARAGRAPH = r"(?is)<p[^>]*>(.*?)</p>"
+# Elements are counted by their opening tags.
+HEADING = r"(?i)<h[1-6][ >]"
+PARAGRAPH = r"(?i)<p[ >]"
 LOOKS_HTML = r"(?i)^[ \t\r\n]*<(!doctype|html|head|body)"
 ENTITY_PAIRS = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "),
                 ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&")]
@@ -104,10 +105,13 @@ def _inner(x: str) -> str:
     return _squash(_entities(f"regexp_replace({x}, '{TAG}', ' ', 'g')"))
 
 
-def _visible(html: str) -> str:
+def _no_code(html: str) -> str:
     no_code = f"regexp_replace({html}, '{SCRIPT_STYLE}', ' ', 'g')"
-    no_comments = f"regexp_replace({no_code}, '{COMMENT}', ' ', 'g')"
-    return _inner(no_comments)
+    return f"regexp_replace({no_code}, '{COMMENT}', ' ', 'g')"
+
+
+def _visible(html: str) -> str:
+    return _inner(_no_code(html))
 
 
 def _page_columns(html: str = "html") -> dict[str, str]:
@@ -117,8 +121,8 @@ def _page_columns(html: str = "html") -> dict[str, str]:
     return {
         "title": f"CASE WHEN {has} AND {is_html} THEN nullif({_inner(f'regexp_extract({html}, {_q(TITLE)}, 1)')}, '') END",
         "text": f"CASE WHEN {has} THEN {text} END",
-        "n_headings": f"CASE WHEN {has} THEN CASE WHEN {is_html} THEN len(regexp_extract_all({html}, {_q(HEADING)}, 1)) ELSE 0 END END",
-        "n_paragraphs": f"CASE WHEN {has} THEN CASE WHEN {is_html} THEN len(regexp_extract_all({html}, {_q(PARAGRAPH)}, 1)) ELSE 1 END END",
+        "n_headings": f"CASE WHEN {has} THEN CASE WHEN {is_html} THEN len(regexp_extract_all({_no_code(html)}, {_q(HEADING)})) ELSE 0 END END",
+        "n_paragraphs": f"CASE WHEN {has} THEN CASE WHEN {is_html} THEN len(regexp_extract_all({_no_code(html)}, {_q(PARAGRAPH)})) ELSE 1 END END",
     }
 
 

@@ -53,6 +53,26 @@ def test_parse_document_html(docs):
         ("heading", "Head"), ("paragraph", "One two"), ("paragraph", "Three x")]
 
 
+ORDINARY = {
+    "/fragment": ("<div>a <b>b</b></div>", "a b", []),
+    "/prolog": ('<?xml version="1.0"?>\n<html><body><p>x</p></body></html>', "x", [("paragraph", "x")]),
+    "/entities": ("<p>caf&eacute; &#8217; &#x2014; &mdash; &amp;lt; &nosuch; &#0;</p>", "café ’ — — &lt; &nosuch; &#0;",
+                  [("paragraph", "café ’ — — &lt; &nosuch; &#0;")]),
+    "/pre": ("<pre>b</pre><p>c</p><param x><picture></picture>", "b c", [("paragraph", "c")]),
+    "/order": ("<p>1</p><h2 id=x>2</h2><P class='a'>3<p>4<h3>5</h3><!-- <p>no</p> --><p>6", "1 2 3 4 5 6",
+               [("paragraph", "1"), ("heading", "2"), ("paragraph", "3"), ("paragraph", "4"), ("heading", "5"), ("paragraph", "6")]),
+    "/less": ("a < b and c<d & e", "a < b and c<d & e", [("paragraph", "a < b and c<d & e")]),
+}
+
+
+def test_parse_document_on_ordinary_html(docs):
+    rows = parse_document(docs([(u, raw.encode(), None) for u, (raw, _, _) in ORDINARY.items()])).collect()
+    got = {r["uri"]: r["parsed_document"]["document"] for r in rows}
+    for uri, (_, text, elements) in ORDINARY.items():
+        assert got[uri]["text"] == text, uri
+        assert [(e["type"], e["content"]) for e in got[uri]["elements"]] == elements, uri
+
+
 def test_parse_document_plain_text_and_empty(docs):
     out = {r["uri"]: r["parsed_document"] for r in parse_document(docs([("/a.txt", b"plain  text", None),
                                                                         ("/b", b"", None)])).collect()}
