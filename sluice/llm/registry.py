@@ -1,10 +1,11 @@
-"""The ten training-data queries and the DuckDB twins of those that SQL can express."""
+"""The training-data queries and the DuckDB twins of those that SQL can express."""
 
 from __future__ import annotations
 
 from sluice.llm import (
     decontaminate,
     jaccard,
+    laesa,
     language_id,
     line_dedup,
     merkle,
@@ -26,10 +27,12 @@ QUERIES = {
     "op8_decontaminate": decontaminate.op8_decontaminate,
     "op9_line_dedup": line_dedup.op9_line_dedup,
     "op10_mixing": mixing.op10_mixing,
+    "op11_vector_codes": laesa.op11_vector_codes,
 }
 
 ORACLE_SQL = {
     "op1_preference": preference.OP1_SQL,
     "op9_line_dedup": line_dedup.OP9_SQL,
     "op10_mixing": mixing.OP10_SQL,
+    "op11_vector_codes": laesa.OP11_SQL,
 }
