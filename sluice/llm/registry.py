@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from sluice.llm import (
+    collocations,
     decontaminate,
     jaccard,
     laesa,
@@ -28,6 +29,7 @@ QUERIES = {
     "op9_line_dedup": line_dedup.op9_line_dedup,
     "op10_mixing": mixing.op10_mixing,
     "op11_vector_codes": laesa.op11_vector_codes,
+    "op12_collocations": collocations.op12_collocations,
 }
 
 ORACLE_SQL = {
@@ -35,4 +37,5 @@ ORACLE_SQL = {
     "op9_line_dedup": line_dedup.OP9_SQL,
     "op10_mixing": mixing.OP10_SQL,
     "op11_vector_codes": laesa.OP11_SQL,
+    "op12_collocations": collocations.OP12_SQL,
 }
