@@ -16,7 +16,9 @@ from sluice.llm import quotient as cqf
 from sluice.llm.common import bitmap, in_bitmap, saved, table
 
 #: Words after which a task closes a chunk, and entries after which it passes on what it has counted.
-CHUNK, FLUSH = 1 << 20, 1 << 21
+CHUNK, FLUSH = 1 << 20, 1 << 20
+#: Texts, and ids of a chunk, that a task works on at a time.
+BATCH, SLICE = 256, 1 << 18
 #: Bits of the map of frequent word pairs (16 MB at most); what it holds wrongly only costs time.
 BITMAP_BITS = (16, 27)
 #: A-Z become a-z, and a piece ends at one of ``.,;:!?`` or a byte from 0A to 0D.
@@ -35,57 +37,83 @@ class _Numbers(dict):
         return n
 
 
+_ROW = pa.schema([("chunk", pa.int64()), ("local", pa.int32()), ("lang", pa.string()), ("word", pa.string()), ("n", pa.int64()),
+                  ("ids", pa.binary())])
+
+
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Texts as chunks: the chunk's words with their counts, and the text as numbers of them, -1 after each piece."""
+    """Texts as chunks: a row per distinct word of a chunk (``local`` is its number there), and a row with ``local`` -1
+    that holds the text as numbers of words, -1 after each piece."""
     part, made = TaskContext.get().partitionId(), 0
     seen: list[tuple[str, bytes]] = []
     numbers: dict[str, _Numbers] = {}
     ids = array("i")
 
-    def close() -> pa.RecordBatch:
+    def close() -> Iterator[pa.RecordBatch]:
         nonlocal made, ids
-        got = np.frombuffer(ids, np.int32)
-        counts = np.bincount(got[got >= 0], minlength=len(seen))
-        out = pa.RecordBatch.from_arrays([
-            pa.array([part << 32 | made], pa.int64()),
-            pa.array([[lang for lang, _ in seen]], pa.list_(pa.string())),
-            pa.array([[word for _, word in seen]], pa.list_(pa.binary())).cast(pa.list_(pa.string())),
-            pa.array([counts.tolist()], pa.list_(pa.int64())), pa.array([got.astype("<i4").tobytes()], pa.binary())],
-            names=["chunk", "langs", "words", "counts", "ids"])
+        got, m = np.frombuffer(ids, np.int32), len(seen)
+        name = part << 32 | made
+        yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([-1], pa.int32()), *(pa.nulls(1, t) for t in _ROW.types[2:5]),
+                                          pa.array([got.astype("<i4").tobytes()], pa.binary())], schema=_ROW)
+        yield pa.RecordBatch.from_arrays([
+            pa.array(np.full(m, name)), pa.array(np.arange(m, dtype=np.int32)), pa.array([x for x, _ in seen], pa.string()),
+            pa.array([x for _, x in seen], pa.binary()).cast(pa.string()), pa.array(np.bincount(got[got >= 0], minlength=m)),
+            pa.nulls(m, pa.binary())], schema=_ROW)
         made += 1
         seen.clear()
         numbers.clear()
         ids = array("i")
-        return out
 
-    for batch in batches:
-        for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            number = numbers.get(lang)
-            if number is None:
-                number = numbers[lang] = _Numbers(lang, seen)
-            of = number.__getitem__
-            for piece in text.translate(_CLEAN).split(b"\n"):
-                words = piece.split()
-                if words:
-                    ids.extend(map(of, words))
-                    ids.append(-1)
-            if len(ids) >= CHUNK:
-                yield close()
+    for whole in batches:
+        for start in range(0, whole.num_rows, BATCH):
+            batch = whole.slice(start, BATCH)
+            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                number = numbers.get(lang)
+                if number is None:
+                    number = numbers[lang] = _Numbers(lang, seen)
+                of = number.__getitem__
+                for piece in text.translate(_CLEAN).split(b"\n"):
+                    words = piece.split()
+                    if words:
+                        ids.extend(map(of, words))
+                        ids.append(-1)
+                if len(ids) >= CHUNK:
+                    yield from close()
     if ids:
-        yield close()
+        yield from close()
+    pa.default_memory_pool().release_unused()  # workers are used again for other stages
+
 
+def _renumber(batches: Iterator[pa.RecordBatch], kind: str) -> Iterator[pa.RecordBatch]:
+    """Chunks with the words' ids of the whole corpus, from rows sorted by chunk and local number; words without an id become -1."""
+    own, chunk, local, whole = None, None, [], []
+
+    def done() -> pa.RecordBatch:
+        of = np.full(int(own.max(initial=-1)) + 2, -1, kind)  # the last place is that of -1
+        for k, v in zip(local, whole):
+            of[k] = v
+        got = of[own]
+        cut = got >= 0
+        cut[1:] |= cut[:-1]  # one -1 ends a run as well as many
+        return pa.RecordBatch.from_arrays([pa.array([got[cut].tobytes()], pa.binary())], names=["ids"])
 
-def _renumber(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Chunks with the words' ids of the whole corpus; words without one become -1."""
     for batch in batches:
-        for ids, local, whole in zip(*(c.to_pylist() for c in batch.columns)):
-            own = np.frombuffer(ids, "<i4")
-            of = np.full(int(own.max(initial=-1)) + 2, -1, np.int64)  # the last place is that of -1
-            of[np.array(local, np.int64)] = whole
-            got = of[own]
-            cut = got >= 0
-            cut[1:] |= cut[:-1]  # one -1 ends a run as well as many
-            yield pa.RecordBatch.from_arrays([pa.array([got[cut].astype("<i8").tobytes()], pa.binary())], names=["ids"])
+        chunks, locals_, ids = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 1, 2))
+        cuts = [0, *(np.flatnonzero(np.diff(chunks)) + 1).tolist(), len(chunks)]
+        for a, b in zip(cuts, cuts[1:]):
+            if b > a and chunks[a] != chunk:
+                if own is not None:
+                    yield done()
+                own, chunk, local, whole = np.frombuffer(batch.column(3)[a].as_py(), "<i4"), chunks[a], [], []
+                a += 1
+            local.append(locals_[a:b].astype(np.int64))
+            whole.append(ids[a:b])
+    if own is not None:
+        yield done()
+
+
+def id_kind(width: int) -> str:
+    return "<i4" if width < 32 else "<i8"
 
 
 def _count(batches: Iterator[pa.RecordBatch], form: cqf.Layout, pairs=None) -> Iterator[pa.RecordBatch]:
@@ -108,21 +136,22 @@ def _count(batches: Iterator[pa.RecordBatch], form: cqf.Layout, pairs=None) -> I
 
     for batch in batches:
         for data in batch.column(0).to_pylist():
-            ids = np.frombuffer(data, "<i8")
-            if len(ids) < form.n:
-                continue
-            places = [ids[k:len(ids) - form.n + 1 + k] for k in range(form.n)]
-            whole = np.logical_and.reduce([p >= 0 for p in places])
-            if pairs is not None:
-                bits, words = pairs[0], pairs[1].value
-                may = in_bitmap(bits, words, ids[:-1] << form.width | ids[1:])
-                for k in range(form.n - 1):
-                    whole &= may[k:len(may) - form.n + 2 + k]
-            counts = cqf.tally(*cqf.permuted(*cqf.pack([p[whole] for p in places], form), form), form)
-            if len(counts.n):
-                held.append(counts)
-            yield from passed_on(False)
+            every = np.frombuffer(data, id_kind(form.width))
+            for start in range(0, len(every) - form.n + 1, SLICE):
+                ids = every[start:start + SLICE + form.n - 1].astype(np.int64)
+                places = [ids[k:len(ids) - form.n + 1 + k] for k in range(form.n)]
+                whole = np.logical_and.reduce([p >= 0 for p in places])
+                if pairs is not None:
+                    bits, words = pairs[0], pairs[1].value
+                    may = in_bitmap(bits, words, ids[:-1] << form.width | ids[1:])
+                    for k in range(form.n - 1):
+                        whole &= may[k:len(may) - form.n + 2 + k]
+                counts = cqf.tally(*cqf.permuted(*cqf.pack([p[whole] for p in places], form), form), form)
+                if len(counts.n):
+                    held.append(counts)
+                yield from passed_on(False)
     yield from passed_on(True)
+    pa.default_memory_pool().release_unused()
 
 
 def _merge(batches: Iterator[pa.RecordBatch], form: cqf.Layout, least: int) -> Iterator[pa.RecordBatch]:
@@ -199,10 +228,8 @@ def collocations(docs: DataFrame, lang: str = "lang", text: str = "text", least:
     """
     staged = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"),
                          F.coalesce(F.col(text), F.lit("")).cast("binary").alias("text"))
-    chunks = saved(staged.mapInArrow(_chunks, "chunk long, langs array<string>, words array<string>, counts array<long>, ids binary"),
-                   "chunks")
-    words = chunks.select("chunk", F.posexplode(F.arrays_zip("langs", "words", "counts")).alias("local", "w")).select(
-        "chunk", "local", F.col("w.langs").alias("lang"), F.col("w.words").alias("word"), F.col("w.counts").alias("n"))
+    chunks = saved(staged.mapInArrow(_chunks, "chunk long, local int, lang string, word string, n long, ids binary"), "chunks")
+    words = chunks.where("local >= 0").select("chunk", "local", "lang", "word", "n")
     counted = saved(words.groupBy("lang", "word").agg(F.sum("n").alias("f")), "words")
     totals = saved(counted.groupBy("lang").agg(F.sum("f").alias("n")), "language-words")
     vocabulary = _numbered(counted.where(F.col("f") >= least))
@@ -210,10 +237,10 @@ def collocations(docs: DataFrame, lang: str = "lang", text: str = "text", least:
     width = max(1, (size - 1).bit_length()) if size else 1
     n_words = totals.agg(F.sum("n")).first()[0] or 0
 
-    own = words.join(vocabulary.select("lang", "word", "id"), ["lang", "word"]).groupBy("chunk").agg(
-        F.collect_list(F.struct("local", "id")).alias("w")).select("chunk", F.col("w.local").alias("local"), F.col("w.id").alias("whole"))
-    corpus = saved(chunks.select("chunk", "ids").join(own, "chunk").select("ids", "local", "whole").mapInArrow(_renumber, "ids binary"),
-                   "chunks-numbered")
+    own = words.join(vocabulary.select("lang", "word", "id"), ["lang", "word"]).select("chunk", "local", "id", F.lit(None).cast("binary").alias("ids"))
+    texts = chunks.where("local < 0").select("chunk", "local", F.lit(0).cast("long").alias("id"), "ids")
+    corpus = saved(texts.union(own).repartition("chunk").sortWithinPartitions("chunk", "local")
+                   .mapInArrow(partial(_renumber, kind=id_kind(width)), "ids binary"), "chunks-numbered")
     pairs = ngrams(corpus, 2, width, n_words, least)
     triples = ngrams(corpus, 3, width, n_words, least, pairs)
 

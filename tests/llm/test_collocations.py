@@ -51,7 +51,7 @@ def rows_of(seed, docs=120):
     return out + [(900, None, "en", "", ""), (901, "", None, "", ""), (902, " .,\n", "de", "", ""), out[0], out[0]]
 
 
-def test_collocations_equal_brute_force(spark, monkeypatch):
+def test_collocations_equal_brute_force(spark):
     rows = rows_of(5)
     docs = spark.createDataFrame(rows, SCHEMA).repartition(6)
     got = sorted(tuple(r) for r in co.collocations(docs, least=3).collect())
@@ -91,9 +91,10 @@ def test_tasks_pass_on_and_merge_in_small_steps(spark, monkeypatch):
     rng = np.random.default_rng(1)
     form = cqf.layout(2, 9, 10_000, 8)
     monkeypatch.setattr(co, "FLUSH", 500)
+    monkeypatch.setattr(co, "SLICE", 101)
     import pyarrow as pa
 
-    data = [rng.integers(-1, 300, 900).astype("<i8") for _ in range(6)]
+    data = [rng.integers(-1, 300, 900).astype("<i4") for _ in range(6)]
     batches = [pa.RecordBatch.from_arrays([pa.array([d.tobytes()], pa.binary())], names=["ids"]) for d in data]
     filters = [(r, f) for b in co._count(iter(batches), form) for r, f in zip(*(c.to_pylist() for c in b.columns))]
     assert len({r for r, _ in filters}) < len(filters)
