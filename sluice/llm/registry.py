@@ -11,6 +11,7 @@ from sluice.llm import (
     line_dedup,
     merkle,
     mixing,
+    packing,
     preference,
     token_counts,
     token_files,
@@ -30,6 +31,7 @@ QUERIES = {
     "op10_mixing": mixing.op10_mixing,
     "op11_vector_codes": laesa.op11_vector_codes,
     "op12_collocations": collocations.op12_collocations,
+    "op13_packing": packing.op13_packing,
 }
 
 ORACLE_SQL = {
