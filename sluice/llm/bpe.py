@@ -34,7 +34,10 @@ def load(path: str):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
-    return Tokenizer.from_file(path)
+    tok = Tokenizer.from_file(path)
+    if hasattr(tok.model, "_resize_cache"):  # what is asked here is remembered here: the library's own cache only costs time
+        tok.model._resize_cache(0)
+    return tok
 
 
 def special_strings(tok) -> list[str]:
@@ -249,7 +252,8 @@ def prefix_counter(path: str) -> PrefixCounter:
 class IdEncoder:
     """Token ids of texts from the library, which sees each distinct chunk once while it is remembered.
 
-    New chunks go to the library in one string, set apart by a NUL; the ids are cut there. That is exact where
+    What is remembered stands in two generations: a full one becomes the older one, whose chunks are carried over
+    when they are met again, so that frequent chunks stay. New chunks go to the library in one string, set apart by a NUL; the ids are cut there. That is exact where
     no token but its own holds the NUL byte and the chunk has none, does not begin with a quote and does not
     end in two white-space characters; anything else is encoded by itself.
     """
@@ -260,18 +264,21 @@ class IdEncoder:
         marked = [t for t in self.tok.get_vocab() if nul in t]
         self.mark = self.tok.token_to_id(nul) if marked == [nul] else None
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tok.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
     def _learn(self, parts: set[str]) -> None:
-        known = self.known
-        new = [p for p in parts if p not in known]
-        if len(known) + len(new) > CACHE_ENTRIES:
-            known.clear()
-            new = list(parts)
+        if len(self.known) > CACHE_ENTRIES // 2:
+            self.known, self.older = {}, self.known
+        known, older = self.known, self.older.get
         joined = []
-        for p in new:
+        for p in parts.difference(known):
+            got = older(p)
+            if got is not None:
+                known[p] = got
+                continue
             chunk = p[1:] if p[:1] == "\0" else " " + p
             if self.mark is None or chunk[:1] == "'" or chunk[-2:].isspace() and len(chunk) > 1:
                 known[p] = self._whole(chunk)
