@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sluice.functions.html import document_struct
+from sluice.functions.html import DOCUMENT_TYPE, document_struct
 from sluice.functions.text import decode_bytes
 from sluice.operators.errors import attempt, capture
 from sluice.sources.documents import add_errors
@@ -42,8 +42,6 @@ def parse_text(df: DataFrame, encoding: str = "utf-8") -> DataFrame:
     return text_parser(encoding)(df)
 
 
-DOCUMENT_TYPE = "struct<text:string,title:string,elements:array<struct<type:string,content:string>>>"
-
 BinaryParser = Callable[[bytes], dict[str, Any]]
 
 
@@ -69,7 +67,8 @@ def document_parser(binary_parser: BinaryParser | None = None) -> Parser:
 def parse_document(df: DataFrame, binary_parser: BinaryParser | None = None) -> DataFrame:
     """``parsed_document = struct<document: struct<text, title, elements>>``; empty content → null.
 
-    Text and HTML are parsed natively. With ``binary_parser`` (a Python
+    HTML goes through one pass of a tag tokenizer in Arrow batches (``functions.html``), text without ``<`` stays
+    in the JVM. With ``binary_parser`` (a Python
     function for PDF, images...), content that is not valid UTF-8 goes to it
     instead, other rows reach it as null; a failure leaves ``document`` null
     and its message in ``errors``.

@@ -339,10 +339,14 @@ def parse_document_query(spark, sf_dir):
     d = parse_document(fx.web(spark, sf_dir))
     doc = F.col("parsed_document.document")
     kinds = doc["elements"]["type"]
+    shown = F.filter(doc["elements"], lambda e: e["type"].isin("heading", "paragraph", "list_item"))
+    lines = F.transform(shown, lambda e: F.concat_ws(":", e["type"], e["level"].cast("string"), e["content"]))
     return d.select("uri", doc["title"].alias("title"), _long(F.length(doc["text"])).alias("text_chars"),
                     F.md5(doc["text"]).alias("text_md5"),
                     _long(_count_of(kinds, "heading")).alias("n_headings"),
-                    _long(_count_of(kinds, "paragraph")).alias("n_paragraphs"))
+                    _long(_count_of(kinds, "paragraph")).alias("n_paragraphs"),
+                    _long(_count_of(kinds, "list_item")).alias("n_list_items"),
+                    F.md5(F.array_join(lines, "|")).alias("elements_md5"))
 
 
 def _count_of(kinds, kind: str):

@@ -126,6 +126,45 @@ def _page_columns(html: str = "html") -> dict[str, str]:
     }
 
 
+# Pages cut at every "<"; what a piece begins with tells a tag from text, and running maxima tell script bodies.
+PAGE_STRUCTURE = f"""WITH cut AS (
+  SELECT url, unnest(string_split(html, '<')) AS piece, generate_subscripts(string_split(html, '<'), 1) AS k FROM pages),
+tag AS (
+  SELECT url, k, piece, strpos(piece, '>') AS stop, lower(left(ltrim(piece, '/'), 1)) AS c,
+         lower(split_part(split_part(replace(ltrim(piece, '/'), '/', ' '), '>', 1), ' ', 1)) AS name, left(piece, 1) = '/' AS closing
+  FROM cut),
+marked AS (
+  SELECT *, k > 1 AND stop > 0 AND (c BETWEEN 'a' AND 'z' OR left(piece, 1) IN ('!', '?')) AS is_tag FROM tag),
+told AS (
+  SELECT *, coalesce(max(CASE WHEN is_tag AND NOT closing AND name IN ('script', 'style') THEN k END) OVER w, 0)
+          > coalesce(max(CASE WHEN is_tag AND closing AND name IN ('script', 'style') THEN k END) OVER w, 0) AS hidden,
+         CASE WHEN NOT is_tag THEN CASE WHEN k > 1 THEN '<' ELSE '' END || piece
+              WHEN starts_with(piece, '!--') THEN substr(piece, strpos(piece, '-->') + 3)
+              ELSE CASE WHEN name IN ('a', 'b') THEN '' ELSE ' ' END || substr(piece, stop + 1) END AS rest
+  FROM marked WINDOW w AS (PARTITION BY url ORDER BY k)),
+grouped AS (
+  SELECT *, sum(CASE WHEN is_tag AND NOT hidden AND name IN ('html', 'head', 'title', 'body', 'nav', 'ul', 'li', 'div', 'article',
+                                                              'h1', 'p', 'footer') THEN 1 ELSE 0 END) OVER (PARTITION BY url ORDER BY k) AS block,
+         sum(CASE WHEN hidden OR NOT is_tag OR name <> 'ul' THEN 0 WHEN closing THEN -1 ELSE 1 END) OVER (PARTITION BY url ORDER BY k) AS lists
+  FROM told),
+blocks AS (
+  SELECT url, block, arg_min(CASE WHEN closing THEN '/' ELSE '' END || name, k) AS name, arg_min(lists, k) AS lists,
+         {_squash(_entities("string_agg(CASE WHEN hidden THEN ' ' ELSE rest END, '' ORDER BY k)"))} AS content
+  FROM grouped GROUP BY url, block),
+shown AS (
+  SELECT url, block, lists, content, CASE name WHEN 'h1' THEN 'heading' WHEN 'p' THEN 'paragraph' WHEN 'li' THEN 'list_item' END AS type
+  FROM blocks)
+SELECT url AS uri, nullif(any_value(b.title), '') AS title, CAST(length(any_value(b.text)) AS BIGINT) AS text_chars,
+       md5(any_value(b.text)) AS text_md5, count(*) FILTER (WHERE type = 'heading') AS n_headings,
+       count(*) FILTER (WHERE type = 'paragraph') AS n_paragraphs, count(*) FILTER (WHERE type = 'list_item') AS n_list_items,
+       md5(string_agg(type || ':' || lists || ':' || content, '|' ORDER BY block) FILTER (WHERE type IS NOT NULL)) AS elements_md5
+FROM shown JOIN (
+  SELECT url, {_squash(_entities("string_agg(CASE WHEN hidden THEN ' ' ELSE rest END, '' ORDER BY k)"))} AS text FROM told GROUP BY url) t USING (url)
+JOIN (SELECT url, max(CASE WHEN name = 'title' THEN content END) AS title FROM blocks GROUP BY url) x USING (url), LATERAL (
+  SELECT t.text, x.title) b
+GROUP BY url"""
+
+
 def _text_json() -> str:
     return "to_json(struct_pack(text := text, length := CAST(length(text) AS INTEGER)))"
 
@@ -246,9 +285,7 @@ SELECT uri, CASE WHEN stem NOT IN ('scan', 'memo', 'notes') THEN filename END AS
   CAST(length({page['text']}) AS BIGINT) AS text_chars FROM pages""",
         "parse_text": f"""WITH {LANDING}
 SELECT uri, CAST(length(text) AS BIGINT) AS text_chars, md5(text) AS text_md5 FROM landing""",
-        "parse_document": f"""SELECT url AS uri, {page['title']} AS title, CAST(length({page['text']}) AS BIGINT) AS text_chars,
-  md5({page['text']}) AS text_md5, CAST({page['n_headings']} AS BIGINT) AS n_headings,
-  CAST({page['n_paragraphs']} AS BIGINT) AS n_paragraphs FROM pages""",
+        "parse_document": PAGE_STRUCTURE,
         "extract_fields": f"""WITH {LANDING}
 SELECT uri, nullif(regexp_extract({cut}, {_q(email)}), '') AS email,
        nullif(regexp_extract({cut}, {_q(ip)}), '') AS ip,

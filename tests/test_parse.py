@@ -58,7 +58,7 @@ ORDINARY = {
     "/prolog": ('<?xml version="1.0"?>\n<html><body><p>x</p></body></html>', "x", [("paragraph", "x")]),
     "/entities": ("<p>caf&eacute; &#8217; &#x2014; &mdash; &amp;lt; &nosuch; &#0;</p>", "café ’ — — &lt; &nosuch; &#0;",
                   [("paragraph", "café ’ — — &lt; &nosuch; &#0;")]),
-    "/pre": ("<pre>b</pre><p>c</p><param x><picture></picture>", "b c", [("paragraph", "c")]),
+    "/pre": ("<pre>b</pre><p>c</p><param x><picture></picture>", "b c", [("preformatted", "b"), ("paragraph", "c")]),
     "/order": ("<p>1</p><h2 id=x>2</h2><P class='a'>3<p>4<h3>5</h3><!-- <p>no</p> --><p>6", "1 2 3 4 5 6",
                [("paragraph", "1"), ("heading", "2"), ("paragraph", "3"), ("paragraph", "4"), ("heading", "5"), ("paragraph", "6")]),
     "/less": ("a < b and c<d & e", "a < b and c<d & e", [("paragraph", "a < b and c<d & e")]),
@@ -233,3 +233,45 @@ def test_document_fields_parser_merges_parse_and_fields(docs):
     assert out["/b"]["extracted"] is None and out["/b"]["errors"] == []
     only = document_fields_parser()(d).first()["extracted"]
     assert only["parsed_document"]["document"]["text"] == "Bill pay"
+
+
+STRUCTURES = {
+    "/angles": ("<p>3 < 4 and 5 > 2</p>", "3 < 4 and 5 > 2", [("paragraph", "3 < 4 and 5 > 2", 0, None)]),
+    "/prose": ("In C write <b> if x < y and z > w", "In C write <b> if x < y and z > w",
+               [("paragraph", "In C write <b> if x < y and z > w", 0, None)]),
+    "/tight": ("<p>if x<y and z>w then</p>", "if x<y and z>w then", [("paragraph", "if x<y and z>w then", 0, None)]),
+    "/inline": ("<p>t<b>w</b>o <a title='a > b' href=\"x\">l<i>in</i>k</a><br>next</p>", "two link next",
+                [("paragraph", "two link next", 0, None)]),
+    "/pre": ("<pre>\na  &lt;b\n  c\n</pre><p> x  y </p>", "a <b c x y", [("preformatted", "a  <b\n  c", 0, None), ("paragraph", "x y", 0, None)]),
+    "/lists": ("<ul><li>one<ul><li>in<li>ner</ul>tail<li><p>two</p></ul>", "one in ner tail two",
+               [("list", "", 0, None), ("list_item", "one tail", 1, 0), ("list", "", 2, 1), ("list_item", "in", 3, 2),
+                ("list_item", "ner", 3, 2), ("list_item", "", 1, 0), ("paragraph", "two", 2, 5)]),
+    "/table": ("<table><caption>C</caption><tr><th>h<td>1<tr><td>2<table><tr><td>in</table></table>after", "C h 1 2 in after",
+               [("table", "", 0, None), ("caption", "C", 1, 0), ("row", "", 1, 0), ("cell", "h", 2, 2), ("cell", "1", 2, 2),
+                ("row", "", 1, 0), ("cell", "2", 2, 5), ("table", "", 3, 6), ("row", "", 4, 7), ("cell", "in", 5, 8)]),
+    "/hidden": ("<p>a<script>if (x</p>y) <p></SCRIPT >b<!-- <p>no</p> > -->c<style>p>q</style></p>", "a bc",
+                [("paragraph", "a bc", 0, None)]),
+    "/open": ("<div>a<!-- never closed <p>b", "a", []),
+    "/quote": ("<p class=\"x>y</p><p>z</p>", "y z", [("paragraph", "y", 0, None), ("paragraph", "z", 0, None)]),
+    "/unknown": ("<note><to kind='x'>T</to><x-y z=1>U</x-y></note><p>V</p>", "T U V", [("paragraph", "V", 0, None)]),
+}
+
+
+def test_parse_document_keeps_text_and_nesting(docs):
+    rows = parse_document(docs([(u, raw.encode(), None) for u, (raw, _, _) in STRUCTURES.items()])).collect()
+    got = {r["uri"]: r["parsed_document"]["document"] for r in rows}
+    for uri, (_, text, elements) in STRUCTURES.items():
+        assert got[uri]["text"] == text, uri
+        assert [tuple(e) for e in got[uri]["elements"]] == elements, uri
+
+
+def test_html_is_read_in_one_pass():
+    import time
+
+    from sluice.functions.html import looks_html, parse_html
+
+    for part in ("<a \"", "<", "<!--", "<p '", "</", "<x y z>", "<script>", "&#", "<li>"):
+        text = "<p>" + part * 20_000
+        start = time.perf_counter()
+        assert looks_html(text) and parse_html(text)["text"] is not None
+        assert time.perf_counter() - start < 5, part
