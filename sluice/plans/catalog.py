@@ -11,9 +11,11 @@ from __future__ import annotations
 
 import json
 import uuid
+from contextlib import contextmanager
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from sluice.functions.text import decode_utf8, extension_of, filename_of
@@ -520,15 +522,79 @@ def router_stream_dead_letter(spark, sf_dir):
     return back.select("uri", "pipeline_name", _first_error(), F.to_json("metadata").alias("metadata_json"), "run_id")
 
 
+@contextmanager
+def _catalog_table(spark, name: str):
+    """A table name in a database of its own, which goes when the rows have been copied out."""
+    database = f"sluice_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{fresh_path(spark, name)}'")
+    try:
+        yield f"{database}.gold_rows"
+    finally:
+        spark.sql(f"DROP DATABASE {database} CASCADE")
+
+
+def _gold_rows(spark, table: str, name: str) -> DataFrame:
+    """The table sink's rows, kept in a folder so that the catalog table can go."""
+    rows = spark.table(table).select("doc_id", "uri", "doc_type", "metadata_json", F.md5("extracted_json").alias("extracted_md5"),
+                                     "pipeline_name", "run_id")
+    path = fresh_path(spark, name)
+    rows.write.parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
 def router_stream_table(spark, sf_dir):
     """F2 + K1: all pipelines append to one catalog table over several micro-batches."""
-    database = f"sluice_{uuid.uuid4().hex}"
-    spark.sql(f"CREATE DATABASE {database} LOCATION '{fresh_path(spark, 'stream_catalog')}'")
-    rows = f"{database}.gold_rows"
-    _stream_router(spark, sf_dir, flagship_spec(sinks_for=lambda name: [table_sink(rows, run_id=RUN_ID, pipeline_name=name)]),
-                   "stream_catalog")
-    return spark.table(rows).select("doc_id", "uri", "doc_type", "metadata_json", F.md5("extracted_json").alias("extracted_md5"),
-                                    "pipeline_name", "run_id")
+    with _catalog_table(spark, "stream_catalog") as rows:
+        _stream_router(spark, sf_dir, flagship_spec(sinks_for=lambda name: [table_sink(rows, run_id=RUN_ID, pipeline_name=name)]),
+                       "stream_catalog")
+        return _gold_rows(spark, rows, "stream_catalog_rows")
+
+
+def router_stream_replay(spark, sf_dir):
+    """F2 + K1: the second micro-batch dies between two targets and is replayed; no row comes twice or stays behind."""
+    landing_path, checkpoint = fresh_path(spark, "replay_landing"), fresh_path(spark, "replay_ckpt")
+    _write_landing(spark, sf_dir, landing_path)
+    failures = []
+
+    def dies_once(df, batch_id=None):
+        df.write.format("noop").mode("overwrite").save()
+        if batch_id == 1 and not failures:
+            failures.append(batch_id)
+            raise RuntimeError("the driver died here")
+
+    with _catalog_table(spark, "replay_catalog") as rows:
+        # one pipeline has written its rows when the other one's sink fails
+        def sinks(name):
+            table = table_sink(rows if name == specs.DEFAULT_PIPELINE else f"{rows}_{name}", run_id=RUN_ID, pipeline_name=name)
+            return [table, dies_once]
+
+        for _ in range(2):
+            docs = to_documents(stream_table(spark, landing_path, max_files_per_trigger=1), metadata=F.col("metadata"))
+            query = run_router_stream(docs, flagship_spec(sinks_for=sinks), checkpoint, run_id=RUN_ID)
+            try:
+                query.awaitTermination()
+            except StreamingQueryException:
+                if len(failures) != 1:
+                    raise
+        tables = [rows if name == specs.DEFAULT_PIPELINE else f"{rows}_{name}" for name in specs.flagship_routes(specs.DEFAULT_PIPELINE).pipelines()]
+        parts = [_gold_rows(spark, t, "replay_rows") for t in tables]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def sink_overwrite_twice(spark, sf_dir):
+    """K1 + K2: two runs replace a table and a JSON folder that all pipelines share; the second brings contracts only."""
+    table_path, json_path = fresh_path(spark, "over_table"), fresh_path(spark, "over_json")
+    spec = flagship_spec(sinks_for=lambda name: [table_sink(table_path, "overwrite", run_id=RUN_ID, pipeline_name=name),
+                                                 json_sink(json_path, RUN_ID, name, mode="overwrite")])
+    for only in (None, "contract"):
+        docs = classify_chain(fx.landing(spark, sf_dir), spec.classifiers, mode="first")
+        docs = docs if only is None else docs.where(F.col("doc_type") == only)
+        write_flow(run_router(docs, spec), spec.pipelines, run_id=RUN_ID)
+    t = spark.read.parquet(table_path).select(F.lit("table").alias("sink"), "uri", "doc_type", "pipeline_name",
+                                              F.md5("extracted_json").alias("extracted_md5"))
+    j = _read_records(spark, json_path).select(F.lit("json").alias("sink"), "uri", "doc_type", "pipeline_name",
+                                               F.md5("extracted.text").alias("extracted_md5"))
+    return t.unionByName(j)
 
 
 def run_stats(spark, sf_dir):
@@ -616,6 +682,8 @@ def queries():
         "router_rerun": router_rerun,
         "router_stream_dead_letter": router_stream_dead_letter,
         "router_stream_table": router_stream_table,
+        "router_stream_replay": router_stream_replay,
+        "sink_overwrite_twice": sink_overwrite_twice,
         "router_batch": router_batch,
         "router_stream": router_stream,
         "gold_tables": gold_tables,

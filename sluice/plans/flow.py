@@ -22,7 +22,7 @@ from sluice.operators.parse import Parser
 from sluice.operators.route import RouteTable, fan_out, route, split_unrouted
 from sluice.operators.stats import observe_outcomes, stats_frame
 from sluice.session import fresh_path, work_root
-from sluice.sinks.writers import Sink, table_rows, write_table
+from sluice.sinks.writers import Sink, table_rows, write_table, write_targets
 
 
 @dataclass
@@ -172,12 +172,15 @@ def write_flow(result: FlowResult, pipelines: Mapping[str, PipelineSpec], batch_
                run_id: str = "") -> dict:
     """Run every sink; returns the run statistics as a dict.
 
+    What several pipelines bring to one target is written in one job, so an
+    overwriting target is replaced once per run and a micro-batch's part of a
+    target is committed whole or not at all.
     Counts come from observations attached to the written frames, so no
     extra pass runs the classifiers or parsers again. A pipeline whose
     output feeds more than one sink is cached while they write, so a parser
     (or a model call) runs once per document.
     """
-    cached = []
+    cached, work = [], []
     try:
         for name, done in result.processed.items():
             pipe = pipelines[name]
@@ -188,8 +191,8 @@ def write_flow(result: FlowResult, pipelines: Mapping[str, PipelineSpec], batch_
                 cached.append(done.persist())
             if not writers:
                 done.write.format("noop").mode("overwrite").save()
-            for sink, frame in writers:
-                sink(frame, batch_id)
+            work += writers
+        write_targets(work, batch_id)
         if not result.processed and result.routing is not None:
             result.routed.write.format("noop").mode("overwrite").save()  # nothing routed: still count
         return _collect_stats(result, run_id)

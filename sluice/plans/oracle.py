@@ -317,6 +317,12 @@ FROM landing""",
         "router_rerun": _flow(f"uri, doc_type, pipeline_name, md5(text) AS text_md5, {META_JSON} AS metadata_json, 'run-0' AS run_id"),
         "router_stream_dead_letter": _flow(f"uri, pipeline_name, 'too short' AS error, {META_JSON} AS metadata_json, "
                                            "'run-0' AS run_id", f"WHERE {short}"),
+        "router_stream_replay": _flow(f"doc_id, uri, doc_type, {META_JSON} AS metadata_json, md5({_text_json()}) AS extracted_md5, "
+                                      "pipeline_name, 'run-0' AS run_id"),
+        "sink_overwrite_twice": _flow(f"'table' AS sink, uri, doc_type, pipeline_name, md5({_text_json()}) AS extracted_md5",
+                                      "WHERE doc_type = 'contract'") +
+                                " UNION ALL SELECT 'json' AS sink, uri, doc_type, pipeline_name, md5(text) AS extracted_md5 FROM routed "
+                                "WHERE doc_type = 'contract'",
         "router_stream_table": _flow(f"doc_id, uri, doc_type, {META_JSON} AS metadata_json, md5({_text_json()}) AS extracted_md5, "
                                      "pipeline_name, 'run-0' AS run_id"),
         "run_stats": f"""WITH {LANDING}, flow AS (SELECT *, {RULES_CASE} AS doc_type FROM landing),

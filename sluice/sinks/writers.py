@@ -4,26 +4,34 @@ Writers are plain DataFrame writes: every task writes its own files, so
 nothing is buffered on the driver. A *sink* is a callable
 ``(df, batch_id) -> None`` that must run the frame it is given to the end
 (a write or any other action): run counters are observed on that action.
-In a stream ``batch_id`` is the micro-batch id and a sink overwrites its
-own ``batch_id=N`` folder, so a replayed batch replaces its earlier attempt
-instead of duplicating it.
+
+A ``TargetSink`` names its target. A flow gathers what all its pipelines
+bring to one target and writes it in one job (``write_targets``), so an
+overwriting target is replaced once per run, and a pipeline that brings
+nothing loses its old rows. In a stream ``batch_id`` is the micro-batch id:
+a path target keeps a ``batch_id=N`` folder per micro-batch, a catalog table
+a partition per stream and micro-batch; writing one again replaces exactly
+that, so a replay after a crash neither doubles nor leaves rows.
 """
 
 from __future__ import annotations
 
 import os
+import uuid
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sluice.functions.text import extension_of
 
-#: Folder column under which overwriting sinks keep each pipeline's files (``pipeline_name`` stays in the rows).
-FOLDER = "of_pipeline"
-
 Sink = Callable[[DataFrame, "int | None"], None]
 
+#: Partition columns of a catalog table that streams write to.
+COMMIT_COLUMNS = ("stream_id", "batch_id")
+
 
 def extracted_json(extracted: Column, kind: str) -> Column:
     """JSON text of ``extracted``; null when it is null or empty."""
@@ -66,6 +74,10 @@ def json_records(df: DataFrame, pipeline_name: str | Column | None = None, run_i
     )
 
 
+def is_path(target: str) -> bool:
+    return "/" in target or ":" in target
+
+
 def _target(path: str, batch_id: int | None) -> str:
     return path if batch_id is None else f"{path.rstrip('/')}/batch_id={batch_id}"
 
@@ -77,36 +89,73 @@ def write_table(df: DataFrame, table: str, mode: str = "append", fmt: str = "par
     ``partition_by=["pipeline_name"]`` writes one folder per pipeline with no
     shuffle: each task writes the pipelines it holds, so a pipeline that
     receives a third of all documents does not land in one task.
-    Overwriting a path table (always with ``batch_id``, in its
-    ``batch_id=N`` folder) replaces the folders of the pipelines it brings
-    and no others, so pipelines can share a path and a replayed micro-batch
-    replaces itself. A catalog table gets every micro-batch appended.
+    ``overwrite`` replaces the whole table. With ``batch_id`` the
+    micro-batch's folder (path) or partition (catalog table, see
+    ``commit_batch``) is replaced, whatever the mode.
     """
-    if "/" in table or ":" in table:
+    if is_path(table):
         mode = mode if batch_id is None else "overwrite"
-        if mode == "overwrite" and "pipeline_name" in df.columns:
-            df, partition_by = df.withColumn(FOLDER, F.col("pipeline_name")), [FOLDER]
         _writer(df, mode, partition_by).format(fmt).save(_target(table, batch_id))
+    elif batch_id is None:
+        _writer(df, mode, partition_by).format(fmt).saveAsTable(table)
     else:
-        _writer(df, mode if batch_id is None else "append", partition_by).format(fmt).saveAsTable(table)
+        commit_batch(df, table, fmt, batch_id)
 
 
 def _writer(df: DataFrame, mode: str, partition_by: Sequence[str] = ()):
     writer = df.write.mode(mode)
     if partition_by:
-        writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
+        writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", "static")
     return writer
 
 
+def _stream_id(df: DataFrame) -> str:
+    """Id of the streaming query that runs this code: the same after a restart from its checkpoint, another for another stream."""
+    return df.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "none"
+
+
+def commit_batch(df: DataFrame, table: str, fmt: str, batch_id: int) -> None:
+    """Replace what micro-batch ``batch_id`` of the running stream has in a catalog table.
+
+    The table is partitioned by ``stream_id`` and ``batch_id``; the list of its
+    partitions is the record of what has been committed. A micro-batch that is
+    replayed finds its own partition and replaces it, also with nothing, and
+    several streams can write to one table.
+    """
+    spark = df.sparkSession
+    if not spark.catalog.tableExists(table):
+        fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({fields}, stream_id STRING, batch_id BIGINT) USING {fmt} "
+                  f"PARTITIONED BY ({', '.join(COMMIT_COLUMNS)})")
+    columns = spark.catalog.listColumns(table)
+    if tuple(c.name for c in columns if c.isPartition) != COMMIT_COLUMNS:
+        raise ValueError(f"table {table} is not partitioned by {COMMIT_COLUMNS}: a replayed micro-batch could not find its rows")
+    view = f"batch_{uuid.uuid4().hex}"
+    df.createOrReplaceTempView(view)
+    try:
+        names = ", ".join(f"`{c.name}`" for c in columns if not c.isPartition)
+        spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION (stream_id = '{_stream_id(df)}', batch_id = {int(batch_id)}) "
+                  f"SELECT {names} FROM {view}")
+    finally:
+        spark.catalog.dropTempView(view)
+
+
 def write_json(df: DataFrame, path: str, mode: str = "append", batch_id: int | None = None) -> None:
     """K2: JSON lines, many records per part file; nulls are written as ``null``.
 
-    Overwriting (always with ``batch_id``) replaces the folders of the pipelines it brings and no others.
+    ``overwrite`` replaces the whole folder; with ``batch_id`` the micro-batch's folder is replaced.
     """
+    _write_records([df], path, mode, batch_id)
+
+
+def _write_records(records: Sequence[DataFrame], path: str, mode: str, batch_id: int | None) -> None:
     mode = mode if batch_id is None else "overwrite"
-    parts = [FOLDER] if mode == "overwrite" and "pipeline_name" in df.columns else []
-    df = df.withColumn(FOLDER, F.col("pipeline_name")) if parts else df
-    _writer(df, mode, parts).option("ignoreNullFields", "false").json(_target(path, batch_id))
+    path = _target(path, batch_id)
+    if len({r.schema.simpleString() for r in records}) == 1:
+        reduce(DataFrame.unionByName, records).write.mode(mode).option("ignoreNullFields", "false").json(path)
+    else:  # pipelines with different ``extracted`` fields: the same lines, made before the union (in files named .txt)
+        lines = [r.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("value")) for r in records]
+        reduce(DataFrame.unionByName, lines).write.mode(mode).text(path)
 
 
 def content_names(df: DataFrame) -> DataFrame:
@@ -147,24 +196,62 @@ def write_all(df: DataFrame, sinks: Sequence[Sink], batch_id: int | None = None)
             df.unpersist()
 
 
+@dataclass(frozen=True)
+class TargetSink:
+    """A sink with a named target: ``rows`` projects what one pipeline brings, ``write`` puts all of it there in one job."""
+
+    target: str
+    mode: str
+    kind: str
+    rows: Callable[[DataFrame], DataFrame]
+    write: Callable[[Sequence[DataFrame], "int | None"], None]
+
+    @property
+    def key(self) -> tuple[str, str, str]:
+        return self.kind, self.target, self.mode
+
+    def __call__(self, df: DataFrame, batch_id: int | None = None) -> None:
+        self.write([self.rows(df)], batch_id)
+
+
+def write_targets(work: Sequence[tuple[Sink, DataFrame]], batch_id: int | None = None) -> None:
+    """Every sink over its frame, in order; frames for one target are written together, where the last of them stands."""
+    pending: dict[tuple, list[DataFrame]] = {}
+    left: dict[tuple, int] = {}
+    for sink, _ in work:
+        if isinstance(sink, TargetSink):
+            left[sink.key] = left.get(sink.key, 0) + 1
+    for sink, df in work:
+        if not isinstance(sink, TargetSink):
+            sink(df, batch_id)
+            continue
+        pending.setdefault(sink.key, []).append(sink.rows(df))
+        left[sink.key] -= 1
+        if not left[sink.key]:
+            sink.write(pending.pop(sink.key), batch_id)
+
+
 def table_sink(table: str, mode: str = "append", fmt: str = "parquet", run_id: str = "",
                pipeline_name: str | None = None) -> Sink:
-    return lambda df, batch_id=None: write_table(table_rows(df, pipeline_name, run_id), table, mode, fmt, batch_id)
+    return TargetSink(table, mode, f"table-{fmt}", lambda df: table_rows(df, pipeline_name, run_id),
+                      lambda rows, batch_id: write_table(reduce(DataFrame.unionByName, rows), table, mode, fmt, batch_id))
 
 
-def json_sink(path: str, run_id: str = "", pipeline_name: str | None = None, raw_path: str | None = None) -> Sink:
+def json_sink(path: str, run_id: str = "", pipeline_name: str | None = None, raw_path: str | None = None,
+              mode: str = "append") -> Sink:
     """K2 (+ K3 when ``raw_path`` is given: raw bytes copied to their own folder,
     so the JSON folder holds only records)."""
+    records = TargetSink(path, mode, "json", lambda df: json_records(df, pipeline_name, run_id),
+                         lambda records, batch_id: _write_records(records, path, mode, batch_id))
+    if raw_path is None:
+        return records
 
     def sink(df: DataFrame, batch_id: int | None = None) -> None:
-        if raw_path is not None:
-            df = df.persist()
+        df = df.persist()
         try:
-            write_json(json_records(df, pipeline_name, run_id), path, batch_id=batch_id)
-            if raw_path is not None:
-                write_content(df, _target(raw_path, batch_id))
+            records(df, batch_id)
+            write_content(df, _target(raw_path, batch_id))
         finally:
-            if raw_path is not None:
-                df.unpersist()
+            df.unpersist()
 
     return sink

@@ -3,8 +3,9 @@
 Streams run as finite micro-batches (``availableNow``) or continuously;
 each query has its own checkpoint under ``spark.checkpoint.dir``, so a
 restarted or replayed query resumes where it committed. Micro-batches are
-handed to the batch flow through ``foreachBatch``; sinks there overwrite a
-``batch_id=N`` folder, so a replayed batch does not duplicate output.
+handed to the batch flow through ``foreachBatch``; sinks there replace a
+``batch_id=N`` folder of a path, or the stream's partition of a catalog
+table, so a replayed batch neither duplicates output nor leaves any behind.
 """
 
 from __future__ import annotations

@@ -315,3 +315,49 @@ def test_extracted_json_keeps_null_fields(spark):
 
     df = spark.createDataFrame([((1, None),)], "extracted struct<n:int,vendor:string>")
     assert df.select(extracted_json(F.col("extracted"), "struct<n:int,vendor:string>").alias("j")).first().j == '{"n":1,"vendor":null}'
+
+
+def test_an_overwriting_target_is_replaced_once_per_run(spark, docs):
+    base = tempfile.mkdtemp()
+    for sink, read in ((lambda n: table_sink(f"{base}/t", "overwrite", pipeline_name=n), lambda: spark.read.parquet(f"{base}/t")),
+                       (lambda n: json_sink(f"{base}/j", "r", n, mode="overwrite"), lambda: spark.read.json(f"{base}/j"))):
+        spec = _two_pipelines(sink)
+        write_flow(run_router(_typed_docs(docs, 5), spec), spec.pipelines)
+        assert sorted(r.pipeline_name for r in read().collect()) == ["p1"] * 3 + ["p2"] * 2
+        only_a = _typed_docs(docs, 5).where("doc_type = 'a'")
+        write_flow(run_router(only_a, spec), spec.pipelines)
+        assert sorted(r.pipeline_name for r in read().collect()) == ["p1"] * 3
+
+
+def test_a_replayed_batch_replaces_its_rows_in_a_catalog_table(spark, docs):
+    spark.sql("DROP TABLE IF EXISTS replayed_rows")
+    spec = _two_pipelines(lambda n: table_sink("replayed_rows", pipeline_name=n))
+    try:
+        for batch, n in ((0, 4), (1, 6), (1, 4)):  # the replay of batch 1 brings less
+            write_flow(run_router(_typed_docs(docs, n), spec), spec.pipelines, batch_id=batch)
+        assert spark.table("replayed_rows").count() == 8
+        write_flow(run_router(_typed_docs(docs, 4).where("doc_type = 'none'"), spec), spec.pipelines, batch_id=1)
+        assert {(r["batch_id"], r["pipeline_name"]) for r in spark.table("replayed_rows").collect()} == {(0, "p1"), (0, "p2")}
+    finally:
+        spark.sql("DROP TABLE IF EXISTS replayed_rows")
+
+
+def test_a_table_without_commit_columns_is_refused_to_streams(spark, docs):
+    spark.range(1).write.mode("overwrite").saveAsTable("plain_rows")
+    try:
+        with pytest.raises(ValueError, match="not partitioned by"):
+            table_sink("plain_rows", pipeline_name="p")(docs([("/a", b"x", None)]).withColumn("extracted", F.lit(None).cast("map<string,string>")), 0)
+    finally:
+        spark.sql("DROP TABLE plain_rows")
+
+
+def test_records_with_different_fields_share_a_json_folder(spark, docs):
+    path = tempfile.mkdtemp() + "/mixed"
+    parsers = {"p1": lambda df: df.withColumn("extracted", F.struct(F.lit(1).alias("n"))),
+               "p2": lambda df: df.withColumn("extracted", F.struct(F.lit("x").alias("name")))}
+    spec = _two_pipelines(lambda n: json_sink(path, "r", n))
+    for name, parser in parsers.items():
+        spec.pipelines[name].parser = parser
+    write_flow(run_router(_typed_docs(docs, 4), spec), spec.pipelines)
+    got = {(r["pipeline_name"], r["extracted"]["n"], r["extracted"]["name"]) for r in spark.read.json(path).collect()}
+    assert got == {("p1", 1, None), ("p2", None, "x")}
