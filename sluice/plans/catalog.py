@@ -33,9 +33,9 @@ from sluice.plans.flow import (
     PipelineSpec, RouterSpec, materialize, run_pipeline, run_router, write_flow, write_tables,
 )
 from sluice.session import fresh_path
-from sluice.sinks.writers import json_sink, table_rows, table_sink, write_all, write_content, write_table
+from sluice.sinks.writers import content_names, json_sink, table_rows, table_sink, write_all, write_content, write_files, write_table
 from sluice.sources.documents import to_documents, with_name_columns
-from sluice.sources.files import new_files, scan_files
+from sluice.sources.files import files_pass, new_files, scan_files
 from sluice.sources.landing import append_landing, next_watermark, read_increment
 from sluice.sources.submissions import read_submissions, submit
 from sluice.streaming.streams import run_router_stream, stream_files, stream_table, stream_to
@@ -94,6 +94,41 @@ def files_incremental(spark, sf_dir):
     return new_files(found, seen).select("uri", "doc_id")
 
 
+def files_stream_formats(spark, sf_dir):
+    """JSON rows and text lines as streams of documents, each started twice; the second run adds nothing."""
+    root, out = fresh_path(spark, "formats_in"), fresh_path(spark, "formats_out")
+    docs = fx.table(spark, sf_dir, "documents")
+    rows = docs.select(F.concat(F.lit("json://"), F.col("doc_id")).alias("path"), F.col("text").alias("content"), "lang", "n_chars")
+    rows.write.option("maxRecordsPerFile", 400).json(f"{root}/json")
+    docs.select(F.concat_ws("\t", "doc_id", "source")).write.option("maxRecordsPerFile", 400).text(f"{root}/text")
+    for kind, schema in (("json", rows.schema.simpleString().removeprefix("struct<").removesuffix(">").replace(":", " ")), ("text", None)):
+        for _ in range(2):
+            found = stream_files(spark, f"{root}/{kind}", max_files_per_trigger=2, file_format=kind, schema=schema)
+            found = found.select(F.lit(kind).alias("kind"), F.when(F.lit(kind == "json"), F.col("uri")).alias("uri"),
+                                 F.md5("content").alias("content_md5"), F.col("metadata")["lang"].alias("lang"),
+                                 F.col("metadata")["n_chars"].alias("n_chars"), F.col("metadata")["value"].alias("line"))
+            stream_to(found, out + "/" + kind, f"{out}_ckpt_{kind}").awaitTermination()
+    return spark.read.parquet(f"{out}/json").unionByName(spark.read.parquet(f"{out}/text"))
+
+
+def files_incremental_passes(spark, sf_dir):
+    """S5 over real files: three passes, files landing before each; every third is hidden, and one more is empty."""
+    root, state, out = (fresh_path(spark, f"passes_{n}") for n in ("landing", "seen", "out"))
+    docs = fx.landing(spark, sf_dir)
+    names = content_names(docs.select("src_id", "doc_id", "uri", "content"), ["src_id"])
+    hidden = names.withColumn("name", F.concat(F.when(F.col("src_id") % 3 == 1, ".").otherwise(""), "name"))
+    empty = F.lit(b"").alias("content")
+    for k in range(3):
+        write_files(hidden.where(F.col("src_id") % 3 == k), f"{root}/{k}")
+        write_files(spark.range(1).select(F.lit(f"empty-{k}.txt").alias("name"), empty), f"{root}/{k}")
+        files_pass(spark, root, state, lambda found: found.select(
+            F.lit(k).alias("pass"), "uri", F.size("errors").alias("n_errors"), F.octet_length("content").alias("size_bytes"),
+            F.md5("content").alias("content_md5")).write.mode("append").parquet(out))
+    back = spark.read.parquet(out)
+    return back.select(_long(F.col("pass")).alias("pass"), filename_of(F.col("uri")).alias("name"), _long(F.col("n_errors")).alias("n_errors"),
+                       _long(F.col("size_bytes")).alias("size_bytes"), "content_md5")
+
+
 def files_stream(spark, sf_dir):
     docs = stream_files(spark, sf_dir, max_files_per_trigger=5)
     rows = docs.select("uri", "length", F.md5("content").alias("content_md5"))
@@ -640,6 +675,8 @@ def queries():
         "files_no_content": files_no_content,
         "files_incremental": files_incremental,
         "files_stream": files_stream,
+        "files_stream_formats": files_stream_formats,
+        "files_incremental_passes": files_incremental_passes,
         "landing_increment": landing_increment,
         "landing_watermark": landing_watermark,
         "landing_stream": landing_stream,

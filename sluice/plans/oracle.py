@@ -221,6 +221,14 @@ SELECT doc_id, uri, filename, extension, CAST(strlen(text) AS BIGINT) AS content
 SELECT uri, doc_id FROM landing
 WHERE uri NOT IN (SELECT l.uri FROM landing l JOIN labels b ON l.src_id = b.doc_id)""",
         "files_stream": _files("*.parquet"),
+        "files_stream_formats": """SELECT 'json' AS kind, 'json://' || doc_id AS uri, md5(text) AS content_md5, lang,
+       CAST(n_chars AS VARCHAR) AS n_chars, CAST(NULL AS VARCHAR) AS line FROM documents
+UNION ALL SELECT 'text', NULL, NULL, NULL, NULL, concat_ws(chr(9), doc_id, source) FROM documents""",
+        "files_incremental_passes": f"""WITH {LANDING}
+SELECT src_id % 3 AS pass, CASE WHEN src_id % 3 = 1 THEN '.' ELSE '' END || doc_id || '.' ||
+       CASE WHEN extension = '' THEN 'bin' ELSE extension END AS name, CAST(0 AS BIGINT) AS n_errors,
+       CAST(strlen(text) AS BIGINT) AS size_bytes, md5(text) AS content_md5 FROM landing
+UNION ALL SELECT k, 'empty-' || k || '.txt', 0, 0, md5('') FROM range(3) AS r(k)""",
         "landing_increment": _events(f"WHERE ts > {MARK}"),
         "landing_watermark": f"""SELECT {MARK} AS old_mark, coalesce(max(ts), {MARK}) AS new_mark, count(*) AS n_new
 FROM events WHERE ts > {MARK}""",

@@ -16,7 +16,6 @@ that, so a replay after a crash neither doubles nor leaves rows.
 
 from __future__ import annotations
 
-import os
 import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
@@ -26,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sluice.functions.text import extension_of
+from sluice.sources.tree import open_path, qualified
 
 Sink = Callable[[DataFrame, "int | None"], None]
 
@@ -158,30 +158,37 @@ def _write_records(records: Sequence[DataFrame], path: str, mode: str, batch_id:
         reduce(DataFrame.unionByName, lines).write.mode(mode).text(path)
 
 
-def content_names(df: DataFrame) -> DataFrame:
+def content_names(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """K3 projection: ``name = doc_id.ext`` (``bin`` without extension), only rows with content."""
     ext = extension_of(F.col("uri"))
     return (df.where(F.col("content").isNotNull())
-              .select(F.concat(F.col("doc_id"), F.lit("."),
+              .select(*keep, F.concat(F.col("doc_id"), F.lit("."),
                                F.when(ext == "", F.lit("bin")).otherwise(ext)).alias("name"), "content"))
 
 
 def write_content(df: DataFrame, path: str) -> None:
-    """K3: copy raw bytes to ``path/<doc_id>.<ext>``, one file per document,
-    written by the executors (any filesystem pyarrow can open)."""
-    root = path.rstrip("/")
-    uri = root if ":" in root else "file://" + os.path.abspath(root)
+    """K3: copy raw bytes to ``path/<doc_id>.<ext>``, one file per document, by the executors."""
+    write_files(content_names(df), path)
 
-    def write_partition(rows):
-        from pyarrow import fs as pafs
 
-        filesystem, base = pafs.FileSystem.from_uri(uri)
+def write_files(files: DataFrame, path: str) -> None:
+    """``content`` as the file ``name`` under ``path`` (any file system pyarrow opens; on a cluster with its scheme).
+
+    Each file is written under a name of its own and then moved, so a lost
+    task leaves no half file under a final name and a retry replaces it.
+    """
+    root = qualified(files.sparkSession, path)
+
+    def write_partition(rows):
+        filesystem, base, _ = open_path(root)
         filesystem.create_dir(base, recursive=True)
         for row in rows:
-            with filesystem.open_output_stream(f"{base}/{row['name']}") as out:
+            part = f"{base}/.part-{uuid.uuid4().hex}"
+            with filesystem.open_output_stream(part) as out:
                 out.write(bytes(row["content"]))
+            filesystem.move(part, f"{base}/{row['name']}")
 
-    content_names(df).foreachPartition(write_partition)
+    files.select("name", "content").foreachPartition(write_partition)
 
 
 def write_all(df: DataFrame, sinks: Sequence[Sink], batch_id: int | None = None) -> None:

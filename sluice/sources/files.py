@@ -1,9 +1,9 @@
 """File trees as documents, glob filters, content toggle, seen sets.
 
-Listing and reading are Spark's ``binaryFile`` source, so discovery is
-distributed and ``content`` is only read when it is projected.
-Known gap against a plain directory walk: ``binaryFile`` skips files whose
-name starts with ``.`` or ``_`` and files of zero length.
+``scan_files`` reads with Spark's ``binaryFile`` source, so ``content`` is
+only read when it is projected; that source skips files of zero length and
+those whose name starts with ``.`` or ``_``. ``scan_tree`` and the
+incremental passes list and read on the executors (``tree``) and skip none.
 """
 
 from __future__ import annotations
@@ -16,8 +16,9 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.sources.documents import string_map, to_documents
-
+from sluice.session import fresh_path
+from sluice.sources.documents import add_errors, string_map, to_documents
+from sluice.sources.tree import LISTING_SCHEMA, list_tree, read_contents
 
 BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
@@ -32,11 +33,12 @@ def glob_regex(pattern: str) -> str:
 
 
 def read_files(spark: SparkSession, path: str, patterns: Sequence[str] | None = None,
-               recursive: bool = True, stream: bool = False, options: dict[str, str] | None = None) -> DataFrame:
-    """Raw ``binaryFile`` rows (``path, modificationTime, length, content``)."""
+               recursive: bool = True, stream: bool = False, options: dict[str, str] | None = None,
+               file_format: str = "binaryFile", schema: str | None = None) -> DataFrame:
+    """Raw ``binaryFile`` rows (``path, modificationTime, length, content``); of other formats, rows of ``schema`` and ``_file``, their file's path."""
     patterns = list(dict.fromkeys(patterns or ["*"]))
-    reader = spark.readStream.schema(BINARY_FILE_SCHEMA) if stream else spark.read
-    reader = reader.format("binaryFile")
+    reader = spark.readStream.schema(schema or BINARY_FILE_SCHEMA) if stream else spark.read
+    reader = reader.format(file_format)
     if recursive:
         reader = reader.option("recursiveFileLookup", "true")
     simple = all("/" not in p for p in patterns)
@@ -45,24 +47,27 @@ def read_files(spark: SparkSession, path: str, patterns: Sequence[str] | None =
     for key, value in (options or {}).items():
         reader = reader.option(key, value)
     raw = reader.load(path)
+    file = "path" if file_format == "binaryFile" else "_file"
+    if file == "_file":
+        raw = raw.withColumn("_file", F.col("_metadata.file_path"))
     if not simple:
         hit = None
         for p in patterns:
-            cond = F.col("path").rlike(glob_regex(p))
+            cond = F.col(file).rlike(glob_regex(p))
             hit = cond if hit is None else hit | cond
         raw = raw.where(hit)
     return raw
 
 
 def files_to_documents(raw: DataFrame, include_content: bool = True, source: str = "files",
-                       ingested_at: float | None = None) -> DataFrame:
+                       ingested_at: float | None = None, keep: Sequence[str] = ()) -> DataFrame:
     meta = string_map({
         "source": F.lit(source),
         "size_bytes": F.col("length"),
         "modified_at": F.unix_micros(F.col("modificationTime")) / F.lit(1_000_000.0),
     })
     return to_documents(raw, uri="path", content="content" if include_content else None,
-                        metadata=meta, ingested_at=ingested_at, keep=["length", "modificationTime"])
+                        metadata=meta, ingested_at=ingested_at, keep=["length", "modificationTime", *keep])
 
 
 def scan_files(spark: SparkSession, path: str, patterns: Sequence[str] | None = None,
@@ -73,13 +78,38 @@ def scan_files(spark: SparkSession, path: str, patterns: Sequence[str] | None =
     with null content and never reads the bytes. ``exclude`` drops paths
     under the given prefixes (a state folder kept inside the tree).
     ``ordered`` sorts by path (a range shuffle; only for presentation)."""
-    raw = read_files(spark, path, patterns, recursive)
+    raw = _without(read_files(spark, path, patterns, recursive), exclude)
+    docs = files_to_documents(raw, include_content, ingested_at=ingested_at)
+    return docs.orderBy("uri") if ordered else docs
+
+
+def _without(raw: DataFrame, exclude: Sequence[str]) -> DataFrame:
     plain = F.regexp_replace("path", "^[a-zA-Z][a-zA-Z0-9+.-]*:/*", "/")
     for prefix in exclude:
         folder = re.sub("^([a-zA-Z][a-zA-Z0-9+.-]*:)?/*", "/", prefix.rstrip("/"))
         raw = raw.where(~(plain.startswith(folder + "/") | (plain == folder)))
-    docs = files_to_documents(raw, include_content, ingested_at=ingested_at)
-    return docs.orderBy("uri") if ordered else docs
+    return raw
+
+
+def _listing(spark: SparkSession, path: str, patterns: Sequence[str] | None, exclude: Sequence[str]) -> DataFrame:
+    found = _without(list_tree(spark, path), exclude)
+    patterns = list(dict.fromkeys(patterns or ["*"]))
+    return found if "*" in patterns else found.where(F.col("path").rlike("|".join(f"(?:{glob_regex(p)})" for p in patterns)))
+
+
+def _read_documents(files: DataFrame, include_content: bool, ingested_at: float | None = None) -> DataFrame:
+    """Documents of listed files; a file that cannot be read keeps its row, with the message in ``errors``."""
+    if not include_content:
+        return files_to_documents(files, False, ingested_at=ingested_at)
+    raw = read_contents(files)
+    docs = files_to_documents(raw, ingested_at=ingested_at, keep=["error"])
+    return docs.withColumn("errors", add_errors(F.col("errors"), F.col("error"))).drop("error")
+
+
+def scan_tree(spark: SparkSession, path: str, patterns: Sequence[str] | None = None, include_content: bool = True,
+              exclude: Sequence[str] = (), ingested_at: float | None = None) -> DataFrame:
+    """S2-S4 over ``tree``: every regular file, hidden and empty ones included, listed and read by the executors."""
+    return _read_documents(_listing(spark, path, patterns, exclude), include_content, ingested_at)
 
 
 def new_files(files: DataFrame, seen: DataFrame, key: str = "uri") -> DataFrame:
@@ -117,17 +147,20 @@ def read_paths(spark: SparkSession, paths: Sequence[str], include_content: bool
                               ingested_at=ingested_at)
 
 
-def incremental_paths(spark: SparkSession, path: str, state_path: str, patterns=None,
-                      max_files: int | None = None) -> list[str]:
-    """The files not in the seen set, found from a listing that reads no
-    bytes. Like Spark's own file stream source, the increment's file list is
-    planned on the driver (paths only); ``max_files`` takes the oldest files
-    first and leaves the rest for the next pass."""
-    listing = scan_files(spark, path, patterns, include_content=False, exclude=[state_path])
-    fresh = new_files(listing, load_seen(spark, state_path)).select("uri", "modificationTime")
+def pending_files(spark: SparkSession, path: str, state_path: str, patterns=None, max_files: int | None = None) -> DataFrame:
+    """The files of one pass: those not in the seen set, written down (``path, modificationTime, length``).
+
+    Found by an anti join on the executors from a listing that reads no bytes, and written under
+    ``spark.checkpoint.dir``, so that the pass reads and then records exactly these. ``max_files`` takes the
+    oldest files first and leaves the rest for the next pass.
+    """
+    seen = load_seen(spark, state_path).select(F.col("uri").alias("path"))
+    fresh = new_files(_listing(spark, path, patterns, [state_path]), seen, "path")
     if max_files is not None:
-        fresh = fresh.orderBy("modificationTime", "uri").limit(max_files)
-    return [r["uri"] for r in fresh.collect()]
+        fresh = fresh.orderBy("modificationTime", "path").limit(max_files)
+    target = fresh_path(spark, "pending")
+    fresh.write.parquet(target)
+    return spark.read.schema(LISTING_SCHEMA).parquet(target)
 
 
 def incremental_scan(spark: SparkSession, path: str, state_path: str, patterns=None,
@@ -135,7 +168,7 @@ def incremental_scan(spark: SparkSession, path: str, state_path: str, patterns=N
     """S5 as one call: documents for the files not seen yet. Call
     ``record_seen`` with the result once its sinks have committed (or use
     ``files_pass``, which does both)."""
-    return read_paths(spark, incremental_paths(spark, path, state_path, patterns, max_files), include_content)
+    return _read_documents(pending_files(spark, path, state_path, patterns, max_files), include_content)
 
 
 def files_pass(spark: SparkSession, path: str, state_path: str, write, patterns=None,
@@ -144,9 +177,9 @@ def files_pass(spark: SparkSession, path: str, state_path: str, write, patterns=
     their sinks); exactly those paths are added to the seen set after it
     returns, so a file landing during the write waits for the next pass.
     Returns how many files were new."""
-    paths = incremental_paths(spark, path, state_path, patterns, max_files)
-    if not paths:
-        return 0
-    write(read_paths(spark, paths, include_content))
-    record_seen(spark.createDataFrame([(p,) for p in paths], "uri string"), state_path)
-    return len(paths)
+    pending = pending_files(spark, path, state_path, patterns, max_files)
+    n = pending.count()
+    if n:
+        write(_read_documents(pending, include_content))
+        record_seen(pending.select(F.col("path").alias("uri")), state_path)
+    return n

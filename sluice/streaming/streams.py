@@ -13,9 +13,11 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from sluice.plans.flow import RouterSpec, run_router, write_flow
+from sluice.sources.documents import string_map, to_documents
 from sluice.sources.files import files_to_documents, read_files
 
 # Far older files than the newest seen one must still be picked up.
@@ -24,15 +26,35 @@ NO_MAX_AGE = "36500d"
 
 def stream_files(spark: SparkSession, path: str, patterns: Sequence[str] | None = None,
                  max_files_per_trigger: int | None = None, include_content: bool = True,
-                 options: dict[str, str] | None = None) -> DataFrame:
-    """New files under ``path`` as a stream of documents (each path emitted once)."""
+                 options: dict[str, str] | None = None, file_format: str = "binaryFile", schema: str | None = None) -> DataFrame:
+    """New files under ``path`` as a stream of documents (each path emitted once).
+
+    ``binaryFile`` makes a document of each file. Any other format of Spark's file streams (``text``, ``json``,
+    ``csv``, ``parquet``…, with its ``schema``) makes one of each row: ``uri`` is its ``path`` column, or the file's
+    path if it has none, ``content`` its ``content`` column, and every column but ``content`` goes to the metadata.
+    """
     opts = {"maxFileAge": NO_MAX_AGE, **(options or {})}
     if max_files_per_trigger:
         opts["maxFilesPerTrigger"] = str(max_files_per_trigger)
+    if file_format != "binaryFile":
+        return _stream_rows(spark, path, patterns, include_content, opts, file_format, schema)
     raw = read_files(spark, path, patterns, recursive=True, stream=True, options=opts)
     return files_to_documents(raw, include_content, source="files_stream")
 
 
+def _stream_rows(spark: SparkSession, path: str, patterns, include_content: bool, options: dict[str, str], file_format: str,
+                 schema: str | None) -> DataFrame:
+    """Documents from the rows of new files of one format."""
+    if schema is None and file_format != "text":
+        raise ValueError(f"a stream of {file_format} files needs a schema")
+    raw = read_files(spark, path, patterns, recursive=True, stream=True, options=options, file_format=file_format,
+                     schema=schema or "value string")
+    columns = [c for c in raw.columns if c != "content"]
+    uri = F.col("path") if "path" in columns else F.col("_file")
+    meta = string_map({**{c: F.col(f"`{c}`") for c in columns if c not in ("source", "_file")}, "source": F.lit("files_stream")})
+    return to_documents(raw, uri=uri, content="content" if include_content and "content" in raw.columns else None, metadata=meta)
+
+
 def stream_table(spark: SparkSession, path: str, schema=None, fmt: str = "parquet",
                  max_files_per_trigger: int | None = None, glob: str | None = None) -> DataFrame:
     """A landing table (folder or catalog name) read as a stream.

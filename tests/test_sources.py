@@ -2,6 +2,8 @@ import base64
 import os
 import tempfile
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from sluice.sources.files import glob_regex, load_seen, new_files, record_seen, scan_files
@@ -199,7 +201,7 @@ def test_incremental_scan_reads_only_new_bytes_and_caps_oldest_first(spark):
     rest = incremental_scan(spark, root, state)
     assert _names(rest) == ["c.pdf"] and bytes(rest.first()["content"]) == b"C"
     plan = rest._jdf.queryExecution().executedPlan().toString()
-    assert "c.pdf" in plan and "a.pdf" not in plan
+    assert ".pdf" not in plan and "pending" in plan  # the pass is a table of paths, not a list on the driver
 
 
 def test_presentation_orderings(spark):
@@ -211,13 +213,67 @@ def test_presentation_orderings(spark):
 
 
 def test_empty_increment_keeps_the_document_schema(spark):
-    from sluice.sources.files import incremental_scan, read_paths
+    from sluice.sources.files import incremental_scan, read_paths, scan_tree
 
     empty = read_paths(spark, [])
     assert empty.count() == 0
     full = scan_files(spark, _tree({"a.pdf": b"A"}))
     assert empty.schema == full.schema
+    assert scan_tree(spark, _tree({"a.pdf": b"A"})).schema.simpleString() == full.schema.simpleString()
     root = _tree({"a.pdf": b"A"})
     state = tempfile.mkdtemp() + "/seen"
     record_seen(incremental_scan(spark, root, state), state)
     assert incremental_scan(spark, root, state).count() == 0
+
+
+def test_tree_emits_hidden_and_empty_files_at_any_depth(spark):
+    from sluice.sources.files import scan_tree
+
+    files = {"a.pdf": b"A", ".hidden.pdf": b"H", "_SUCCESS": b"", "x/empty.txt": b"", "x/y/z/deep.pdf": b"D", ".git/config": b"c"}
+    files |= {f"many/{k}/f.pdf": b"%d" % k for k in range(20)}
+    root = _tree(files)
+    for shards in (1, 3, 200):
+        from sluice.sources.tree import list_tree
+
+        assert sorted(r["path"] for r in list_tree(spark, root, shards).collect()) == sorted(f"file:{root}/{n}" for n in files)
+    got = {r["uri"].split(root + "/")[1]: (bytes(r["content"]), r["errors"]) for r in scan_tree(spark, root).collect()}
+    assert got == {n: (c, []) for n, c in files.items()}
+    listed = lambda d: {r["uri"]: (r["length"], r["ms"]) for r in d.withColumn("ms", F.unix_millis("modificationTime")).collect()}
+    same, tree = listed(scan_files(spark, root)), listed(scan_tree(spark, root, include_content=False))
+    assert same and {k: tree[k] for k in same} == same
+    assert _names(scan_tree(spark, root, patterns=["x/y/z/*.pdf", "*.txt"])) == ["deep.pdf", "empty.txt"]
+    assert scan_tree(spark, tempfile.mkdtemp()).count() == 0
+
+
+def test_a_file_that_cannot_be_read_keeps_its_row(spark, monkeypatch):
+    from sluice.sources.tree import MOST_BYTES, list_tree, read_contents
+
+    root = _tree({"gone.pdf": b"A", "here.pdf": b"B"})
+    listed = spark.createDataFrame(list_tree(spark, root).collect())
+    os.remove(os.path.join(root, "gone.pdf"))
+    huge = listed.where("path like '%here%'").withColumn("length", F.lit(MOST_BYTES + 1))
+    got = {(r["path"].rsplit("/", 1)[-1], r["length"] > 10): r for r in read_contents(listed.union(huge)).collect()}
+    assert got["gone.pdf", False]["content"] is None and "gone.pdf" in got["gone.pdf", False]["error"]
+    assert bytes(got["here.pdf", False]["content"]) == b"B" and got["here.pdf", False]["error"] is None
+    assert "do not fit" in got["here.pdf", True]["error"]
+
+
+def test_streams_of_other_formats_make_a_document_of_each_row(spark):
+    from sluice.streaming.streams import stream_files, stream_to
+
+    root = tempfile.mkdtemp() + "/in"
+    spark.createDataFrame([("u1", "text é", 3, None), ("u2", None, None, "x")], "path string, content string, n int, source string").write.json(root)
+    out, ckpt = tempfile.mkdtemp() + "/out", tempfile.mkdtemp() + "/ckpt"
+    for _ in range(2):  # the second run adds nothing
+        stream_to(stream_files(spark, root, file_format="json", schema="path string, content string, n int, source string"), out, ckpt).awaitTermination()
+    got = {r["uri"]: (r["content"] and bytes(r["content"]), r["metadata"]) for r in spark.read.parquet(out).collect()}
+    assert got == {"u1": ("text é".encode(), {"path": "u1", "n": "3", "source": "files_stream"}),
+                   "u2": (None, {"path": "u2", "source": "files_stream"})}
+    lines = _tree({"a.txt": b"one\ntwo\n", "b.log": b"three"})
+    rows = stream_files(spark, lines, patterns=["*.txt"], file_format="text", include_content=False)
+    out = tempfile.mkdtemp() + "/out"
+    stream_to(rows, out, tempfile.mkdtemp() + "/ckpt").awaitTermination()
+    got = sorted((r["uri"].rsplit("/", 1)[-1], r["content"], r["metadata"]["value"]) for r in spark.read.parquet(out).collect())
+    assert got == [("a.txt", None, "one"), ("a.txt", None, "two")]
+    with pytest.raises(ValueError, match="schema"):
+        stream_files(spark, root, file_format="json")
