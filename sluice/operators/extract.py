@@ -97,7 +97,8 @@ def direct_prompt(filename: Column, text: Column, max_chars: int | None = None)
 
 def regex_predict(fields: Sequence[Mapping[str, Any]]) -> Callable[[Column], Column]:
     """Default model: each field has a ``pattern``; first match (or all
-    matches for ``array``) is the value, as a JSON object reply."""
+    matches for ``array``) is the value, as a JSON object reply. A field may
+    name a literal every match ``contains``: texts without it are not searched."""
 
     def predict(request: Column) -> Column:
         text = request["text"]
@@ -111,6 +112,8 @@ def regex_predict(fields: Sequence[Mapping[str, Any]]) -> Callable[[Column], Col
                 value = F.when(F.size(found) > 0, found)
             else:
                 value = F.nullif(F.regexp_extract(text, pattern, 0), F.lit(""))
+            if f.get("contains") and pattern is not None:
+                value = F.when(F.contains(text, F.lit(f["contains"])), value)
             parts.append(value.alias(f["name"]))
         return F.when(request.isNotNull(), F.to_json(F.struct(*parts)))
 

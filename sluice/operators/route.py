@@ -80,6 +80,10 @@ class RouteTable:
         return F.coalesce(hit, fallback)
 
 
+#: Routes that may be broadcast (some megabytes).
+BROADCAST_LABELS = 50_000
+
+
 def route(df: DataFrame, table: RouteTable, strict: bool = False, column: str = "pipeline") -> DataFrame:
     """Add the ``pipeline`` column. ``strict`` fails the job on the
     first document no route can take, naming its uri and doc_type."""
@@ -97,20 +101,30 @@ def route_by_table(df: DataFrame, routes: DataFrame, default: str | None = None,
     """R1 for a route table that is data. First route per label wins
     (``routes`` carries an ``ordinal``).
 
-    A plain left join on the label: adaptive execution broadcasts the routes
-    when they measure small, and otherwise splits the partition of a label
-    that holds a third of all documents. Documents without a label get keys
-    of their own (no label starts with the control character), so they
-    spread too.
+    Documents stay where they are: up to ``BROADCAST_LABELS`` routes are
+    counted and broadcast; of more, only those whose label some document has,
+    found from the labels alone. Only if these are too many as well are whole
+    rows joined by label: adaptive execution then splits a hot label, and
+    documents without one get keys of their own (no label starts with the
+    control character), so they spread too.
     """
     ordered = routes.select("doc_type", "pipeline", "ordinal")
     exact = (ordered.where(F.col("doc_type") != WILDCARD).groupBy(F.col("doc_type").alias("_label"))
              .agg(F.min_by("pipeline", "ordinal").alias("_exact")))
     wild = ordered.where(F.col("doc_type") == WILDCARD).orderBy("ordinal").select("pipeline").limit(1).collect()
     fallback = F.lit(wild[0][0] if wild else default).cast("string")
-    keyed = df.withColumn("_key", F.coalesce(F.col("doc_type"), F.concat(F.lit("\x00"), F.col("uri"))))
-    joined = keyed.join(exact, F.col("_key") == F.col("_label"), "left")
-    return joined.withColumn(column, F.coalesce(F.col("_exact"), fallback)).drop("_key", "_label", "_exact")
+
+    def few(side: DataFrame) -> bool:
+        return side.limit(BROADCAST_LABELS + 1).count() <= BROADCAST_LABELS
+
+    if not few(exact):
+        exact = exact.join(df.select(F.col("doc_type").alias("_label")).distinct(), "_label", "left_semi")
+    if few(exact):
+        joined = df.join(F.broadcast(exact), F.col("doc_type") == F.col("_label"), "left")
+    else:
+        keyed = df.withColumn("_key", F.coalesce(F.col("doc_type"), F.concat(F.lit("\x00"), F.col("uri"))))
+        joined = keyed.join(exact, F.col("_key") == F.col("_label"), "left").drop("_key")
+    return joined.withColumn(column, F.coalesce(F.col("_exact"), fallback)).drop("_label", "_exact")
 
 
 def split_unrouted(df: DataFrame, column: str = "pipeline") -> tuple[DataFrame, DataFrame]:

@@ -36,13 +36,13 @@ LANGUAGE_KEYWORDS = {
 # Field specs with the extraction patterns of the default regex model.
 PII_FIELDS = [
     {"name": "email", "type": "string", "description": "An e-mail address",
-     "pattern": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"},
+     "pattern": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}", "contains": "@"},
     {"name": "ip", "type": "string", "description": "An IPv4 address",
      "pattern": r"[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}"},
     {"name": "card", "type": "string", "description": "A long account or card number",
      "pattern": r"[0-9]{13,19}"},
     {"name": "phones", "type": "array", "description": "Phone numbers", "required": False,
-     "pattern": r"\+[0-9]{1,3} \([0-9]{3}\) [0-9]{3}-[0-9]{4}"},
+     "pattern": r"\+[0-9]{1,3} \([0-9]{3}\) [0-9]{3}-[0-9]{4}", "contains": "+"},
 ]
 
 WEB_RULES = [

@@ -73,3 +73,18 @@ def test_strict_routing_checks_even_when_pipeline_is_not_selected(docs):
     d = _typed(docs, [("/x", "other")])
     with pytest.raises(PySparkException):
         route(d, RouteTable(ROUTES), strict=True).select("uri").collect()
+
+
+@pytest.mark.parametrize("limit", [50_000, 3, 0])
+def test_routes_as_data_leave_documents_where_they_are(spark, docs, monkeypatch, limit):
+    from sluice.operators import route as module
+
+    monkeypatch.setattr(module, "BROADCAST_LABELS", limit)
+    rows = [(f"label{k}", f"p{k}", k) for k in range(10)] + [("label1", "later", 99)]
+    routes = spark.createDataFrame(rows, "doc_type string, pipeline string, ordinal int")
+    d = _typed(docs, [("/1", "label1"), ("/2", "label7"), ("/3", "memo"), ("/4", None), ("/5", "label1")])
+    routed = route_by_table(d, routes, default="rest")
+    assert labels_of(routed, "pipeline") == {"/1": "p1", "/2": "p7", "/3": "rest", "/4": "rest", "/5": "p1"}
+    assert routed.columns == [*d.columns, "pipeline"]
+    plan = routed._jdf.queryExecution().optimizedPlan().toString()
+    assert ("strategy=broadcast" in plan) == (limit > 0)
