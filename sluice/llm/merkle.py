@@ -6,6 +6,7 @@ import hashlib
 import re
 from collections import Counter
 from collections.abc import Iterator
+from difflib import SequenceMatcher
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -24,8 +25,8 @@ def fingerprint(text: str) -> str:
     """``root:leaves`` of a text: sections separated by ``/``, their paragraphs by ``.``, leaves of 8 hex digits each.
 
     Sections are separated by blank lines, paragraphs by line ends. A node hashes its children's hashes, the
-    root its sections', so equal roots mean equal texts, and a branch (section or paragraph) in which two
-    fingerprints differ holds an edit. The root of a text also hashes the white space between its sections.
+    root its sections' and, length first, the white space after each, so equal roots mean equal texts, and a branch
+    (section or paragraph) in which two fingerprints differ holds an edit.
     """
     digest = hashlib.blake2b
     sections, shown = [], []
@@ -37,8 +38,9 @@ def fingerprint(text: str) -> str:
             parts.append("".join([x[:SHORT // 2].hex() for x in leaves]))
         sections.append(digest(b"".join(paragraphs), digest_size=16, person=b"section").digest())
         shown.append(".".join(parts))
-    gaps = "".join(_SECTIONS.findall(text)).encode() if len(sections) > 1 else b""
-    root = digest(b"".join(sections) + gaps, digest_size=16, person=b"root").hexdigest()
+    gaps = [g.encode() for g in _SECTIONS.findall(text)] + [b""]
+    nodes = b"".join([node + len(gap).to_bytes(8, "little") + gap for node, gap in zip(sections, gaps)])
+    root = digest(nodes, digest_size=16, person=b"root").hexdigest()
     return root + ":" + "/".join(shown)
 
 
@@ -57,13 +59,30 @@ def likeness(a: str, b: str) -> float:
 
 
 def differing_branches(a: str, b: str) -> list[tuple[int, int]]:
-    """(section, paragraph) positions at which two fingerprints differ; a missing paragraph differs."""
+    """(section, paragraph) places at which two fingerprints differ; none for equal roots.
+
+    Sections are aligned by what they hold, and only those without an equal partner are entered, where
+    paragraphs are aligned likewise: an inserted paragraph or section marks itself and nothing after it. Places
+    are those of ``b``, or of ``a`` for what ``b`` lacks.
+    """
+    if a.partition(":")[0] == b.partition(":")[0]:
+        return []
     x, y = ([s.split(".") for s in p.partition(":")[2].split("/")] for p in (a, b))
-    out = []
-    for i in range(max(len(x), len(y))):
-        p, q = (s[i] if i < len(s) else [] for s in (x, y))
-        out += [(i, j) for j in range(max(len(p), len(q))) if (p[j:j + 1] != q[j:j + 1])]
-    return out
+    out = set()
+    for _, i, j, k, m in _unequal(list(map(tuple, x)), list(map(tuple, y))):
+        for n in range(max(j - i, m - k)):
+            if n >= j - i:
+                out |= {(k + n, q) for q in range(len(y[k + n]))}
+            elif n >= m - k:
+                out |= {(i + n, p) for p in range(len(x[i + n]))}
+            else:
+                for _, p, q, r, t in _unequal(x[i + n], y[k + n]):
+                    out |= {(k + n, u) for u in range(r, t)} or {(i + n, u) for u in range(p, q)}
+    return sorted(out)
+
+
+def _unequal(x: list, y: list) -> list[tuple]:
+    return [o for o in SequenceMatcher(None, x, y, autojunk=False).get_opcodes() if o[0] != "equal"]
 
 
 _ROW = ("kind string, part int, doc_id long, n_chars long, edited_sha256 string, fingerprint string, "

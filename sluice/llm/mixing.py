@@ -40,19 +40,25 @@ def source_plan(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: fl
                         .otherwise(F.lit(0.0))))
 
 
+def _coin(key: str, seed: str) -> Column:
+    """A number in [0, 1) from the key; rows without one draw by their text, so that they do not all decide alike."""
+    return F.when(F.col(key).isNotNull(), unit_hash(F.col(key), seed=seed)).otherwise(
+        unit_hash(F.lit(None), F.md5(F.col("text").cast("binary")), seed=seed))
+
+
 def with_copies(docs: DataFrame, seed: str = "mix", key: str = "doc_id", source: str = "source",
                 size: Column | None = None, **plan_args) -> DataFrame:
     """``row`` (the document as a struct), ``size, source_size, target, rate, copies`` for every document.
 
     ``copies`` is floor(rate), plus one if the hash of the seed and the key falls below the fraction: the same
     on every run and in every partitioning. Null text has size 0; a null source is a source of its own; rows
-    that repeat a key decide alike; extra columns ride along inside ``row`` whatever their names.
+    that repeat a key decide alike, rows without a key by their text; extra columns ride along inside ``row`` whatever their names.
     """
     size = n_words(F.col("text")) if size is None else size
     plan = saved(source_plan(docs, source=source, size=size, **plan_args), "mix-plan")
     if plan.count() <= BROADCAST_SOURCES:
         plan = F.broadcast(plan)
-    staged = docs.select(F.struct("*").alias("row"), size.alias("size"), unit_hash(F.col(key), seed=seed).alias("u"),
+    staged = docs.select(F.struct("*").alias("row"), size.alias("size"), _coin(key, seed).alias("u"),
                          F.col(source).alias("mixed_source"))
     joined = staged.join(plan, staged["mixed_source"].eqNullSafe(plan["source"]))
     floor = F.floor("rate")
@@ -75,7 +81,7 @@ def op10_mixing(spark, sf_dir: str) -> DataFrame:
 MIX_SQL = r"""
 WITH d AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
-         ('0x' || substr(md5('mix|' || coalesce('=' || doc_id::VARCHAR, '~')), 1, 12))::BIGINT / 281474976710656.0::DOUBLE AS u
+         ('0x' || substr(md5('mix|' || coalesce('=' || doc_id::VARCHAR, '~|' || coalesce('=' || md5(text), '~'))), 1, 12))::BIGINT / 281474976710656.0::DOUBLE AS u
   FROM documents),
 s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
 w AS (SELECT source, source_size, 2.0::DOUBLE * source_size AS top,
