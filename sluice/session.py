@@ -53,9 +53,8 @@ def work_root(spark: SparkSession) -> str:
     if not master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a shared folder for this cluster")
     root = tempfile.mkdtemp(prefix="sluice-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    spark.sparkContext.setCheckpointDir(root)
-    return root
+    spark.sparkContext.setCheckpointDir(root)  # the next call finds it there
+    return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:

@@ -63,3 +63,18 @@ def test_readme_example(spark):
     run_router_stream(stream_files(spark, landing, max_files_per_trigger=500), spec,
                       checkpoint=fresh_path(spark, "router"), on_stats=lambda b, s: seen.append(s)).awaitTermination()
     assert sum(s["received"] for s in seen) == 4
+
+
+def test_a_local_session_without_a_shared_folder_gets_one(tmp_path):
+    """In a process of its own, with no settings from files: the suite's session names a folder."""
+    import subprocess
+    import sys
+
+    code = ("from pyspark.sql import SparkSession; from sluice.session import fresh_path, work_root\n"
+            "s = SparkSession.builder.master('local[1]').config('spark.ui.enabled', 'false').getOrCreate()\n"
+            "assert s.conf.get('spark.checkpoint.dir', None) is None\n"
+            "assert work_root(s) == work_root(s); p = fresh_path(s, 'x'); s.range(3).write.parquet(p)\n"
+            "assert s.read.parquet(p).count() == 3; s.range(2).checkpoint().count(); print('fine')")
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    out = subprocess.run([sys.executable, "-c", code], cwd=root, env={**os.environ, "PYTHONPATH": root, "SPARK_CONF_DIR": str(tmp_path)}, capture_output=True, text=True)
+    assert out.stdout.strip().endswith("fine"), out.stderr[-2000:]
