@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,7 +26,28 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     """
     path = fresh_path(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.saved_at = path
+    return out
+
+
+def discard(*frames: DataFrame) -> None:
+    """Deletes tables that ``saved`` wrote, once everything that reads them has been written itself."""
+    for df in frames:
+        path = getattr(df, "__dict__", {}).get("saved_at")
+        if path:
+            spark = df.sparkSession
+            where = spark._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def release_memory() -> None:
+    """Gives memory that a task of Python no longer needs back to the system; workers live on for other tasks."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not a GNU C library
+        pass
 
 
 def n_words(text: Column) -> Column:

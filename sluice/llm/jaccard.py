@@ -17,17 +17,17 @@ are compared exactly; which tokens count as frequent only decides the cost.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
-from functools import partial
+from collections.abc import Callable, Iterator
+from functools import partial, wraps
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm.common import bitmap, in_bitmap, saved, table
+from sluice.llm.common import bitmap, discard, in_bitmap, release_memory, saved, table
 
 WIDTH = 5
 #: Bits of a token that name it in the index; a clash only adds a candidate.
@@ -36,7 +36,7 @@ REST_BITS = 32
 FREQUENT_LEAST, FREQUENT_MOST = 32, 1 << 21
 #: Tokens after which a task passes on what it has gathered.
 FLUSH_TOKENS = 1_000_000
-#: Words a worker remembers the hash of.
+#: Words a task remembers the hash of.
 CACHE_WORDS = 150_000
 BITMAP_BITS = (16, 27)
 #: An entry of more sets than this is compared by blocks of BLOCK sets.
@@ -53,18 +53,16 @@ class _WordHash(dict):
         return got
 
 
-_HASHES = _WordHash()
-
-
-def shingles(text: str) -> np.ndarray:
+def shingles(text: str | bytes, hashes: _WordHash | None = None) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the 5-word shingles; of fewer words the whole sequence; of none, none.
 
     A-Z are lower-cased and words separated by the six ASCII white-space characters, which is what bytes do.
     """
-    words = text.encode("utf-8", "surrogatepass").lower().split()
+    data = text if isinstance(text, bytes) else text.encode("utf-8", "surrogatepass")
+    words = data.lower().split()
     if not words:
         return np.empty(0, np.uint64)
-    h = np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words))
+    h = np.fromiter(map((_WordHash() if hashes is None else hashes).__getitem__, words), np.uint64, len(words))
     width = min(WIDTH, len(h))
     with np.errstate(over="ignore"):
         out = np.full(len(h) - width + 1, 0x9E3779B97F4A7C15 * width & (1 << 64) - 1, np.uint64)
@@ -134,13 +132,43 @@ class _Map:
         return in_bitmap(self.bits, self.words.value, values)
 
 
-def _sets(batches: Iterator[pd.DataFrame], wanted: _Map) -> Iterator[tuple[int, np.ndarray]]:
+def _tidy(task: Callable) -> Callable:
+    """A task that gives its memory back when it ends: workers are used again for other stages."""
+    @wraps(task)
+    def run(*args, **kwargs):
+        try:
+            yield from task(*args, **kwargs)
+        finally:
+            release_memory()
+    return run
+
+
+def _frame(rows: list[tuple], **types: pa.DataType) -> pa.RecordBatch:
+    columns = zip(*rows) if rows else ((),) * len(types)
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types.values())], names=list(types))
+
+
+def _sets(batches: Iterator[pa.RecordBatch], wanted: _Map) -> Iterator[tuple[int, np.ndarray]]:
+    hashes = _WordHash()
     for batch in batches:
-        ids = batch["id"].to_numpy(np.int64)
+        ids, texts = batch.column("id").to_numpy(zero_copy_only=False), batch.column("text").cast(pa.binary())
         for k in np.flatnonzero(wanted.has(ids)).tolist():
-            yield int(ids[k]), shingles(batch["text"].iat[k])
-    del batches
-    pa.default_memory_pool().release_unused()  # workers are used again for other stages
+            yield int(ids[k]), shingles(texts[k].as_py(), hashes)
+
+
+def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[tuple]]]:
+    """(bucket, its rows without that column) of rows sorted by bucket."""
+    at, rows = None, []
+    for batch in batches:
+        columns = [c for name, c in zip(batch.schema.names, batch.columns) if name != "bucket"]
+        for k, b in enumerate(batch.column("bucket").to_pylist()):
+            if rows and b != at:
+                yield at, rows
+                rows = []
+            at = b
+            rows.append(tuple(c[k].as_py() for c in columns))
+    if rows:
+        yield at, rows
 
 
 def _by_bucket(tokens: np.ndarray, bucket_bits: int) -> Iterator[tuple[int, slice]]:
@@ -160,6 +188,7 @@ def _name(tokens: np.ndarray, bucket_bits: int) -> np.ndarray:
     return (tokens >> np.uint64(64 - bucket_bits - REST_BITS)).astype(np.int64)
 
 
+@_tidy
 def _count_out(batches, wanted: _Map, bucket_bits: int):
     """Tokens of the sets, packed by bucket with the number of sets that hold each."""
     held, size = [], 0
@@ -169,7 +198,7 @@ def _count_out(batches, wanted: _Map, bucket_bits: int):
         n = np.minimum(n, 255).astype(np.uint8)
         rest = _rest(tokens, bucket_bits)
         rows = [(b, rest[s].tobytes(), n[s].tobytes()) for b, s in _by_bucket(tokens, bucket_bits)]
-        return pd.DataFrame(rows, columns=["bucket", "tokens", "counts"])
+        return _frame(rows, bucket=pa.int32(), tokens=pa.binary(), counts=pa.binary())
 
     for _, tokens in _sets(batches, wanted):
         held.append(tokens)
@@ -181,23 +210,24 @@ def _count_out(batches, wanted: _Map, bucket_bits: int):
         yield packed()
 
 
+@_tidy
 def _count_in(batches):
-    """Tokens in more than FREQUENT_LEAST sets, with the power of two of their number; whole buckets meet in one task."""
-    keys, counts = [], []
-    for batch in batches:
-        for b, tokens, n in zip(batch["bucket"], batch["tokens"], batch["counts"]):
-            keys.append((np.int64(b) << REST_BITS) | np.frombuffer(tokens, "<u4").astype(np.int64))
-            counts.append(np.frombuffer(n, np.uint8))
-    if keys:
-        keys, counts = np.concatenate(keys), np.concatenate(counts)
+    """Tokens in more than FREQUENT_LEAST sets, with the power of two of their number; a bucket is held at a time."""
+    for b, rows in _buckets(batches):
+        keys = np.concatenate([np.frombuffer(t, "<u4") for t, _ in rows])
+        counts = np.concatenate([np.frombuffer(n, np.uint8) for _, n in rows])
         order = np.argsort(keys)
         keys, counts = keys[order], counts[order].astype(np.int64)
         starts = np.concatenate([[0], np.flatnonzero(np.diff(keys)) + 1])
         total = np.add.reduceat(counts, starts)
         often = total > FREQUENT_LEAST
-        yield pd.DataFrame({"token": keys[starts[often]], "power": np.log2((total[often] - 1) / FREQUENT_LEAST).astype(np.int32)})
+        if often.any():
+            token = (np.int64(b) << REST_BITS) | keys[starts[often]].astype(np.int64)
+            power = np.log2((total[often] - 1) / FREQUENT_LEAST).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([pa.array(token), pa.array(power)], names=["token", "power"])
 
 
+@_tidy
 def _index_out(batches, wanted: _Map, frequent: _Map, bucket_bits: int, percent: int):
     """Index entries packed by bucket: 0 rare tokens, 1 pairs (spread by document), 2 set sizes."""
     tokens, owners, rows, size = [], [], [], 0
@@ -209,7 +239,7 @@ def _index_out(batches, wanted: _Map, frequent: _Map, bucket_bits: int, percent:
         flat, who = flat[order], who[order].view(np.uint64)
         rest, low, high = _rest(flat, bucket_bits), who.astype("<u4"), (who >> np.uint64(32)).astype("<u4")
         rows.extend((0, b, rest[s].tobytes(), low[s].tobytes() + high[s].tobytes()) for b, s in _by_bucket(flat, bucket_bits))
-        return pd.DataFrame(rows, columns=["kind", "bucket", "tokens", "ids"])
+        return _frame(rows, kind=pa.int32(), bucket=pa.int32(), tokens=pa.binary(), ids=pa.binary())
 
     for i, got in _sets(batches, wanted):
         spot = xxhash.xxh32_intdigest(str(i)) >> (32 - bucket_bits) if bucket_bits <= 32 else 0
@@ -230,32 +260,36 @@ def _index_out(batches, wanted: _Map, frequent: _Map, bucket_bits: int, percent:
         yield packed()
 
 
+def _index_rows(kind: np.ndarray, sig: np.ndarray, ids: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(kind.astype(np.int32)), pa.array(sig), pa.array(ids)], names=["kind", "sig", "id"])
+
+
+@_tidy
 def _index_in(batches):
-    """``kind, sig, id``: rare tokens that several sets are indexed by, all pairs, and sizes (in ``sig``)."""
-    keys, owners = [], []
-    for batch in batches:
-        other = []
-        for kind, b, tokens, ids in zip(batch["kind"], batch["bucket"], batch["tokens"], batch["ids"]):
-            if kind == 0:
-                n = len(tokens) // 4
-                keys.append((np.int64(b) << REST_BITS) | np.frombuffer(tokens, "<u4").astype(np.int64))
-                half = np.frombuffer(ids, "<u4").astype(np.uint64)
-                owners.append((half[:n] | half[n:] << np.uint64(32)).view(np.int64))
-            else:
-                sig = np.frombuffer(tokens, "<i8")
-                sig = sig | np.int64(-1 << 63) if kind == 1 else sig  # pairs below zero, rare tokens above
-                other.append((np.full(len(sig), kind, np.int32), sig, np.full(len(sig), np.frombuffer(ids, "<i8")[0])))
+    """``kind, sig, id``: rare tokens that several sets are indexed by, all pairs, and sizes (in ``sig``).
+
+    Rows come sorted by bucket; a bucket is held at a time.
+    """
+    for b, rows in _buckets(batches):
+        other = [(kind, np.frombuffer(tokens, "<i8"), np.frombuffer(ids, "<i8")[0]) for kind, tokens, ids in rows if kind]
         if other:
-            yield pd.DataFrame(dict(zip(("kind", "sig", "id"), map(np.concatenate, zip(*other)))))
-    if keys:
-        keys, owners = np.concatenate(keys), np.concatenate(owners)
-        order = np.lexsort((owners, keys))
-        keys, owners = keys[order], owners[order]
-        first = np.concatenate([[True], (keys[1:] != keys[:-1]) | (owners[1:] != owners[:-1])])
-        keys, owners = keys[first], owners[first]
-        near = keys[1:] == keys[:-1]
-        shared = np.concatenate([[False], near]) | np.concatenate([near, [False]])
-        yield pd.DataFrame({"kind": np.zeros(int(shared.sum()), np.int32), "sig": keys[shared], "id": owners[shared]})
+            # pairs below zero, rare tokens above
+            sig = np.concatenate([t | np.int64(-1 << 63) if kind == 1 else t for kind, t, _ in other])
+            times = [len(t) for _, t, _ in other]
+            yield _index_rows(np.repeat([k for k, _, _ in other], times), sig, np.repeat([i for _, _, i in other], times))
+        rare = [(np.frombuffer(tokens, "<u4"), np.frombuffer(ids, "<u4").astype(np.uint64)) for kind, tokens, ids in rows if not kind]
+        if rare:
+            keys = np.concatenate([t for t, _ in rare])
+            owners = np.concatenate([i[:len(t)] | i[len(t):] << np.uint64(32) for t, i in rare]).view(np.int64)
+            order = np.lexsort((owners, keys))
+            keys, owners = keys[order], owners[order]
+            first = np.concatenate([[True], (keys[1:] != keys[:-1]) | (owners[1:] != owners[:-1])])
+            keys, owners = keys[first], owners[first]
+            near = keys[1:] == keys[:-1]
+            shared = np.concatenate([[False], near]) | np.concatenate([near, [False]])
+            if shared.any():
+                sig = (np.int64(b) << REST_BITS) | keys[shared].astype(np.int64)
+                yield _index_rows(np.zeros(len(sig)), sig, owners[shared])
 
 
 def _pack_set(tokens: np.ndarray) -> bytes:
@@ -287,27 +321,35 @@ def may_link(a: bytes, b: bytes, n: int, m: int, percent: int) -> bool:
     return 100 * common >= percent * (n + m - common)
 
 
+@_tidy
 def _possible(batches, percent: int):
     for batch in batches:
-        ok = [may_link(x, y, n, m, percent) for x, y, n, m in zip(batch["x"], batch["y"], batch["na"], batch["nb"])]
-        yield batch.loc[np.array(ok, bool), ["a", "b"]]
+        x, y = batch.column("x"), batch.column("y")
+        sizes = zip(batch.column("na").to_pylist(), batch.column("nb").to_pylist())
+        ok = [may_link(x[k].as_py(), y[k].as_py(), n, m, percent) for k, (n, m) in enumerate(sizes)]
+        yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
 
+@_tidy
 def _set_rows(batches, wanted: _Map):
-    rows, names = [], ["id", "n", "cells", "tokens"]
+    rows, size = [], 0
+    types = {"id": pa.int64(), "n": pa.int32(), "cells": pa.binary(), "tokens": pa.binary()}
     for i, tokens in _sets(batches, wanted):
         rows.append((i, len(tokens), _cells(tokens), _pack_set(tokens)))
-        if len(rows) >= 1000:
-            yield pd.DataFrame(rows, columns=names)
-            rows = []
+        size += len(tokens)
+        if size >= FLUSH_TOKENS:
+            yield _frame(rows, **types)
+            rows, size = [], 0
     if rows:
-        yield pd.DataFrame(rows, columns=names)
+        yield _frame(rows, **types)
 
 
+@_tidy
 def _compare(batches, percent: int):
     for batch in batches:
-        ok = [linked(_unpack_set(x), _unpack_set(y), percent) for x, y in zip(batch["x"], batch["y"])]
-        yield batch[["a", "b"]].assign(ok=ok)
+        x, y = batch.column("x"), batch.column("y")
+        ok = [linked(_unpack_set(x[k].as_py()), _unpack_set(y[k].as_py()), percent) for k in range(len(x))]
+        yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -322,26 +364,38 @@ def components(links: DataFrame) -> DataFrame:
     while True:
         near = (both.join(labels.select(F.col("id").alias("v"), "comp"), "v").groupBy(F.col("u").alias("id"))
                 .agg(F.min("comp").alias("m")))
-        step = labels.join(near, "id").select("id", F.col("comp").alias("old"), F.least("comp", "m").alias("comp"))
+        step = labels.select("id", "comp").join(near, "id").select("id", F.col("comp").alias("old"), F.least("comp", "m").alias("comp"))
         of = labels.select(F.col("id").alias("comp"), F.col("comp").alias("top"))
         new = saved(step.join(of, "comp").select("id", "old", F.least("comp", "top").alias("comp")), "jaccard-labels")
-        labels = new.select("id", "comp")
+        discard(labels)
+        labels = new
         if new.where("old <> comp").isEmpty():
-            return labels
+            discard(both)
+            out = new.select("id", "comp")
+            out.saved_at = new.saved_at
+            return out
+
+
+def _alike_in_size(n: Column, m: Column, percent: int) -> Column:
+    return 100 * F.least(n, m) >= percent * F.greatest(n, m)
 
 
 def _compare_all(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """``a, b`` of the pairs that link: first by sizes and cell counts, which rule most out, then by the sets."""
+    """``a, b`` of the distinct pairs that link: first by cell counts, which rule most out, then by the sets.
+
+    Pairs should have been held against sizes before: what is shuffled here are the cells and sets of each pair.
+    """
     x = sets.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("cells").alias("x"))
     y = sets.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("cells").alias("y"))
-    possible = saved(pairs.distinct().join(x, "a").join(y, "b").mapInPandas(
+    possible = saved(pairs.join(x, "a").join(y, "b").mapInArrow(
         partial(_possible, percent=percent), "a long, b long").distinct(), "jaccard-possible")
     ids = saved(possible.select(F.col("a").alias("id")).union(possible.select("b")).distinct(), "jaccard-possible")
     # few sets are left: no need to shuffle all of them
-    sets = sets.select("id", "tokens").join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "id", "left_semi")
-    x, y = sets.select(F.col("id").alias("a"), F.col("tokens").alias("x")), sets.select(F.col("id").alias("b"), F.col("tokens").alias("y"))
-    got = possible.join(x, "a").join(y, "b").mapInPandas(partial(_compare, percent=percent), "a long, b long, ok boolean")
-    return saved(got, "jaccard-pairs").where("ok").select("a", "b")
+    left = sets.select("id", "tokens").join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "id", "left_semi")
+    x, y = left.select(F.col("id").alias("a"), F.col("tokens").alias("x")), left.select(F.col("id").alias("b"), F.col("tokens").alias("y"))
+    got = saved(possible.join(x, "a").join(y, "b").mapInArrow(partial(_compare, percent=percent), "a long, b long"), "jaccard-pairs")
+    discard(possible, ids)
+    return got
 
 
 def _block_links(group: pd.DataFrame, percent: int) -> pd.DataFrame:
@@ -383,49 +437,69 @@ def _block_links(group: pd.DataFrame, percent: int) -> pd.DataFrame:
 
 
 def _hot_links(hot: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """All links among sets that share an entry of very many sets.
+    """All links among sets (``sig, id, n``) that share an entry of very many sets.
 
     Such entries come in crowds (every pair of tokens of a passage), so their sets are gathered into groups that
-    share any, each group is dealt into blocks by hash, and each two blocks are compared by a matrix product:
-    pairs are neither listed nor compared twice, and what a task holds is two blocks.
+    share any. Sets that link are of the same or of neighbouring levels of size, so each level of a group is dealt
+    into blocks by hash, and each two blocks of such levels are compared by a matrix product: pairs are neither
+    listed nor compared twice, and what a task holds is two blocks.
     """
     lead = hot.groupBy("sig").agg(F.min("id").alias("lead"))
     edges = hot.join(lead, "sig").where("id <> lead").select(F.col("id").alias("a"), F.col("lead").alias("b")).distinct()
-    group = components(edges)
-    sized = group.groupBy("comp").agg(F.count("*").alias("k"))
-    parts = F.ceil(F.col("k") / BLOCK).cast("int")
-    dealt = group.join(sized, "comp").select("id", "comp", F.pmod(F.xxhash64("id"), parts).cast("int").alias("block"), parts.alias("parts"))
-    other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other")
-    dealt = saved(dealt.select("id", "comp", "block", other).select(
-        "id", "comp", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"),
-        (F.col("block") > F.col("other")).cast("int").alias("side")), "jaccard-blocks")
+    # levels a little wider than the largest ratio of two sizes, so that rounding parts no link
+    level = F.floor(F.log(F.col("n").cast("double")) / F.lit(math.log(100 / percent) * (1 + 1e-6))).cast("int")
+    found = components(edges)
+    group = saved(found.join(hot.groupBy("id").agg(F.max("n").alias("n")), "id").select("id", "comp", level.alias("level")),
+                  "jaccard-groups")
+    discard(found)
+    parts = saved(group.groupBy("comp", "level").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts")), "jaccard-groups")
+    met = [parts.select("comp", (F.col("level") - step).alias("level"), F.lit(step).alias("step"), F.col("parts").alias("others"))
+           for step in (-1, 0, 1)]
+    dealt = (group.join(parts, ["comp", "level"])
+             .select("id", "comp", "level", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int").alias("block"))
+             .join(met[0].union(met[1]).union(met[2]), ["comp", "level"])
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("others") - 1))))
+    own, below = F.col("step") == 0, F.col("step") < 0
+    dealt = saved(dealt.select(
+        "id", "comp", F.least("level", F.col("level") + F.col("step")).alias("level"), F.abs("step").alias("step"),
+        F.when(own, F.least("block", "other")).when(below, F.col("other")).otherwise(F.col("block")).alias("lo"),
+        F.when(own, F.greatest("block", "other")).when(below, F.col("block")).otherwise(F.col("other")).alias("hi"),
+        F.when(own, F.col("block") > F.col("other")).otherwise(below).cast("int").alias("side")), "jaccard-blocks")
     held = dealt.join(sets.select("id", "tokens"), "id")
-    return saved(held.groupBy("comp", "lo", "hi").applyInPandas(partial(_block_links, percent=percent), "a long, b long"), "jaccard-links")
+    links = saved(held.groupBy("comp", "level", "step", "lo", "hi").applyInPandas(
+        partial(_block_links, percent=percent), "a long, b long"), "jaccard-links")
+    discard(group, parts, dealt)
+    return links
 
 
-def _link(index: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """``id, comp`` of all sets that link with another, from the index entries they share.
+def _link(shared: DataFrame, sizes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """``id, comp`` of all sets that link with another, from the index entries of several sets (``sig, id, lead``).
 
     First every set is compared with one set of each of its entries, which joins most copies of a group without
     listing its pairs; entries whose sets are then in one component are done. Of the others, all pairs across
-    components are compared: pair by pair for entries of up to HOT sets, by blocks for larger ones.
+    components are compared: pair by pair for entries of up to HOT sets, by blocks for larger ones. Pairs whose
+    sizes differ too much go no further than the join that finds them.
     """
-    lead = F.min(F.struct(F.xxhash64("id").alias("h"), F.col("id").alias("lead")))
-    leads = index.groupBy("sig").agg(lead.alias("l"), F.count("*").alias("k")).where("k > 1").select("sig", "l.lead")
-    ends = index.join(leads, "sig").where("id <> lead")
-    links = _compare_all(ends.select(F.least("id", "lead").alias("a"), F.greatest("id", "lead").alias("b")), sets, percent)
+    ends = shared.where("id <> lead").select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct()
+    ends = (ends.join(sizes.toDF("a", "na"), "a").join(sizes.toDF("b", "nb"), "b")
+            .where(_alike_in_size(F.col("na"), F.col("nb"), percent)).select("a", "b"))
+    links = first = _compare_all(ends, sets, percent)
     comp = components(links)
-    labelled = index.join(comp, "id", "left").select("sig", "id", F.coalesce("comp", "id").alias("comp"))
+    labelled = (shared.select("sig", "id").join(sizes, "id").join(comp, "id", "left")
+                .select("sig", "id", "n", F.coalesce("comp", "id").alias("comp")))
     open_ = labelled.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("k")).where("lo < hi")
-    rows = saved(labelled.join(open_.select("sig", "k"), "sig"), "jaccard-index")
+    rows = saved(labelled.join(open_.select("sig", "k"), "sig"), "jaccard-open")
     cold = rows.where(F.col("k") <= HOT)
-    other = cold.select("sig", F.col("id").alias("id2"), F.col("comp").alias("comp2"))
-    pairs = cold.join(other, "sig").where("id < id2 AND comp <> comp2").select(F.col("id").alias("a"), F.col("id2").alias("b"))
-    links = links.union(_compare_all(pairs, sets, percent))
-    hot = rows.where(F.col("k") > HOT)
+    other = cold.select("sig", F.col("id").alias("id2"), F.col("comp").alias("comp2"), F.col("n").alias("n2"))
+    pairs = cold.join(other, "sig").where("id < id2 AND comp <> comp2").where(_alike_in_size(F.col("n"), F.col("n2"), percent))
+    second = _compare_all(pairs.select(F.col("id").alias("a"), F.col("id2").alias("b")).distinct(), sets, percent)
+    links = links.union(second)
+    hot = rows.where(F.col("k") > HOT).select("sig", "id", "n")
     if not hot.isEmpty():
         links = links.union(_hot_links(hot, sets, percent))
-    return components(links)
+    out = components(links)
+    discard(first, second, rows, comp)
+    return out
 
 
 def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 75) -> DataFrame:
@@ -444,24 +518,30 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     wanted = _Map(members.select("rep"), members.count())
     bucket_bits = max(10, math.ceil(math.log2(8 * int(spark.conf.get("spark.sql.shuffle.partitions")))))
 
-    counts = texts.mapInPandas(partial(_count_out, wanted=wanted, bucket_bits=bucket_bits),
-                               "bucket int, tokens binary, counts binary")
-    often = saved(counts.repartition("bucket").mapInPandas(_count_in, "token long, power int"), "jaccard-frequent")
+    counts = texts.mapInArrow(partial(_count_out, wanted=wanted, bucket_bits=bucket_bits),
+                              "bucket int, tokens binary, counts binary")
+    often = saved(counts.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_count_in, "token long, power int"),
+                  "jaccard-frequent")
     by_power = {r["power"]: r["n"] for r in often.groupBy("power").agg(F.count("*").alias("n")).collect()}
     least = 0
     while sum(n for p, n in by_power.items() if p >= least) > FREQUENT_MOST:
         least += 1
     frequent = _Map(often.where(F.col("power") >= least).select("token"), sum(n for p, n in by_power.items() if p >= least))
 
-    entries = texts.mapInPandas(partial(_index_out, wanted=wanted, frequent=frequent, bucket_bits=bucket_bits, percent=percent),
-                                "kind int, bucket int, tokens binary, ids binary")
-    index = saved(entries.repartition("bucket").mapInPandas(_index_in, "kind int, sig long, id long"), "jaccard-index")
-    sizes = index.where("kind = 2").groupBy("id").agg(F.max("sig").alias("n"))
-    shared = index.where("kind < 2").select("sig", "id").distinct()
+    entries = texts.mapInArrow(partial(_index_out, wanted=wanted, frequent=frequent, bucket_bits=bucket_bits, percent=percent),
+                               "kind int, bucket int, tokens binary, ids binary")
+    index = saved(entries.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_index_in, "kind int, sig long, id long"),
+                  "jaccard-index")
+    sizes = saved(index.where("kind = 2").groupBy("id").agg(F.max("sig").alias("n")), "jaccard-sizes")
+    # the index is pruned once: entries of one set alone link nothing
+    several = index.where("kind < 2").groupBy("sig").agg(F.min("id").alias("lead"), F.max("id").alias("last")).where("lead < last")
+    shared = saved(index.where("kind < 2").select("sig", "id").join(several.select("sig", "lead"), "sig"), "jaccard-shared")
+    discard(often, index)
     ids = saved(shared.select("id").distinct(), "jaccard-ids")
     holds = _Map(ids, ids.count())
-    sets = saved(texts.mapInPandas(partial(_set_rows, wanted=holds), "id long, n int, cells binary, tokens binary"), "jaccard-sets")
-    comp = _link(shared, sets, percent)
+    sets = saved(texts.mapInArrow(partial(_set_rows, wanted=holds), "id long, n int, cells binary, tokens binary"), "jaccard-sets")
+    comp = _link(shared, sizes, sets, percent)
+    discard(shared, ids, sets)
 
     of = classes.join(sizes, F.col("rep") == F.col("id"), "left").select("h", "rep", "n")
     of = of.join(comp, F.col("rep") == F.col("id"), "left").select("h", "n", F.coalesce("comp", "rep").alias("comp"))
