@@ -79,13 +79,20 @@ class PrefixCounter:
         back = {c: b for b, c in enumerate(self.alphabet)}
         special = set(special_strings(self.tok))
         self.ids = {bytes(back[c] for c in t): i for t, i in self.tok.get_vocab().items() if t not in special}
-        #: What can end a token: its id, or -1 for the end of a longer token only.
-        self.ends = {t[k:]: -1 for t in self.ids for k in range(len(t))} | self.ids
+        #: What can begin a token. A state is the longest of these that ends the bytes read so far.
+        self.begins = {t[:k] for t in self.ids for k in range(len(t) + 1)}
+        self.states: dict[bytes, int] = {}
+        self.suffix: list[bytes] = []
+        #: Per state the (length, id) of the tokens that end it, longest first.
+        self.ending: list[tuple[tuple[int, int], ...]] = []
+        self.moves: dict[int, int] = {}
+        self.root = self._state(b"")
         self.names = {i: b for b, i in self.ids.items()}
         self.special = re.compile("|".join(map(re.escape, sorted(special, key=len, reverse=True)))) if special else None
         self.stays: dict[int, bool] = {}
-        self.known: dict[str, tuple[int, bytes]] = {}
-        self.heads: dict[bytes, tuple[list[int], list[int]]] = {}
+        self.known: dict[str, tuple[int, bytes]] = {}  # met since the older ones were set aside
+        self.older: dict[str, tuple[int, bytes]] = {}
+        self.heads: dict[bytes, tuple[list[int], list[int], int]] = {}
         self.marks: dict[str, tuple[int, bytes]] = {}
 
     def _encode(self, piece: bytes) -> list[int]:
@@ -102,37 +109,52 @@ class PrefixCounter:
             got = self.stays[key] = self._encode(b"".join(self.names[i] for i in want)) == want
         return got
 
+    def _state(self, suffix: bytes) -> int:
+        got = self.states.get(suffix)
+        if got is None:
+            got = self.states[suffix] = len(self.suffix)
+            self.suffix.append(suffix)
+            ends = ((len(suffix) - k, self.ids.get(suffix[k:])) for k in range(len(suffix)))
+            self.ending.append(tuple((size, t) for size, t in ends if t is not None))
+        return got
+
+    def _move(self, key: int) -> int:
+        """The state after one more byte; ``key`` holds the state and the byte."""
+        if len(self.moves) > CACHE_ENTRIES:
+            self.moves.clear()
+        suffix = self.suffix[key >> 8] + bytes((key & 255,))
+        while suffix not in self.begins:
+            suffix = suffix[1:]
+        got = self.moves[key] = self._state(suffix)
+        return got
+
     def piece(self, data: bytes) -> list[int]:
         """Token counts at every byte prefix of one pre-tokenizer piece, from the empty one on."""
-        n, ends, stays, ok = len(data), self.ends.get, self.stays.get, self._side_by_side
-        last, count, done = [-1] * (n + 1), [0] * (n + 1), 0
+        n, stays, moves, ending = len(data), self.stays.get, self.moves.get, self.ending
+        last, count, done, state = [-1], [0], 0, self.root
         for k in (12, 8, 5):  # pieces that begin alike share their first states
             if n > k and (head := self.heads.get(data[:k])):
-                last[:k + 1], count[:k + 1] = head
+                last, count, state = head[0].copy(), head[1].copy(), head[2]
                 done = k
                 break
         for end in range(done + 1, n + 1):
-            found = []
-            for start in range(end - 1, -1, -1):
-                t = ends(data[start:end])
-                if t is None:
-                    break
-                if t >= 0:
-                    found.append((start, t))
-            for start, t in reversed(found):
-                if start and last[start] < 0:
-                    continue
-                fits = stays((last[start] + 1) << 32 | t)
-                if ok(last[start], t) if fits is None else fits:
-                    last[end], count[end] = t, count[start] + 1
+            key = state << 8 | data[end - 1]
+            state = moves(key)
+            if state is None:
+                state = self._move(key)
+            for size, t in ending[state]:
+                left = last[end - size]
+                fits = stays((left + 1) << 32 | t)
+                if self._side_by_side(left, t) if fits is None else fits:
+                    last.append(t)
+                    count.append(count[end - size] + 1)
                     break
             else:
                 raise ValueError(f"no encoding ends a prefix of {data!r}")
-        for k in (12, 8, 5):
-            if done < k < n:
+            if end < n and (end == 5 or end == 8 or end == 12):
                 if len(self.heads) > CACHE_ENTRIES:
                     self.heads.clear()
-                self.heads[data[:k]] = last[:k + 1], count[:k + 1]
+                self.heads[data[:end]] = last.copy(), count.copy(), state
         return count
 
     def _at_chars(self, piece: str) -> list[int]:
@@ -141,8 +163,8 @@ class PrefixCounter:
         count = self.piece(data)
         if len(data) == len(piece):
             return count[1:]
-        ends = np.cumsum([len(c.encode()) for c in piece])
-        return [count[e] for e in ends]
+        following = chain(data[1:], (0,))  # a code point ends before a byte that continues none
+        return [c for c, b in zip(count[1:], following) if b & 0xC0 != 0x80]
 
     def run(self, text: str) -> list[int]:
         """Counts at every code-point prefix of a short text, whatever pieces its prefixes fall into."""
@@ -184,9 +206,10 @@ class PrefixCounter:
         word = key.rstrip(".,;:!?")
         if word and word is not key and word.isalpha():  # letters, then marks: two pieces that do not meet
             tail = key[len(word):]
-            head = self.known.get(word)
+            head = self.known.get(word) or self.older.get(word)
             if head is None:
-                head = self.known[word] = _steps(self._at_chars(" " + word))
+                head = _steps(self._at_chars(" " + word))
+            self.known[word] = head
             marks = self.marks.get(tail)
             if marks is None:
                 marks = _steps(self.run(tail))
@@ -202,12 +225,11 @@ class PrefixCounter:
             got = [self._chunk(p) if k == 0 or p[:1] != "\0" else None for k, p in enumerate(parts)]
             got = [g or _steps(self.run(" " + p)) for g, p in zip(got, parts)]
         else:
-            known = self.known
-            if len(known) > CACHE_ENTRIES:
-                known.clear()
-            for p in parts:
-                if p not in known:
-                    known[p] = self._chunk(p)
+            if len(self.known) > CACHE_ENTRIES // 2:  # frequent chunks are carried over when they are met again
+                self.known, self.older = {}, self.known
+            known, older = self.known, self.older.get
+            for p in set(parts).difference(known):
+                known[p] = older(p) or self._chunk(p)
             got = [known[p] for p in parts]
         if not trailing_space_joins(text):
             return [g[1] for g in got]
