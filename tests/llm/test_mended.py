@@ -1,11 +1,13 @@
 """Rows that share a key or have none, texts that differ in blank lines only, and the SQL twins on small tables."""
 
+import os
+
 import duckdb
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from sluice.llm import line_dedup, merkle, mixing, registry
+from sluice.llm import bpe, common, jaccard, line_dedup, merkle, mixing, registry
 
 DOCS = "doc_id long, text string, lang string, source string, row string, key string, doc string"
 
@@ -69,3 +71,31 @@ def test_sql_twins_match_on_odd_rows(spark, tmp_path):
         names = [c[0] for c in want.description]
         rows_ = sorted((str(tuple(r[c] for c in names)) for r in got.collect()))
         assert rows_ == sorted(str(t) for t in want.fetchall()), name
+
+
+def test_prefix_counts_survive_full_tables(monkeypatch):
+    """With tables of a few entries, which are set aside all the time, counts at every prefix are still the library's."""
+    monkeypatch.setattr(bpe, "CACHE_ENTRIES", 4)
+    counter = bpe.PrefixCounter(bpe.default_path())
+    tok = bpe.load(bpe.default_path())
+    for text in ("the quick brown foxes jumped, jumped again: naïveté!", "übergrößenträger straße 日本語テキスト ok", "aaaaaaaaaaaaaaaaaaaaaaaa zzzzzzzz"):
+        want = [len(tok.encode(text[:k], add_special_tokens=False).ids) for k in range(1, len(text) + 1)]
+        assert counter.counts(text).tolist() == want
+        assert counter.counts(text).tolist() == want
+
+
+def test_discard_deletes_only_saved_tables(spark):
+    one, two = common.saved(spark.range(3), "kept"), common.saved(spark.range(4), "gone")
+    common.discard(two, spark.range(1))
+    assert one.count() == 3
+    assert not os.path.exists(two.saved_at.removeprefix("file:"))
+    common.release_memory()
+
+
+def test_jaccard_links_across_size_levels_in_hot_groups(spark, monkeypatch):
+    """Sets of every size from 60 to 99 that share hot entries: each links with the next ones, across levels and blocks."""
+    for name, value in (("FREQUENT_LEAST", 1), ("HOT", 1), ("BLOCK", 4)):
+        monkeypatch.setattr(jaccard, name, value)
+    texts = [(k, " ".join(f"w{j}" for j in range(64 + k))) for k in range(40)] + [(100, " ".join(f"x{j}" for j in range(80)))]
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.jaccard_components(spark.createDataFrame(texts, "doc_id long, text string")).collect()}
+    assert got == {k: (60 + k, 0) for k in range(40)} | {100: (76, 100)}
