@@ -272,7 +272,7 @@ def route_unrouted(spark, sf_dir):
 
 
 def route_fanout(spark, sf_dir):
-    routed = materialize(route(_classified(spark, sf_dir), specs.flagship_routes()), "persist")
+    routed = materialize(route(_classified(spark, sf_dir).drop("content"), specs.flagship_routes()), "table")
     parts = fan_out(routed, specs.PIPELINES)
     return reduce(DataFrame.unionByName,
                   [df.select("uri", F.lit(name).alias("pipeline_name")) for name, df in parts.items()])
@@ -480,7 +480,8 @@ def sink_json(spark, sf_dir):
     _run_and_write(spark, sf_dir, spec)
     back = _read_records(spark, path)
     return back.select("uri", "doc_type", "pipeline_name", _long(F.size("errors")).alias("n_errors"),
-                       _long(F.col("extracted.length")).alias("text_chars"))
+                       _long(F.col("extracted.length")).alias("text_chars"), F.md5("extracted.text").alias("text_md5"),
+                       F.to_json("metadata").alias("metadata_json"))
 
 
 def sink_content(spark, sf_dir):
@@ -495,8 +496,10 @@ def multi_sink(spark, sf_dir):
     docs = run_router(fx.landing(spark, sf_dir), flagship_spec()).outputs
     rows = reduce(DataFrame.unionByName, [df.withColumn("pipeline", F.lit(n)) for n, df in docs.items()])
     write_all(rows, [table_sink(table_path, run_id=RUN_ID), json_sink(json_path, RUN_ID)])
-    t = spark.read.parquet(table_path).select(F.lit("table").alias("sink"), "uri", "pipeline_name")
-    j = _read_records(spark, json_path).select(F.lit("json").alias("sink"), "uri", "pipeline_name")
+    t = spark.read.parquet(table_path).select(F.lit("table").alias("sink"), "uri", "pipeline_name", "metadata_json",
+                                              F.md5(F.get_json_object("extracted_json", "$.text")).alias("text_md5"))
+    j = _read_records(spark, json_path).select(F.lit("json").alias("sink"), "uri", "pipeline_name",
+                                               F.to_json("metadata").alias("metadata_json"), F.md5("extracted.text").alias("text_md5"))
     return t.unionByName(j)
 
 

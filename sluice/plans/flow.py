@@ -10,6 +10,7 @@ caller's sinks ask for.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from contextlib import ExitStack
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -22,7 +23,7 @@ from sluice.operators.parse import Parser
 from sluice.operators.route import RouteTable, fan_out, route, split_unrouted
 from sluice.operators.stats import observe_outcomes, stats_frame
 from sluice.session import fresh_path, work_root
-from sluice.sinks.writers import Sink, table_rows, write_table, write_targets
+from sluice.sinks.writers import Sink, parts_of, shared_rows, table_rows, write_table, write_targets
 
 
 @dataclass
@@ -177,28 +178,27 @@ def write_flow(result: FlowResult, pipelines: Mapping[str, PipelineSpec], batch_
     target is committed whole or not at all.
     Counts come from observations attached to the written frames, so no
     extra pass runs the classifiers or parsers again. A pipeline whose
-    output feeds more than one sink is cached while they write, so a parser
-    (or a model call) runs once per document.
+    output feeds more than one sink is written to the shared folder while they
+    write (``shared_rows``), so a parser (or a model call) runs once per document.
     """
-    cached, work = [], []
+    work = []
     try:
-        for name, done in result.processed.items():
-            pipe = pipelines[name]
-            writers = [(sink, result.outputs[name]) for sink in pipe.sinks]
-            if pipe.dead_letter is not None and name in result.dead_letter:
-                writers.append((pipe.dead_letter, result.dead_letter[name]))
-            if len(writers) > 1:
-                cached.append(done.persist())
-            if not writers:
-                done.write.format("noop").mode("overwrite").save()
-            work += writers
-        write_targets(work, batch_id)
-        if not result.processed and result.routing is not None:
-            result.routed.write.format("noop").mode("overwrite").save()  # nothing routed: still count
-        return _collect_stats(result, run_id)
+        with ExitStack() as copies:
+            for name, done in result.processed.items():
+                pipe = pipelines[name]
+                sinks, good, bad = parts_of(pipe.sinks), result.outputs[name], result.dead_letter.get(name)
+                dead = parts_of([pipe.dead_letter]) if pipe.dead_letter is not None and bad is not None else []
+                if len(sinks) + len(dead) > 1:
+                    rows = copies.enter_context(shared_rows(done, [*sinks, *dead]))
+                    good, bad = apply_policy(rows, pipe.on_error, pipe.dead_letter is not None)
+                elif not sinks and not dead:
+                    done.write.format("noop").mode("overwrite").save()
+                work += [(sink, good) for sink in sinks] + [(sink, bad) for sink in dead]
+            write_targets(work, batch_id)
+            if not result.processed and result.routing is not None:
+                result.routed.write.format("noop").mode("overwrite").save()  # nothing routed: still count
+            return _collect_stats(result, run_id)
     finally:
-        for df in cached:
-            df.unpersist()
         result.close()
 
 

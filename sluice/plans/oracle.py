@@ -313,12 +313,12 @@ SELECT uri, CAST(strlen(text) - strlen(replace(text, chr(10), '')) + 1 AS BIGINT
         "sink_table": _flow(f"doc_id, uri, doc_type, {META_JSON} AS metadata_json, md5({_text_json()}) AS extracted_md5, "
                             "pipeline_name, 'run-0' AS run_id"),
         "sink_json": _flow("uri, doc_type, pipeline_name, CAST(0 AS BIGINT) AS n_errors, "
-                           "CAST(length(text) AS BIGINT) AS text_chars"),
+                           f"CAST(length(text) AS BIGINT) AS text_chars, md5(text) AS text_md5, {META_JSON} AS metadata_json"),
         "sink_content": f"""WITH {LANDING}
 SELECT doc_id || '.' || CASE WHEN extension = '' THEN 'bin' ELSE extension END AS name, md5(text) AS content_md5
 FROM landing""",
-        "multi_sink": _flow("'table' AS sink, uri, pipeline_name") + " UNION ALL " +
-                      "SELECT 'json' AS sink, uri, pipeline_name FROM routed",
+        "multi_sink": _flow(f"'table' AS sink, uri, pipeline_name, {META_JSON} AS metadata_json, md5(text) AS text_md5") + " UNION ALL " +
+                      f"SELECT 'json' AS sink, uri, pipeline_name, {META_JSON} AS metadata_json, md5(text) AS text_md5 FROM routed",
         "on_error_skip": _flow("uri, pipeline_name, CAST(length(text) AS BIGINT) AS text_chars", f"WHERE NOT {short}"),
         "on_error_dead_letter": _flow("uri, pipeline_name, 'too short' AS error", f"WHERE {short}"),
         "on_error_fail": _flow("uri, pipeline_name"),

@@ -17,7 +17,8 @@ that, so a replay after a crash neither doubles nor leaves rows.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 from functools import reduce
 
@@ -25,6 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sluice.functions.text import extension_of
+from sluice.session import delete_path, fresh_path, work_root
 from sluice.sources.tree import open_path, qualified
 
 Sink = Callable[[DataFrame, "int | None"], None]
@@ -191,16 +193,39 @@ def write_files(files: DataFrame, path: str) -> None:
     files.select("name", "content").foreachPartition(write_partition)
 
 
-def write_all(df: DataFrame, sinks: Sequence[Sink], batch_id: int | None = None) -> None:
-    """K4: every sink in order over one computation of ``df``."""
-    if len(sinks) > 1:
-        df = df.persist()
+@contextmanager
+def shared_rows(df: DataFrame, sinks: Sequence[Sink]) -> Iterator[DataFrame]:
+    """``df`` computed once and written for several sinks, each of which reads back its own columns.
+
+    The copy is a table under ``spark.checkpoint.dir``, deleted afterwards: a lost executor takes none of it along,
+    and no executor holds whole rows. ``content`` is written only if a sink may read it. Rows that Parquet
+    cannot hold (fields without a type, column names that differ in case only) are checkpointed instead.
+    """
+    spark = df.sparkSession
+    if "content" in df.columns and all(isinstance(s, TargetSink) and not s.reads_content for s in parts_of(sinks)):
+        df = df.drop("content")
+    kinds = df.schema.simpleString()
+    if "struct<>" in kinds or "void" in kinds or len({c.lower() for c in df.columns}) < len(df.columns):
+        work_root(spark)
+        yield df.checkpoint(eager=True)
+        return
+    path = fresh_path(spark, "rows")
+    df.write.parquet(path)
     try:
-        for sink in sinks:
-            sink(df, batch_id)
+        yield spark.read.schema(df.schema).parquet(path)
     finally:
-        if len(sinks) > 1:
-            df.unpersist()
+        delete_path(spark, path)
+
+
+def write_all(df: DataFrame, sinks: Sequence[Sink], batch_id: int | None = None) -> None:
+    """K4: every sink in order over one computation of ``df``."""
+    parts = parts_of(sinks)
+    if len(parts) == 1:
+        parts[0](df, batch_id)
+    elif parts:
+        with shared_rows(df, parts) as rows:
+            for sink in parts:
+                sink(rows, batch_id)
 
 
 @dataclass(frozen=True)
@@ -212,6 +237,7 @@ class TargetSink:
     kind: str
     rows: Callable[[DataFrame], DataFrame]
     write: Callable[[Sequence[DataFrame], "int | None"], None]
+    reads_content: bool = False
 
     @property
     def key(self) -> tuple[str, str, str]:
@@ -221,6 +247,21 @@ class TargetSink:
         self.write([self.rows(df)], batch_id)
 
 
+@dataclass(frozen=True)
+class SinkGroup:
+    """Several sinks that stand for one; flows and ``write_all`` see its parts."""
+
+    sinks: Sequence[Sink]
+
+    def __call__(self, df: DataFrame, batch_id: int | None = None) -> None:
+        write_all(df, self.sinks, batch_id)
+
+
+def parts_of(sinks: Sequence[Sink]) -> list[Sink]:
+    """The sinks with every group replaced by its parts."""
+    return [part for s in sinks for part in (parts_of(s.sinks) if isinstance(s, SinkGroup) else [s])]
+
+
 def write_targets(work: Sequence[tuple[Sink, DataFrame]], batch_id: int | None = None) -> None:
     """Every sink over its frame, in order; frames for one target are written together, where the last of them stands."""
     pending: dict[tuple, list[DataFrame]] = {}
@@ -250,15 +291,11 @@ def json_sink(path: str, run_id: str = "", pipeline_name: str | None = None, raw
     so the JSON folder holds only records)."""
     records = TargetSink(path, mode, "json", lambda df: json_records(df, pipeline_name, run_id),
                          lambda records, batch_id: _write_records(records, path, mode, batch_id))
-    if raw_path is None:
-        return records
-
-    def sink(df: DataFrame, batch_id: int | None = None) -> None:
-        df = df.persist()
-        try:
-            records(df, batch_id)
-            write_content(df, _target(raw_path, batch_id))
-        finally:
-            df.unpersist()
-
-    return sink
+    return records if raw_path is None else SinkGroup([records, content_sink(raw_path)])
+
+
+def content_sink(path: str) -> Sink:
+    """K3 as a sink; a micro-batch has a folder of its own."""
+    return TargetSink(path, "append", "content", content_names,
+                      lambda files, batch_id: write_files(reduce(DataFrame.unionByName, files), _target(path, batch_id)),
+                      reads_content=True)

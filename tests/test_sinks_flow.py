@@ -49,6 +49,54 @@ def test_write_all_runs_every_sink(docs, spark):
     assert spark.read.parquet(base + "/t").count() == 2 and spark.read.json(base + "/j").count() == 2
 
 
+def test_several_sinks_read_one_written_copy(docs, spark):
+    from sluice.sinks.writers import shared_rows
+    from sluice.sources.tree import list_tree
+
+    base, calls = tempfile.mkdtemp(), spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def once(uri):
+        calls.add(1)
+        return uri
+
+    d = docs([(f"/x/{k}.txt", b"x" * k, {"k": str(k)}) for k in range(5)]).withColumn("pipeline", F.lit("p"))
+    d = d.withColumn("extracted", F.struct(once.asNondeterministic()("uri").alias("name")))
+    work = spark.sparkContext.getCheckpointDir()
+    before = {r.path for r in list_tree(spark, work).collect()}
+    write_all(d, [table_sink(base + "/t"), json_sink(base + "/j", raw_path=base + "/raw")])
+    assert calls.value == 5  # one computation for three targets
+    assert spark.read.json(base + "/j").count() == 5 and len(os.listdir(base + "/raw")) == 5
+    assert {r.path for r in list_tree(spark, work).collect()} <= before  # the copy is gone
+    with shared_rows(d, [table_sink("t"), json_sink("/j")]) as rows:
+        assert "content" not in rows.columns
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        assert "InMemoryTableScan" not in plan and "FileScan parquet" in plan
+    with shared_rows(d, [lambda df, batch_id: None, json_sink("/j", raw_path="/r")]) as rows:
+        assert rows.where("content IS NOT NULL").count() == 5
+    empty = d.withColumn("extracted", F.from_json(F.lit("{}"), "struct<>"))
+    write_all(empty, [table_sink(base + "/e"), table_sink(base + "/e2")])  # no type that Parquet holds
+    assert spark.read.parquet(base + "/e2").where("extracted_json IS NULL").count() == 5
+
+
+def test_a_pipeline_with_several_targets_parses_once_and_counts(spark):
+    base, calls = tempfile.mkdtemp(), spark.sparkContext.accumulator(0)
+
+    def parse(raw):
+        calls.add(1)
+        if len(raw) < 16:
+            raise ValueError("too short")
+        return {"text": raw.decode()}
+
+    spec = _spec(base, lambda: udf_parser(parse, "text string"), on_error="dead_letter", dead=True)
+    for name, pipe in spec.pipelines.items():
+        pipe.sinks = [json_sink(f"{base}/{name}", "r", name, raw_path=f"{base}/raw"), table_sink(f"{base}/t", pipeline_name=name)]
+    stats = write_flow(run_router(scan_files(spark, _landing_dir()), spec), spec.pipelines)
+    assert (stats["processed"], stats["failed"], calls.value) == (2, 1, 3)
+    assert spark.read.parquet(base + "/t").count() == 2 and spark.read.json(base + "/dead").count() == 1
+    assert len(os.listdir(base + "/raw")) == 2
+
+
 RULES = [{"doc_type": "invoice", "filename_regex": "(?i)invoice"},
          {"doc_type": "contract", "filename_regex": "(?i)(contract|agreement)"}]
 LANDING = {"Invoice_001.txt": b"Invoice #1\nTotal: 100", "Service_Agreement.txt": b"This agreement...",
