@@ -27,6 +27,7 @@ from sluice.operators.extract import extract_fields, extract_map, hosted_prompt,
 from sluice.operators.models import python_predict
 from sluice.operators.parse import document_parser, parse_document, text_parser
 from sluice.operators.route import RouteTable, fan_out, route, route_by_table, split_unrouted
+from sluice.operators.stats import StreamCounts, observe_stream
 from sluice.plans import fixtures as fx
 from sluice.plans import specs
 from sluice.plans.flow import (
@@ -177,6 +178,50 @@ def submissions_ingest(spark, sf_dir):
                        _long(F.octet_length("content")).alias("content_bytes"), F.md5("content").alias("content_md5"))
 
 
+def submissions_stream(spark, sf_dir):
+    """Three rounds of submissions; the second sends the whole first round again, which is consumed once."""
+    inbox, out, checkpoint = (fresh_path(spark, f"submitted_{n}") for n in ("in", "out", "ckpt"))
+    sent = fx.submissions_frame(spark, sf_dir)
+    third = F.pmod(F.xxhash64("uri"), F.lit(3))
+    for k in range(3):
+        submit(sent.where(third == k), inbox)
+        if k == 1:
+            submit(sent.where(third == 0), inbox)
+        docs = read_submissions(spark, inbox, stream=True, remember="30 days")
+        stream_to(docs.select("uri", F.col("metadata")["role"].alias("role"), F.col("metadata")["source"].alias("source"),
+                              _long(F.octet_length("content")).alias("content_bytes"), F.md5("content").alias("content_md5")),
+                  out, checkpoint).awaitTermination()
+    return spark.read.parquet(out)
+
+
+def stream_stats(spark, sf_dir):
+    """T1 on plain streams: documents and failures counted per micro-batch while S6, S9 and S11 streams are written."""
+    inbox, rows = fresh_path(spark, "counted_submissions"), fresh_path(spark, "counted_files")
+    sent = fx.submissions_frame(spark, sf_dir)
+    broken = F.col("metadata")["role"] == "user"  # their content is no base64
+    submit(sent.withColumn("content_base64", F.when(broken, F.lit("not base64!")).otherwise(F.col("content_base64"))), inbox)
+    docs = fx.table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("path"), F.col("text").alias("content"))
+    docs.write.option("maxRecordsPerFile", 400).json(rows)
+    _write_landing(spark, sf_dir, landed := fresh_path(spark, "counted_landing"))
+    streams = {
+        "files": stream_files(spark, rows, max_files_per_trigger=1, file_format="json", schema="path string, content string"),
+        "landing": to_documents(stream_table(spark, landed, max_files_per_trigger=1), metadata=F.col("metadata")),
+        "submissions": read_submissions(spark, inbox, stream=True),
+    }
+    counts = StreamCounts()
+    spark.streams.addListener(counts)
+    try:
+        for name, stream in streams.items():
+            observed = observe_stream(stream, name).select("uri", "errors")
+            counts.wait(stream_to(observed, fresh_path(spark, f"counted_{name}_out"), fresh_path(spark, f"counted_{name}_ckpt")))
+    finally:
+        spark.streams.removeListener(counts)
+    return reduce(DataFrame.unionByName, [
+        spark.range(1).select(F.lit(name).alias("stream"), *[
+            F.lit(v).alias(k) if isinstance(v, str) else _long(F.lit(v)).alias(k) for k, v in counts.totals(name, RUN_ID).items()])
+        for name in streams])
+
+
 # ---------------------------------------------------------------- classification
 
 
@@ -685,6 +730,8 @@ def queries():
         "landing_stream": landing_stream,
         "landing_append": landing_append,
         "submissions_ingest": submissions_ingest,
+        "submissions_stream": submissions_stream,
+        "stream_stats": stream_stats,
         "rule_extension": rule_extension,
         "rule_mime": rule_mime,
         "rule_filename": rule_filename,

@@ -239,6 +239,17 @@ FROM events WHERE ts > {MARK}""",
   CASE WHEN role <> 'system' THEN CAST(strlen(text) AS BIGINT) END AS content_bytes,
   CASE WHEN role <> 'system' THEN md5(text) END AS content_md5
 FROM conversations""",
+        "submissions_stream": """SELECT DISTINCT 'conv://' || CAST(conv_id AS VARCHAR) || '/' || CAST(turn AS VARCHAR) AS uri,
+  role, 'api' AS source,
+  CASE WHEN role <> 'system' THEN CAST(strlen(text) AS BIGINT) END AS content_bytes,
+  CASE WHEN role <> 'system' THEN md5(text) END AS content_md5
+FROM conversations""",
+        "stream_stats": """WITH counted AS (
+  SELECT 'files' AS stream, count(*) AS n, 0 AS bad FROM documents
+  UNION ALL SELECT 'landing', count(*), 0 FROM documents
+  UNION ALL SELECT 'submissions', count(*), count(*) FILTER (WHERE role = 'user') FROM conversations)
+SELECT stream, n AS discovered, CAST(0 AS BIGINT) AS received, CAST(0 AS BIGINT) AS unrouted, n - bad AS processed,
+       CAST(bad AS BIGINT) AS failed, 'run-0' AS run_id FROM counted""",
         "rule_extension": f"""WITH {LANDING}
 SELECT uri, extension, extension IN ('pdf') AS is_pdf, extension IN ('pdf', 'docx') AS is_office,
        false AS is_none FROM landing""",

@@ -256,6 +256,53 @@ def test_submissions_stream_consumes_each_once(spark):
     assert sorted(r.uri for r in spark.read.parquet(out).collect()) == ["uri://a", "uri://b"]
 
 
+def _sent(spark, rows):
+    return spark.createDataFrame(rows, "uri string, content_base64 string, metadata map<string,string>")
+
+
+def test_a_submission_sent_again_is_consumed_once(spark):
+    from sluice.sources.submissions import consume_once, read_submissions, submit
+    from sluice.streaming.streams import stream_to
+
+    inbox, out, ckpt = tempfile.mkdtemp() + "/in", tempfile.mkdtemp() + "/out", tempfile.mkdtemp() + "/ck"
+    first = [("uri://a", "eA==", {"k": "v", "l": "w"}), ("uri://b", None, None), (None, "eA==", None)]
+    again = [("uri://a", "eA==", {"l": "w", "k": "v"}), ("uri://b", None, None)]  # metadata in another order
+    other = [("uri://a", "eQ==", {"k": "v", "l": "w"}), ("uri://b", "", None), ("uri://b", None, {"k": None})]
+    for batch in (first, again + again, other, first):
+        submit(_sent(spark, batch), inbox)
+        stream_to(read_submissions(spark, inbox, stream=True, remember="1 hour").select("uri", "content", "metadata"),
+                  out, ckpt).awaitTermination()
+    got = [(r.uri, r.content and bytes(r.content)) for r in spark.read.parquet(out).collect()]
+    assert sorted(got, key=str) == sorted([("uri://a", b"x"), ("uri://b", None), (None, b"x"), ("uri://a", b"y"), ("uri://b", None),
+                                           ("uri://b", None)], key=str)
+    assert consume_once(_sent(spark, first + again + other)).count() == 6  # a batch likewise
+
+
+def test_stream_counts_per_micro_batch(spark, docs):
+    from sluice.operators.stats import StreamCounts, observe_stream
+    from sluice.sources.submissions import read_submissions, submit
+    from sluice.streaming.streams import stream_to
+
+    inbox, out, ckpt = tempfile.mkdtemp() + "/in", tempfile.mkdtemp() + "/out", tempfile.mkdtemp() + "/ck"
+    seen = []
+    counts = StreamCounts(lambda *batch: seen.append(batch))
+    spark.streams.addListener(counts)
+    try:
+        run = lambda: counts.wait(stream_to(
+            observe_stream(read_submissions(spark, inbox, stream=True), "inbox").select("uri"), out, ckpt))
+        for rows in ([("a", "eA==", None), ("b", "no base64!", None)], [("c", None, None)], []):
+            if rows:
+                submit(_sent(spark, rows).coalesce(1), inbox)
+            run()
+    finally:
+        spark.streams.removeListener(counts)
+    assert [b for b in seen if b[2]] == [("inbox", 0, 2, 1), ("inbox", 1, 1, 0)]
+    assert counts.totals("inbox", "r") == {"discovered": 3, "received": 0, "unrouted": 0, "processed": 2, "failed": 1, "run_id": "r"}
+    counts._count("q", "inbox", 4, 5, 0)
+    counts._count("q", "inbox", 4, 5, 0)  # reported twice, counted once
+    assert counts.totals("inbox")["discovered"] == 8 and counts.totals("none")["discovered"] == 0
+
+
 def test_router_flow_adds_no_shuffle(spark):
     spec = _spec(tempfile.mkdtemp())
     result = run_router(scan_files(spark, _landing_dir()), spec, share=None)
