@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import table
+from sluice.llm.common import discard, saved, table
 
 #: Characters of test items searched for at once; a larger benchmark is searched in several passes.
 BLOCK_CHARS = 8_000_000
@@ -88,7 +88,7 @@ class Searcher:
         return out
 
 
-@functools.lru_cache(maxsize=2)
+@functools.lru_cache(maxsize=1)
 def _searcher(items: tuple[tuple[int, str], ...], rate: float) -> Searcher:
     return Searcher(items, rate)
 
@@ -103,20 +103,31 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text:
     searched with each of its texts. A null text has no leaks. All columns are kept; the column added is ``leaks``
     and replaces one of that name.
 
-    Items are taken to the tasks in blocks of at most ``BLOCK_CHARS`` characters, so their size on a worker is
-    bounded; each block is one pass over the documents.
+    Items are taken to the tasks in blocks of about ``BLOCK_CHARS`` characters. Each block but a sole one is a pass of
+    its own: its result is written under ``spark.checkpoint.dir`` before the next begins, so a worker holds the
+    automaton of one block, however many there are.
     """
     items = benchmark.select(F.col(item).cast("long").alias("i"), F.col(item_text).alias("t")).where("i IS NOT NULL AND t IS NOT NULL")
     total = items.agg(F.sum(F.length("t"))).first()[0] or 0
     blocks = 1 + total // BLOCK_CHARS
-    found = docs.drop("leaks").withColumn("leaks", F.array().cast("array<struct<item:long,distance:int,end:int>>"))
+    kept = [c for c in docs.columns if c.lower() != "leaks"]
+    staged = [F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row")] if kept else []
+    if text in kept:
+        searched = F.col("row").getField(text)
+    else:  # the text is a column ``leaks`` itself, which the result replaces
+        staged, searched = [*staged, F.col(f"`{text}`").alias("text")], F.col("text")
+    found = docs.select(*staged, F.array().cast("array<struct<item:long,distance:int,end:int>>").alias("leaks"))
     for b in range(blocks):
         rows = items.where(F.pmod(F.xxhash64("i", "t"), F.lit(blocks)) == b).distinct().collect()
         wanted = sorted({(r["i"], normal(r["t"])) for r in rows})
         wanted = tuple((i, t) for i, t in wanted if len(t) >= min_chars)
         if wanted:
-            found = found.withColumn("leaks", F.concat("leaks", _leaks_udf(docs, wanted, rate)(F.col(text))))
-    return found
+            searched_in = found
+            found = found.withColumn("leaks", F.concat("leaks", _leaks_udf(docs, wanted, rate)(searched)))
+            if blocks > 1:
+                found = saved(found, "leaks")
+                discard(searched_in)
+    return found.select(*(["row.*"] if kept else []), "leaks")
 
 
 def _leaks_udf(docs: DataFrame, wanted: tuple[tuple[int, str], ...], rate: float):

@@ -270,6 +270,24 @@ def test_search_equals_brute_force(item, before, after, edits):
     assert not got or got[9][0] == distance
 
 
+def test_many_blocks_of_items_find_what_one_finds(spark, monkeypatch):
+    from conftest import SF001
+    from sluice.llm.common import table
+
+    docs, items = table(spark, SF001, "documents").select("doc_id", "text"), table(spark, SF001, "benchmark")
+    leaks = lambda: {r.doc_id: sorted(map(tuple, r.leaks)) for r in decontaminate.find_leaks(docs, items).collect()}
+    one = leaks()
+    assert any(one.values())
+    total = items.agg(F.sum(F.length("text"))).first()[0]
+    monkeypatch.setattr(decontaminate, "BLOCK_CHARS", total // 4)
+    assert leaks() == one
+    found = decontaminate.find_leaks(docs, items)
+    assert "ArrowEvalPython" not in found._jdf.queryExecution().executedPlan().toString()  # every block's result is written
+    # a text column of the result's own name, and no other column
+    named = docs.select(F.col("text").alias("leaks"))
+    assert sorted(sorted(map(tuple, r.leaks)) for r in decontaminate.find_leaks(named, items, text="leaks").collect()) == sorted(one.values())
+
+
 def test_leaks_of_odd_rows(spark, odd, empty):
     items = spark.createDataFrame([(1, "The QUICK brown\nfox jumps over it."), (2, None), (3, ""), (None, "x" * 40), (4, "short"),
                                    (1, "nowhere to be found in any text")], "item_id long, text string")
