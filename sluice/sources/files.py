@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from sluice.session import fresh_path
 from sluice.sources.documents import add_errors, string_map, to_documents
-from sluice.sources.tree import LISTING_SCHEMA, list_tree, read_contents
+from sluice.sources.tree import LISTING_SCHEMA, list_tree, read_contents, resolved
 
 BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
@@ -92,7 +92,7 @@ def _without(raw: DataFrame, exclude: Sequence[str]) -> DataFrame:
 
 
 def _listing(spark: SparkSession, path: str, patterns: Sequence[str] | None, exclude: Sequence[str]) -> DataFrame:
-    found = _without(list_tree(spark, path), exclude)
+    found = _without(list_tree(spark, path), [resolved(spark, p) for p in exclude])
     patterns = list(dict.fromkeys(patterns or ["*"]))
     return found if "*" in patterns else found.where(F.col("path").rlike("|".join(f"(?:{glob_regex(p)})" for p in patterns)))
 

@@ -22,16 +22,41 @@ LISTING_SCHEMA = "path string, modificationTime timestamp, length bigint"
 MOST_BYTES = (1 << 31) - 64
 #: Bytes of files that are held before they are passed on; a larger file goes alone.
 BATCH_BYTES = 1 << 25
+#: Listed files that are passed on at a time.
+BATCH_FILES = 10_000
 _LISTED = pa.schema([("path", pa.string()), ("modificationTime", pa.timestamp("us", tz="UTC")), ("length", pa.int64())])
 
 
-def qualified(spark: SparkSession, path: str) -> str:
-    """``path`` with its scheme; one without names a local folder, which executors share only in a local session."""
-    if ":" in path.split("/")[0]:
+def resolved(spark: SparkSession, path: str) -> str:
+    """``path`` with the scheme Spark gives it: without one, that of the default file system; a ``viewfs`` path is the one it is mounted on."""
+    conf, folder_of = spark._jsc.hadoopConfiguration(), spark._jvm.org.apache.hadoop.fs.Path
+    if ":" not in path.split("/")[0]:
+        if spark._jvm.org.apache.hadoop.fs.FileSystem.getDefaultUri(conf).getScheme() == "file":
+            return "file:" + os.path.abspath(path)
+        path = folder_of(path).getFileSystem(conf).makeQualified(folder_of(path)).toString()
+    if not path.startswith("viewfs:"):
         return path.rstrip("/") or path
-    if not spark.sparkContext.master.startswith("local"):
+    folder, below = folder_of(path), ""
+    mounts = folder.getFileSystem(conf)
+    while not mounts.exists(folder):  # only what exists can be resolved
+        folder, below = folder.getParent(), f"/{folder.getName()}{below}"
+    return mounts.resolvePath(folder).toString().rstrip("/") + below
+
+
+def _is_shared(spark: SparkSession, uri: str) -> bool:
+    """Whether a local ``uri`` lies in a folder that the session names as shared: the one for checkpoints or the warehouse."""
+    roots = [spark.conf.get("spark.checkpoint.dir", None), spark.sparkContext.getCheckpointDir(), spark.conf.get("spark.sql.warehouse.dir", None)]
+    plain = lambda u: "/" + u.removeprefix("file:").strip("/") + "/"
+    return any(plain(uri).startswith(plain(resolved(spark, r))) for r in roots if r)
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` as tasks can open it (``resolved``). Without a scheme it may name a local folder only in a local
+    session or under the folders that a cluster's session shares."""
+    uri = resolved(spark, path)
+    if ":" not in path.split("/")[0] and uri.startswith("file:") and not spark.sparkContext.master.startswith("local") and not _is_shared(spark, uri):
         raise ValueError(f"{path!r} has no scheme: name the file system that the executors share")
-    return "file:" + os.path.abspath(path)
+    return uri
 
 
 def open_path(uri: str):
@@ -97,10 +122,11 @@ class FileTreeReader(DataSourceReader):
             files = [i for i in found if i.type == fs.FileType.File]
             if deep:
                 todo += [(i.path, True) for i in found if i.type == fs.FileType.Directory]
-            if files:
-                yield pa.RecordBatch.from_arrays([pa.array([before + i.path for i in files]),
-                                                  pa.array([i.mtime for i in files], _LISTED.types[1]),
-                                                  pa.array([i.size for i in files], pa.int64())], schema=_LISTED)
+            for k in range(0, len(files), BATCH_FILES):
+                some = files[k:k + BATCH_FILES]
+                yield pa.RecordBatch.from_arrays([pa.array([before + i.path for i in some]),
+                                                  pa.array([i.mtime for i in some], _LISTED.types[1]),
+                                                  pa.array([i.size for i in some], pa.int64())], schema=_LISTED)
 
 
 def list_tree(spark: SparkSession, path: str, shards: int | None = None) -> DataFrame:

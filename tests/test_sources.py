@@ -277,3 +277,45 @@ def test_streams_of_other_formats_make_a_document_of_each_row(spark):
     assert got == [("a.txt", None, "one"), ("a.txt", None, "two")]
     with pytest.raises(ValueError, match="schema"):
         stream_files(spark, root, file_format="json")
+
+
+def _as_on_a_cluster(spark, monkeypatch):
+    monkeypatch.setattr(type(spark.sparkContext), "master", property(lambda self: "spark://elsewhere:7077"), raising=False)
+
+
+def test_shared_folder_without_a_scheme_is_written_and_listed_on_a_cluster(spark, monkeypatch):
+    from sluice.session import fresh_path
+    from sluice.sinks.writers import write_files
+    from sluice.sources.tree import list_tree, qualified
+
+    _as_on_a_cluster(spark, monkeypatch)
+    root = spark.conf.get("spark.checkpoint.dir") + "/raw copies"
+    assert root.startswith("/") and fresh_path(spark, "x").startswith("/")
+    write_files(spark.createDataFrame([("a.txt", bytearray(b"A"))], "name string, content binary"), root)
+    assert [r["path"] for r in list_tree(spark, root).collect()] == [f"file:{root}/a.txt"]
+    with pytest.raises(ValueError, match="no scheme"):
+        qualified(spark, tempfile.mkdtemp())
+
+
+def test_mounted_folders_are_written_and_listed(spark):
+    from sluice.sinks.writers import write_content
+    from sluice.sources.files import files_pass, scan_tree
+
+    root = tempfile.mkdtemp()
+    spark._jsc.hadoopConfiguration().set("fs.viewfs.mounttable.tests.link./shared", f"file://{root}")
+    docs = spark.createDataFrame([("d1", "/x/a.txt", bytearray(b"A")), ("d2", "/x/b", bytearray(b"B"))], "doc_id string, uri string, content binary")
+    write_content(docs, "viewfs://tests/shared/in/raw")
+    assert sorted(os.listdir(f"{root}/in/raw")) == ["d1.txt", "d2.bin"]
+    assert {r["uri"]: bytes(r["content"]) for r in scan_tree(spark, "viewfs://tests/shared/in").collect()} == {
+        f"file:{root}/in/raw/d1.txt": b"A", f"file:{root}/in/raw/d2.bin": b"B"}
+    state = "viewfs://tests/shared/in/state"
+    assert [files_pass(spark, "viewfs://tests/shared/in", state, lambda found: found.collect()) for _ in range(2)] == [2, 0]
+
+
+def test_a_folder_of_many_files_is_listed_in_parts(spark, monkeypatch):
+    from sluice.sources import tree
+
+    monkeypatch.setattr(tree, "BATCH_FILES", 3)
+    root = _tree({f"{k}.txt": b"%d" % k for k in range(7)})
+    reader = tree.FileTreeReader(f"file:{root}", 4)
+    assert sorted(b.num_rows for p in reader.partitions() for b in reader.read(p)) == [1, 3, 3]
