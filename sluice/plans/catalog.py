@@ -36,7 +36,7 @@ from sluice.plans.flow import (
 from sluice.session import fresh_path
 from sluice.sinks.writers import content_names, json_sink, table_rows, table_sink, write_all, write_content, write_files, write_table
 from sluice.sources.documents import to_documents, with_name_columns
-from sluice.sources.files import files_pass, new_files, scan_files
+from sluice.sources.files import files_pass, new_files, scan_files, scan_tree
 from sluice.sources.landing import append_landing, next_watermark, read_increment
 from sluice.sources.submissions import read_submissions, submit
 from sluice.streaming.streams import run_router_stream, stream_files, stream_table, stream_to
@@ -532,8 +532,8 @@ def sink_json(spark, sf_dir):
 def sink_content(spark, sf_dir):
     path = fresh_path(spark, "sink_content")
     write_content(fx.landing(spark, sf_dir), path)
-    back = spark.read.format("binaryFile").load(path)
-    return back.select(filename_of(F.col("path")).alias("name"), F.md5("content").alias("content_md5"))
+    back = scan_tree(spark, path).where("length > 0")  # listed and read by the executors; empty files are no rows, as with ``binaryFile``
+    return back.select(filename_of(F.col("uri")).alias("name"), F.md5("content").alias("content_md5"))
 
 
 def multi_sink(spark, sf_dir):
