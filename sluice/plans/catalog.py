@@ -200,8 +200,8 @@ def stream_stats(spark, sf_dir):
     sent = fx.submissions_frame(spark, sf_dir)
     broken = F.col("metadata")["role"] == "user"  # their content is no base64
     submit(sent.withColumn("content_base64", F.when(broken, F.lit("not base64!")).otherwise(F.col("content_base64"))), inbox)
-    docs = fx.table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("path"), F.col("text").alias("content"))
-    docs.write.option("maxRecordsPerFile", 400).json(rows)
+    docs = fx.table(spark, sf_dir, "documents")
+    _write_files_of(docs, docs.select(F.col("doc_id").cast("string").alias("path"), F.col("text").alias("content")), 8).json(rows)
     _write_landing(spark, sf_dir, landed := fresh_path(spark, "counted_landing"))
     streams = {
         "files": stream_files(spark, rows, max_files_per_trigger=1, file_format="json", schema="path string, content string"),
@@ -700,11 +700,18 @@ def router_stream(spark, sf_dir):
 
 
 def _write_landing(spark, sf_dir, path, files: int = 4) -> None:
-    """Land the documents as a table of several files (no shuffle: rows per file are capped)."""
+    """Land the documents as a table of several files."""
     docs = fx.landing(spark, sf_dir).select("uri", "content", "metadata", "src_id", "n_chars")
-    n = fx.table(spark, sf_dir, "documents").count()
-    (docs.write.mode("overwrite").option("maxRecordsPerFile", str(max(1, -(-n // files))))
-         .parquet(path))
+    _write_files_of(fx.table(spark, sf_dir, "documents"), docs, files, 1).mode("overwrite").parquet(path)
+
+
+def _write_files_of(table: DataFrame, rows: DataFrame, files: int, least: int = 400):
+    """A writer of ``rows`` (of as many as ``table`` has) as several files, without a shuffle: a stream of so many files
+    each time takes about as many micro-batches whatever their size. A task for each core (or ``files``) writes, and
+    starts another file after a share of all rows (``least`` rows of a small table).
+    """
+    tasks = max(files, rows.sparkSession.sparkContext.defaultParallelism)
+    return rows.coalesce(tasks).write.option("maxRecordsPerFile", max(least, -(-table.count() // files)))
 
 
 def gold_tables(spark, sf_dir):
