@@ -100,8 +100,8 @@ def files_stream_formats(spark, sf_dir):
     root, out = fresh_path(spark, "formats_in"), fresh_path(spark, "formats_out")
     docs = fx.table(spark, sf_dir, "documents")
     rows = docs.select(F.concat(F.lit("json://"), F.col("doc_id")).alias("path"), F.col("text").alias("content"), "lang", "n_chars")
-    rows.write.option("maxRecordsPerFile", 400).json(f"{root}/json")
-    docs.select(F.concat_ws("\t", "doc_id", "source")).write.option("maxRecordsPerFile", 400).text(f"{root}/text")
+    _write_files_of(docs, rows, 8).json(f"{root}/json")
+    _write_files_of(docs, docs.select(F.concat_ws("\t", "doc_id", "source")), 8).text(f"{root}/text")
     for kind, schema in (("json", rows.schema.simpleString().removeprefix("struct<").removesuffix(">").replace(":", " ")), ("text", None)):
         for _ in range(2):
             found = stream_files(spark, f"{root}/{kind}", max_files_per_trigger=2, file_format=kind, schema=schema)

@@ -319,3 +319,25 @@ def test_a_folder_of_many_files_is_listed_in_parts(spark, monkeypatch):
     root = _tree({f"{k}.txt": b"%d" % k for k in range(7)})
     reader = tree.FileTreeReader(f"file:{root}", 4)
     assert sorted(b.num_rows for p in reader.partitions() for b in reader.read(p)) == [1, 3, 3]
+
+
+def test_streams_over_landed_documents_take_as_many_micro_batches_whatever_their_number(spark):
+    import glob
+
+    from sluice.plans import catalog
+
+    ckpt, taken = spark.conf.get("spark.checkpoint.dir"), {}
+    for n in (4_000, 16_000):
+        sf_dir = tempfile.mkdtemp(prefix="sluice-src-")
+        spark.range(0, n, 1, 2 if n < 5_000 else 40).select(
+            F.col("id").alias("doc_id"), F.concat(F.lit("text "), "id").alias("text"), F.lit("en").alias("lang"),
+            F.lit("web").alias("source"), F.lit(9).alias("n_chars")).write.parquet(f"{sf_dir}/documents.parquet")
+        before = set(glob.glob(f"{ckpt}/sluice/formats_out-*_ckpt_*"))
+        rows = catalog.files_stream_formats(spark, sf_dir)
+        assert rows.groupBy("kind").agg(F.count_distinct(F.coalesce("uri", "line"))).orderBy("kind").collect() == [("json", n), ("text", n)]
+        assert rows.count() == 2 * n
+        new = set(glob.glob(f"{ckpt}/sluice/formats_out-*_ckpt_*")) - before
+        taken[n] = sorted(len(glob.glob(f"{c}/commits/[0-9]*")) for c in new)
+        catalog._write_landing(spark, sf_dir, landed := tempfile.mkdtemp() + "/landed")
+        taken[n].append(len(glob.glob(f"{landed}/*.parquet")))
+    assert all(1 < few and many <= 2 * few for few, many in zip(taken[4_000], taken[16_000])), taken
