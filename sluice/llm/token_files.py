@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sluice.llm import bpe
-from sluice.llm.common import saved, table
+from sluice.llm.common import release_memory, saved, table
 
 #: Ids in a block: 32 lanes of 32 values, so that a width of w bits fills w words of each lane.
 BLOCK = 1024
@@ -102,6 +102,7 @@ def write_token_files(docs: DataFrame, key: str = "doc_id", text: str = "text",
     path = path or bpe.default_path()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_memory()  # what tasks of earlier stages left to this worker
         encoder, part = bpe.id_encoder(path), TaskContext.get().partitionId()
         end = np.array([end_id], "<u4").tobytes()
         row = first = n = 0
@@ -121,9 +122,9 @@ def write_token_files(docs: DataFrame, key: str = "doc_id", text: str = "text",
             return out
 
         for batch in batches:
-            ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for k in range(0, len(texts), 512):
-                for doc, got in zip(ids[k:k + 512], encoder.encode(texts[k:k + 512])):
+            for start in range(0, batch.num_rows, 256):  # texts of a whole batch need not be strings at once
+                some = batch.slice(start, 256)
+                for doc, got in zip(some.column(0).to_pylist(), encoder.encode(some.column(1).to_pylist())):
                     keys.append(doc)
                     lengths.append(len(got) // 4 + 1)
                     raw += (got, end)
