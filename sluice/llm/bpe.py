@@ -12,12 +12,18 @@ import numpy as np
 
 #: Entries a worker keeps of a per-chunk table before it starts a new one: bounds its memory, not the result.
 CACHE_ENTRIES = 600_000
+#: Chunks after which texts are encoded together: bounds what is held beside the ids.
+BATCH_CHUNKS = 1 << 16
 
 #: A space before anything but white space always starts a new piece of the byte-level pre-tokenizer, and what
 #: stands before it is cut as if the text ended there. Python's white space includes the pre-tokenizer's.
 _SPLIT = re.compile(r" (?!\s|$)")
 _HARD = re.compile(r" (?:\s|$)").search
 _JOINS = re.compile(r"\s (?!\s|$)").search
+MARKS = ".,;:!?"
+#: Letters (and numbers that are no digits, which are sorted out later), ASCII digits, ASCII marks but the quote, and
+#: a line end before one of them.
+_PLAIN = re.compile(r"[^\W\d_]+|[0-9]+|[!-&(-/:-@\[-`{-~]+|\n(?=\S)")
 
 
 def default_path(name: str = "byte_bpe_50k.json") -> str:
@@ -40,6 +46,17 @@ def load(path: str):
     return tok
 
 
+@functools.lru_cache(maxsize=4)
+def model_of(path: str):
+    """The tokenizer of a file without its pre-tokenizer: takes pieces, as characters of the byte alphabet."""
+    from tokenizers import Tokenizer
+    from tokenizers.pre_tokenizers import CharDelimiterSplit
+
+    tok = Tokenizer(load(path).model)  # shared, not loaded again
+    tok.pre_tokenizer = CharDelimiterSplit("\0")  # no piece holds one
+    return tok
+
+
 def special_strings(tok) -> list[str]:
     return [t.content for t in tok.get_added_tokens_decoder().values()]
 
@@ -54,6 +71,22 @@ def trailing_space_joins(text: str) -> bool:
     return _JOINS(text) is not None
 
 
+def plain_pieces(key: str) -> tuple[str, ...] | None:
+    """The pieces the pre-tokenizer makes of a chunk of letters, digits, ASCII marks and single line ends, else None.
+
+    ``key`` is the chunk without the space before it, or a NUL and a chunk that has none; the pieces are marked
+    likewise. Quotes (which may begin a contraction) and all other characters are left to the library.
+    """
+    first = key[:1] == "\0"
+    text = key[1:] if first else key
+    pieces = _PLAIN.findall(text)
+    if not pieces or sum(map(len, pieces)) != len(text) or not first and pieces[0] == "\n":
+        return None
+    if not text.isascii() and not all(p.isascii() or p.isalpha() for p in pieces):
+        return None
+    return tuple(["\0" + p if first or k else p for k, p in enumerate(pieces)])
+
+
 def byte_alphabet() -> list[str]:
     """The character that stands for each byte: printable Latin-1 stands for itself, the others follow from U+0100."""
     own = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b]
@@ -272,59 +305,122 @@ def prefix_counter(path: str) -> PrefixCounter:
 
 
 class IdEncoder:
-    """Token ids of texts from the library, which sees each distinct chunk once while it is remembered.
+    """Token ids of texts from the library, which sees each distinct piece once while it is remembered.
 
-    What is remembered stands in two generations: a full one becomes the older one, whose chunks are carried over
-    when they are met again, so that frequent chunks stay. New chunks go to the library in one string, set apart by a NUL; the ids are cut there. That is exact where
-    no token but its own holds the NUL byte and the chunk has none, does not begin with a quote and does not
-    end in two white-space characters; anything else is encoded by itself.
+    What is remembered are the ids of chunks and of pieces; what has no space before it is marked by a NUL. It stands
+    in two generations: a full one becomes the older one, whose entries are carried over when they are met again, so
+    that frequent ones stay. New chunks of plain pieces are cut here and their pieces go to the library's model in one
+    call, as bytes of its alphabet; any other new chunk goes through the whole library.
     """
 
     def __init__(self, path: str) -> None:
         self.tok = load(path)
-        nul = byte_alphabet()[0]
-        marked = [t for t in self.tok.get_vocab() if nul in t]
-        self.mark = self.tok.token_to_id(nul) if marked == [nul] else None
+        self.model = model_of(path)
+        self.strings = special_strings(self.tok)
+        self.special = re.compile("|".join(map(re.escape, self.strings)))
+        alphabet = byte_alphabet()
+        self.space = alphabet[32]
+        self.alphabet = {**dict(enumerate(alphabet)), 0: "\0"}  # the NUL sets pieces apart; a plain one holds none
+        vocab = self.tok.get_vocab()
+        #: Whether a token begins with a space, as the first of a piece does and no other.
+        self.begins = np.zeros(max(vocab.values(), default=0) + 1, bool)
+        self.begins[[i for t, i in vocab.items() if t[:1] == self.space]] = True
+        #: A space before a piece must stay a token of its own, for a piece that has none.
+        self.cuts = self.space in vocab and set(self.strings).isdisjoint(t for t in vocab if t[:1] == self.space)
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
     def _whole(self, text: str) -> bytes:
-        return np.array(self.tok.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
-
-    def _learn(self, parts: set[str]) -> None:
+        return np.array(self.tok.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4").tobytes()
+
+    def _learn_pieces(self, keys: list[str]) -> None:
+        """Ids of new plain pieces: one call, cut at the tokens that begin with a space."""
+        bare = [k for k in keys if k[0] == "\0"]
+        keys = [k for k in keys if k[0] != "\0"] + bare
+        stand = "\0".join([" \0" + k[1:] if k[0] == "\0" else " " + k for k in keys]).encode().decode("latin-1").translate(self.alphabet)
+        ids = np.array(self.model.encode_batch_fast([stand.split("\0")], is_pretokenized=True, add_special_tokens=False)[0].ids, "<u4")
+        raw = ids.tobytes()
+        cuts = (np.flatnonzero(self.begins[ids]) * 4).tolist()
+        stops, lone = [*cuts[1:], len(raw)], len(keys) - len(bare)
+        known = self.known
+        for k, at, stop in zip(keys[:lone], cuts, stops, strict=False):
+            known[k] = raw[at:stop]
+        for k, at, stop in zip(bare, cuts[lone:], stops[lone:], strict=True):
+            known[k] = raw[at + 4:stop]  # without the lone space
+
+    def _learn(self, parts: list[str]) -> None:
         if len(self.known) > CACHE_ENTRIES // 2:
             self.known, self.older = {}, self.known
-        known, older = self.known, self.older.get
-        joined = []
-        for p in parts.difference(known):
-            got = older(p)
-            if got is not None:
-                known[p] = got
-                continue
-            chunk = p[1:] if p[:1] == "\0" else " " + p
-            if self.mark is None or chunk[:1] == "'" or chunk[-2:].isspace() and len(chunk) > 1:
-                known[p] = self._whole(chunk)
+        known, older = self.known, self.older
+        joined = "\n".join(parts)
+        special = self.special.search if any(s in joined for s in self.strings) else None
+        fresh: dict[str, None] = {}
+        cut: list[tuple[str, tuple[str, ...]]] = []
+        for key in parts:
+            if key in older:
+                known[key] = older[key]
+            elif not self.cuts or special and special(key):
+                known[key] = self._whole(key[1:] if key[:1] == "\0" else " " + key)
+            elif key.isalpha():
+                fresh[key] = None
             else:
-                joined.append((p, chunk))
-        if joined:
-            ids = np.array(self.tok.encode_batch_fast(["\0".join([c for _, c in joined])], add_special_tokens=False)[0].ids,
-                           dtype="<u4")
-            raw, at = ids.tobytes(), 0
-            for (p, _), stop in zip(joined, [*(np.flatnonzero(ids == self.mark) * 4).tolist(), len(raw)], strict=True):
-                known[p] = raw[at:stop]
-                at = stop + 4
+                word = key.rstrip(MARKS)
+                pieces = (word, "\0" + key[len(word):]) if word is not key and word.isalpha() else plain_pieces(key)
+                if pieces is None:
+                    known[key] = self._whole(key[1:] if key[:1] == "\0" else " " + key)
+                    continue
+                cut.append((key, pieces))
+                for p in pieces:
+                    if p not in known:
+                        if p in older:
+                            known[p] = older[p]
+                        else:
+                            fresh[p] = None
+        if fresh:
+            self._learn_pieces(list(fresh))
+        for key, pieces in cut:
+            known[key] = known[pieces[0]] + known[pieces[1]] if len(pieces) == 2 else b"".join([known[p] for p in pieces])
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids as little-endian unsigned 32-bit integers, per text."""
-        split = [None if "\0" in t else chunks(t) for t in texts]
-        parts: set[str] = set()
-        for p in split:
-            if p is not None:
-                p[0] = "\0" + p[0]
-                parts.update(p)
-        self._learn(parts)
-        get = self.known.__getitem__
-        return [self._whole(t) if p is None else b"".join(map(get, p)) for t, p in zip(texts, split)]
+        out: list[bytes | None] = []
+        parts: list[str] = []
+        ends: list[tuple[int, int]] = []  # (text, end of its chunks in ``parts``)
+
+        def settle() -> None:
+            got: list[bytes | None] = list(map(self.known.get, parts))
+            missing, at = [], -1
+            try:
+                while True:
+                    at = got.index(None, at + 1)
+                    missing.append(at)
+            except ValueError:  # no more
+                pass
+            if missing:
+                self._learn(list(dict.fromkeys([parts[k] for k in missing])))
+                known = self.known
+                for k in missing:
+                    got[k] = known[parts[k]]
+            at = 0
+            for k, end in ends:
+                out[k] = b"".join(got[at:end])
+                at = end
+            parts.clear()
+            ends.clear()
+
+        for k, t in enumerate(texts):
+            if "\0" in t:  # could be mistaken for the mark
+                out.append(self._whole(t))
+                continue
+            got = chunks(t)
+            got[0] = "\0" + got[0]
+            parts += got
+            ends.append((k, len(parts)))
+            out.append(None)
+            if len(parts) > BATCH_CHUNKS:
+                settle()
+        settle()
+        return out
 
 
 @functools.lru_cache(maxsize=4)

@@ -3,6 +3,8 @@
 import os
 
 import duckdb
+import numpy as np
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -99,3 +101,54 @@ def test_jaccard_links_across_size_levels_in_hot_groups(spark, monkeypatch):
     texts = [(k, " ".join(f"w{j}" for j in range(64 + k))) for k in range(40)] + [(100, " ".join(f"x{j}" for j in range(80)))]
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.jaccard_components(spark.createDataFrame(texts, "doc_id long, text string")).collect()}
     assert got == {k: (60 + k, 0) for k in range(40)} | {100: (76, 100)}
+
+
+CHUNKS = ["übergrößen.\nDie", "a.\nb,\nc", "x123", "12.5%", "wort$$$", "\n", "a\n\nb", "\nab", "don't", "'s", "a²", "½", "日本語。", "e\u0301t", "<|endoftext|>",
+          "a<|endoftext|>b", "<|endof", "one", "two,", "\t", "", "", "<a|b>", "_x_", "\u2028", "tail\n"]
+
+
+def test_ids_of_plain_pieces_equal_the_library(monkeypatch):
+    """Chunks cut here and chunks left to the library, over tables of a few entries and batches of a few chunks."""
+    monkeypatch.setattr(bpe, "CACHE_ENTRIES", 8)
+    monkeypatch.setattr(bpe, "BATCH_CHUNKS", 7)
+    tok = bpe.load(bpe.default_path())
+    rng = np.random.default_rng(0)
+    texts = ["", "\0", "a\0b c", *(" ".join(rng.choice(CHUNKS, 9)) for _ in range(300))]
+    got = [np.frombuffer(b, "<u4").tolist() for b in bpe.IdEncoder(bpe.default_path()).encode(texts)]
+    assert got == [tok.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_plain_pieces_are_the_pre_tokenizer_s():
+    pre = bpe.load(bpe.default_path()).pre_tokenizer
+    letters = "".join(chr(c) for c in range(0x110000) if chr(c).isalpha())
+    assert len(pre.pre_tokenize_str(letters)) == 1  # Python's letters are the library's
+    for key in CHUNKS:
+        for mark, lead in (("", " "), ("\0", "")):
+            pieces = bpe.plain_pieces(mark + key)
+            if pieces:
+                text = lead + key
+                assert [lead * (k == 0) + p.lstrip("\0") for k, p in enumerate(pieces)] == [text[a:b] for _, (a, b) in pre.pre_tokenize_str(text)], key
+    assert bpe.plain_pieces("wort.\nDie") == ("wort", "\0.", "\0\n", "\0Die")
+    assert all(bpe.plain_pieces(k) is None for k in ("don't", "a²", "a\n\nb", "tail\n", "\nab", "日本語。"))
+
+
+class _Counting:
+    """The library, counting the calls for ids of whole texts."""
+
+    def __init__(self, tok):
+        self.tok, self.texts = tok, []
+
+    def encode_batch_fast(self, texts, **args):
+        self.texts += texts
+        return self.tok.encode_batch_fast(texts, **args)
+
+
+def test_new_plain_chunks_are_asked_in_one_call():
+    """New chunks of letters, marks and line ends take one call a batch, to the model, with each piece once."""
+    encoder = bpe.IdEncoder(bpe.default_path())
+    encoder.tok, encoder.model = _Counting(encoder.tok), _Counting(encoder.model)
+    encoder.encode(["one two, three.\nOne", "one, two. three, four.\nOne"])
+    assert not encoder.tok.texts
+    (asked,) = encoder.model.texts
+    pieces = [p for p in asked if p != "Ġ"]  # a lone space stands before a piece that has none
+    assert sorted(pieces) == sorted(["one", "Ġtwo", "Ġthree", "Ġfour", ",", ".", "Ċ", "One"])
