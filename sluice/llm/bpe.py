@@ -108,8 +108,7 @@ class PrefixCounter:
 
     def __init__(self, path: str) -> None:
         self.tok = load(path)
-        self.alphabet = byte_alphabet()
-        back = {c: b for b, c in enumerate(self.alphabet)}
+        back = {c: b for b, c in enumerate(byte_alphabet())}
         special = set(special_strings(self.tok))
         self.ids = {bytes(back[c] for c in t): i for t, i in self.tok.get_vocab().items() if t not in special}
         #: What can begin a token. A state is the longest of these that ends the bytes read so far.
@@ -120,7 +119,9 @@ class PrefixCounter:
         self.ending: list[tuple[tuple[int, int], ...]] = []
         self.moves: dict[int, int] = {}
         self.root = self._state(b"")
-        self.names = {i: b for b, i in self.ids.items()}
+        #: Tokens in the model's own alphabet, as its vocabulary writes them.
+        self.names = {i: t for t, i in self.tok.get_vocab().items() if t not in special}
+        self.tokenize = self.tok.model.tokenize
         self.special = re.compile("|".join(map(re.escape, sorted(special, key=len, reverse=True)))) if special else None
         self.stays: dict[int, bool] = {}
         self.known: dict[str, tuple[int, bytes]] = {}  # met since the older ones were set aside
@@ -128,9 +129,6 @@ class PrefixCounter:
         self.heads: dict[bytes, tuple[list[int], list[int], int]] = {}
         self.marks: dict[str, tuple[int, bytes]] = {}
 
-    def _encode(self, piece: bytes) -> list[int]:
-        return [t.id for t in self.tok.model.tokenize("".join(self.alphabet[b] for b in piece))]
-
     def _side_by_side(self, left: int, right: int) -> bool:
         """Whether the pair (or, with ``left`` -1, the token alone) encodes to itself."""
         key = (left + 1) << 32 | right
@@ -138,8 +136,12 @@ class PrefixCounter:
         if got is None:
             if len(self.stays) > CACHE_ENTRIES:
                 self.stays.clear()
-            want = [right] if left < 0 else [left, right]
-            got = self.stays[key] = self._encode(b"".join(self.names[i] for i in want)) == want
+            if left < 0:
+                got = [t.id for t in self.tokenize(self.names[right])] == [right]
+            else:
+                ids = self.tokenize(self.names[left] + self.names[right])
+                got = len(ids) == 2 and ids[0].id == left and ids[1].id == right
+            self.stays[key] = got
         return got
 
     def _state(self, suffix: bytes) -> int:
@@ -236,7 +238,9 @@ class PrefixCounter:
 
     def _chunk(self, key: str) -> tuple[int, bytes]:
         """(count, steps) of a chunk: steps are the changes of the count from one code-point prefix to the next."""
-        word = key.rstrip(".,;:!?")
+        if key.isalpha():
+            return _steps(self._at_chars(" " + key))
+        word = key.rstrip(MARKS)
         if word and word is not key and word.isalpha():  # letters, then marks: two pieces that do not meet
             tail = key[len(word):]
             head = self.known.get(word) or self.older.get(word)
@@ -249,8 +253,20 @@ class PrefixCounter:
                 if len(tail) < 4:
                     self.marks[tail] = marks
             return head[0] + marks[0], head[1] + marks[1]
+        pieces = plain_pieces(key)
+        if pieces:  # a cut inside one of them ends a piece that begins where it does
+            got = [self._plain(p) for p in pieces]
+            return sum([g[0] for g in got]), b"".join([g[1] for g in got])
         return _steps(self.run(key[1:] if key[:1] == "\0" else " " + key))
 
+    def _plain(self, key: str) -> tuple[int, bytes]:
+        """(count, steps) of one piece of the pre-tokenizer, marked as chunks are."""
+        got = self.known.get(key) or self.older.get(key)
+        if got is None:
+            got = _steps(self._at_chars(key[1:] if key[0] == "\0" else " " + key))
+        self.known[key] = got
+        return got
+
     def _segment(self, text: str) -> list[bytes]:
         parts = chunks(text)
         parts[0] = "\0" + parts[0]

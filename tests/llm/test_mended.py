@@ -152,3 +152,12 @@ def test_new_plain_chunks_are_asked_in_one_call():
     (asked,) = encoder.model.texts
     pieces = [p for p in asked if p != "Ġ"]  # a lone space stands before a piece that has none
     assert sorted(pieces) == sorted(["one", "Ġtwo", "Ġthree", "Ġfour", ",", ".", "Ċ", "One"])
+
+
+def test_prefix_counts_of_plain_chunks_need_no_pre_tokenizer(monkeypatch):
+    counter = bpe.PrefixCounter(bpe.default_path())
+    tok = bpe.load(bpe.default_path())
+    monkeypatch.setattr(counter, "run", lambda text: pytest.fail(f"pre-tokenized {text!r}"))
+    for text in ("wort.\nDie x", "a 12.5% b", "die $$$ und###"):
+        want = [len(tok.encode(text[:k], add_special_tokens=False).ids) for k in range(1, len(text) + 1)]
+        assert counter.counts(text).tolist() == want
