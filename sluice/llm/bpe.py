@@ -320,13 +320,140 @@ def prefix_counter(path: str) -> PrefixCounter:
     return PrefixCounter(path)
 
 
+#: Classes of characters: NUL, which no text here holds, space, line end, other white space, all that is left to the
+#: library, and what ``_PLAIN`` calls letters, digits and marks.
+_NUL, _SPACE, _END, _WHITE, _ODD, _LETTER, _DIGIT, _MARK = range(8)
+#: Characters from here on are left to the library.
+_CLASSED = 0x32400
+#: Bytes of a piece that are compared as 64-bit numbers; longer pieces are looked up as bytes.
+KEY_BYTES = 24
+_LOW_BYTES = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+
+
+@functools.lru_cache(maxsize=1)
+def char_classes() -> np.ndarray:
+    """The class of each character below ``_CLASSED``, and of all others at the end."""
+    out = np.full(_CLASSED + 1, _ODD, np.uint8)
+    for c in range(_CLASSED):
+        if chr(c).isalpha():
+            out[c] = _LETTER
+        elif chr(c).isspace():
+            out[c] = _WHITE
+    out[[i for i in range(33, 127) if out[i] == _ODD and i != ord("'")]] = _MARK
+    out[ord("0"):ord("9") + 1] = _DIGIT
+    out[[0, 10, 32]] = _NUL, _END, _SPACE
+    return out
+
+
+class PieceTable:
+    """Numbers of pieces and where their ids stand; pieces are keyed by their bytes as three 64-bit numbers.
+
+    An open-addressing table of numbers into arrays, looked up for a whole batch at once: a tenth of the memory of a
+    dictionary of strings, so that a worker can remember more in less.
+    """
+
+    def __init__(self) -> None:
+        self.clear()
+
+    def clear(self) -> None:
+        self.count = self.n_ids = 0
+        self.slots = np.full(1 << 12, -1, np.int32)
+        self.keys = np.zeros((KEY_BYTES // 8, 1 << 11), np.uint64)
+        self.at = np.zeros(1 << 11, np.int32)
+        self.size = np.zeros(1 << 11, np.int32)
+        self.ids = np.zeros(1 << 13, "<u4")
+        self.longer: dict[bytes, int] = {}
+
+    @staticmethod
+    def _hash(keys: np.ndarray, bits: int) -> np.ndarray:
+        h = keys[0] * np.uint64(0x9E3779B97F4A7C15)
+        for k in keys[1:]:
+            h = ((h ^ h >> np.uint64(29)) + k) * np.uint64(0xBF58476D1CE4E5B9)
+        return ((h ^ h >> np.uint64(32)) * np.uint64(0x94D049BB133111EB) >> np.uint64(64 - bits)).astype(np.int64)
+
+    def reserve(self, n: int) -> None:
+        """Room for ``n`` more pieces."""
+        want = self.count + n
+        if want > len(self.at):
+            room = 1 << (want - 1).bit_length()
+            grown = np.zeros((len(self.keys), room), np.uint64)
+            grown[:, :self.count] = self.keys[:, :self.count]
+            self.keys = grown
+            self.at, self.size = (np.concatenate([x, np.zeros(room - len(x), np.int32)]) for x in (self.at, self.size))
+        if 2 * want > len(self.slots):
+            self.slots = np.full(1 << (2 * want - 1).bit_length(), -1, np.int32)
+            bare = np.fromiter(self.longer.values(), np.int64, len(self.longer))
+            old = np.setdiff1d(np.arange(self.count), bare, assume_unique=True)
+            self._seat(self.keys[:, old], old)
+
+    def _seat(self, keys: np.ndarray, numbers: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """(numbers, which keys are new) of ``keys``; new ones are numbered on, or as ``numbers`` says."""
+        slots, last = self.slots, len(self.slots) - 1
+        slot = self._hash(keys, last.bit_length())
+        left = np.arange(len(slot))
+        out, fresh, step = np.zeros(len(slot), np.int64), [], 0
+        while len(left):
+            got = slots[slot]
+            free = np.flatnonzero(got < 0)
+            if len(free):  # of several that claim a slot the last one has it; the others then meet it there
+                slots[slot[free]] = free
+                won = free[slots[slot[free]] == free]
+                mine = left[won]
+                if numbers is None:
+                    number = np.arange(self.count, self.count + len(won))
+                    self.keys[:, number] = keys[:, mine]
+                    self.count += len(won)
+                    fresh.append(mine)
+                else:
+                    number = numbers[mine]
+                slots[slot[won]] = number
+                got = slots[slot]
+            same = self.keys[0][got] == keys[0][left]
+            for own, new in zip(self.keys[1:], keys[1:]):
+                same &= own[got] == new[left]
+            out[left[same]] = got[same]
+            step += 1
+            left, slot = left[~same], slot[~same] + step & last
+        return out, np.concatenate(fresh) if fresh else np.zeros(0, np.int64)
+
+    def numbers(self, data: bytes, at: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(number, which are new) of the pieces of ``data`` at these places; no short one may hold a NUL.
+
+        Every new one has one place among the new and needs its ids from ``learn``, in that order.
+        """
+        self.reserve(len(at))
+        out = np.zeros(len(at), np.int64)
+        short = np.flatnonzero(size <= KEY_BYTES)
+        words = np.ndarray(len(data) + 1, "<u8", data + bytes(KEY_BYTES), strides=(1,))
+        words = [words[np.minimum(at[short] + k, len(data))] & _LOW_BYTES[np.clip(size[short] - k, 0, 8)] for k in range(0, KEY_BYTES, 8)]
+        out[short], fresh = self._seat(np.stack(words))
+        new = [short[fresh]]
+        for i in np.flatnonzero(size > KEY_BYTES).tolist():
+            piece = data[at[i]:at[i] + size[i]]
+            number = self.longer.get(piece)
+            if number is None:
+                number = self.longer[piece] = self.count
+                self.count += 1
+                new.append([i])
+            out[i] = number
+        return out, np.concatenate(new).astype(np.int64)
+
+    def learn(self, numbers: np.ndarray, ids: np.ndarray, at: np.ndarray, size: np.ndarray) -> None:
+        """Takes the ids of these pieces, which stand at ``at`` in ``ids``."""
+        if self.n_ids + len(ids) > len(self.ids):
+            self.ids = np.concatenate([self.ids[:self.n_ids], np.zeros((1 << (self.n_ids + len(ids)).bit_length()) - self.n_ids, "<u4")])
+        self.ids[self.n_ids:self.n_ids + len(ids)] = ids
+        self.at[numbers] = at + self.n_ids
+        self.size[numbers] = size
+        self.n_ids += len(ids)
+
+
 class IdEncoder:
     """Token ids of texts from the library, which sees each distinct piece once while it is remembered.
 
-    What is remembered are the ids of chunks and of pieces; what has no space before it is marked by a NUL. It stands
-    in two generations: a full one becomes the older one, whose entries are carried over when they are met again, so
-    that frequent ones stay. New chunks of plain pieces are cut here and their pieces go to the library's model in one
-    call, as bytes of its alphabet; any other new chunk goes through the whole library.
+    Texts are cut at the spaces that always start a new piece. Chunks of plain characters are cut into pieces here, and
+    new pieces go to the library's model in one call, as bytes of its alphabet; any other new chunk goes through the
+    whole library. What is remembered is forgotten when it is full.
     """
 
     def __init__(self, path: str) -> None:
@@ -343,99 +470,105 @@ class IdEncoder:
         self.begins[[i for t, i in vocab.items() if t[:1] == self.space]] = True
         #: A space before a piece must stay a token of its own, for a piece that has none.
         self.cuts = self.space in vocab and set(self.strings).isdisjoint(t for t in vocab if t[:1] == self.space)
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self.known = PieceTable()
 
-    def _whole(self, text: str) -> bytes:
-        return np.array(self.tok.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4").tobytes()
+    def _whole(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, "<u4") for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn_pieces(self, keys: list[str]) -> None:
+    def _learn_pieces(self, numbers: np.ndarray, pieces: list[bytes]) -> None:
         """Ids of new plain pieces: one call, cut at the tokens that begin with a space."""
-        bare = [k for k in keys if k[0] == "\0"]
-        keys = [k for k in keys if k[0] != "\0"] + bare
-        stand = "\0".join([" \0" + k[1:] if k[0] == "\0" else " " + k for k in keys]).encode().decode("latin-1").translate(self.alphabet)
+        stand = b"\0".join([p if p[0] == 32 else b" \0" + p for p in pieces]).decode("latin-1").translate(self.alphabet)
         ids = np.array(self.model.encode_batch_fast([stand.split("\0")], is_pretokenized=True, add_special_tokens=False)[0].ids, "<u4")
-        raw = ids.tobytes()
-        cuts = (np.flatnonzero(self.begins[ids]) * 4).tolist()
-        stops, lone = [*cuts[1:], len(raw)], len(keys) - len(bare)
+        cuts = np.flatnonzero(self.begins[ids])
+        if len(cuts) != len(pieces):
+            raise ValueError("a piece does not begin with a token of its own")
+        bare = np.fromiter([p[0] != 32 for p in pieces], np.int64, len(pieces))  # without the lone space
+        self.known.learn(numbers, ids, cuts + bare, np.diff(cuts, append=len(ids)) - bare)
+
+    def _cut(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(places, which are NULs, which are chunks left to the library) of what ``text`` falls into.
+
+        ``text`` begins and ends with a NUL, as do the texts it is made of; each NUL is a part of its own.
+        """
+        kind = char_classes()[np.minimum(np.frombuffer(text.encode("utf-32-le"), "<u4"), _CLASSED)]
+        blank, space = kind <= _WHITE, kind == _SPACE
+        split = space.copy()  # a space before anything but white space
+        split[:-1] &= ~blank[1:]
+        odd = (kind == _WHITE) | (kind == _ODD)
+        odd[:-1] |= (space | (kind == _END))[:-1] & blank[1:]
+        if any(s in text for s in self.strings):
+            odd[[m.start() for m in self.special.finditer(text)]] = True
+        marks = split | (kind == _NUL)
+        start = marks.copy()
+        start[1:] |= (kind[1:] != kind[:-1]) & ~split[:-1]
+        left = np.zeros(len(kind), bool)
+        if odd.any():
+            chunks_at = np.flatnonzero(marks)
+            k = np.unique(np.searchsorted(chunks_at, np.flatnonzero(odd), "right") - 1)
+            first, stop = chunks_at[k], chunks_at[k + 1]
+            inside = np.zeros(len(kind) + 1, np.int32)
+            inside[first + 1] += 1
+            np.subtract.at(inside, stop, 1)
+            start &= np.cumsum(inside[:-1]) == 0
+            first = first + (kind[first] == _NUL)
+            start[first] = left[first] = True
+        at = np.flatnonzero(start)
+        return at, kind[at] == _NUL, left[at]
+
+    def _settle(self, texts: list[str]) -> list[bytes]:
+        joined = "\0".join(["", *texts, ""])
+        data = joined.encode()
+        at, nul, left = self._cut(joined)
+        if len(data) > len(joined):
+            at = np.flatnonzero(np.frombuffer(data, np.uint8) & 0xC0 != 0x80)[at]
+        length = np.diff(at, append=len(data))
         known = self.known
-        for k, at, stop in zip(keys[:lone], cuts, stops, strict=False):
-            known[k] = raw[at:stop]
-        for k, at, stop in zip(bare, cuts[lone:], stops[lone:], strict=True):
-            known[k] = raw[at + 4:stop]  # without the lone space
-
-    def _learn(self, parts: list[str]) -> None:
-        if len(self.known) > CACHE_ENTRIES // 2:
-            self.known, self.older = {}, self.known
-        known, older = self.known, self.older
-        joined = "\n".join(parts)
-        special = self.special.search if any(s in joined for s in self.strings) else None
-        fresh: dict[str, None] = {}
-        cut: list[tuple[str, tuple[str, ...]]] = []
-        for key in parts:
-            if key in older:
-                known[key] = older[key]
-            elif not self.cuts or special and special(key):
-                known[key] = self._whole(key[1:] if key[:1] == "\0" else " " + key)
-            elif key.isalpha():
-                fresh[key] = None
-            else:
-                word = key.rstrip(MARKS)
-                pieces = (word, "\0" + key[len(word):]) if word is not key and word.isalpha() else plain_pieces(key)
-                if pieces is None:
-                    known[key] = self._whole(key[1:] if key[:1] == "\0" else " " + key)
-                    continue
-                cut.append((key, pieces))
-                for p in pieces:
-                    if p not in known:
-                        if p in older:
-                            known[p] = older[p]
-                        else:
-                            fresh[p] = None
-        if fresh:
-            self._learn_pieces(list(fresh))
-        for key, pieces in cut:
-            known[key] = known[pieces[0]] + known[pieces[1]] if len(pieces) == 2 else b"".join([known[p] for p in pieces])
+        if known.count > CACHE_ENTRIES:
+            known.clear()
+        some = np.flatnonzero(~nul)
+        numbers, new = known.numbers(data, at[some], length[some])
+        odd = left[some[new]]
+
+        def bytes_of(which: np.ndarray) -> list[bytes]:
+            begin = at[some[which]]
+            return [data[a:b] for a, b in zip(begin.tolist(), (begin + length[some[which]]).tolist())]
+
+        if not odd.all():
+            self._learn_pieces(numbers[new[~odd]], bytes_of(new[~odd]))
+        if odd.any():
+            ids = self._whole([p.decode() for p in bytes_of(new[odd])])
+            size = np.fromiter(map(len, ids), np.int64, len(ids))
+            known.learn(numbers[new[odd]], np.concatenate(ids), np.cumsum(size) - size, size)
+        size = np.zeros(len(at), np.int64)
+        size[some] = known.size[numbers]
+        stops = np.cumsum(size)
+        ids = known.ids[np.repeat(known.at[numbers] - (stops - size)[some], size[some]) + np.arange(stops[-1])].tobytes()
+        bounds = (4 * stops[nul]).tolist()
+        return [ids[a:b] for a, b in zip(bounds, bounds[1:])]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids as little-endian unsigned 32-bit integers, per text."""
-        out: list[bytes | None] = []
-        parts: list[str] = []
-        ends: list[tuple[int, int]] = []  # (text, end of its chunks in ``parts``)
+        out: list[bytes | None] = [None] * len(texts)
+        held: list[int] = []
+        n = 0
 
         def settle() -> None:
-            got: list[bytes | None] = list(map(self.known.get, parts))
-            missing, at = [], -1
-            try:
-                while True:
-                    at = got.index(None, at + 1)
-                    missing.append(at)
-            except ValueError:  # no more
-                pass
-            if missing:
-                self._learn(list(dict.fromkeys([parts[k] for k in missing])))
-                known = self.known
-                for k in missing:
-                    got[k] = known[parts[k]]
-            at = 0
-            for k, end in ends:
-                out[k] = b"".join(got[at:end])
-                at = end
-            parts.clear()
-            ends.clear()
+            nonlocal n
+            for k, got in zip(held, self._settle([texts[k] for k in held]), strict=True):
+                out[k] = got
+            held.clear()
+            n = 0
 
         for k, t in enumerate(texts):
-            if "\0" in t:  # could be mistaken for the mark
-                out.append(self._whole(t))
+            if "\0" in t or not self.cuts:  # the NUL sets texts apart
+                out[k] = self._whole([t])[0].tobytes()
                 continue
-            got = chunks(t)
-            got[0] = "\0" + got[0]
-            parts += got
-            ends.append((k, len(parts)))
-            out.append(None)
-            if len(parts) > BATCH_CHUNKS:
+            held.append(k)
+            n += len(t) // 8 + 1  # about as many chunks
+            if n > BATCH_CHUNKS:
                 settle()
-        settle()
+        if held:
+            settle()
         return out
 
 

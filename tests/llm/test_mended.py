@@ -1,6 +1,7 @@
 """Rows that share a key or have none, texts that differ in blank lines only, and the SQL twins on small tables."""
 
 import os
+import tracemalloc
 
 import duckdb
 import numpy as np
@@ -161,3 +162,36 @@ def test_prefix_counts_of_plain_chunks_need_no_pre_tokenizer(monkeypatch):
     for text in ("wort.\nDie x", "a 12.5% b", "die $$$ und###"):
         want = [len(tok.encode(text[:k], add_special_tokens=False).ids) for k in range(1, len(text) + 1)]
         assert counter.counts(text).tolist() == want
+
+
+def _words(n, seed=0):
+    rng = np.random.default_rng(seed)
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyzäöüßéñ"))
+    return ["".join(w) for w in letters[rng.integers(0, len(letters), (n, 8))]]
+
+
+def test_what_an_encoder_remembers_is_small():
+    """A worker's memory of pieces: well under the 200 bytes each that strings in a dictionary take."""
+    words = _words(60_000)
+    encoder = bpe.IdEncoder(bpe.default_path())
+    encoder.encode(["warm up"])
+    tracemalloc.start()
+    before = tracemalloc.get_traced_memory()[0]
+    for k in range(0, len(words), 5000):
+        encoder.encode([" ".join(words[k:k + 5000])])
+    after = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert after - before < 110 * len(words)
+
+
+def test_ids_stay_right_over_longer_texts_and_a_table_that_fills_up(monkeypatch):
+    """Pieces longer than a key, batches that outgrow the table, empty texts alone in a batch."""
+    monkeypatch.setattr(bpe, "CACHE_ENTRIES", 500)
+    monkeypatch.setattr(bpe, "BATCH_CHUNKS", 300)
+    tok = bpe.load(bpe.default_path())
+    words = [*_words(900, 1), *("x" * k for k in range(20, 30)), "ä" * 12, "ä" * 13, "日" * 8, "日" * 9, *CHUNKS]
+    rng = np.random.default_rng(2)
+    texts = ["", *(" ".join(rng.choice(words, 700)) for _ in range(12)), "", " ", "  a ", "a  b", "a \n b", "\n"]
+    for some in (texts, [""], []):
+        got = [np.frombuffer(b, "<u4").tolist() for b in bpe.IdEncoder(bpe.default_path()).encode(some)]
+        assert got == [tok.encode(t, add_special_tokens=False).ids for t in some]
