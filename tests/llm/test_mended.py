@@ -1,6 +1,7 @@
 """Rows that share a key or have none, texts that differ in blank lines only, and the SQL twins on small tables."""
 
 import os
+import sys
 import tracemalloc
 
 import duckdb
@@ -195,3 +196,22 @@ def test_ids_stay_right_over_longer_texts_and_a_table_that_fills_up(monkeypatch)
     for some in (texts, [""], []):
         got = [np.frombuffer(b, "<u4").tolist() for b in bpe.IdEncoder(bpe.default_path()).encode(some)]
         assert got == [tok.encode(t, add_special_tokens=False).ids for t in some]
+
+
+def test_new_pieces_cost_no_python_call_each():
+    """Calls of Python or C functions while texts of new words are encoded: some a batch, none a word."""
+    words = _words(4000, 3)
+    encoder = bpe.IdEncoder(bpe.default_path())
+    encoder.encode(["warm up."])
+    calls = 0
+
+    def count(frame, event, arg):
+        nonlocal calls
+        calls += event in ("call", "c_call")
+
+    sys.setprofile(count)
+    try:
+        encoder.encode([" ".join(words[k:k + 40]) + "." for k in range(0, len(words), 40)])
+    finally:
+        sys.setprofile(None)
+    assert calls < len(words)
