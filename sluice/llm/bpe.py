@@ -348,8 +348,8 @@ def char_classes() -> np.ndarray:
 class PieceTable:
     """Numbers of pieces and where their ids stand; pieces are keyed by their bytes as three 64-bit numbers.
 
-    An open-addressing table of numbers into arrays, looked up for a whole batch at once: a tenth of the memory of a
-    dictionary of strings, so that a worker can remember more in less.
+    An open-addressing table of numbers into arrays, looked up for a whole batch at once; about half the memory of a
+    dictionary of strings, and no small objects that keep a worker's memory from being given back.
     """
 
     def __init__(self) -> None:
@@ -419,7 +419,7 @@ class PieceTable:
     def numbers(self, data: bytes, at: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(number, which are new) of the pieces of ``data`` at these places; no short one may hold a NUL.
 
-        Every new one has one place among the new and needs its ids from ``learn``, in that order.
+        Of a new piece that stands at several places one is named; its ids are then due from ``learn``.
         """
         self.reserve(len(at))
         out = np.zeros(len(at), np.int64)

@@ -172,7 +172,7 @@ def _words(n, seed=0):
 
 
 def test_what_an_encoder_remembers_is_small():
-    """A worker's memory of pieces: well under the 200 bytes each that strings in a dictionary take."""
+    """A worker's memory of pieces: well under the 150 bytes each that strings in a dictionary take."""
     words = _words(60_000)
     encoder = bpe.IdEncoder(bpe.default_path())
     encoder.encode(["warm up"])
