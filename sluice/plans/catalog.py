@@ -66,14 +66,14 @@ def _file_rows(docs: DataFrame, with_md5: bool = True, with_flag: bool = False)
     cols = [filename_of(F.col("uri")).alias("filename"), extension_of(F.col("uri")).alias("extension"),
             _long(F.col("length")).alias("size_bytes")]
     if with_md5:
-        cols.append(F.md5("content").alias("content_md5"))
+        cols.append(F.col("content_md5"))
     if with_flag:
         cols.append(F.col("content").isNotNull().alias("has_content"))
     return docs.select(*cols)
 
 
 def files_scan(spark, sf_dir):
-    return _file_rows(scan_files(spark, sf_dir))
+    return _file_rows(scan_files(spark, sf_dir, digest=True))
 
 
 FILE_PATTERNS = ["n*.parquet", "*ion*.parquet"]

@@ -1,8 +1,9 @@
 """File trees as documents, glob filters, content toggle, seen sets.
 
 ``scan_files`` reads with Spark's ``binaryFile`` source, so ``content`` is
-only read when it is projected; that source skips files of zero length and
-those whose name starts with ``.`` or ``_``. ``scan_tree`` and the
+only read when it is projected (a file is then one value, held whole:
+``digest=True`` gives its MD5 without that); that source skips files of zero
+length and those whose name starts with ``.`` or ``_``. ``scan_tree`` and the
 incremental passes list and read on the executors (``tree``) and skip none.
 """
 
@@ -18,7 +19,7 @@ from pyspark.sql import functions as F
 
 from sluice.session import fresh_path
 from sluice.sources.documents import add_errors, string_map, to_documents
-from sluice.sources.tree import LISTING_SCHEMA, list_tree, read_contents, resolved
+from sluice.sources.tree import LISTING_SCHEMA, file_md5, list_tree, read_contents, resolved
 
 BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
@@ -72,17 +73,24 @@ def files_to_documents(raw: DataFrame, include_content: bool = True, source: str
 
 def scan_files(spark: SparkSession, path: str, patterns: Sequence[str] | None = None,
                include_content: bool = True, recursive: bool = True, exclude: Sequence[str] = (),
-               ingested_at: float | None = None, ordered: bool = False) -> DataFrame:
+               ingested_at: float | None = None, ordered: bool = False, digest: bool = False) -> DataFrame:
     """Every regular file under ``path`` matching any pattern (union,
     de-duplicated), as documents. ``include_content=False`` keeps the rows
     with null content and never reads the bytes. ``exclude`` drops paths
     under the given prefixes (a state folder kept inside the tree).
-    ``ordered`` sorts by path (a range shuffle; only for presentation)."""
+    ``ordered`` sorts by path (a range shuffle; only for presentation).
+    ``digest`` adds ``content_md5``, the MD5 of the whole file, read in pieces."""
     raw = _without(read_files(spark, path, patterns, recursive), exclude)
-    docs = files_to_documents(raw, include_content, ingested_at=ingested_at)
+    docs = files_to_documents(with_digest(raw, path) if digest else raw, include_content, ingested_at=ingested_at,
+                              keep=["content_md5"] if digest else [])
     return docs.orderBy("uri") if ordered else docs
 
 
+def with_digest(raw: DataFrame, path: str) -> DataFrame:
+    """``binaryFile`` rows read from ``path`` with ``content_md5`` (``tree.file_md5``)."""
+    return raw.withColumn("content_md5", file_md5(raw.sparkSession, path))
+
+
 def _without(raw: DataFrame, exclude: Sequence[str]) -> DataFrame:
     plain = F.regexp_replace("path", "^[a-zA-Z][a-zA-Z0-9+.-]*:/*", "/")
     for prefix in exclude:

@@ -4,17 +4,20 @@
 the top of the tree, deals them out as shards, and tasks walk them. It emits
 every regular file, hidden and empty ones included. ``read_contents`` opens
 files by path in the tasks, after whatever filter or anti join came before.
-Both reach any file system that pyarrow opens.
+Both reach any file system that pyarrow opens. ``file_md5`` digests files of
+any size a piece at a time.
 """
 
 from __future__ import annotations
 
+import hashlib
 import os
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 LISTING_SCHEMA = "path string, modificationTime timestamp, length bigint"
@@ -24,6 +27,8 @@ MOST_BYTES = (1 << 31) - 64
 BATCH_BYTES = 1 << 25
 #: Listed files that are passed on at a time.
 BATCH_FILES = 10_000
+#: Bytes of a file that are held at a time while it is digested.
+PIECE_BYTES = 1 << 22
 _LISTED = pa.schema([("path", pa.string()), ("modificationTime", pa.timestamp("us", tz="UTC")), ("length", pa.int64())])
 
 
@@ -174,3 +179,54 @@ def read_contents(files: DataFrame, tasks: int | None = None) -> DataFrame:
     tasks = tasks or int(files.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (files.select("path", "modificationTime", "length").repartition(tasks, "path")
             .mapInArrow(_contents, LISTING_SCHEMA + ", content binary, error string"))
+
+
+def md5_in_pieces(stream) -> str:
+    """MD5 of all that ``stream`` gives; only a piece is held at a time."""
+    digest = hashlib.md5(usedforsecurity=False)
+    while piece := stream.read(PIECE_BYTES):
+        digest.update(piece)
+    return digest.hexdigest()
+
+
+def _as_opened(spark: SparkSession, path: str) -> tuple[str, str] | None:
+    """What the paths that Spark lists under ``path`` (which may hold wildcards) begin with, and the uri of the same folder
+    for ``open_path``; None where pyarrow does not open that."""
+    from pyarrow import fs
+
+    conf, folder = spark._jsc.hadoopConfiguration(), spark._jvm.org.apache.hadoop.fs.Path(path)
+    while any(c in folder.toString() for c in "{}[]*?\\"):
+        folder = folder.getParent()
+    listed = folder.getFileSystem(conf).makeQualified(folder).toString().rstrip("/")
+    root = resolved(spark, folder.toString())
+    try:
+        filesystem, inner, before = open_path(root)
+        there = before + inner == root and filesystem.get_file_info(inner).type != fs.FileType.NotFound
+    except (OSError, ValueError, NotImplementedError):
+        return None
+    return (listed, root) if there or root.startswith("file:") else None
+
+
+def file_md5(spark: SparkSession, path: str) -> Column:
+    """MD5 of each file of a ``binaryFile`` frame read from ``path``. Tasks read the files a piece at a time, so memory does
+    not grow with a file; only on file systems that pyarrow does not open it is taken from Spark's ``content``, which holds a file whole."""
+    found = _as_opened(spark, path)
+    if found is None:
+        return F.md5("content")
+    listed, root = found
+
+    @F.arrow_udf("string")
+    def read_md5(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        filesystem, _, before = open_path(root)
+
+        def digest(uri: str) -> str:
+            uri = root + uri[len(listed):] if uri.startswith(listed + "/") or uri == listed else uri
+            if not uri.startswith(before):
+                raise ValueError(f"{uri!r} does not lie under {root!r}")
+            with filesystem.open_input_stream(uri.removeprefix(before), compression=None) as f:
+                return md5_in_pieces(f)
+
+        for batch in batches:
+            yield pa.array([digest(u) for u in batch.to_pylist()], pa.string())
+
+    return read_md5("path")

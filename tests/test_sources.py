@@ -341,3 +341,71 @@ def test_streams_over_landed_documents_take_as_many_micro_batches_whatever_their
         catalog._write_landing(spark, sf_dir, landed := tempfile.mkdtemp() + "/landed")
         taken[n].append(len(glob.glob(f"{landed}/*.parquet")))
     assert all(1 < few and many <= 2 * few for few, many in zip(taken[4_000], taken[16_000])), taken
+
+
+def _md5s(files: dict[str, bytes]) -> dict[str, str]:
+    import hashlib
+
+    return {n: hashlib.md5(c).hexdigest() for n, c in files.items() if c}
+
+
+@pytest.fixture
+def whole_files_refused(spark):
+    """Spark's own reader refuses to hold a file of more than 1,000 bytes in one value."""
+    spark.conf.set("spark.sql.sources.binaryFile.maxLength", "1000")
+    yield
+    spark.conf.unset("spark.sql.sources.binaryFile.maxLength")
+
+
+def test_scan_digests_files_that_no_value_holds(spark, whole_files_refused):
+    from sluice.plans import catalog
+
+    files = {"a.parquet": bytes(range(256)) * 4_000, "b c%20d.gz": b"not compressed" * 100, "sub/é.TXT": b"E", "empty.txt": b""}
+    root = _tree(files)
+    got = {r["filename"]: (r["extension"], r["size_bytes"], r["content_md5"]) for r in catalog.files_scan(spark, root).collect()}
+    assert got == {n.split("/")[-1]: (n.lower().split(".")[-1], len(files[n]), m) for n, m in _md5s(files).items()}
+    docs = scan_files(spark, f"{root}/*", patterns=["*.parquet", "*.TXT"], digest=True, exclude=[f"{root}/sub"])
+    assert [(r["uri"], r["content_md5"]) for r in docs.select("uri", "content_md5").collect()] == [(f"file:{root}/a.parquet", _md5s(files)["a.parquet"])]
+    assert bytes(scan_files(spark, f"{root}/sub", digest=True).first()["content"]) == b"E"  # the content is still there
+    with pytest.raises(Exception, match="FILE_LENGTH|length"):
+        scan_files(spark, root).select(F.md5("content")).collect()
+
+
+def test_a_digest_holds_a_piece_at_a_time():
+    import hashlib
+    import io
+
+    from sluice.sources.tree import PIECE_BYTES, md5_in_pieces
+
+    class Stream(io.BytesIO):
+        most = 0
+
+        def read(self, n=-1):
+            got = super().read(n)
+            self.most = max(self.most, len(got))
+            return got
+
+    data = b"0123456789" * (PIECE_BYTES // 4)
+    stream = Stream(data)
+    assert md5_in_pieces(stream) == hashlib.md5(data).hexdigest() and stream.most == PIECE_BYTES
+    assert md5_in_pieces(Stream(b"")) == hashlib.md5(b"").hexdigest()
+
+
+def test_digests_of_mounted_folders_and_of_stores_that_only_spark_reads(spark, monkeypatch, whole_files_refused):
+    from sluice.sources import tree
+
+    files = {"a.bin": b"A" * 2_000, "sub/b.bin": b"B"}
+    root = _tree(files)
+    spark._jsc.hadoopConfiguration().set("fs.viewfs.mounttable.digests.link./in", f"file://{root}")
+    digests = lambda path: {r["uri"]: r["content_md5"] for r in scan_files(spark, path, digest=True).select("uri", "content_md5").collect()}
+    want = {f"viewfs://digests/in/{n}": m for n, m in _md5s(files).items()}
+    assert digests("viewfs://digests/in") == digests("viewfs://digests/in/") == digests("viewfs://digests/in/*") == want
+
+    def closed(uri):
+        raise OSError("no such file system here")
+
+    monkeypatch.setattr(tree, "open_path", closed)
+    with pytest.raises(Exception, match="FILE_LENGTH|length"):
+        digests(root)
+    spark.conf.set("spark.sql.sources.binaryFile.maxLength", "5000")
+    assert {u.removeprefix(f"file:{root}/"): m for u, m in digests(root).items()} == _md5s(files)
