@@ -131,8 +131,8 @@ def files_incremental_passes(spark, sf_dir):
 
 
 def files_stream(spark, sf_dir):
-    docs = stream_files(spark, sf_dir, max_files_per_trigger=5)
-    rows = docs.select("uri", "length", F.md5("content").alias("content_md5"))
+    docs = stream_files(spark, sf_dir, max_files_per_trigger=5, digest=True)
+    rows = docs.select("uri", "length", "content_md5")
     out, ckpt = fresh_path(spark, "files_stream"), fresh_path(spark, "files_stream_ckpt")
     stream_to(rows, out, ckpt).awaitTermination()
     back = spark.read.parquet(out)

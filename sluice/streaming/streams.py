@@ -18,7 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from sluice.plans.flow import RouterSpec, run_router, write_flow
 from sluice.sources.documents import string_map, to_documents
-from sluice.sources.files import files_to_documents, read_files
+from sluice.sources.files import files_to_documents, read_files, with_digest
 
 # Far older files than the newest seen one must still be picked up.
 NO_MAX_AGE = "36500d"
@@ -26,10 +26,11 @@ NO_MAX_AGE = "36500d"
 
 def stream_files(spark: SparkSession, path: str, patterns: Sequence[str] | None = None,
                  max_files_per_trigger: int | None = None, include_content: bool = True,
-                 options: dict[str, str] | None = None, file_format: str = "binaryFile", schema: str | None = None) -> DataFrame:
+                 options: dict[str, str] | None = None, file_format: str = "binaryFile", schema: str | None = None,
+                 digest: bool = False) -> DataFrame:
     """New files under ``path`` as a stream of documents (each path emitted once).
 
-    ``binaryFile`` makes a document of each file. Any other format of Spark's file streams (``text``, ``json``,
+    ``binaryFile`` makes a document of each file; ``digest`` adds its MD5 as ``content_md5``, read in pieces. Any other format of Spark's file streams (``text``, ``json``,
     ``csv``, ``parquet``…, with its ``schema``) makes one of each row: ``uri`` is its ``path`` column, or the file's
     path if it has none, ``content`` its ``content`` column, and every column but ``content`` goes to the metadata.
     """
@@ -37,9 +38,12 @@ def stream_files(spark: SparkSession, path: str, patterns: Sequence[str] | None
     if max_files_per_trigger:
         opts["maxFilesPerTrigger"] = str(max_files_per_trigger)
     if file_format != "binaryFile":
+        if digest:
+            raise ValueError(f"documents of a {file_format} stream are rows, not files: digest their content")
         return _stream_rows(spark, path, patterns, include_content, opts, file_format, schema)
     raw = read_files(spark, path, patterns, recursive=True, stream=True, options=opts)
-    return files_to_documents(raw, include_content, source="files_stream")
+    return files_to_documents(with_digest(raw, path) if digest else raw, include_content, source="files_stream",
+                              keep=["content_md5"] if digest else [])
 
 
 def _stream_rows(spark: SparkSession, path: str, patterns, include_content: bool, options: dict[str, str], file_format: str,

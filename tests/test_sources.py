@@ -409,3 +409,22 @@ def test_digests_of_mounted_folders_and_of_stores_that_only_spark_reads(spark, m
         digests(root)
     spark.conf.set("spark.sql.sources.binaryFile.maxLength", "5000")
     assert {u.removeprefix(f"file:{root}/"): m for u, m in digests(root).items()} == _md5s(files)
+
+
+def test_stream_digests_files_that_no_value_holds(spark, whole_files_refused):
+    from sluice.plans import catalog
+
+    files = {f"{k}.bin": bytes([k]) * (900 + 100 * k) for k in range(1, 8)} | {"sub/x y%20.gz": b"not compressed" * 100}
+    root = _tree(files)
+    got = {r["filename"]: (r["extension"], r["size_bytes"], r["content_md5"]) for r in catalog.files_stream(spark, root).collect()}
+    assert got == {n.split("/")[-1]: (n.split(".")[-1], len(files[n]), m) for n, m in _md5s(files).items()}
+    out, ckpt = tempfile.mkdtemp() + "/out", tempfile.mkdtemp() + "/ckpt"
+    for more in ({}, {"late.bin": b"L" * 5_000}):  # the second run reads the new file only
+        for name, data in more.items():
+            with open(os.path.join(root, name), "wb") as f:
+                f.write(data)
+        stream_to(stream_files(spark, root, patterns=["*.bin"], digest=True).select("uri", "content_md5"), out, ckpt).awaitTermination()
+        want = _md5s({n: c for n, c in (files | more).items() if n.endswith(".bin")})
+        assert sorted((r["uri"].rsplit("/", 1)[-1], r["content_md5"]) for r in spark.read.parquet(out).collect()) == sorted(want.items())
+    with pytest.raises(ValueError, match="rows, not files"):
+        stream_files(spark, root, file_format="text", digest=True)
