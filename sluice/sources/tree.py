@@ -209,7 +209,8 @@ def _as_opened(spark: SparkSession, path: str) -> tuple[str, str] | None:
 
 def file_md5(spark: SparkSession, path: str) -> Column:
     """MD5 of each file of a ``binaryFile`` frame read from ``path``. Tasks read the files a piece at a time, so memory does
-    not grow with a file; only on file systems that pyarrow does not open it is taken from Spark's ``content``, which holds a file whole."""
+    not grow with a file; only on file systems that pyarrow does not open it is taken from Spark's ``content``, which holds a file whole.
+    A file that cannot be read fails its task, also with ``spark.sql.files.ignoreCorruptFiles``."""
     found = _as_opened(spark, path)
     if found is None:
         return F.md5("content")
