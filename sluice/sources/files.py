@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from sluice.session import fresh_path
 from sluice.sources.documents import add_errors, string_map, to_documents
-from sluice.sources.tree import LISTING_SCHEMA, file_md5, list_tree, read_contents, resolved
+from sluice.sources.tree import LISTING_SCHEMA, list_tree, read_contents, resolved, with_digest
 
 BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
@@ -86,11 +86,6 @@ def scan_files(spark: SparkSession, path: str, patterns: Sequence[str] | None =
     return docs.orderBy("uri") if ordered else docs
 
 
-def with_digest(raw: DataFrame, path: str) -> DataFrame:
-    """``binaryFile`` rows read from ``path`` with ``content_md5`` (``tree.file_md5``)."""
-    return raw.withColumn("content_md5", file_md5(raw.sparkSession, path))
-
-
 def _without(raw: DataFrame, exclude: Sequence[str]) -> DataFrame:
     plain = F.regexp_replace("path", "^[a-zA-Z][a-zA-Z0-9+.-]*:/*", "/")
     for prefix in exclude:

@@ -4,7 +4,7 @@
 the top of the tree, deals them out as shards, and tasks walk them. It emits
 every regular file, hidden and empty ones included. ``read_contents`` opens
 files by path in the tasks, after whatever filter or anti join came before.
-Both reach any file system that pyarrow opens. ``file_md5`` digests files of
+Both reach any file system that pyarrow opens. ``with_digest`` digests files of
 any size a piece at a time.
 """
 
@@ -16,7 +16,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
@@ -207,27 +207,51 @@ def _as_opened(spark: SparkSession, path: str) -> tuple[str, str] | None:
     return (listed, root) if there or root.startswith("file:") else None
 
 
-def file_md5(spark: SparkSession, path: str) -> Column:
-    """MD5 of each file of a ``binaryFile`` frame read from ``path``. Tasks read the files a piece at a time, so memory does
-    not grow with a file; only on file systems that pyarrow does not open it is taken from Spark's ``content``, which holds a file whole.
-    A file that cannot be read fails its task, also with ``spark.sql.files.ignoreCorruptFiles``."""
+def _md5_of(filesystem, inner: str, skipped: set[str]) -> str | None:
+    """MD5 of one file; None if it cannot be read and ``skipped`` names that, as Spark's readers skip it."""
+    try:
+        with filesystem.open_input_stream(inner, compression=None) as f:
+            return md5_in_pieces(f)
+    except PermissionError:
+        raise
+    except FileNotFoundError:
+        if "ignoreMissingFiles" not in skipped:
+            raise
+    except OSError:
+        if "ignoreCorruptFiles" not in skipped:
+            raise
+    return None
+
+
+def with_digest(raw: DataFrame, path: str, options: dict[str, str] | None = None) -> DataFrame:
+    """``binaryFile`` rows read from ``path`` (with the reader's ``options``) and ``content_md5``, the MD5 of each whole file.
+
+    Tasks read the files a piece at a time, so memory does not grow with a file; only on file systems that pyarrow does not
+    open it is taken from Spark's ``content``, which holds a file whole. Checksum files beside local ones are not looked at.
+    """
+    spark = raw.sparkSession
     found = _as_opened(spark, path)
     if found is None:
-        return F.md5("content")
+        return raw.withColumn("content_md5", F.md5("content"))
     listed, root = found
+    given = {k.lower(): v for k, v in (options or {}).items()}
+    skipped = {n for n in ("ignoreMissingFiles", "ignoreCorruptFiles")
+               if str(given.get(n.lower(), spark.conf.get(f"spark.sql.files.{n}"))).lower() == "true"}
 
     @F.arrow_udf("string")
     def read_md5(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         filesystem, _, before = open_path(root)
 
-        def digest(uri: str) -> str:
+        def inner(uri: str) -> str:
             uri = root + uri[len(listed):] if uri.startswith(listed + "/") or uri == listed else uri
             if not uri.startswith(before):
                 raise ValueError(f"{uri!r} does not lie under {root!r}")
-            with filesystem.open_input_stream(uri.removeprefix(before), compression=None) as f:
-                return md5_in_pieces(f)
+            return uri.removeprefix(before)
 
         for batch in batches:
-            yield pa.array([digest(u) for u in batch.to_pylist()], pa.string())
+            yield pa.array([_md5_of(filesystem, inner(u), skipped) for u in batch.to_pylist()], pa.string())
 
-    return read_md5("path")
+    if not skipped:
+        return raw.withColumn("content_md5", read_md5("path"))
+    # not deterministic: else the filter would go below and read each file once more
+    return raw.withColumn("content_md5", read_md5.asNondeterministic()("path")).where("content_md5 is not null")

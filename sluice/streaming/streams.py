@@ -18,7 +18,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from sluice.plans.flow import RouterSpec, run_router, write_flow
 from sluice.sources.documents import string_map, to_documents
-from sluice.sources.files import files_to_documents, read_files, with_digest
+from sluice.sources.files import files_to_documents, read_files
+from sluice.sources.tree import with_digest
 
 # Far older files than the newest seen one must still be picked up.
 NO_MAX_AGE = "36500d"
@@ -42,7 +43,7 @@ def stream_files(spark: SparkSession, path: str, patterns: Sequence[str] | None
             raise ValueError(f"documents of a {file_format} stream are rows, not files: digest their content")
         return _stream_rows(spark, path, patterns, include_content, opts, file_format, schema)
     raw = read_files(spark, path, patterns, recursive=True, stream=True, options=opts)
-    return files_to_documents(with_digest(raw, path) if digest else raw, include_content, source="files_stream",
+    return files_to_documents(with_digest(raw, path, opts) if digest else raw, include_content, source="files_stream",
                               keep=["content_md5"] if digest else [])
 
 

@@ -428,3 +428,37 @@ def test_stream_digests_files_that_no_value_holds(spark, whole_files_refused):
         assert sorted((r["uri"].rsplit("/", 1)[-1], r["content_md5"]) for r in spark.read.parquet(out).collect()) == sorted(want.items())
     with pytest.raises(ValueError, match="rows, not files"):
         stream_files(spark, root, file_format="text", digest=True)
+
+
+def test_a_digest_skips_unreadable_files_where_sparks_reader_would(spark):
+    from sluice.sources.tree import _md5_of
+
+    class Broken:
+        def __init__(self, error):
+            self.error = error
+
+        def open_input_stream(self, path, compression):
+            raise self.error
+
+    kinds = {"ignoreMissingFiles": FileNotFoundError("gone"), "ignoreCorruptFiles": OSError("bad block")}
+    for option, error in kinds.items():
+        assert _md5_of(Broken(error), "/x", {option}) is None
+        for skipped in (set(), set(kinds) - {option}):
+            with pytest.raises(OSError, match=str(error)):
+                _md5_of(Broken(error), "/x", skipped)
+    with pytest.raises(PermissionError):
+        _md5_of(Broken(PermissionError("denied")), "/x", set(kinds))
+
+    files = {"a.bin": b"A", "b.bin": b"B", "gone.bin": b"G"}
+    root = _tree(files)
+    spark.conf.set("spark.sql.files.ignoreMissingFiles", "true")
+    try:
+        docs = scan_files(spark, root, digest=True).select("uri", "content_md5")
+        os.remove(os.path.join(root, "gone.bin"))
+        assert {r["uri"].rsplit("/", 1)[-1]: r["content_md5"] for r in docs.collect()} == _md5s({n: files[n] for n in ("a.bin", "b.bin")})
+        assert str(docs._jdf.queryExecution().executedPlan()).count("ArrowEvalPython") == 1  # each file is read once
+        out = tempfile.mkdtemp() + "/out"
+        stream_to(stream_files(spark, root, digest=True, options={"ignorecorruptfiles": "true"}).select("uri", "content_md5"), out, tempfile.mkdtemp() + "/ckpt").awaitTermination()
+        assert spark.read.parquet(out).count() == 2
+    finally:
+        spark.conf.unset("spark.sql.files.ignoreMissingFiles")
